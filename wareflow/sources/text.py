@@ -32,17 +32,23 @@ def read_staging(spark: SparkSession, path: str, check_header: bool = True,
     that disagrees fails the job. Blank header names become ``NA_<position>``.
     Blank lines are skipped; empty fields read as NULL.
     """
-    reader = (spark.read.option("header", "true").option("sep", ",")
-              .option("quote", "").option("inferSchema", "false")
-              .option("recursiveFileLookup", "true"))
+    def reader(enforce: bool):
+        r = (spark.read.option("header", "true").option("sep", ",")
+             .option("quote", "").option("inferSchema", "false")
+             .option("recursiveFileLookup", "true"))
+        return r if enforce else r.option("enforceSchema", "false")
+
+    df = reader(True).csv(path)
+    blank = [c == f"_c{i}" for i, c in enumerate(df.columns)]
     if check_header:
-        reader = reader.option("enforceSchema", "false")
-    df = reader.csv(path)
-    if fill_blank:
-        raw = [None if c == f"_c{i}" else c for i, c in enumerate(df.columns)]
-        names = fill_header(raw)
-        if names != df.columns:
-            df = df.toDF(*names)
+        if any(blank):
+            # Spark names blank header cells _c<i> and would then reject every
+            # file in its own check; compare the raw header lines instead.
+            assert_single_header(spark, path)
+        else:
+            df = reader(False).csv(path)
+    if fill_blank and any(blank):
+        df = df.toDF(*fill_header([None if b else c for b, c in zip(blank, df.columns)]))
     return df
 
 
