@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wareflow.plans import q_derive, q_io, q_upsert  # noqa: F401
+from wareflow.plans import q_derive, q_features, q_io, q_upsert  # noqa: F401
 from wareflow.plans.registry import ORACLE, QUERIES
 
 
