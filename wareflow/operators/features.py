@@ -140,7 +140,11 @@ def feature_roles(catalog: DataFrame) -> DataFrame:
 
 
 def parse_job_id(job_id: Column) -> Column:
-    """``<prefix>-<id>_<start>_<end>_<rest>`` -> struct(class_id, start, end)."""
+    """``<prefix>-<id>_<start>_<end>_<rest>`` -> struct(class_id, start, end).
+
+    The pattern is searched, not anchored: in ``state_store-c1_...`` the
+    prefix match starts at ``store``.
+    """
     return F.struct(
         F.regexp_extract(job_id, JOB_ID_PATTERN, 1).alias("class_id"),
         F.regexp_extract(job_id, JOB_ID_PATTERN, 2).alias("start"),

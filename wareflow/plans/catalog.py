@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wareflow.plans import q_derive, q_features, q_io, q_kpi, q_upsert  # noqa: F401
+from wareflow.plans import q_derive, q_edges, q_features, q_io, q_jobs, q_kpi, q_upsert  # noqa: F401
 from wareflow.plans.registry import ORACLE, QUERIES
 
 

@@ -132,7 +132,7 @@ def role_job(spark: SparkSession, root: str, job_id: str, config_json: str,
     """Role file (one per config source) plus the hand-off export of the
     derived feature data of every source (a folder of part files each)."""
     configure(spark)
-    m = re.match(JOB_ID_PATTERN, job_id)
+    m = re.search(JOB_ID_PATTERN, job_id)
     if not m:
         raise ValueError(f"job id {job_id!r} does not match {JOB_ID_PATTERN}")
     docs = spark.createDataFrame([(config_json,)], "config string")
