@@ -83,17 +83,22 @@ def columns_for(catalog: DataFrame) -> DataFrame:
 
     ``'`` marks string/date items; ``_`` hides items that no driven or target
     item names. Position 0 is always ``'prt_path``; items follow from 1.
+    One grouping per item decides both; the per-config head rows come from
+    the same grouping (its exchange is reused, the catalog is read once).
     """
-    cols = catalog.where(F.col("list_name") == COLUMN_ITEMS)
-    used = _model_items(catalog).withColumn("_used", F.lit(True))
-    flagged = cols.join(used, ["class_id", "source", "data_item"], "left")
+    per_item = catalog.groupBy("class_id", "source", "data_item").agg(
+        F.max(F.col("list_name").isin(MODEL_LISTS)).alias("_used"),
+        F.collect_list(F.when(F.col("list_name") == COLUMN_ITEMS,
+                              F.struct("pos", "data_type"))).alias("_cols"))
+    cols = per_item.select("class_id", "source", "data_item", "_used",
+                           F.explode("_cols").alias("c"))
     marker = F.concat(
-        F.when(F.col("data_type").isin(STRING_TYPES), F.lit("'")).otherwise(F.lit("")),
+        F.when(F.col("c.data_type").isin(STRING_TYPES), F.lit("'")).otherwise(F.lit("")),
         F.when(F.col("_used"), F.lit("")).otherwise(F.lit("_")),
         F.col("data_item"))
-    items = flagged.select("class_id", "source", (F.col("pos") + 1).alias("pos"),
-                           marker.alias("column_marker"))
-    heads = (catalog.select("class_id", "source").distinct()
+    items = cols.select("class_id", "source", (F.col("c.pos") + 1).alias("pos"),
+                        marker.alias("column_marker"))
+    heads = (per_item.select("class_id", "source").distinct()
              .select("class_id", "source", F.lit(0).alias("pos"),
                      F.lit("'prt_path").alias("column_marker")))
     return heads.unionByName(items)
@@ -119,24 +124,30 @@ def feature_roles(catalog: DataFrame) -> DataFrame:
     also appear as a driven or target (item, type) pair; a missing type counts
     as ``string``. Role is TargetCol when the item is a target, else InputCol.
     ``item_order`` is the first position of the pair among the declared items.
+
+    One grouping per (config, item): the entries of one item within one
+    document are few, so they are decided together in that row.
     """
     typed = _typed(catalog)
-    declared = typed.where(
-        (F.col("list_name") == COLUMN_ITEMS)
-        | (F.col("list_name").isin(MODEL_LISTS) & F.col("expr").isNotNull()))
-    order = F.struct(F.when(F.col("list_name") == COLUMN_ITEMS, 0).otherwise(1),
-                     F.col("list_pos"), F.col("pos"))
-    keys = ["class_id", "source", "data_item", "data_type"]
-    declared = declared.groupBy(*keys).agg(F.min(order).alias("item_order"))
-    model = typed.where(F.col("list_name").isin(MODEL_LISTS)).select(*keys).distinct()
-    both = declared.join(model, keys, "left_semi")
-    targets = (typed.where(F.col("list_name") == TARGET_ITEMS)
-               .select("class_id", "source", "data_item").distinct()
-               .withColumn("_target", F.lit(True)))
-    labelled = both.join(targets, ["class_id", "source", "data_item"], "left")
+    is_model = F.col("list_name").isin(MODEL_LISTS)
+    declared = (F.col("list_name") == COLUMN_ITEMS) | (is_model & F.col("expr").isNotNull())
+    order = F.struct(F.when(F.col("list_name") == COLUMN_ITEMS, 0).otherwise(1).alias("a"),
+                     F.col("list_pos").alias("b"), F.col("pos").alias("c"))
+    entry = F.struct(F.col("data_type").alias("t"), declared.alias("d"),
+                     is_model.alias("m"), order.alias("o"))
+    per_item = typed.groupBy("class_id", "source", "data_item").agg(
+        F.max(F.col("list_name") == TARGET_ITEMS).alias("_target"),
+        F.collect_list(entry).alias("_e"))
+    by_type = per_item.select(
+        "class_id", "source", "data_item", "_target", "_e",
+        F.explode(F.array_distinct(F.transform("_e", lambda e: e["t"]))).alias("data_type"))
+    mine = F.filter("_e", lambda e: e["t"] == F.col("data_type"))
+    first = F.array_min(F.transform(F.filter(mine, lambda e: e["d"]), lambda e: e["o"]))
+    used = F.exists(mine, lambda e: e["m"])
     role = F.when(F.col("_target"), F.lit(TARGET_ROLE)).otherwise(F.lit(INPUT_ROLE))
-    return labelled.select("class_id", "source", role.alias("role"), "data_item",
-                           "data_type", "item_order")
+    return (by_type.select("class_id", "source", role.alias("role"), "data_item", "data_type",
+                           first.alias("item_order"), used.alias("_used"))
+            .where(F.col("item_order").isNotNull() & F.col("_used")).drop("_used"))
 
 
 def parse_job_id(job_id: Column) -> Column:
@@ -157,31 +168,31 @@ def role_rows(roles: DataFrame, jobs: DataFrame, data_root: str) -> DataFrame:
     Role lines ``role,item,type`` in declared order, then the prediction window
     from the job id and the input/output data paths. ``jobs`` has
     (class_id, source, job_id); every listed pair gets its four trailing lines.
+    Both kinds of line are numbered by one window per config.
     """
-    w = Window.partitionBy("class_id", "source").orderBy("item_order")
-    lines = roles.select(
-        "class_id", "source", F.row_number().over(w).alias("line_no"),
-        F.concat_ws(",", "role", "data_item", "data_type").alias("line"))
-    counts = roles.groupBy("class_id", "source").agg(F.count(F.lit(1)).alias("_n"))
-    parsed = jobs.select("class_id", "source", parse_job_id(F.col("job_id")).alias("j"))
-    meta = parsed.join(counts, ["class_id", "source"], "left").select(
-        "class_id", "source", F.coalesce(F.col("_n"), F.lit(0)).alias("_n"),
-        F.col("j.start").alias("_start"), F.col("j.end").alias("_end"))
+    body = roles.select(
+        "class_id", "source", F.struct(F.lit(0).alias("k"), F.col("item_order").alias("o"))
+        .alias("_key"), F.concat_ws(",", "role", "data_item", "data_type").alias("line"))
+    j = parse_job_id(F.col("job_id"))
     root = data_root.rstrip("/")
     tail = F.array(
-        F.concat_ws(",", F.lit(PRED_START), F.col("_start"), F.lit(DATE_TYPE)),
-        F.concat_ws(",", F.lit(PRED_END), F.col("_end"), F.lit(DATE_TYPE)),
+        F.concat_ws(",", F.lit(PRED_START), j["start"], F.lit(DATE_TYPE)),
+        F.concat_ws(",", F.lit(PRED_END), j["end"], F.lit(DATE_TYPE)),
         F.concat_ws(",", F.lit(INPUT_PATH),
                     F.concat(F.lit(f"{root}/in/"), F.col("class_id"), F.lit("/"),
                              F.col("source"), F.lit("/data.csv")), F.lit(PATH_TYPE)),
         F.concat_ws(",", F.lit(OUTPUT_PATH),
                     F.concat(F.lit(f"{root}/out/"), F.col("class_id"), F.lit("/data.csv")),
                     F.lit(PATH_TYPE)))
-    tails = meta.select("class_id", "source", "_n",
-                        F.posexplode(tail).alias("_k", "line")).select(
-        "class_id", "source", (F.col("_n") + F.col("_k") + 1).cast("int").alias("line_no"),
+    tails = jobs.select("class_id", "source", F.posexplode(tail).alias("_k", "line")).select(
+        "class_id", "source",
+        F.struct(F.lit(1).alias("k"),
+                 F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"), F.col("_k").alias("c"))
+                 .alias("o")).alias("_key"),
         "line")
-    return lines.unionByName(tails)
+    w = Window.partitionBy("class_id", "source").orderBy("_key")
+    return (body.unionByName(tails)
+            .select("class_id", "source", F.row_number().over(w).alias("line_no"), "line"))
 
 
 def write_role_files(rows: DataFrame, path: str) -> str:

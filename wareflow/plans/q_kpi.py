@@ -148,9 +148,18 @@ def kpi_names(spark, sf_dir):
                         c["tb"].alias("tb"))
 
 
+def long_values(spark, sf_dir):
+    """The long (ids, kpi, month, value) rows straight from the counts.
+
+    The same rows the sheet unpivots to (checked by kpi_unpivot / kpi_sheet);
+    the report queries start here instead of pivoting and unpivoting again.
+    """
+    return kpi_cells(spark, sf_dir).select(
+        *ID_COLUMNS, "kpi", F.col("m").alias("month"), F.col("n").cast("double").alias("value"))
+
+
 def _deltas(spark, sf_dir):
-    wide, _ = wide_sheet(spark, sf_dir)
-    return period_deltas(unpivot_kpi(wide), ID_COLUMNS)
+    return period_deltas(long_values(spark, sf_dir), ID_COLUMNS)
 
 
 DELTAS_SQL = f"""
