@@ -187,3 +187,30 @@ def role_job_q(spark, sf_dir):
     parsed = handed.select(F.from_json("value", FEATURE_SCHEMA).alias("r")).select("r.*")
     # The partition level is a folder name, not part of each JSON record.
     return parsed.withColumn("o_year", F.regexp_extract("prt_path", "o_year=([^/]*)", 1))
+
+
+@query("stream_ingest", """
+SELECT 'p_type=' || event_type AS prt_path, CAST(event_id AS VARCHAR) AS event_id,
+       CAST(user_id AS VARCHAR) AS user_id, event_type,
+       CASE WHEN event_type = 'click' THEN 'republished' ELSE props END AS props,
+       event_type AS p_type
+FROM events
+""")
+def stream_ingest_q(spark, sf_dir):
+    """Two staging drops, each picked up by one run of the incremental stream."""
+    from wareflow.streaming.ingest import ingest_partitions
+    root = scratch_path(spark, "wh_stream")
+    ev = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("user_id").cast("string").alias("user_id"), "event_type",
+        F.regexp_replace("props", ",", ";").alias("props"))
+    drops = resolve(root, "stg.d_events")
+    target = resolve(root, "ods.d_events")
+    ckpt = f"{root}/_checkpoint"
+    spec = [[":p_type", 2]]
+    write_staging_csv(ev, f"{drops}/drop=1")
+    ingest_partitions(spark, f"{drops}/*", f"{drops}/drop=1", target, spec, ckpt)
+    clicks = ev.where(F.col("event_type") == "click").withColumn("props", F.lit("republished"))
+    write_staging_csv(clicks, f"{drops}/drop=2")
+    ingest_partitions(spark, f"{drops}/*", f"{drops}/drop=1", target, spec, ckpt)
+    return spark.read.parquet(target)
