@@ -17,7 +17,7 @@ from wareflow.operators.kpi import (ID_COLUMNS, comparison_names, explode_long,
 from wareflow.operators.report import (match_constants, report, report_rows, report_table,
                                        report_tree)
 from wareflow.plans.registry import query, table
-from wareflow.session import scratch_path
+from wareflow.session import checkpoint_root, scratch_path
 
 UNMAPPED_REGION = "MIDDLE EAST"
 
@@ -61,7 +61,10 @@ def kpi_cells(spark, sf_dir):
 
 def wide_sheet(spark, sf_dir):
     """Pivot to one column per ``<kpi>_<MMMyy>`` (names from the data, in order)."""
-    cells = kpi_cells(spark, sf_dir)
+    checkpoint_root(spark)
+    # The counts feed both the column names and the pivot: materialise them
+    # once in the shared checkpoint folder instead of recomputing the join.
+    cells = kpi_cells(spark, sf_dir).checkpoint(eager=True)
     names = [r["kpi_month"] for r in
              cells.select("kpi", "m", "kpi_month").distinct().orderBy("kpi", "m").collect()]
     wide = (cells.groupBy(*ID_COLUMNS).pivot("kpi_month", names)
@@ -80,7 +83,8 @@ def write_sheet(spark, sf_dir, path):
                        F.lit("").alias("_"), F.lit("ignored").alias("note"),
                        F.lit(2).alias("_order"),
                        F.split("bottler_en", "_", 2)[1].alias("channel"))
-    channels = data.select("channel").distinct()
+    channels = (table(spark, sf_dir, "customer")
+                .select(F.col("c_mktsegment").alias("channel")).distinct())
     notes = []
     for k, text in ((0, "unit"), (1, "source")):
         notes.append(channels.select(
