@@ -76,3 +76,12 @@ def test_report_and_tree(spark):
     t0 = report_tree(report_rows(df, [flat]), 0).collect()[0]
     assert t0.segment == "overall"
     assert json.loads(t0.data) == {"items": [{"score": 1.0}, {"score": 2.0}]}
+
+
+def test_long_sheet_reader_equals_wide_then_unpivot(spark, scratch):
+    from wareflow.operators.kpi import read_kpi_sheet_long
+    p = scratch("sheet2")
+    lines = [",,k_Jan16,k_Feb16,j_Dec15,_,junk", "u,u,u,u,u,u,u", "s,s,s,s,s,s,s",
+             "cn1,LNS_X,1,,7,,zz", "cn2,BJ_Y,3,4,,,zz"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(p)
+    assert rows(read_kpi_sheet_long(spark, p)) == rows(unpivot_kpi(read_kpi_sheet(spark, p)))

@@ -80,3 +80,15 @@ def test_export_append_duplicates(spark, scratch):
     export_parts(df, p)
     export_parts(df, p, mode="append")
     assert len(read_lines(spark, p).collect()) == 2
+
+
+def test_strict_single_file_rule(spark, scratch):
+    from wareflow.sources.text import assert_single_header
+    p = scratch("strict")
+    df = spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string")
+    write_staging_csv(df.coalesce(1), p + "/one")
+    write_staging_csv(df.coalesce(1), p + "/two")
+    assert_single_header(spark, p)  # equal headers pass
+    with pytest.raises(ValueError):
+        assert_single_header(spark, p, strict_single_file=True)
+    assert_single_header(spark, p + "/one", strict_single_file=True)

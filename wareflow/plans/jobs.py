@@ -18,8 +18,7 @@ from wareflow.functions.spec import parse_columns, resolve, split_pairs
 from wareflow.operators.derive import apply_spec
 from wareflow.operators.features import (JOB_ID_PATTERN, feature_catalog, feature_roles,
                                          role_rows, spec_lists, write_role_files)
-from wareflow.operators.kpi import (ID_COLUMNS, explode_long, period_deltas,
-                                    read_kpi_sheet, unpivot_kpi)
+from wareflow.operators.kpi import ID_COLUMNS, explode_long, period_deltas, read_kpi_sheet_long
 from wareflow.operators.partition import PRT_PATH, parse_prt_path, with_prt_path
 from wareflow.operators.report import report_table
 from wareflow.operators.upsert import replace_into, upsert
@@ -152,8 +151,7 @@ def kpi_job(spark: SparkSession, sheet_path: str, groups, specs: Sequence[dict],
     """KPI sheet -> long rows with deltas and groups -> report trees ->
     keyed REPLACE on (name, category, selector) into the stored report table."""
     configure(spark)
-    wide = read_kpi_sheet(spark, sheet_path)
-    deltas = period_deltas(unpivot_kpi(wide), ID_COLUMNS)
+    deltas = period_deltas(read_kpi_sheet_long(spark, sheet_path), ID_COLUMNS)
     rows = explode_long(deltas, groups)
     fresh = report_table(rows, specs, category)
     stored = _stored_or_empty(spark, target_path, fresh, "parquet")

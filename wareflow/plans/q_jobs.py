@@ -214,3 +214,23 @@ def stream_ingest_q(spark, sf_dir):
     write_staging_csv(clicks, f"{drops}/drop=2")
     ingest_partitions(spark, f"{drops}/*", f"{drops}/drop=1", target, spec, ckpt)
     return spark.read.parquet(target)
+
+
+PART_COLUMNS = ["p_partkey", "'p_name", "'p_brand", "'p_type", "p_size", "p_retailprice"]
+
+
+@query("derive_passthrough", """
+SELECT CAST(p_partkey AS DOUBLE) AS p_partkey, p_name, p_brand, p_type,
+       CAST(p_size AS DOUBLE) AS p_size, CAST(p_retailprice AS DOUBLE) AS p_retailprice
+FROM part
+""")
+def derive_passthrough_q(spark, sf_dir):
+    """Empty expression list, first column not prt_path: typed rows, unpartitioned JSON."""
+    root = scratch_path(spark, "wh_pass")
+    write_delimited(table(spark, sf_dir, "part"), resolve(root, "model.d_part"))
+    out = jobs.derive_job(spark, root, "model.d_part", "4ml.pass.d_part", PART_COLUMNS, [])
+    schema = T.StructType([
+        T.StructField("p_partkey", T.DoubleType()), T.StructField("p_name", T.StringType()),
+        T.StructField("p_brand", T.StringType()), T.StructField("p_type", T.StringType()),
+        T.StructField("p_size", T.DoubleType()), T.StructField("p_retailprice", T.DoubleType())])
+    return read_feature_json(spark, out, schema)

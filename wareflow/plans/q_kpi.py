@@ -13,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wareflow.operators.kpi import (ID_COLUMNS, comparison_names, explode_long,
-                                    period_deltas, read_kpi_sheet, unpivot_kpi)
+                                    period_deltas, read_kpi_sheet_long, unpivot_kpi)
 from wareflow.operators.report import (match_constants, report, report_rows, report_table,
                                        report_tree)
 from wareflow.plans.registry import query, table
-from wareflow.session import checkpoint_root, scratch_path
+from wareflow.session import scratch_path
 
 UNMAPPED_REGION = "MIDDLE EAST"
 
@@ -61,10 +61,7 @@ def kpi_cells(spark, sf_dir):
 
 def wide_sheet(spark, sf_dir):
     """Pivot to one column per ``<kpi>_<MMMyy>`` (names from the data, in order)."""
-    checkpoint_root(spark)
-    # The counts feed both the column names and the pivot: materialise them
-    # once in the shared checkpoint folder instead of recomputing the join.
-    cells = kpi_cells(spark, sf_dir).checkpoint(eager=True)
+    cells = kpi_cells(spark, sf_dir)
     names = [r["kpi_month"] for r in
              cells.select("kpi", "m", "kpi_month").distinct().orderBy("kpi", "m").collect()]
     wide = (cells.groupBy(*ID_COLUMNS).pivot("kpi_month", names)
@@ -73,27 +70,35 @@ def wide_sheet(spark, sf_dir):
 
 
 def write_sheet(spark, sf_dir, path):
-    """The sheet as CSV files (one per channel): header, two note rows, data.
+    """The sheet as CSV text files (one per channel): header, two note rows, data.
 
     Columns after the ``_`` header cell are notes the reader must ignore.
+    Each data line is built from the entity's cells (at most one per sheet
+    column), so no wide frame is planned.
     """
-    wide, names = wide_sheet(spark, sf_dir)
-    cols = ID_COLUMNS + names + ["_", "note"]
-    data = wide.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in ID_COLUMNS + names],
-                       F.lit("").alias("_"), F.lit("ignored").alias("note"),
-                       F.lit(2).alias("_order"),
-                       F.split("bottler_en", "_", 2)[1].alias("channel"))
+    cells_path = scratch_path(spark, "kpi_cells")
+    kpi_cells(spark, sf_dir).write.parquet(cells_path)
+    cells = spark.read.parquet(cells_path)
+    names = [r["kpi_month"] for r in
+             cells.select("kpi", "m", "kpi_month").distinct().orderBy("kpi", "m").collect()]
+    by_entity = cells.groupBy(*ID_COLUMNS).agg(
+        F.map_from_entries(F.collect_list(F.struct("kpi_month", F.col("n").cast("string"))))
+        .alias("_cells"))
+    values = [F.coalesce(F.element_at("_cells", F.lit(n)), F.lit("")) for n in names]
+    data = by_entity.select(
+        F.concat_ws(",", *ID_COLUMNS, *values, F.lit(""), F.lit("ignored")).alias("value"),
+        F.lit(2).alias("_order"), F.split("bottler_en", "_", 2)[1].alias("channel"))
+    width = len(names) + 2
+    header = ",".join(ID_COLUMNS + names + ["_", "note"])
     channels = (table(spark, sf_dir, "customer")
                 .select(F.col("c_mktsegment").alias("channel")).distinct())
-    notes = []
-    for k, text in ((0, "unit"), (1, "source")):
-        notes.append(channels.select(
-            *[F.lit("" if c in ID_COLUMNS else f"{text}").alias(c) for c in cols],
-            F.lit(k).alias("_order"), "channel"))
-    rows = data.unionByName(notes[0]).unionByName(notes[1])
+    notes = [channels.select(F.lit(",," + ",".join([text] * width)).alias("value"),
+                             F.lit(k).alias("_order"), "channel")
+             for k, text in ((0, "unit"), (1, "source"))]
+    heads = channels.select(F.lit(header).alias("value"), F.lit(-1).alias("_order"), "channel")
+    rows = heads.unionByName(notes[0]).unionByName(notes[1]).unionByName(data)
     (rows.repartition("channel").sortWithinPartitions("channel", "_order")
-         .drop("_order").write.mode("overwrite").partitionBy("channel")
-         .option("header", "true").option("quote", "").option("emptyValue", "").csv(path))
+         .select("value", "channel").write.mode("overwrite").partitionBy("channel").text(path))
     return path
 
 
@@ -133,7 +138,8 @@ def kpi_unpivot(spark, sf_dir):
 def kpi_sheet(spark, sf_dir):
     """Sheet files (header, notes, sentinel) read, cut at ``_``, unpivoted."""
     path = write_sheet(spark, sf_dir, scratch_path(spark, "kpi_sheet"))
-    return long_from_wide(read_kpi_sheet(spark, path))
+    return read_kpi_sheet_long(spark, path).select(
+        *ID_COLUMNS, "kpi", F.date_format("month", "yyyy-MM").alias("month"), "value")
 
 
 @query("kpi_names", f"""

@@ -71,10 +71,15 @@ def check_headers(spark: SparkSession, path: str) -> DataFrame:
                      F.count_distinct("header").alias("n_headers"))
 
 
-def assert_single_header(spark: SparkSession, path: str) -> None:
-    """Fail unless all files carry the same header (the reference's check)."""
+def assert_single_header(spark: SparkSession, path: str,
+                         strict_single_file: bool = False) -> None:
+    """Fail unless all files carry the same header.
+
+    ``strict_single_file=True`` is the literal rule of counting header lines,
+    one per file: anything but exactly one file fails, even with equal headers.
+    """
     row = check_headers(spark, path).first()
-    if row is None or row["n_headers"] != 1:
+    if row is None or row["n_headers"] != 1 or (strict_single_file and row["n_files"] != 1):
         raise ValueError("data header didn't match!")
 
 
