@@ -247,7 +247,7 @@ def _report_text(rep):
                                                                F.coalesce(d["value"], F.lit("null")))), "|"),
         F.lit("|score="), x["metrics"]["score"].cast("string"),
         F.lit("|score_tb="), x["metrics"]["score_tb"].cast("string")))
-    return rep.select("segment", "selector", F.size("items").alias("n_items"),
+    return rep.select("segment", "selector", F.size("items").cast("bigint").alias("n_items"),
                       F.array_join(item, ";").alias("items_text"))
 
 
