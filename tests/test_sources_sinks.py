@@ -92,3 +92,16 @@ def test_strict_single_file_rule(spark, scratch):
     with pytest.raises(ValueError):
         assert_single_header(spark, p, strict_single_file=True)
     assert_single_header(spark, p + "/one", strict_single_file=True)
+
+
+def test_files_per_partition_bounds_files(spark, scratch):
+    p = scratch("fpp")
+    df = spark.range(2000).select((F.col("id") % 2).cast("string").alias("p"),
+                                  F.col("id").alias("v")).repartition(8)
+    publish_partitions(df, p, ["p"], files_per_partition=3)
+    files = spark.read.parquet(p).select(F.input_file_name().alias("f"), "p").distinct()
+    per_dir = {r.p: 0 for r in files.collect()}
+    for r in files.collect():
+        per_dir[r.p] += 1
+    assert all(1 <= n <= 3 for n in per_dir.values())
+    assert spark.read.parquet(p).count() == 2000

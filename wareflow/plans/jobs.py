@@ -60,11 +60,14 @@ def merge_job(spark: SparkSession, root: str, table: str, keys, mode: str = "joi
 
 
 def partition_job(spark: SparkSession, root: str, table: str, prt_spec=None,
-                  fmt: str = "parquet", catalog_name: str | None = None) -> str:
+                  fmt: str = "parquet", catalog_name: str | None = None,
+                  files_per_partition: int | None = None) -> str:
     """Staging CSV -> ``prt_path`` first -> partitions replaced -> table repaired.
 
     ``prt_spec`` is ``[[":name", index], ...]`` (the partition value is the
     staging field at ``index``); empty or None writes the table unpartitioned.
+    ``files_per_partition`` bounds the files per directory (see
+    :func:`wareflow.sinks.files.write_partitioned`).
     """
     configure(spark)
     stg = read_staging(spark, resolve(root, f"stg.{table}"))
@@ -75,7 +78,8 @@ def partition_job(spark: SparkSession, root: str, table: str, prt_spec=None,
     name = catalog_name or f"ods.{table}"
     if names:
         routed = parse_prt_path(rows, names)
-        publish_partitions(routed, ods_path, names, fmt=fmt)
+        publish_partitions(routed, ods_path, names, fmt=fmt,
+                           files_per_partition=files_per_partition)
         ensure_external_table(spark, name, rows.columns, names, ods_path, fmt)
         repair(spark, name)
     else:
@@ -97,14 +101,15 @@ def prt_names_in(df: DataFrame) -> list[str]:
 
 def derive_job(spark: SparkSession, root: str, source: str, target: str,
                columns: Sequence[str], exprs: Sequence = (), sep: str = "\x01",
-               on_bad_number: str = "fail") -> str:
+               on_bad_number: str = "fail", files_per_partition: int | None = None) -> str:
     """``\\x01`` rows of ``source`` -> typed, derived, hidden dropped ->
     JSON lines in ``target``, replacing only the partitions produced."""
     configure(spark)
     specs = parse_columns(list(columns))
     rows = read_delimited(spark, resolve(root, source), [s.name for s in specs], sep)
     derived = apply_spec(rows, specs, exprs, on_bad_number=on_bad_number)
-    write_feature_json(derived, resolve(root, target), prt_names_in(rows))
+    write_feature_json(derived, resolve(root, target), prt_names_in(rows),
+                       files_per_partition=files_per_partition)
     return resolve(root, target)
 
 

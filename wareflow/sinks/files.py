@@ -60,7 +60,7 @@ def publish_partitions(df: DataFrame, path: str, parts: list[str], fmt: str = "p
 
 
 def write_feature_json(df: DataFrame, path: str, prt_names: list[str] | None,
-                       mode: str = "overwrite") -> str:
+                       mode: str = "overwrite", files_per_partition: int | None = None) -> str:
     """JSON lines routed by ``prt_path``; ``prt_path`` stays inside each record.
 
     ``prt_names`` are the directory levels spelled in ``prt_path``. With no
@@ -70,6 +70,7 @@ def write_feature_json(df: DataFrame, path: str, prt_names: list[str] | None,
     if prt_names and df.columns and df.columns[0] == PRT_PATH:
         routed = parse_prt_path(df, prt_names)
         return write_partitioned(routed, path, prt_names, fmt="json", mode=mode,
+                                 files_per_partition=files_per_partition,
                                  ignoreNullFields="true")
     df.write.mode(mode).option("ignoreNullFields", "true").json(path)
     return path

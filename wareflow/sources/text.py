@@ -46,7 +46,9 @@ def read_staging(spark: SparkSession, path: str, check_header: bool = True,
             # file in its own check; compare the raw header lines instead.
             assert_single_header(spark, path)
         else:
-            df = reader(False).csv(path)
+            # Same names, now checked against every file's header during the
+            # scan; the schema is passed on so it is not inferred again.
+            df = reader(False).schema(df.schema).csv(path)
     if fill_blank and any(blank):
         df = df.toDF(*fill_header([None if b else c for b, c in zip(blank, df.columns)]))
     return df
