@@ -153,7 +153,7 @@ def feature_roles(catalog: DataFrame) -> DataFrame:
 def parse_job_id(job_id: Column) -> Column:
     """``<prefix>-<id>_<start>_<end>_<rest>`` -> struct(class_id, start, end).
 
-    The pattern is searched, not anchored: in ``state_store-c1_...`` the
+    The pattern is searched, not anchored: in ``data_wh-c1_...`` the
     prefix match starts at ``store``.
     """
     return F.struct(

@@ -168,7 +168,7 @@ def _jobs(spark, sf_dir):
                       "d0", "d1")
     jobs = cat.join(cls, "class_id", "left").select(
         "class_id", "source",
-        F.concat(F.lit("state_store-"), F.col("class_id"), F.lit("_"),
+        F.concat(F.lit("wh-"), F.col("class_id"), F.lit("_"),
                  F.coalesce("d0", F.lit("none")), F.lit("_"),
                  F.coalesce("d1", F.lit("none")), F.lit("_roleJob")).alias("job_id"))
     return jobs
@@ -188,7 +188,7 @@ jobs AS (
 
 @query("job_id_parse", f"""
 WITH {JOBS_SQL}
-SELECT 'state_store-' || class_id || '_' || d0 || '_' || d1 || '_roleJob' AS job_id,
+SELECT 'wh-' || class_id || '_' || d0 || '_' || d1 || '_roleJob' AS job_id,
        class_id AS parsed_class_id, d0 AS pred_start, d1 AS pred_end
 FROM jobs
 """)

@@ -171,7 +171,7 @@ def feature_job_q(spark, sf_dir):
     return read_feature_json(spark, resolve(root, "4ml.cls1.d_orders"), FEATURE_SCHEMA)
 
 
-ROLE_JOB_ID = "state_store-cls1_19950101_20010801_roleJob"
+ROLE_JOB_ID = "wh-cls1_19950101_20010801_roleJob"
 
 
 @query("role_job", FEATURE_JOB_SQL)
