@@ -24,8 +24,9 @@ from wareflow.operators.report import report_table
 from wareflow.operators.upsert import replace_into, upsert
 from wareflow.session import configure
 from wareflow.sinks.catalog import ensure_external_table, repair
-from wareflow.sinks.files import (export_parts, path_exists, publish_partitions,
-                                  publish_table, write_feature_json)
+from wareflow.sinks.files import (delimited_line, export_parts, path_exists,
+                                  publish_partitions, publish_table, write_delimited,
+                                  write_feature_json)
 from wareflow.sources.text import read_delimited, read_lines, read_staging
 
 
@@ -38,23 +39,35 @@ def _key_names(stg: DataFrame, keys) -> list[str]:
 
 
 def _stored_or_empty(spark: SparkSession, path: str, like: DataFrame, fmt: str) -> DataFrame:
+    """The stored table at ``path`` (``like``'s columns when delimited), or none."""
     if path_exists(spark, path):
+        if fmt == "delimited":
+            return read_delimited(spark, path, like.columns)
         return spark.read.format(fmt).load(path)
     return spark.createDataFrame([], like.schema)
 
 
+def _publish_whole(df: DataFrame, path: str, fmt: str) -> None:
+    if fmt == "delimited":
+        publish_table(df.select(delimited_line(df).alias("value")), path, fmt="text")
+    else:
+        publish_table(df, path, fmt=fmt)
+
+
 def merge_job(spark: SparkSession, root: str, table: str, keys, mode: str = "join",
               fmt: str = "parquet", catalog_name: str | None = None) -> str:
     """Upsert ``stg.<table>`` (header-checked CSV) into ``ods.<table>``.
 
     The stored table is both input and output, so it is published by swap.
+    ``fmt`` is a Spark file format, or ``"delimited"`` for headerless
+    ``\x01`` text with the staging header's columns.
     """
     configure(spark)
     stg = read_staging(spark, resolve(root, f"stg.{table}"))
     ods_path = resolve(root, f"ods.{table}")
     ods = _stored_or_empty(spark, ods_path, stg, fmt)
     merged = upsert(stg, ods, _key_names(stg, keys), mode=mode)
-    publish_table(merged, ods_path, fmt=fmt)
+    _publish_whole(merged, ods_path, fmt)
     ensure_external_table(spark, catalog_name or f"ods.{table}", stg.columns, [], ods_path, fmt)
     return ods_path
 
@@ -78,12 +91,15 @@ def partition_job(spark: SparkSession, root: str, table: str, prt_spec=None,
     name = catalog_name or f"ods.{table}"
     if names:
         routed = parse_prt_path(rows, names)
-        publish_partitions(routed, ods_path, names, fmt=fmt,
-                           files_per_partition=files_per_partition)
+        if fmt == "delimited":
+            write_delimited(routed, ods_path, parts=names)
+        else:
+            publish_partitions(routed, ods_path, names, fmt=fmt,
+                               files_per_partition=files_per_partition)
         ensure_external_table(spark, name, rows.columns, names, ods_path, fmt)
         repair(spark, name)
     else:
-        publish_table(rows, ods_path, fmt=fmt)
+        _publish_whole(rows, ods_path, fmt)
         ensure_external_table(spark, name, rows.columns, [], ods_path, fmt)
     return ods_path
 

@@ -329,6 +329,10 @@ tree AS (SELECT bottler, channel, kpi, '{{' || string_agg('"[date, ' || date ||
 SELECT 'score' AS category, 'date' AS name,
        '[["Bottler","' || bottler || '"],["Channel","' || channel || '"],["KPI","' || kpi || '"]]'
          AS selector, data FROM tree
+UNION ALL
+SELECT DISTINCT 'score' AS category, 'archive' AS name,
+       '[["Bottler","' || bottler || '"],["Channel","' || channel || '"],["KPI","' || kpi || '"]]'
+         AS selector, '{{}}' AS data FROM lr
 """
 
 
@@ -336,15 +340,21 @@ SELECT 'score' AS category, 'date' AS name,
 def kpi_job(spark, sf_dir):
     """Sheet file -> long rows -> report trees -> keyed replace into the report table.
 
-    The stored table holds an older run (dates before 1998); every key of it
-    is reported again, so each stored row is replaced.
+    The stored table (an earlier run) holds a stale row under every key the
+    job reports (replaced) and an ``archive`` row per selector (not reported
+    again, so kept).
     """
     from wareflow.plans.jobs import kpi_job as run_kpi_job
     sheet = write_sheet(spark, sf_dir, scratch_path(spark, "kpi_job_sheet"))
     target = scratch_path(spark, "kpi_report")
-    old = report_table(long_rows(spark, sf_dir).where(F.col("date") < "1998-01"),
-                       [REFERENCE_SPEC])
-    old.write.parquet(target)
+    parts = F.split("bottler_en", "_", 2)
+    selector = F.to_json(F.array(F.array(F.lit("Bottler"), F.get(parts, 0)),
+                                 F.array(F.lit("Channel"), F.get(parts, 1)),
+                                 F.array(F.lit("KPI"), F.col("kpi"))))
+    keys = kpi_cells(spark, sf_dir).select(selector.alias("selector")).distinct()
+    stored = keys.select(F.lit("score").alias("category"),
+                         F.explode(F.array(F.lit("date"), F.lit("archive"))).alias("name"),
+                         "selector", F.lit("{}").alias("data"))
+    stored.write.parquet(target)
     run_kpi_job(spark, sheet, region_groups(spark, sf_dir), [REFERENCE_SPEC], target)
     return spark.read.parquet(target)
-

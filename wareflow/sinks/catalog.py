@@ -9,12 +9,22 @@ def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+DELIMITED_OPTIONS = {"sep": "\u0001", "quote": "", "header": "false"}
+
+
 def external_table_ddl(name: str, columns: list[str], partitions: list[str] | None,
                        location: str, fmt: str = "parquet") -> str:
-    """``CREATE TABLE IF NOT EXISTS`` with all-string columns over ``location``."""
+    """``CREATE TABLE IF NOT EXISTS`` with all-string columns over ``location``.
+
+    ``fmt="delimited"`` is headerless ``\x01`` text (a CSV table with that
+    separator and no quoting).
+    """
     parts = list(partitions or [])
     cols = ", ".join(f"`{c}` STRING" for c in [*columns, *parts])
-    ddl = f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({cols}) USING {fmt}"
+    using = "csv" if fmt == "delimited" else fmt
+    ddl = f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({cols}) USING {using}"
+    if fmt == "delimited":
+        ddl += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in DELIMITED_OPTIONS.items()) + ")"
     if parts:
         ddl += " PARTITIONED BY (" + ", ".join(f"`{p}`" for p in parts) + ")"
     return ddl + f" LOCATION '{location}'"

@@ -131,6 +131,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish a swap a dead driver left half done.
+
+    If ``path`` is missing but a retired copy exists, the crash came between
+    the two renames: the newest retired copy is moved back. If ``path``
+    exists, retired copies are leftovers of a finished swap and are deleted.
+    """
+    fs, target = _fs(spark, path)
+    jvm = spark._jvm
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}__retired_*"))
+    retired = sorted((st for st in (found or [])), key=lambda st: st.getModificationTime())
+    if not retired:
+        return
+    if not fs.exists(target):
+        fs.rename(retired[-1].getPath(), target)
+        retired = retired[:-1]
+    for st in retired:
+        fs.delete(st.getPath(), True)
+
+
 def publish_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
     """Write ``df`` beside ``path`` and swap it in.
 
@@ -140,6 +160,7 @@ def publish_table(df: DataFrame, path: str, fmt: str = "parquet", **options) ->
     renamed away and the staging folder renamed into place.
     """
     spark = df.sparkSession
+    recover_table(spark, path)
     tag = uuid.uuid4().hex[:12]
     staging, retired = f"{path}__staging_{tag}", f"{path}__retired_{tag}"
     writer = df.write.mode("overwrite").format(fmt)
