@@ -102,10 +102,14 @@ def report_tree(rows: DataFrame, n_dims: int) -> DataFrame:
 
     One level per dimension, keyed ``[name, value]``; the innermost level
     holds ``items``, the sorted list of metric objects. Built innermost first:
-    every level is one grouping of the previous level's (smaller) rows.
+    every level is one grouping of the previous level's (smaller) rows. The
+    rows are hash-partitioned by selector once; every level's keys contain it,
+    so no level shuffles again. (Not by segment too: a constant segment is
+    folded into each aggregate under a new name and would not match.)
     """
     flat = rows.select("segment", "selector", "metrics",
                        *[F.get(F.col("dims"), i).alias(f"_d{i}") for i in range(n_dims)])
+    flat = flat.repartition("selector")
     keys = ["segment", "selector"] + [f"_d{i}" for i in range(n_dims)]
     level = (flat.groupBy(*keys)
              .agg(F.struct(F.array_sort(F.collect_list("metrics")).alias("items"))
