@@ -135,11 +135,14 @@ def unpivot_kpi(wide: DataFrame, ids: Sequence[str] = tuple(ID_COLUMNS)) -> Data
     """Wide -> long (ids..., kpi, month DATE, value DOUBLE); missing cells dropped."""
     ids = list(ids)
     cols = [c for c in wide.columns if c not in ids]
-    typed = wide.select(*ids, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
-    long = typed.unpivot(ids, cols, "kpi_month", "value").where(F.col("value").isNotNull())
+    if len({t for c, t in wide.dtypes if c in cols}) > 1:
+        # unpivot needs one value type; cast only when the sheet mixes types
+        wide = wide.select(*ids, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    long = wide.unpivot(ids, cols, "kpi_month", "value").where(F.col("value").isNotNull())
     parts = F.split(F.col("kpi_month"), "_", 2)
     return long.select(*ids, F.get(parts, 0).alias("kpi"),
-                       parse_month(F.get(parts, 1)).alias("month"), "value")
+                       parse_month(F.get(parts, 1)).alias("month"),
+                       F.col("value").cast("double").alias("value"))
 
 
 def period_deltas(long: DataFrame, entity: Sequence[str], kpi: str = "kpi",
