@@ -65,3 +65,22 @@ def test_role_rows_and_job_id(spark):
     p = spark.createDataFrame([("wh-c1_20160101_20160201_x",)], "j string").select(
         parse_job_id(F.col("j")).alias("p")).select("p.*")
     assert rows(p) == [("c1", "20160101", "20160201")]
+
+
+def test_role_files_one_per_config_in_order(spark, scratch):
+    from wareflow.operators.features import write_role_files
+    from wareflow.sources.text import read_lines
+    docs = [json.dumps(dict(SAMPLE, classId=f"m{i}")) for i in range(3)]
+    cat = feature_catalog(spark.createDataFrame([(d,) for d in docs], "config string"))
+    jobs = cat.select("class_id", "source").distinct().withColumn(
+        "job_id", F.concat(F.lit("wh-"), F.col("class_id"), F.lit("_20160101_20160131_x")))
+    p = scratch("roles")
+    write_role_files(role_rows(feature_roles(cat), jobs, "/d"), p)
+    got = read_lines(spark, p, with_file=True).collect()
+    by_file = {}
+    for r in got:
+        by_file.setdefault(r.file_path, []).append(r.value)
+    assert len(by_file) == 3
+    for lines in by_file.values():
+        assert lines[:3] == ["InputCol,num,string", "InputCol,flag,string", "TargetCol,numLim,string"]
+        assert lines[3].startswith("PredStartDate,20160101") and lines[6].startswith("OutDataPath")
