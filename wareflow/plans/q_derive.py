@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from wareflow.operators.derive import apply_spec, bind_types, derive
+from wareflow.operators.derive import apply_spec, bind_types
 from wareflow.operators.partition import with_prt_path
 from wareflow.plans.registry import query, table
 from wareflow.session import scratch_path
