@@ -45,7 +45,7 @@ def test_upsert_splits_hot_keys_on_both_joins(spark):
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 2 * n).alias("k"),
         F.concat(F.col("id").cast("string"), F.lit("s")).alias("v"))
     with conf(spark, SKEW_CONF):
-        out = upsert(stg, ods, ["k"])
+        out = upsert(stg, ods, ["k"], broadcast_keys_max=None)  # the shuffle plan
         assert len(out.collect()) == 2 * n
         plan = _final_plan(out)
     # the anti join (stored side hot) and the count join (staging side hot)
@@ -57,9 +57,25 @@ def test_hot_key_fanout_is_exact(spark):
     ods = spark.range(3000).select(F.lit(7).cast("bigint").alias("k"),
                                    F.col("id").cast("string").alias("v"))
     stg = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c")], "k bigint, v string")
+    for bound in (None, 10):  # shuffle plan, measured-broadcast plan
+        with conf(spark, SKEW_CONF):
+            got = upsert(stg, ods, ["k"], broadcast_keys_max=bound).groupBy("v").count().collect()
+        assert sorted((r.v, r["count"]) for r in got) == [("a", 3000), ("b", 3000), ("c", 1)]
+
+
+def test_few_staging_keys_never_shuffle_the_stored_side(spark):
+    ods = spark.range(50000).select((F.col("id") % 5000).alias("k"),
+                                    F.col("id").cast("string").alias("v"))
+    stg = spark.createDataFrame([(1, "s"), (2, "t"), (999999, "new")], "k bigint, v string")
     with conf(spark, SKEW_CONF):
-        got = upsert(stg, ods, ["k"]).groupBy("v").count().collect()
-    assert sorted((r.v, r["count"]) for r in got) == [("a", 3000), ("b", 3000), ("c", 1)]
+        small = upsert(stg, ods, ["k"], broadcast_keys_max=100)
+        big = upsert(stg, ods, ["k"], broadcast_keys_max=None)
+        got = sorted(tuple(r) for r in small.collect())
+        assert got == sorted(tuple(r) for r in big.collect())
+        plan = _final_plan(small)
+    assert "SortMergeJoin" not in plan
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    assert len(got) == 50000 - 20 + 2 * 10 + 1
 
 
 def test_replace_into_reduces_hot_key_map_side(spark):

@@ -78,8 +78,10 @@ def test_join_equals_replace_when_stored_keys_unique(spark, skeys, okeys):
 def test_join_mode_matches_brute_force(spark, skeys, okeys):
     stg = [(k, f"s{i}") for i, k in enumerate(skeys)]
     ods = [(k, f"o{i}") for i, k in enumerate(okeys)]
-    out = upsert(spark.createDataFrame(stg, SCHEMA), spark.createDataFrame(ods, SCHEMA), ["k"])
-    assert _sorted([tuple(r) for r in out.collect()]) == brute_full_outer(stg, ods)
+    sdf, odf = spark.createDataFrame(stg, SCHEMA), spark.createDataFrame(ods, SCHEMA)
+    for bound in (None, 1_000):  # shuffle plan, measured-broadcast plan
+        out = upsert(sdf, odf, ["k"], broadcast_keys_max=bound)
+        assert _sorted([tuple(r) for r in out.collect()]) == brute_full_outer(stg, ods)
 
 
 def test_replace_into_last_wins(spark):

@@ -10,8 +10,9 @@ key where the staging row wins whole):
 The plan never pairs rows: stored rows are counted per key (map-side partial
 aggregation, so a hot key costs one row per task), staging rows are joined to
 that count (one row per key on the build side) and repeated; stored rows
-without a staging key are kept with an anti join. AQE splits a skewed staging
-or stored partition in both joins.
+without a staging key are kept with an anti join. With few staging keys
+(measured) everything on the stored side is map-side; otherwise AQE splits a
+skewed staging or stored partition in both joins.
 
 ``mode="replace"`` (anti join + union) is the same result whenever every
 stored key that staging matches is unique, and cheaper: no count.
@@ -63,32 +64,69 @@ def _cond(left: DataFrame, lnames, right: DataFrame, rnames) -> Column:
     return cond
 
 
+# Staging key counts at or below this are broadcast (measured, not estimated).
+BROADCAST_KEYS_MAX = 1_000_000
+
+
 def staging_keys(stg: DataFrame, keys: Sequence[str], prefix: str = "__sk") -> tuple[DataFrame, list[str]]:
     """Distinct normalised staging keys (aggregated: one row per key)."""
     keyed, names = _keyed(stg, keys, prefix)
     return keyed.select(*names).distinct(), names
 
 
-def keep_unmatched(ods: DataFrame, stg: DataFrame, keys: Sequence[str]) -> DataFrame:
+def keep_unmatched(ods: DataFrame, stg: DataFrame, keys: Sequence[str],
+                   broadcast_keys: bool = False) -> DataFrame:
     """Stored rows whose key no staging row has."""
     okeyed, onames = _keyed(ods, keys, "__ok")
     skeys, snames = staging_keys(stg, keys)
+    if broadcast_keys:
+        skeys = F.broadcast(skeys)
     kept = okeyed.join(skeys, _cond(okeyed, onames, skeys, snames), "left_anti")
     return kept.drop(*onames)
 
 
+def _few_staging_keys(stg: DataFrame, keys: Sequence[str], bound: int | None) -> bool:
+    """True when the distinct staging keys number at most ``bound`` (one
+    aggregation over the staging side, which is the small side of a merge)."""
+    if not bound:
+        return False
+    skeys, _ = staging_keys(stg, keys)
+    return skeys.count() <= bound
+
+
 def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
-           mode: str = "join") -> DataFrame:
-    """Upsert ``stg`` into ``ods`` on ``keys``; output has ``ods``'s columns."""
+           mode: str = "join", broadcast_keys_max: int | None = BROADCAST_KEYS_MAX) -> DataFrame:
+    """Upsert ``stg`` into ``ods`` on ``keys``; output has ``ods``'s columns.
+
+    Two plans, chosen by measuring the distinct staging keys:
+
+    * at most ``broadcast_keys_max`` keys (a daily drop into a large table):
+      the keys are broadcast; stored rows are filtered map-side (anti join for
+      the kept rows, semi join before counting the matched ones) and the
+      per-key counts (no more rows than keys) are broadcast to the staging
+      rows. The stored table is never shuffled.
+    * more: every side is hash-partitioned on the normalised key; the stored
+      keys are counted with a map-side partial aggregation first, and AQE
+      splits hot partitions of both joins.
+
+    ``broadcast_keys_max=None`` skips the measurement (always the second plan).
+    """
     if mode not in ("join", "replace"):
         raise ValueError("mode must be 'join' or 'replace'")
     keys = list(keys)
     stg = stg.select(*[F.col(f"`{c}`") for c in ods.columns])
-    kept = keep_unmatched(ods, stg, keys)
+    small = _few_staging_keys(stg, keys, broadcast_keys_max)
+    kept = keep_unmatched(ods, stg, keys, broadcast_keys=small)
     if mode == "replace":
         return kept.unionByName(stg)
     okeyed, onames = _keyed(ods, keys, "__ok")
+    if small:
+        skeys, snames = staging_keys(stg, keys)
+        skeys = F.broadcast(skeys)
+        okeyed = okeyed.join(skeys, _cond(okeyed, onames, skeys, snames), "left_semi")
     counts = okeyed.groupBy(*onames).agg(F.count(F.lit(1)).alias("__n"))
+    if small:
+        counts = F.broadcast(counts)
     skeyed, snames = _keyed(stg, keys, "__sk")
     joined = skeyed.join(counts, _cond(skeyed, snames, counts, onames), "left")
     times = F.greatest(F.coalesce(F.col("__n"), F.lit(0)), F.lit(1))
