@@ -190,10 +190,11 @@ MAX_BROADCAST_GROUP_ROWS = 1_000_000
 def map_groups(df: DataFrame, groups, member_col: str, group_col: str = "group") -> DataFrame:
     """Left join member -> group; unmapped members keep a NULL group.
 
-    ``groups`` is a dict (its size is known, so it is broadcast below a fixed
-    row bound) or a (member, group[, seq]) DataFrame (deduplicated per member,
-    highest seq wins, else the greatest group; its join strategy is left to
-    the optimizer, which measures it at run time).
+    ``groups`` is a dict or a (member, group[, seq]) DataFrame (deduplicated
+    per member: highest seq wins, else the greatest group). Either way the
+    mapping is broadcast only when its size is known to be within
+    :data:`MAX_BROADCAST_GROUP_ROWS` (a dict's length, or a count of the
+    deduplicated frame); otherwise it is an ordinary shuffled join.
     """
     spark = df.sparkSession
     if isinstance(groups, Mapping):
@@ -205,6 +206,8 @@ def map_groups(df: DataFrame, groups, member_col: str, group_col: str = "group")
         order = F.struct("seq", "group") if "seq" in groups.columns else F.struct("group")
         mapping = (groups.groupBy("member").agg(F.max(order).alias("_o"))
                    .select("member", F.col("_o.group").alias("group")))
+        if mapping.count() <= MAX_BROADCAST_GROUP_ROWS:
+            mapping = F.broadcast(mapping)
     mapping = mapping.withColumnRenamed("group", group_col)
     return df.join(mapping, df[member_col] == mapping["member"], "left").drop(mapping["member"])
 

@@ -137,13 +137,16 @@ def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
 
 
 def replace_into(existing: DataFrame, incoming: DataFrame, pk: Sequence[str],
-                 order_by: Sequence[str] | None = None) -> DataFrame:
+                 order_by: Sequence[str] | None = None,
+                 broadcast_keys_max: int | None = BROADCAST_KEYS_MAX) -> DataFrame:
     """Keyed REPLACE: the last incoming row per key replaces the stored one.
 
     "Last" is the greatest ``order_by`` value (ties broken by the whole row,
     so the choice is deterministic). Picking it is a partial aggregation per
     key, not a window sort, so a key holding a large share of the batch is
-    reduced map-side before the shuffle. Columns follow ``existing``.
+    reduced map-side before the shuffle. Columns follow ``existing``. When the
+    batch has at most ``broadcast_keys_max`` keys (measured), they are
+    broadcast and the stored table is filtered map-side.
     """
     pk = list(pk)
     cols = existing.columns
@@ -153,4 +156,5 @@ def replace_into(existing: DataFrame, incoming: DataFrame, pk: Sequence[str],
     last = (incoming.groupBy(*[F.col(f"`{k}`") for k in pk])
             .agg(F.max(ranked).alias("m"))
             .select("m.r.*"))
-    return keep_unmatched(existing, last, pk).unionByName(last)
+    small = _few_staging_keys(last, pk, broadcast_keys_max)
+    return keep_unmatched(existing, last, pk, broadcast_keys=small).unionByName(last)
