@@ -53,3 +53,14 @@ def test_udf_in_expression(spark):
     df = spark.createDataFrame([(2.0,)], "a double")
     assert rows(derive(df, [(":b", "wf_twice(:a)")]), "b") == [(4.0,)]
     assert F  # keep import
+
+
+def test_string_item_compared_with_number(spark):
+    # A "string" item compared with a number: the text is cast (ANSI), and
+    # malformed text fails instead of comparing as text.
+    df = spark.createDataFrame([("12",), ("3",)], "num string")
+    out = derive(df, [(":big", ":num > 9 || :num <= 1")])
+    assert rows(out) == [("12", True), ("3", False)]
+    bad = spark.createDataFrame([("x",)], "num string")
+    with pytest.raises(Exception):
+        derive(bad, [(":big", ":num > 9")]).collect()

@@ -138,3 +138,30 @@ def test_recover_half_done_swap(spark, scratch):
     assert rows(spark.read.parquet(p)) == [(3,)]
     import glob
     assert not glob.glob(p.replace("file:", "") + "__retired_*")
+
+
+def test_blank_staging_lines_skipped(spark, scratch):
+    p = scratch("blank")
+    _write_text(spark, p, ["k,v", "1,a", "", "2,b", ""])
+    assert rows(read_staging(spark, p)) == [("1", "a"), ("2", "b")]
+
+
+def test_empty_and_null_partition_values_read_back_null(spark, scratch):
+    from wareflow.operators.partition import parse_prt_path, with_prt_path
+    p = scratch("emptyprt")
+    df = spark.createDataFrame([("x", 1), ("", 2), (None, 3)], "d string, v int")
+    routed = parse_prt_path(with_prt_path(df, [("d", F.col("d"))]).drop("d"), ["d"])
+    assert rows(routed, "prt_path", "d") == [("d=", ""), ("d=", ""), ("d=x", "x")]
+    publish_partitions(routed, p, ["d"])
+    assert rows(spark.read.parquet(p), "v", "d") == [(1, "x"), (2, None), (3, None)]
+
+
+def test_partition_job_without_spec_is_unpartitioned(spark, scratch):
+    from wareflow.functions.spec import resolve
+    from wareflow.plans import jobs
+    root = scratch("wh_nospec")
+    tag = root.rsplit("-", 1)[-1]
+    write_staging_csv(spark.createDataFrame([("1", "a")], "k string, v string"),
+                      resolve(root, "stg.t"))
+    jobs.partition_job(spark, root, "t", None, catalog_name=f"np_{tag}")
+    assert rows(spark.table(f"np_{tag}")) == [("", "1", "a")]
