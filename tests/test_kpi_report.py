@@ -3,8 +3,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from wareflow.operators.kpi import (comparison_names, map_groups, parse_month, period_deltas,
-                                    read_kpi_sheet, unpivot_kpi)
+from wareflow.functions.columns import comparison_names, parse_month
+from wareflow.operators.kpi import map_groups, period_deltas, read_kpi_sheet, unpivot_kpi
 from wareflow.operators.report import report, report_rows, report_tree
 
 from conftest import rows

@@ -5,14 +5,15 @@ Public API (all take and return DataFrames unless noted)::
     from wareflow import upsert, replace_into, apply_spec, merge_job, ...
 """
 
+from wareflow.functions.columns import comparison_names, month_name, parse_month, tree_key
 from wareflow.functions.spec import fill_header, parse_columns, resolve, to_spark_sql
 from wareflow.operators.derive import apply_spec, bind_types, derive, drop_hidden
 from wareflow.operators.edges import invert, links, roots, tagged, with_defaults
 from wareflow.operators.features import (columns_for, exprs_for, feature_catalog,
                                          feature_roles, parse_job_id, role_rows,
                                          write_role_files)
-from wareflow.operators.kpi import (comparison_names, map_groups, parse_month, period_deltas,
-                                    read_kpi_sheet, read_kpi_sheet_long, unpivot_kpi)
+from wareflow.operators.kpi import (map_groups, period_deltas, read_kpi_sheet,
+                                    read_kpi_sheet_long, unpivot_kpi)
 from wareflow.operators.partition import parse_prt_path, with_prt_path
 from wareflow.operators.report import match_constants, report, report_table, report_tree
 from wareflow.operators.upsert import replace_into, upsert
@@ -34,12 +35,12 @@ __all__ = [
     "columns_for", "comparison_names", "configure", "derive", "derive_job", "drop_hidden",
     "ensure_external_table", "export_parts", "exprs_for", "feature_catalog", "feature_job",
     "feature_roles", "fill_header", "ingest_partitions", "invert", "kpi_job", "links",
-    "map_groups", "match_constants", "merge_job", "parse_columns", "parse_job_id",
+    "map_groups", "match_constants", "merge_job", "month_name", "parse_columns", "parse_job_id",
     "parse_month", "parse_prt_path", "partition_job", "period_deltas", "publish_partitions",
     "publish_table", "read_delimited", "read_feature_json", "read_kpi_sheet",
     "read_kpi_sheet_long", "read_lines", "read_staging", "recover_table", "repair",
     "replace_into", "report", "report_table", "report_tree", "resolve", "role_job",
-    "role_rows", "roots", "scratch_path", "skip_rows", "tag_rows", "tagged", "to_spark_sql",
+    "role_rows", "roots", "scratch_path", "skip_rows", "tag_rows", "tagged", "to_spark_sql", "tree_key",
     "unpivot_kpi", "upsert", "with_defaults", "with_prt_path", "write_delimited",
     "write_feature_json", "write_partitioned", "write_role_files", "write_staging_csv",
 ]

@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wareflow.functions.columns import tree_key
+
 OVERALL = "overall"
 
 
@@ -86,11 +88,6 @@ def report(df: DataFrame, specs: Sequence[dict]) -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.struct("dims", "metrics"))).alias("items")))
 
 
-def tree_key(name: Column, value: Column) -> Column:
-    """A tree level key as printed by the report: ``[name, value]``."""
-    return F.concat(F.lit("["), name, F.lit(", "), F.coalesce(value, F.lit("null")), F.lit("]"))
-
-
 def _sorted_entries(entries: Column) -> Column:
     """Sort (key, value) entries by key only (maps are not orderable)."""
     return F.array_sort(entries, lambda a, b: F.when(a["key"] < b["key"], -1)

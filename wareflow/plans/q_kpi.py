@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wareflow.operators.kpi import (ID_COLUMNS, comparison_names, explode_long,
-                                    period_deltas, read_kpi_sheet_long, unpivot_kpi)
+from wareflow.functions.columns import comparison_names
+from wareflow.operators.kpi import (ID_COLUMNS, explode_long, period_deltas,
+                                    read_kpi_sheet_long, unpivot_kpi)
 from wareflow.operators.report import match_constants, report, report_rows, report_tree
 from wareflow.plans.registry import query, table
 from wareflow.session import scratch_path
