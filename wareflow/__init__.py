@@ -26,7 +26,7 @@ from wareflow.sinks.files import (export_parts, publish_partitions, publish_tabl
                                   write_partitioned, write_staging_csv)
 from wareflow.sources.text import (check_headers, read_delimited, read_feature_json,
                                    read_lines, read_staging, skip_rows, tag_rows)
-from wareflow.streaming.ingest import ingest_partitions
+from wareflow.streaming.ingest import ingest_merge, ingest_partitions, merge_batch
 
 __version__ = "0.1.0"
 
@@ -34,7 +34,7 @@ __all__ = [
     "apply_spec", "bind_types", "build_session", "check_headers", "checkpoint_root",
     "columns_for", "comparison_names", "configure", "derive", "derive_job", "drop_hidden",
     "ensure_external_table", "export_parts", "exprs_for", "feature_catalog", "feature_job",
-    "feature_roles", "fill_header", "ingest_partitions", "invert", "kpi_job", "links",
+    "feature_roles", "fill_header", "ingest_merge", "ingest_partitions", "merge_batch", "invert", "kpi_job", "links",
     "map_groups", "match_constants", "merge_job", "month_name", "parse_columns", "parse_job_id",
     "parse_month", "parse_prt_path", "partition_job", "period_deltas", "publish_partitions",
     "publish_table", "read_delimited", "read_feature_json", "read_kpi_sheet",

@@ -234,3 +234,31 @@ def derive_passthrough_q(spark, sf_dir):
         T.StructField("p_brand", T.StringType()), T.StructField("p_type", T.StringType()),
         T.StructField("p_size", T.DoubleType()), T.StructField("p_retailprice", T.DoubleType())])
     return read_feature_json(spark, out, schema)
+
+
+@query("stream_merge", f"""
+WITH ods AS (SELECT {ORDERS_TEXT_COLS.format(status='o_orderstatus')} FROM orders
+             WHERE o_orderdate < TIMESTAMP '{ODS_BEFORE}'),
+     stg AS (SELECT {ORDERS_TEXT_COLS.format(status="'F'")} FROM orders
+             WHERE o_orderdate >= TIMESTAMP '{STG_FROM}')
+SELECT * FROM ods o WHERE NOT EXISTS (SELECT 1 FROM stg s WHERE s.o_orderkey = o.o_orderkey)
+UNION ALL SELECT * FROM stg
+""")
+def stream_merge_q(spark, sf_dir):
+    """Two staging drops merged by two runs of the incremental merge stream."""
+    from wareflow.streaming.ingest import ingest_merge
+    root = scratch_path(spark, "wh_smerge")
+    orders = table(spark, sf_dir, "orders")
+    drops = resolve(root, "stg.d_orders")
+    target = resolve(root, "ods.d_orders")
+    ckpt = f"{root}/_checkpoint"
+    early = orders.where(F.col("o_orderdate") < F.lit(ODS_BEFORE).cast("timestamp_ntz"))
+    write_staging_csv(_orders_text(early), f"{drops}/drop=1")
+    ingest_merge(spark, f"{drops}/*", f"{drops}/drop=1", target, [[":o_orderkey", 0]],
+                 checkpoint=ckpt)
+    later = orders.where(F.col("o_orderdate") >= F.lit(STG_FROM).cast("timestamp_ntz"))
+    write_staging_csv(_orders_text(later).withColumn("o_orderstatus", F.lit("F")),
+                      f"{drops}/drop=2")
+    ingest_merge(spark, f"{drops}/*", f"{drops}/drop=1", target, [[":o_orderkey", 0]],
+                 checkpoint=ckpt)
+    return spark.read.parquet(target)

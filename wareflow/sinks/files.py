@@ -151,13 +151,27 @@ def recover_table(spark: SparkSession, path: str) -> None:
         fs.delete(st.getPath(), True)
 
 
-def publish_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
+MARKER_PREFIX = "_wareflow_batch_"
+
+
+def applied_batch(spark: SparkSession, path: str) -> int:
+    """Highest batch id recorded in the table at ``path`` (-1 when none)."""
+    fs, _ = _fs(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MARKER_PREFIX}*"))
+    ids = [int(st.getPath().getName()[len(MARKER_PREFIX):]) for st in (found or [])]
+    return max(ids, default=-1)
+
+
+def publish_table(df: DataFrame, path: str, fmt: str = "parquet",
+                  batch_id: int | None = None, **options) -> str:
     """Write ``df`` beside ``path`` and swap it in.
 
     ``df`` may read ``path`` itself: Spark refuses (or empties the table on)
     a direct self-overwrite, so the new data is committed to a sibling
     staging folder first; only after that commit succeeds is the old folder
-    renamed away and the staging folder renamed into place.
+    renamed away and the staging folder renamed into place. ``batch_id`` is
+    recorded inside the new folder (an ``_``-prefixed marker readers ignore),
+    so it becomes visible together with the data it produced.
     """
     spark = df.sparkSession
     recover_table(spark, path)
@@ -169,6 +183,8 @@ def publish_table(df: DataFrame, path: str, fmt: str = "parquet", **options) ->
     writer.save(staging)
     fs, target = _fs(spark, path)
     jvm = spark._jvm
+    if batch_id is not None:
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{staging}/{MARKER_PREFIX}{batch_id}")).close()
     had_old = fs.exists(target)
     if had_old and not fs.rename(target, jvm.org.apache.hadoop.fs.Path(retired)):
         raise IOError(f"could not move {path} aside")

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from wareflow.functions.spec import fill_header, split_pairs
 from wareflow.operators.partition import parse_prt_path, with_prt_path
 from wareflow.session import checkpoint_root, configure
-from wareflow.sinks.files import publish_partitions, publish_table
+from wareflow.operators.upsert import upsert
+from wareflow.sinks.files import applied_batch, path_exists, publish_partitions, publish_table
 from wareflow.sources.text import read_staging
 
 
@@ -71,3 +72,48 @@ def ingest_partitions(spark: SparkSession, drops_glob: str, sample_drop: str, ta
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return checkpoint
+
+
+def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, target: str,
+                keys, mode: str = "replace", fmt: str = "parquet") -> bool:
+    """Upsert one micro-batch into the stored table at ``target``, exactly once.
+
+    The batch id is published with the table (see ``publish_table``); a
+    batch whose id the table already records is skipped, so a retried batch
+    is not applied twice. Returns whether the batch was applied.
+    """
+    if batch_id <= applied_batch(spark, target):
+        return False
+    if path_exists(spark, target):
+        stored = spark.read.format(fmt).load(target)
+    else:
+        stored = spark.createDataFrame([], batch.schema)
+    publish_table(upsert(batch, stored, keys, mode=mode), target, fmt=fmt, batch_id=batch_id)
+    return True
+
+
+def ingest_merge(spark: SparkSession, drops_glob: str, sample_drop: str, target: str,
+                 keys, mode: str = "replace", checkpoint: str | None = None,
+                 fmt: str = "parquet", max_files_per_trigger: int | None = None) -> str:
+    """Run the staging -> stored-table merge once over all new drops.
+
+    Each micro-batch is upserted on ``keys`` (names) and the table published
+    by swap. ``mode="replace"`` is the default because it is idempotent per
+    key; together with the recorded batch id every drop is applied once.
+    Returns the checkpoint folder (reuse it for the next run).
+    """
+    configure(spark)
+    if not checkpoint:
+        tag = hashlib.sha1(("merge:" + target).encode()).hexdigest()[:16]
+        checkpoint = f"{checkpoint_root(spark)}/wareflow/streams/{tag}"
+    stream = staging_stream(spark, drops_glob, sample_drop, max_files_per_trigger)
+    keys = [k.lstrip(":") if isinstance(k, str) else stream.columns[int(k[1])] for k in keys]
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        merge_batch(spark, batch, batch_id, target, keys, mode=mode, fmt=fmt)
+
+    query = (stream.writeStream.foreachBatch(apply)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return checkpoint
