@@ -165,3 +165,24 @@ def test_partition_job_without_spec_is_unpartitioned(spark, scratch):
                       resolve(root, "stg.t"))
     jobs.partition_job(spark, root, "t", None, catalog_name=f"np_{tag}")
     assert rows(spark.table(f"np_{tag}")) == [("", "1", "a")]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_parts = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.integers(0, 99)),
+                  min_size=1, max_size=8)
+
+
+@settings(max_examples=8, deadline=None)
+@given(_parts, _parts)
+def test_publish_partitions_property(spark, first, second):
+    """Partitions absent from the second write keep exactly their first rows."""
+    from wareflow.session import scratch_path
+    p = scratch_path(spark, "prop")
+    schema = "p string, v int"
+    publish_partitions(spark.createDataFrame(first, schema), p, ["p"])
+    publish_partitions(spark.createDataFrame(second, schema), p, ["p"])
+    touched = {k for k, _ in second}
+    expect = sorted([(v, k) for k, v in first if k not in touched] + [(v, k) for k, v in second])
+    assert sorted(tuple(r) for r in spark.read.parquet(p).select("v", "p").collect()) == expect
