@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,8 +175,14 @@ def kpi_job(spark: SparkSession, sheet_path: str, groups, specs: Sequence[dict],
     configure(spark)
     deltas = period_deltas(read_kpi_sheet_long(spark, sheet_path), ID_COLUMNS)
     rows = explode_long(deltas, groups)
-    fresh = report_table(rows, specs, category)
-    stored = _stored_or_empty(spark, target_path, fresh, "parquet")
-    merged = replace_into(stored, fresh, ["name", "category", "selector"])
-    publish_table(merged, target_path)
+    # The report rows are used twice (the key-count check in replace_into and
+    # the write): keep them for the job's duration. They are one row per
+    # report document, and lost blocks are recomputed from lineage.
+    fresh = report_table(rows, specs, category).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stored = _stored_or_empty(spark, target_path, fresh, "parquet")
+        merged = replace_into(stored, fresh, ["name", "category", "selector"])
+        publish_table(merged, target_path)
+    finally:
+        fresh.unpersist()
     return target_path
