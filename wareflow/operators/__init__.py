@@ -1 +1,3 @@
-"""wareflow.operators."""
+"""DataFrame -> DataFrame operators: derive, upsert / keyed REPLACE,
+prt_path, feature configs and roles, KPI sheets and deltas, grouped reports
+and JSON trees, dependency edges."""
