@@ -62,9 +62,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="wareflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        # spark.checkpoint.dir is a static setting; register the folder on the
+        # context instead (later calls read it back from getCheckpointDir).
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wareflow-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
