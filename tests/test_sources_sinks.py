@@ -186,3 +186,21 @@ def test_publish_partitions_property(spark, first, second):
     touched = {k for k, _ in second}
     expect = sorted([(v, k) for k, v in first if k not in touched] + [(v, k) for k, v in second])
     assert sorted(tuple(r) for r in spark.read.parquet(p).select("v", "p").collect()) == expect
+
+
+def test_header_and_skip_on_files_split_across_tasks(spark, scratch):
+    p = scratch("splits")
+    lines = ["k,v"] + [f"{i},{'x' * 20}" for i in range(200)]
+    _write_text(spark, p + "/a", lines)
+    _write_text(spark, p + "/b", lines[:50])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        tagged = tag_rows(read_lines(spark, p))
+        assert tagged.rdd.getNumPartitions() > 4  # really split
+        (n_files, n_headers), = rows(check_headers(spark, p))
+        assert (n_files, n_headers) == (2, 1)
+        kept = skip_rows(tagged, 1).select("value").collect()
+        assert len(kept) == 200 + 49 and all(r.value != "k,v" for r in kept)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
