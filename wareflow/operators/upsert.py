@@ -64,8 +64,10 @@ def _cond(left: DataFrame, lnames, right: DataFrame, rnames) -> Column:
     return cond
 
 
-# Staging key counts at or below this are broadcast (measured, not estimated).
-BROADCAST_KEYS_MAX = 1_000_000
+# Staging keys are broadcast when their measured size is within both bounds:
+# a key count and the exact bytes of the normalised key values.
+BROADCAST_KEYS_MAX = 10_000_000
+BROADCAST_KEYS_MAX_BYTES = 128 * 1024 * 1024
 
 
 def staging_keys(stg: DataFrame, keys: Sequence[str], prefix: str = "__sk") -> tuple[DataFrame, list[str]]:
@@ -85,13 +87,24 @@ def keep_unmatched(ods: DataFrame, stg: DataFrame, keys: Sequence[str],
     return kept.drop(*onames)
 
 
-def _few_staging_keys(stg: DataFrame, keys: Sequence[str], bound: int | None) -> bool:
-    """True when the distinct staging keys number at most ``bound`` (one
-    aggregation over the staging side, which is the small side of a merge)."""
+def _few_staging_keys(stg: DataFrame, keys: Sequence[str], bound: int | None,
+                      max_bytes: int = BROADCAST_KEYS_MAX_BYTES) -> bool:
+    """True when the distinct staging keys number at most ``bound`` and their
+    values take at most ``max_bytes`` (both measured in one aggregation over
+    the staging side, the small side of a merge)."""
     if not bound:
         return False
-    skeys, _ = staging_keys(stg, keys)
-    return skeys.count() <= bound
+    skeys, names = staging_keys(stg, keys)
+    types = {f.name: f.dataType for f in skeys.schema.fields}
+    # exact bytes for strings; an upper bound for fixed-width values
+    width = [F.octet_length(F.col(n)) if isinstance(types[n], T.StringType)
+             else F.lit(16 if isinstance(types[n], T.DecimalType) else 8) for n in names]
+    size = F.lit(0)
+    for w in width:
+        size = size + w
+    row = skeys.agg(F.count(F.lit(1)).alias("n"),
+                    F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return row["n"] <= bound and row["bytes"] <= max_bytes
 
 
 def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
@@ -100,7 +113,8 @@ def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
 
     Two plans, chosen by measuring the distinct staging keys:
 
-    * at most ``broadcast_keys_max`` keys (a daily drop into a large table):
+    * at most ``broadcast_keys_max`` keys taking at most
+      ``BROADCAST_KEYS_MAX_BYTES`` (a daily drop into a large table):
       the keys are broadcast; stored rows are filtered map-side (anti join for
       the kept rows, semi join before counting the matched ones) and the
       per-key counts (no more rows than keys) are broadcast to the staging
