@@ -85,3 +85,13 @@ def test_long_sheet_reader_equals_wide_then_unpivot(spark, scratch):
              "cn1,LNS_X,1,,7,,zz", "cn2,BJ_Y,3,4,,,zz"]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(p)
     assert rows(read_kpi_sheet_long(spark, p)) == rows(unpivot_kpi(read_kpi_sheet(spark, p)))
+
+
+def test_duplicate_sheet_entities_rejected(spark):
+    import pytest
+    d = dt.date(2016, 1, 1)
+    df = spark.createDataFrame([("e", "k", d, 1.0), ("e", "k", d, 2.0)],
+                               "e string, kpi string, month date, value double")
+    with pytest.raises(ValueError):
+        period_deltas(df, ["e"], check_unique=True)
+    assert period_deltas(df.limit(1), ["e"], check_unique=True).count() == 1

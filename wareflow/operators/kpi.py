@@ -105,8 +105,18 @@ def unpivot_kpi(wide: DataFrame, ids: Sequence[str] = tuple(ID_COLUMNS)) -> Data
                        F.col("value").cast("double").alias("value"))
 
 
+def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fail when two rows share ``keys`` (one aggregation); returns ``df``."""
+    dup = (df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > 1).first())
+    if dup is not None:
+        raise ValueError(f"rows are not unique on {list(keys)}: {dup.asDict()}")
+    return df
+
+
 def period_deltas(long: DataFrame, entity: Sequence[str], kpi: str = "kpi",
-                  month: str = "month", value: str = "value") -> DataFrame:
+                  month: str = "month", value: str = "value",
+                  check_unique: bool = False) -> DataFrame:
     """Add score_pp, score_ly, score_tb (value minus the comparison value, or
     the value itself when that period is missing).
 
@@ -114,8 +124,11 @@ def period_deltas(long: DataFrame, entity: Sequence[str], kpi: str = "kpi",
     twelve-month range frame (gaps respected, unlike ``lag``), and the last
     December seen before the row, kept only when it is last year's. Rows must
     be unique per (entity, kpi, month), so a window holds at most one row per
-    calendar month.
+    calendar month; ``check_unique=True`` verifies that first (a sheet row is
+    one entity, and two rows with the same ids must not be merged).
     """
+    if check_unique:
+        require_unique(long, [*entity, kpi, month])
     m = month_index(F.col(month))
     w = Window.partitionBy(*[F.col(c) for c in entity], F.col(kpi)).orderBy(m)
     v = F.col(value)

@@ -173,7 +173,8 @@ def kpi_job(spark: SparkSession, sheet_path: str, groups, specs: Sequence[dict],
     """KPI sheet -> long rows with deltas and groups -> report trees ->
     keyed REPLACE on (name, category, selector) into the stored report table."""
     configure(spark)
-    deltas = period_deltas(read_kpi_sheet_long(spark, sheet_path), ID_COLUMNS)
+    deltas = period_deltas(read_kpi_sheet_long(spark, sheet_path), ID_COLUMNS,
+                           check_unique=True)
     rows = explode_long(deltas, groups)
     # The report rows are used twice (the key-count check in replace_into and
     # the write): keep them for the job's duration. They are one row per
