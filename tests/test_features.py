@@ -84,3 +84,10 @@ def test_role_files_one_per_config_in_order(spark, scratch):
     for lines in by_file.values():
         assert lines[:3] == ["InputCol,num,string", "InputCol,flag,string", "TargetCol,numLim,string"]
         assert lines[3].startswith("PredStartDate,20160101") and lines[6].startswith("OutDataPath")
+
+
+def test_spec_lists_for_one_config(spark):
+    from wareflow.operators.features import spec_lists
+    cols, exprs = spec_lists(_cat(spark), "model1", "d_daily")
+    assert cols == ["'prt_path", "'num", "'_date", "dau", "_extra"]
+    assert exprs == [(":flag", ":date > 4 || :dau <= 6 "), (":numLim", ":num > 9 || :num <= 15 ")]

@@ -211,11 +211,18 @@ def write_role_files(rows: DataFrame, path: str) -> str:
 def spec_lists(catalog: DataFrame, class_id: str, source: str) -> tuple[list[str], list[tuple[str, str]]]:
     """Driver-side (column markers, expressions) of ONE config, for launching a job.
 
-    Collects only that config's items (bounded by the document).
+    Collects only that config's items (bounded by the document), both lists
+    in one action.
     """
     one = catalog.where((F.col("class_id") == class_id) & (F.col("source") == source))
-    cols = [r["column_marker"] for r in
-            columns_for(one).orderBy("pos").select("column_marker").collect()]
-    exprs = [(r["target"], r["body"]) for r in
-             exprs_for(one).orderBy("list_pos", "pos").select("target", "body").collect()]
-    return cols, exprs
+    cols = columns_for(one).select(F.lit(0).alias("kind"), F.col("pos").alias("a"),
+                                   F.lit(0).alias("b"), F.col("column_marker").alias("t1"),
+                                   F.lit(None).cast("string").alias("t2"))
+    exprs = exprs_for(one).select(F.lit(1).alias("kind"), F.col("list_pos").alias("a"),
+                                  F.col("pos").alias("b"), F.col("target").alias("t1"),
+                                  F.col("body").alias("t2"))
+    got = sorted((r["kind"], r["a"], r["b"], r["t1"], r["t2"])
+                 for r in cols.unionByName(exprs).collect())
+    markers = [t1 for kind, _, _, t1, _ in got if kind == 0]
+    expressions = [(t1, t2) for kind, _, _, t1, t2 in got if kind == 1]
+    return markers, expressions
