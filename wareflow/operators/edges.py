@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wareflow.operators.upsert import per_key
+
 # Fixed values (must equal the reference's): the option defaults of a
 # scheduled job and of a dependency job.
 SCHEDULED_DEFAULTS = {"command": "echo dummy", "schedule": "R10//P"}
@@ -29,11 +31,11 @@ def invert(edges: DataFrame) -> DataFrame:
     """(node, parent, n_parents): each child with each of its parents.
 
     The count is a partial aggregation per node joined back on the node (one
-    row per node on that side), so a hot node is split by the skew handling
-    of the join rather than collected.
+    row per node on that side, re-shuffled for the join), so a hot node's
+    edges are split by AQE's skew handling rather than sent to one task.
     """
     e = edges.select(F.col("child").alias("node"), "parent").distinct()
-    counts = e.groupBy("node").agg(F.count(F.lit(1)).alias("n_parents"))
+    counts = per_key(e, ["node"], F.count(F.lit(1)).alias("n_parents"))
     return e.join(counts, "node")
 
 
