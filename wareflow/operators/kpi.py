@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wareflow.functions.columns import month_index, parse_month
+from wareflow.operators.upsert import per_key
 from wareflow.sources.text import first_line, read_lines, skip_rows, split_fields, tag_rows
 
 # Fixed values (must equal the reference's): the two id columns of a sheet,
@@ -177,7 +178,7 @@ def map_groups(df: DataFrame, groups, member_col: str, group_col: str = "group")
             mapping = F.broadcast(mapping)
     else:
         order = F.struct("seq", "group") if "seq" in groups.columns else F.struct("group")
-        mapping = (groups.groupBy("member").agg(F.max(order).alias("_o"))
+        mapping = (per_key(groups, ["member"], F.max(order).alias("_o"))
                    .select("member", F.col("_o.group").alias("group")))
         if mapping.count() <= MAX_BROADCAST_GROUP_ROWS:
             mapping = F.broadcast(mapping)
