@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.operators.upsert import per_key
+from wareflow.operators.keys import per_key
 
 # Fixed values (must equal the reference's): the option defaults of a
 # scheduled job and of a dependency job.

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wareflow.functions.columns import month_index, parse_month
-from wareflow.operators.upsert import per_key
+from wareflow.operators.keys import per_key
 from wareflow.sources.text import first_line, read_lines, skip_rows, split_fields, tag_rows
 
 # Fixed values (must equal the reference's): the two id columns of a sheet,

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wareflow.operators.keys import per_key
+
 
 def _key_exprs(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     """Non-null key columns whose plain equality is the null-safe key match.
@@ -70,22 +72,6 @@ BROADCAST_KEYS_MAX = 10_000_000
 BROADCAST_KEYS_MAX_BYTES = 128 * 1024 * 1024
 
 
-def per_key(df: DataFrame, names: Sequence[str], *aggs: Column) -> DataFrame:
-    """One row per key (distinct keys, or ``aggs`` per key), ready to be joined
-    against a skewed side.
-
-    The grouping also carries a hash of the key, dropped afterwards, so the
-    result is not already partitioned the way the join wants: the join then
-    re-shuffles this one-row-per-key side, both join inputs are plain shuffle
-    stages, and AQE can split a hot key's partition of the other side (it
-    cannot when an aggregate feeds the join directly).
-    """
-    cols = [F.col(n) for n in names]
-    grouped = df.groupBy(*cols, F.xxhash64(*cols).alias("__h"))
-    out = grouped.agg(*aggs) if aggs else grouped.agg(F.count(F.lit(1)).alias("__drop"))
-    return out.drop("__h", "__drop")
-
-
 def staging_keys(stg: DataFrame, keys: Sequence[str], prefix: str = "__sk") -> tuple[DataFrame, list[str]]:
     """Distinct normalised staging keys (aggregated: one row per key)."""
     keyed, names = _keyed(stg, keys, prefix)
