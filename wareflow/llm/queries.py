@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wareflow.llm import packing, token_counts, token_shards
+from wareflow.llm import decontaminate, exact_dedup, licenses, packing, token_counts, token_shards, toxicity
 from wareflow.llm.common import documents, ship
 from wareflow.session import configure
 
@@ -26,6 +26,15 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("op1_decontamination")
+def op1(spark, sf_dir):
+    return decontaminate.leaks(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 @query("op3_packing")
 def op3(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
@@ -36,11 +45,32 @@ def op4(spark, sf_dir):
     return token_shards.write_shards(documents(spark, sf_dir), token_shards.default_folder(spark))
 
 
+@query("op6_exact_dedup", """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS raw FROM documents),
+n AS (SELECT doc_id, length(raw) AS chars, sha256(regexp_replace(raw, '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256 FROM t),
+o AS (SELECT text_sha256, first(doc_id ORDER BY chars DESC, doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY text_sha256)
+SELECT n.doc_id, o.keep_id, o.group_size, n.doc_id = o.keep_id AS kept, n.text_sha256 FROM n JOIN o USING (text_sha256)
+""")
+def op6(spark, sf_dir):
+    return exact_dedup.exact_dedup(documents(spark, sf_dir))
+
+
+@query("op7_licenses")
+def op7(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir))
+
+
 @query("op8_token_counts")
 def op8(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+@query("op9_toxicity")
+def op9(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def queries():
     return dict(QUERIES)
 

@@ -22,6 +22,10 @@ _U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: White space, control characters and ASCII punctuation.
+MARKS = np.zeros(256, bool)
+MARKS[[c for c in range(128) if not chr(c).isalnum()]] = True
+
 _raw = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _low = _raw.copy()
 _low[ord("A"):ord("Z") + 1] = _raw[ord("a"):ord("z") + 1]
@@ -115,15 +119,15 @@ def _slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table:
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
-    """Words ``[^\\x20\\x09-\\x0D]+`` of every text, A-Z lower-cased.
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, between: np.ndarray = SPACE):
+    """Words ``[^\\x20\\x09-\\x0D]+`` of every text (or what else ``between`` parts), A-Z lower-cased.
 
     Returns (hash, start, end, word_offsets); word_offsets[i]:[i+1] are the words of text i.
     """
     hs, ss, es = [], [], []
     for lo, hi in pieces(data, offsets):
         part = data[lo:hi]
-        solid = ~SPACE[part]
+        solid = ~between[part]
         edge = np.zeros(hi - lo + 1, bool)
         edge[offsets[(offsets >= lo) & (offsets <= hi)] - lo] = True
         edge[0] = edge[-1] = True
