@@ -174,7 +174,7 @@ def rules() -> list[tuple[str, str, str, int, float]]:
                 out.append((f"{short}-{v}{tail}", "gpl", f"(gnu )?{short} ?(version |v ?)?{number}{after}", 1, 1.0))
         out.append((short, "general public licen", f"(gnu )?{name}", 2, 0.8))
     for label, spdx, name in NAMES:
-        key = "licen" if "licen" in name else spdx.split()[0]
+        key = "bsd" if "bsd" in name else "licen" if "licen" in name else spdx.split()[0]
         if label == "perl":
             key = "perl itself"
         out.append((label, "spdx", f"spdx licen[sc]e identifier {spdx}", 1, 1.0))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wareflow.llm import decontaminate, exact_dedup, licenses, packing, token_counts, token_shards, toxicity
+from wareflow.llm import decontaminate, exact_dedup, licenses, packing, suffix_dedup, token_counts, token_shards, toxicity
 from wareflow.llm.common import documents, ship
 from wareflow.session import configure
 
@@ -71,6 +71,11 @@ def op9(spark, sf_dir):
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+@query("op10_suffix_dedup")
+def op10(spark, sf_dir):
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def queries():
     return dict(QUERIES)
 
