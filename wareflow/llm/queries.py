@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wareflow.llm import decontaminate, exact_dedup, licenses, packing, suffix_dedup, token_counts, token_shards, toxicity
+from wareflow.llm import decontaminate, exact_dedup, jaccard_join, licenses, packing, suffix_dedup, token_counts, token_shards, toxicity
 from wareflow.llm.common import documents, ship
 from wareflow.session import configure
 
@@ -45,6 +45,11 @@ def op4(spark, sf_dir):
     return token_shards.write_shards(documents(spark, sf_dir), token_shards.default_folder(spark))
 
 
+@query("op5_jaccard_join")
+def op5(spark, sf_dir):
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op6_exact_dedup", """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS raw FROM documents),
 n AS (SELECT doc_id, length(raw) AS chars, sha256(regexp_replace(raw, '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256 FROM t),
