@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wareflow.llm import decontaminate, exact_dedup, jaccard_join, licenses, packing, suffix_dedup, token_counts, token_shards, toxicity
+from wareflow.llm import decontaminate, exact_dedup, jaccard_join, language_model, licenses, packing, suffix_dedup, token_counts, token_shards, toxicity
 from wareflow.llm.common import documents, ship
 from wareflow.session import configure
 
@@ -35,6 +35,13 @@ def op1(spark, sf_dir):
     return decontaminate.leaks(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_language_model")
+def op2(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = language_model.train(docs.where(~language_model.held_out()))
+    return language_model.score(docs, model, extra={"held_out": language_model.held_out()})
+
+
 @query("op3_packing")
 def op3(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
