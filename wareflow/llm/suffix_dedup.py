@@ -299,7 +299,8 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     found = rows.mapInArrow(                 # all columns, so that both reads of the input have one plan
         find, "gram long, row long, check long, at int, lefts short, rights short")
     found = kept(found, "anchors")
-    live = found.groupBy("gram").count().where("count > 1").select("gram")
+    # a table of its own: an aggregate right below the join would keep a hot gram's rows in one task
+    live = kept(found.groupBy("gram").count().where("count > 1").select("gram"), "live-grams")
     mine = (found.join(live, "gram", "left_semi").groupBy("row", "check")
             .agg(F.collect_list(F.struct("gram", "at", "lefts", "rights")).alias("live")))       # a text's own anchors
     held = rows.join(mine.withColumnRenamed("check", "was"), "row", "left").select(
