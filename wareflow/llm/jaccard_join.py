@@ -14,11 +14,16 @@ order changes the work alone: any order gives the same links.
 3. Every group is verified against the hub it shares most lists with, and the
    units of one group against one of them; the links found give components. A
    group of copies thus costs one pair for each member, not all pairs.
-4. Lists that still hold several components are expanded to the pairs of units
-   from different components that sizes allow; parity bitmaps of the sets (the
-   bits in which two differ never outnumber the shingles in which they do) drop
-   pairs that cannot link, and the rest are verified. No pair that could join
-   two components is left out, so the components are exact.
+4. Lists that still hold several components get another hub, turn by turn, and
+   every unit one more pair with a hub of another component, as long as a fair
+   share of these pairs links. A group whose members link with some of each other
+   only thus grows together at a few pairs a member.
+5. What is left is expanded to all pairs of units from different components whose
+   sizes and places in the list allow it to hold their first common shingle.
+   Parity bitmaps of the sets (the bits in which two differ never outnumber the
+   shingles in which they do) drop pairs that cannot link, and the rest are
+   verified. No pair that could join two components is left out, so the
+   components are exact.
 
 Verification moves the texts of candidate units to their hub, dealt over
 several tasks when a hub has many, and compares the whole sets.
@@ -44,6 +49,8 @@ K = 5
 NUM, DEN = 75, 100
 HEAD = 1 << 18
 HUB_PART = 512
+#: Turns of one pair a unit before the pairs that are left are all made.
+TURNS = 16
 _U = np.uint64
 
 
@@ -145,7 +152,7 @@ def _survey(rows: DataFrame, k: int) -> DataFrame:
             none = pa.nulls(b.num_rows, pa.int64())
             yield batch(kind, b.column(0), b.column(1), n, sig, none, none)
             u, c = distinct(flat)
-            u, c = u[c > 3], c[c > 3]
+            u, c = u[c > 1], c[c > 1]
             none = pa.nulls(len(u), pa.int64())
             yield batch(kind, none, none, none, none, u.view(np.int64), c)
 
@@ -155,7 +162,7 @@ def _survey(rows: DataFrame, k: int) -> DataFrame:
 def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) -> DataFrame:
     """Kept lists (list, grp, n, hub) and the units of each group (grp, sig, n)."""
     shared = rows.sparkSession.sparkContext.broadcast(heavy)
-    blob = pa.schema([("bucket", pa.int32()), ("grp", pa.binary()), ("n", pa.binary()), ("sig", pa.binary()), ("count", pa.binary()), ("high", pa.binary()), ("low", pa.binary())])
+    blob = pa.schema([("bucket", pa.int32()), ("grp", pa.binary()), ("n", pa.binary()), ("sig", pa.binary()), ("count", pa.binary()), ("high", pa.binary()), ("low", pa.binary()), ("pos", pa.binary())])
 
     def post(batches):
         often, times = shared.value
@@ -190,8 +197,9 @@ def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) ->
             posted = np.zeros(len(grp), bool)
             posted[one] = True
             owner = np.repeat(np.arange(len(grp)), many)
+            place = np.arange(len(tokens)) - ends[owner]
             live = posted[owner]
-            tokens, owner = tokens[live], owner[live]
+            tokens, owner, place = tokens[live], owner[live], place[live]
             which = (tokens % _U(buckets)).astype(np.int64)
             order = np.argsort(which, kind="stable")
             cut = np.searchsorted(which[order], np.arange(buckets + 1))
@@ -204,11 +212,12 @@ def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) ->
                 mine = np.flatnonzero(home == g)
                 if len(part):
                     yield batch(blob, [g], [grp[who].tobytes()], [size[who].astype(np.int32).tobytes()], [None], [count.astype(np.int32).tobytes()],
-                                [((t >> _U(24)) & _U(0xFFFFFFFF)).astype(np.uint32).tobytes()], [((t >> _U(16)) & _U(0xFF)).astype(np.uint8).tobytes()])
+                                [((t >> _U(24)) & _U(0xFFFFFFFF)).astype(np.uint32).tobytes()], [((t >> _U(16)) & _U(0xFF)).astype(np.uint8).tobytes()],
+                                [place[part].astype(np.uint32).tobytes()])
                 if len(mine):
-                    yield batch(blob, [g], [grp[mine].tobytes()], [size[mine].astype(np.int32).tobytes()], [sigs[mine].tobytes()], [None], [None], [None])
+                    yield batch(blob, [g], [grp[mine].tobytes()], [size[mine].astype(np.int32).tobytes()], [sigs[mine].tobytes()], [None], [None], [None], [None])
 
-    kind = pa.schema([("list", pa.int64()), ("grp", pa.int64()), ("n", pa.int32()), ("hub", pa.int64()), ("sig", pa.int64())])
+    kind = pa.schema([("list", pa.int64()), ("grp", pa.int64()), ("n", pa.int32()), ("hub", pa.int64()), ("sig", pa.int64()), ("pos", pa.int32())])
 
     def gather(batches):
         now, held = None, []
@@ -231,7 +240,7 @@ def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) ->
             g, n, s = g[order], n[order], s[order]
             new = np.concatenate(([True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])))
             none = pa.nulls(int(new.sum()), pa.int64())
-            yield batch(kind, none, g[new], n[new], none, s[new])
+            yield batch(kind, none, g[new], n[new], none, s[new], none.cast(pa.int32()))
         if not posts:
             return
         grp, n = (np.concatenate([np.frombuffer(r[c], t) for r in posts]) for c, t in (("grp", np.int64), ("n", np.int32)))
@@ -240,23 +249,24 @@ def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) ->
                  | np.concatenate([np.frombuffer(r["low"], np.uint8) for r in posts]))
         names, first, back = np.unique(grp, return_index=True, return_inverse=True)
         owner = np.repeat(back, count)
+        place = np.concatenate([np.frombuffer(r["pos"], np.uint32) for r in posts]).astype(np.int32)
         order = np.lexsort((owner, token))
-        token, owner = token[order], owner[order]
+        token, owner, place = token[order], owner[order], place[order]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-        token, owner = token[new], owner[new]
+        token, owner, place = token[new], owner[new], place[new]
         start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         size = np.diff(np.append(start, len(token)))
         keep = np.repeat(size > 1, size)
         hub = np.repeat(owner[start], size)[keep]               # the smallest group name of the list
-        token, owner = token[keep], owner[keep]
+        token, owner, place = token[keep], owner[keep], place[keep]
         name = (token.astype(np.int64) << 20) | bucket
         for i in range(0, len(token), 1 << 18):
             z = slice(i, i + (1 << 18))
-            yield batch(kind, name[z], names[owner[z]], n[first][owner[z]], names[hub[z]], pa.nulls(len(owner[z]), pa.int64()))
+            yield batch(kind, name[z], names[owner[z]], n[first][owner[z]], names[hub[z]], pa.nulls(len(owner[z]), pa.int64()), place[z])
 
-    packed = rows.mapInArrow(post, "bucket int, grp binary, n binary, sig binary, count binary, high binary, low binary")
-    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(gather, "list long, grp long, n int, hub long, sig long")
+    packed = rows.mapInArrow(post, "bucket int, grp binary, n binary, sig binary, count binary, high binary, low binary, pos binary")
+    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(gather, "list long, grp long, n int, hub long, sig long, pos int")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -291,13 +301,12 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
     return dealt.mapInArrow(check, "a long, b long")
 
 
-def _across(entries: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of units from different components that stand in one list; entries (list, sig, n, comp)."""
+def _by_list(entries: DataFrame, pairs_of) -> DataFrame:
+    """Pairs (a, b) that ``pairs_of`` makes of each list's arrays; entries (list, sig, n, pos, comp)."""
     kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    cols = ("list", "sig", "n", "comp")
 
-    def pairs(batches):
-        held = [np.zeros(0, np.int64)] * 4
+    def run(batches):
+        held = [np.zeros(0, np.int64)] * 5
         for b in batches:
             arr = [np.concatenate((h, b.column(i).to_numpy().astype(np.int64))) for i, h in enumerate(held)]
             if not len(arr[0]):
@@ -308,22 +317,18 @@ def _across(entries: DataFrame, num: int, den: int) -> DataFrame:
         yield from some(held)
 
     def some(arr):
-        name, sig, n, comp = arr
+        name = arr[0]
         if not len(name):
             return
         start = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
         size = np.diff(np.append(start, len(name)))
-        lo = np.minimum.reduceat(comp, start)
-        hi = np.maximum.reduceat(comp, start)
+        mixed = np.minimum.reduceat(arr[4], start) < np.maximum.reduceat(arr[4], start)
         out_a, out_b, count = [], [], 0
-        for at, m in zip(start[lo < hi].tolist(), size[lo < hi].tolist()):
-            s, c, w = sig[at:at + m], comp[at:at + m], n[at:at + m]
-            for i in range(m - 1):
-                far = np.flatnonzero((c[i + 1:] != c[i]) & (np.minimum(w[i + 1:], w[i]) * den >= num * np.maximum(w[i + 1:], w[i]))) + i + 1
-                if len(far):
-                    out_a.append(np.minimum(s[i], s[far]))
-                    out_b.append(np.maximum(s[i], s[far]))
-                    count += len(far)
+        for at, m in zip(start[mixed].tolist(), size[mixed].tolist()):
+            for x, y in pairs_of(*(c[at:at + m] for c in arr[1:])):
+                out_a.append(x)
+                out_b.append(y)
+                count += len(x)
             if count > 1 << 18:
                 yield unique(out_a, out_b)
                 out_a, out_b, count = [], [], 0
@@ -337,13 +342,42 @@ def _across(entries: DataFrame, num: int, den: int) -> DataFrame:
         new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
         return batch(kind, a[new], b[new])
 
-    several = (entries.groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("list"))
-    some_lists = entries.join(several, "list", "left_semi").select(*cols)
-    return some_lists.repartition("list").sortWithinPartitions("list").mapInArrow(pairs, "a long, b long").distinct()
+    return entries.select("list", "sig", "n", "pos", "comp").repartition("list").sortWithinPartitions("list").mapInArrow(run, "a long, b long")
 
 
-def _filtered(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Pairs that the parity bitmaps do not rule out."""
+def _first_common(nx, i, ny, j, num: int, den: int):
+    """Whether sets of these sizes may link if their first common shingle stands at places i and j."""
+    return (num + den) * np.minimum(nx - i, ny - j) >= num * (nx + ny)
+
+
+def _across(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs of units from different components that may have their first common shingle in one list."""
+    def every(sig, n, pos, comp):
+        for i in range(len(sig) - 1):
+            z = slice(i + 1, None)
+            far = np.flatnonzero((comp[z] != comp[i]) & _first_common(n[i], pos[i], n[z], pos[z], num, den)) + i + 1
+            if len(far):
+                yield np.minimum(sig[i], sig[far]), np.maximum(sig[i], sig[far])
+
+    return _by_list(entries, every).distinct()
+
+
+def _to_hub(entries: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """At most one pair (hub, unit) for each unit: the hub of another component that it shares most lists with.
+
+    Each turn has another hub in each list, the same one in lists that share it.
+    """
+    def one(sig, n, pos, comp):
+        h = int(np.argmin(mix(sig.view(np.uint64) ^ _U(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))))
+        far = np.flatnonzero((comp != comp[h]) & _first_common(n[h], pos[h], n, pos, num, den))
+        if len(far):
+            yield np.full(len(far), sig[h]), sig[far]
+
+    shared = _by_list(entries, one).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    return shared.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+
+
+def _bitmaps(texts: DataFrame, k: int) -> DataFrame:
     kind = pa.schema([("sig", pa.int64()), ("n", pa.int32()), ("bits", pa.binary())])
 
     def bitmaps(batches):
@@ -351,7 +385,11 @@ def _filtered(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
             offs, flat = sets(b.column(1), k)
             yield batch(kind, b.column(0), np.diff(offs).astype(np.int32), [parity(flat[x:y]) for x, y in zip(offs, offs[1:])])
 
-    maps = kept(texts.mapInArrow(bitmaps, "sig long, n int, bits binary"), "bitmaps")
+    return texts.mapInArrow(bitmaps, "sig long, n int, bits binary")
+
+
+def _filtered(pairs: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that the parity bitmaps do not rule out."""
     one = maps.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("bits").alias("pa"))
     two = maps.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("pb"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -366,6 +404,18 @@ def _filtered(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
     return both.mapInArrow(possible, "a long, b long")
 
 
+def _labelled(entries: DataFrame, label: DataFrame) -> DataFrame:
+    """Entries with their component so far (a unit without links is its own)."""
+    return entries.join(label, F.col("sig") == F.col("node"), "left").select(*entries.columns, F.coalesce("root", "sig").alias("comp"))
+
+
+def _joined(label: DataFrame, links_: DataFrame) -> DataFrame:
+    """The components after more links between units."""
+    of_a, of_b = (label.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    new = links_.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    return components(label.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, num: int = NUM, den: int = DEN,
                     head: int = HEAD) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
@@ -376,7 +426,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seen = survey.where("hash IS NOT NULL").groupBy("hash").agg(F.sum("count").alias("count"))
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     posted = kept(_posted(rows, k, num, den, _order(seen, head), buckets), "posted")
-    lists = posted.where("list IS NOT NULL").select("list", "grp", "hub")
+    lists = posted.where("list IS NOT NULL").select("list", "grp", "hub", "pos")
     units = posted.where("list IS NULL").select("grp", "sig", "n")
 
     lead = units.groupBy("grp").agg(F.min("sig").alias("lead"), F.count(F.lit(1)).alias("units"))
@@ -392,14 +442,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = all_docs.where("n > 0").groupBy("sig").agg(F.min("row").alias("at")).join(active, "sig", "left_semi")
     texts = kept(rows.join(chosen, F.col("row") == F.col("at")).select("sig", "t", "doc_id"), "candidates").select("sig", "t")
 
-    edges = kept(_verify(first, texts, k, num, den), "links")
-    label = components(edges)
-    entries = lists.join(units, "grp").join(label, F.col("sig") == F.col("node"), "left").select("list", "sig", "n", F.coalesce("root", "sig").alias("comp"))
-    inside = units.join(lead.where("units > 1"), "grp").join(label, F.col("sig") == F.col("node"), "left").select(
-        F.col("grp").alias("list"), "sig", "n", F.coalesce("root", "sig").alias("comp"))
-    far = _filtered(_across(entries.unionByName(inside), num, den), texts, k, num, den)
-    more = kept(_verify(kept(far, "far-pairs"), texts, k, num, den), "links")
-    label = components(edges.unionByName(more))
+    maps = kept(_bitmaps(texts, k), "bitmaps")
+    label = components(_verify(first, texts, k, num, den))
+    inside = units.join(lead.where("units > 1"), "grp").select(F.col("grp").alias("list"), "sig", "n", F.lit(0).alias("pos"))
+    spread = lists.join(units, "grp").select("list", "sig", "n", "pos").unionByName(inside)
+    several = (_labelled(spread, label).groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("list"))
+    still = kept(spread.join(several, "list", "left_semi"), "open-lists")
+    turn = 0
+    while turn < TURNS:
+        turn += 1
+        tried = kept(_filtered(_to_hub(_labelled(still, label), turn, num, den), maps, num, den), "hub-pairs")
+        found = kept(_verify(tried, texts, k, num, den), "links")
+        asked, linked = tried.count(), found.count()
+        if linked:
+            label = _joined(label, found)
+        if linked * 20 < asked or not asked:
+            break
+    far = kept(_filtered(_across(_labelled(still, label), num, den), maps, num, den), "far-pairs")
+    label = _joined(label, _verify(far, texts, k, num, den))
 
     least = all_docs.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     named = least.join(label, F.col("sig") == F.col("node"), "left").select("sig", F.coalesce("root", "sig").alias("root"), "least")
