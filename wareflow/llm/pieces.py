@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 
 from wareflow.llm.textblock import PIECE_BYTES, chunks, group, lookup, pieces, spread, text_bytes
 
-CACHE_ENTRIES = 1 << 19
+CACHE_ENTRIES = 1 << 20
+RECENT_ENTRIES = 1 << 16
+ROW = 500
 #: UTF-8 of the white space beyond ASCII.
 _WIDE_SPACE = re.compile(rb"\xc2\x85|\xc2\xa0|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _models: dict[str, Pieces] = {}
@@ -26,6 +29,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _merged(a, b):
+    """Two tables of sorted hashes with their columns as one."""
+    at = np.searchsorted(a[0], b[0])
+    return tuple(np.insert(x, at, y) for x, y in zip(a, b))
+
+
 class Pieces:
     """A tokenizer file with a cache of chunk -> ids."""
 
@@ -33,14 +42,17 @@ class Pieces:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        vocab = self.tok.get_vocab()
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)      # a byte-level token has a character for each byte
+        for token, i in vocab.items():
+            self.bytes_of[i] = len(token)
         self.special = re.compile(b"|".join(map(re.escape, added))) if added else None
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.main, self.recent = none, none     # sorted hashes, first id in the pool, number of ids
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     @staticmethod
     def of(path: str) -> Pieces:
@@ -51,18 +63,60 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
 
+    def _encode_chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each). Chunks that start with a space are encoded many in a row: the tokenizer cuts
+        before each, and the byte lengths of the tokens tell where each ends."""
+        joined = [i for i, t in enumerate(texts) if t[0] == " "]
+        size = np.zeros(len(texts), np.int64)
+        got = self.tok.encode_batch_fast(["".join([texts[i] for i in joined[k:k + ROW]]) for k in range(0, len(joined), ROW)], add_special_tokens=False)
+        flat = np.fromiter(chain.from_iterable(e.ids for e in got), np.uint32)
+        ends = np.cumsum([len(texts[i].encode()) for i in joined]).astype(np.int64)
+        reached = np.cumsum(self.bytes_of[flat])
+        at = np.searchsorted(reached, ends) + 1
+        if len(joined) and not np.array_equal(reached[at - 1], ends):
+            raise ValueError("the tokenizer does not cut before a space")
+        size[joined] = np.diff(np.concatenate(([0], at)))[:len(joined)]
+        rest = np.ones(len(texts), bool)
+        rest[joined] = False
+        rest = np.flatnonzero(rest)
+        alone = self.encode([texts[i] for i in rest.tolist()])
+        size[rest] = [len(x) for x in alone]
+        ids = np.concatenate((flat, *alone))
+        source = np.zeros(len(texts), np.int64)           # where each one's ids begin
+        order = np.concatenate((np.array(joined, np.int64), rest))
+        source[order] = np.cumsum(np.concatenate(([0], size[order][:-1])))
+        return ids[spread(source, size)], size
+
+    def chunk_sizes(self, texts: list[str]) -> np.ndarray:
+        """Number of ids of each chunk."""
+        return self._encode_chunks(texts)[1] if texts else np.zeros(0, np.int64)
+
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        if len(self.keys) + len(hashes) > CACHE_ENTRIES:
+        """Add chunks by their sorted hashes; few at a time go to a small table, which joins the large one when full."""
+        if len(self.main[0]) + len(self.recent[0]) + len(hashes) > CACHE_ENTRIES:
             self._clear()
-        got = self.encode(texts)
-        size = np.array([len(x) for x in got], np.int64)
-        start = len(self.pool) + np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
-        keys = np.concatenate((self.keys, hashes))
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.start = np.concatenate((self.start, start))[order]
-        self.count = np.concatenate((self.count, size))[order]
-        self.pool = np.concatenate((self.pool, *got))
+        ids, size = self._encode_chunks(texts)
+        start = self.used + np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
+        more = int(size.sum())
+        while self.used + more > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        self.pool[self.used:self.used + more] = ids
+        self.used += more
+        self.recent = _merged(self.recent, (hashes, start, size))
+        if len(self.recent[0]) > RECENT_ENTRIES:
+            none = self.main[0][:0], self.main[1][:0], self.main[2][:0]
+            self.main, self.recent = _merged(self.main, self.recent), none
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(known, first id in the pool, number of ids) of sorted hashes."""
+        known = np.zeros(len(hashes), bool)
+        start, count = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        for keys, s, c in (self.main, self.recent):
+            at = lookup(keys, hashes)
+            hit = at >= 0
+            known |= hit
+            start[hit], count[hit] = s[at[hit]], c[at[hit]]
+        return known, start, count
 
     def plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """True for the texts that may be cut into chunks."""
@@ -98,17 +152,14 @@ class Pieces:
         for lo, hi in pieces(part, offs):
             h, s, e = chunks(part, offs, lo, hi)
             uniq, first, back = group(h)
-            at = lookup(self.keys, uniq)
-            if (new := np.flatnonzero(at < 0)).size:
+            known, start, count = self._find(uniq)
+            while not known.all():            # again if the cache was cleared meanwhile
+                new = np.flatnonzero(~known)
                 self._learn(uniq[new], [part[s[k]:e[k]].tobytes().decode() for k in first[new]])
-                at = lookup(self.keys, uniq)
-                if (at < 0).any():         # the cache was cleared meanwhile
-                    new = np.flatnonzero(at < 0)
-                    self._learn(uniq[new], [part[s[k]:e[k]].tobytes().decode() for k in first[new]])
-                    at = lookup(self.keys, uniq)
-            at = at[back]
+                known, start, count = self._find(uniq)
+            start, count = start[back], count[back]
             doc = np.searchsorted(offs, s, "right") - 1
-            each += np.bincount(doc, weights=self.count[at], minlength=j - i).astype(np.int64)
+            each += np.bincount(doc, weights=count, minlength=j - i).astype(np.int64)
             if not counts_only:
-                out.append(self.pool[spread(self.start[at], self.count[at])])
+                out.append(self.pool[spread(start, count)])
         return each, np.concatenate(out) if out else np.zeros(0, np.uint32)

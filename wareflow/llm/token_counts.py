@@ -60,10 +60,10 @@ def pretoken_table(docs: DataFrame, text_col: str = "text", tokenizer: str | Non
     table = pa.schema([("hash", pa.int64()), ("pieces", pa.int32()), ("freq", pa.int64())])
 
     def count(batches):
-        tok = Pieces.of(path).tok
+        model = Pieces.of(path)
         for b in batches:
             data, offs = text_bytes(b.column(0))
-            n = np.array([len(e.ids) for e in tok.encode_batch(b.column(0).to_pylist(), add_special_tokens=False)], np.int32)
+            n = model.chunk_sizes(b.column(0).to_pylist()).astype(np.int32)
             yield batch(table, _whole_hashes(data, offs).view(np.int64), n, b.column(1))
 
     seen = docs.select(F.col(text_col).alias("t")).mapInArrow(gather, "piece string, freq long")
