@@ -2,9 +2,9 @@
 
 Test items are read in blocks of bounded size; each block's items are one
 broadcast query set against every document. For a block, a first pass counts in
-how many documents each of its word ``k``-grams stands; every item keeps the
-rarest half of its k-grams as seeds, ``least_seeds`` at least (an item shorter
-than k words is one seed). A second pass finds the seeds in the documents and
+how many documents each of its word ``k``-grams stands; of its k-grams that stand in
+any, every item keeps the rarest half as seeds, ``least_seeds`` at least (an
+item shorter than k words is one seed). A second pass finds the seeds in the documents and
 aligns the item with the words around each hit by Smith-Waterman over words
 (match 2, mismatch -1, gap -1). The score is the best alignment over that of an
 unchanged copy, so edited and paraphrased copies score below 1. An item leaks
@@ -85,11 +85,12 @@ class Items:
         return u, size[first[:-1]], first, item, pos
 
     def rarest(self, df: np.ndarray, least: int) -> Items:
-        """Keep of each item the rarest half of its seeds, by (documents, hash)."""
+        """Keep of each item the rarest half, by (documents, hash), of its seeds that stand in any document."""
         s = np.repeat(np.arange(len(self.seed)), np.diff(self.first))
-        order = np.lexsort((self.seed[s], df[s], self.use_item))
+        found = np.flatnonzero(df[s] > 0)
+        order = found[np.lexsort((self.seed[s[found]], df[s[found]], self.use_item[found]))]
         keep = np.zeros(len(s), bool)
-        _, n = distinct(self.use_item.astype(np.uint64))
+        _, n = distinct(self.use_item[found].astype(np.uint64))
         at = 0
         for c in n.tolist():
             keep[order[at:at + min(c, max(least, -(-c // 2)))]] = True
