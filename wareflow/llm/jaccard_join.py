@@ -48,23 +48,27 @@ from wareflow.llm.textblock import distinct, lookup, mix, ngrams, text_bytes, wo
 K = 5
 NUM, DEN = 75, 100
 HEAD = 1 << 18
+SLICE = 1000
 HUB_PART = 512
 #: Turns of one pair a unit before the pairs that are left are all made.
-TURNS = 16
+TURNS = 8
 _U = np.uint64
 
 
 def sets(col, k: int):
-    """(offsets, shingles): the sorted distinct shingles of every text."""
-    h, _, _, offs = words(*text_bytes(col))
-    g, doc, _ = ngrams(h, offs, k)
-    at = np.searchsorted(doc, np.arange(len(offs)))
-    out = []
-    for a, b in zip(at, at[1:]):
-        s = np.sort(g[a:b])
-        out.append(s[np.concatenate(([True], s[1:] != s[:-1]))] if len(s) else s)
-    size = np.array([len(s) for s in out], np.int64)
-    return np.concatenate(([0], np.cumsum(size))), np.concatenate(out) if out else np.zeros(0, np.uint64)
+    """(offsets, shingles): the sorted distinct shingles of every text, worked out ``SLICE`` texts at a time."""
+    size, out = [], []
+    for z in range(0, len(col), SLICE):
+        h, _, _, offs = words(*text_bytes(col.slice(z, SLICE)))
+        g, doc, _ = ngrams(h, offs, k)
+        at = np.searchsorted(doc, np.arange(len(offs)))
+        del h, doc
+        for a, b in zip(at, at[1:]):
+            s = np.sort(g[a:b])
+            s = s[np.concatenate(([True], s[1:] != s[:-1]))] if len(s) else s
+            out.append(s)
+            size.append(len(s))
+    return np.concatenate(([0], np.cumsum(size))).astype(np.int64), np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def signature(offs: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -166,7 +170,7 @@ def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) ->
 
     def post(batches):
         often, times = shared.value
-        for b in batches:
+        for b in (whole.slice(z, 2 * SLICE) for whole in batches for z in range(0, whole.num_rows, 2 * SLICE)):
             offs, flat = sets(b.column(2), k)
             sig = signature(offs, flat)
             _, first = np.unique(sig, return_index=True)
