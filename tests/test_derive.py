@@ -6,15 +6,22 @@ from wareflow.operators.derive import apply_spec, bind_types, derive
 from conftest import rows
 
 
-def test_reference_flags(spark):
-    # The reference's worked example: two discounts hidden, three flags.
-    df = spark.createDataFrame([("p=1", "0", "0.0"), ("p=1", "3", "0"), ("p=2", "1", "2.5")],
-                               "prt_path string, c string, s string")
-    out = apply_spec(df, ["'prt_path", "_c", "_s"],
-                     [(":is_c", ":c == 0"), (":is_s", ":s == 0.0"), (":is_any", ":is_c || :is_s")])
-    assert out.columns == ["prt_path", "is_c", "is_s", "is_any"]
-    assert rows(out) == [("p=1", False, True, True), ("p=1", True, True, True),
-                         ("p=2", False, False, False)]
+def test_hidden_inputs_and_sequence(spark):
+    df = spark.createDataFrame([("p=1", "10", "4"), ("p=1", "2", "7"), ("p=2", "30", "0")],
+                               "prt_path string, width string, gap string")
+    out = apply_spec(df, ["'prt_path", "_width", "gap"],
+                     [(":inner", ":width - 2 * :gap"), (":tight", ":inner < 0"), (":odd", ":tight || :gap == 0")])
+    assert out.columns == ["prt_path", "gap", "inner", "tight", "odd"]
+    assert rows(out) == [("p=1", 4.0, 2.0, False, False), ("p=1", 7.0, -12.0, True, True),
+                         ("p=2", 0.0, 30.0, False, True)]
+
+
+def test_targets_that_differ_in_case_fail(spark):
+    df = spark.createDataFrame([(1.0,)], "a double")
+    with pytest.raises(ValueError, match="case"):
+        derive(df, [(":A", ":a * 10"), (":b", ":a + 1")])
+    with pytest.raises(ValueError, match="case"):
+        derive(df, [(":x", ":a"), (":X", ":a")])
 
 
 def test_reassigned_column_is_seen_by_later_exprs(spark):

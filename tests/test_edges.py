@@ -5,12 +5,9 @@ from wareflow.operators.edges import (SCHEDULED_DEFAULTS, adjacency_edges, inver
 
 from conftest import rows
 
-# A dependency map: one root job, six jobs after it, one final job.
-DEPS = {"ingest": ["dau", "events", "inventory", "orders",
-                            "product_category", "shows"],
-        "dau": ["done"], "events": ["done"],
-        "inventory": ["done"], "orders": ["done"],
-        "product_category": ["done"], "shows": ["done"]}
+# Two roots, a diamond and a side branch.
+DEPS = {"parse": ["clean", "audit"], "fetch": ["clean"], "clean": ["index", "stats"],
+        "index": ["serve"], "stats": ["serve"]}
 
 
 def _edges(spark):
@@ -20,17 +17,18 @@ def _edges(spark):
 
 def test_roots_and_inversion(spark):
     e = _edges(spark)
-    assert rows(roots(e)) == [("ingest",)]
+    assert rows(roots(e)) == [("fetch",), ("parse",)]
     inv = invert(e)
-    done = inv.where(F.col("node") == "done")
-    assert done.count() == 6 and rows(done.select("n_parents").distinct()) == [(6,)]
+    for node in ("clean", "serve"):
+        parents = inv.where(F.col("node") == node)
+        assert parents.count() == 2 and rows(parents.select("n_parents").distinct()) == [(2,)]
 
 
 def test_tagged_lines(spark):
-    lines = spark.createDataFrame([("node,chong-a",), ("node,other-b",), ("link,chong-a,chong-c",)],
+    lines = spark.createDataFrame([("node,team-a",), ("node,other-b",), ("link,team-a,team-c",)],
                                   "value string")
-    assert rows(tagged(lines, "node", "chong")) == [("chong-a",)]
-    assert rows(links(lines, "chong")) == [("chong-a", "chong-c")]
+    assert rows(tagged(lines, "node", "team")) == [("team-a",)]
+    assert rows(links(lines, "team")) == [("team-a", "team-c")]
 
 
 def test_defaults_overlay(spark):

@@ -204,3 +204,12 @@ def test_header_and_skip_on_files_split_across_tasks(spark, scratch):
         assert len(kept) == 200 + 49 and all(r.value != "k,v" for r in kept)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_jobs_read_a_recovered_table(spark, scratch):
+    """A driver that died between the two renames of a swap leaves the table under its retired name."""
+    from wareflow.plans.jobs import _stored_or_empty
+    path = scratch("half")
+    like = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    like.write.parquet(f"{path}__retired_1")
+    assert _stored_or_empty(spark, path, like, "parquet").count() == 2

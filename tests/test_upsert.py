@@ -93,3 +93,10 @@ def test_replace_into_last_wins(spark):
     out = replace_into(existing, incoming, ["name", "category", "selector"], order_by=["seq"])
     assert rows(out) == [("n", "c", "s1", "new2"), ("n", "c", "s2", "keep"),
                          ("n", "c", "s3", "add")]
+
+
+def test_replace_into_keeps_one_row_per_blank_key(spark):
+    old = spark.createDataFrame([("a", 1)], "k string, v int")
+    new = spark.createDataFrame([(None, 2), ("", 3), ("a", 4)], "k string, v int")
+    out = replace_into(old, new, ["k"], order_by=["v"])
+    assert sorted((r.k or "", r.v) for r in out.collect()) == [("", 3), ("a", 4)]

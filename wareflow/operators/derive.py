@@ -57,6 +57,10 @@ def derive(df: DataFrame, exprs) -> DataFrame:
     Catalyst collapses the batches into a single projection afterwards.
     """
     batch: dict[str, Column] = {}
+    spelled = {c.lower(): c for c in df.columns}
+    for name, _ in normalize_exprs(exprs):
+        if spelled.setdefault(name.lower(), name) != name:
+            raise ValueError(f"target {name!r} differs only in case from {spelled[name.lower()]!r}")
     for name, body in normalize_exprs(exprs):
         reads = referenced_names(body)
         if name in batch or reads & set(batch):

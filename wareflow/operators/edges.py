@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from wareflow.operators.keys import per_key
 
 # Fixed values (must equal the reference's): the option defaults of a
-# scheduled job and of a dependency job.
+# scheduled job.
 SCHEDULED_DEFAULTS = {"command": "echo dummy", "schedule": "R10//P"}
-DEPENDENCY_DEFAULTS = {"command": "echo dummy"}
 
 
 def adjacency_edges(adjacency: DataFrame, key: str = "job", deps: str = "deps") -> DataFrame:

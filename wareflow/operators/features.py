@@ -57,7 +57,7 @@ def feature_catalog(docs: DataFrame, json_col: str = "config",
     """
     other = "classId" if prefer == "classified_id" else "classified_id"
     keep = list(keep or [])
-    parsed = docs.select(*keep, F.from_json(F.col(json_col), CONFIG_SCHEMA).alias("c"))
+    parsed = docs.select(*keep, F.from_json(F.col(json_col), CONFIG_SCHEMA, {"mode": "FAILFAST"}).alias("c"))
     ids = parsed.select(
         *keep,
         F.coalesce(_blank_to_null(F.col(f"c.{prefer}")),

@@ -19,18 +19,10 @@ from wareflow.operators.keys import per_key
 from wareflow.sources.text import first_line, read_lines, skip_rows, split_fields, tag_rows
 
 # Fixed values (must equal the reference's): the two id columns of a sheet,
-# the header cell that ends the KPI columns, the number of leading rows before
-# data, and the bottler groups of its KPI job.
+# the header cell that ends the KPI columns, the number of leading rows before data.
 ID_COLUMNS = ["bottler_cn", "bottler_en"]
 SENTINEL = "_"
 SKIP_ROWS = 3
-BOTTLER_GROUPS = {
-    "China": ["China"],
-    "BIG": ["BIG", "LNS", "GX", "YN", "Shanxi", "LNN", "SH", "HB", "SC", "CQ", "HLJ", "JL"],
-    "CBL": ["CBL", "HaiN", "BJ", "ZM", "SD", "HeB", "JX", "TJ", "HuN", "InnM", "GS", "XJ"],
-    "SBL": ["SBL", "AH", "ZJ", "FJ", "Shaanxi", "HeN", "JS", "GDW", "GDE"],
-    "Zhuhai": ["ZH"],
-}
 
 LONG_FIELDS = ["date", "group", "bottler", "channel", "kpi",
                "score", "score_pp", "score_ly", "score_tb"]

@@ -36,7 +36,3 @@ def parse_prt_path(df: DataFrame, names: list[str], column: str = PRT_PATH) -> D
     """Append one string column per partition level named in ``names``."""
     kv = F.expr(f"str_to_map(`{column}`, '/', '=')")
     return df.withColumns({n: F.try_element_at(kv, F.lit(n)) for n in names})
-
-
-def prt_names_of(spec) -> list[str]:
-    return [name for name, _ in spec]

@@ -169,7 +169,8 @@ def replace_into(existing: DataFrame, incoming: DataFrame, pk: Sequence[str],
     order_by = list(order_by or [])
     row = F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r")
     ranked = F.struct(*[F.col(f"`{c}`") for c in order_by], row)
-    last = (incoming.groupBy(*[F.col(f"`{k}`") for k in pk])
+    keyed, names = _keyed(incoming, pk, "__k")   # NULL and "" are one string key here too
+    last = (keyed.groupBy(*names)
             .agg(F.max(ranked).alias("m"))
             .select("m.r.*"))
     small = _few_staging_keys(last, pk, broadcast_keys_max)

@@ -26,7 +26,7 @@ from wareflow.operators.upsert import replace_into, upsert
 from wareflow.session import configure
 from wareflow.sinks.catalog import ensure_external_table, repair
 from wareflow.sinks.files import (delimited_line, export_parts, path_exists,
-                                  publish_partitions, publish_table, write_delimited,
+                                  publish_partitions, publish_table, recover_table, write_delimited,
                                   write_feature_json)
 from wareflow.sources.text import read_delimited, read_lines, read_staging
 
@@ -40,7 +40,12 @@ def _key_names(stg: DataFrame, keys) -> list[str]:
 
 
 def _stored_or_empty(spark: SparkSession, path: str, like: DataFrame, fmt: str) -> DataFrame:
-    """The stored table at ``path`` (``like``'s columns when delimited), or none."""
+    """The stored table at ``path`` (``like``'s columns when delimited), or none.
+
+    A swap that a dead driver left half done is finished first: the table that
+    is read must be the one that the publish will replace.
+    """
+    recover_table(spark, path)
     if path_exists(spark, path):
         if fmt == "delimited":
             return read_delimited(spark, path, like.columns)

@@ -62,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         # spark.checkpoint.dir is a static setting; register the folder on the
         # context instead (later calls read it back from getCheckpointDir).
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wareflow-ckpt-"))

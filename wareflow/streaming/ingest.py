@@ -22,7 +22,7 @@ from wareflow.functions.spec import fill_header, split_pairs
 from wareflow.operators.partition import parse_prt_path, with_prt_path
 from wareflow.session import checkpoint_root, configure
 from wareflow.operators.upsert import upsert
-from wareflow.sinks.files import applied_batch, path_exists, publish_partitions, publish_table
+from wareflow.sinks.files import applied_batch, path_exists, publish_partitions, publish_table, recover_table
 from wareflow.sources.text import read_staging
 
 
@@ -82,6 +82,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, target: st
     batch whose id the table already records is skipped, so a retried batch
     is not applied twice. Returns whether the batch was applied.
     """
+    recover_table(spark, target)
     if batch_id <= applied_batch(spark, target):
         return False
     if path_exists(spark, target):
