@@ -1,6 +1,7 @@
 from wareflow.sinks.files import applied_batch, write_staging_csv
 from wareflow.streaming.ingest import ingest_partitions, merge_batch
 
+import pytest
 from conftest import rows
 
 
@@ -27,5 +28,62 @@ def test_stream_picks_up_only_new_drops(spark, scratch):
                              checkpoint=f"{root}/ckpt")
     write_staging_csv(spark.createDataFrame([("3", "x")], "k string, p string"), f"{drops}/d=2")
     ingest_partitions(spark, f"{drops}/*", f"{drops}/d=1", target, [[":pp", 1]], checkpoint=ckpt)
-    # the second drop replaced partition pp=x only; pp=y is untouched
+    # the second run replaced partition pp=x only; pp=y is untouched
     assert rows(spark.read.parquet(target), "k", "p", "pp") == [("2", "y", "y"), ("3", "x", "x")]
+
+
+@pytest.mark.parametrize("cap", [None, 1])
+def test_one_run_keeps_all_rows_whatever_the_trigger(spark, scratch, cap):
+    root = scratch("scap")
+    for i, (k, p) in enumerate([("1", "N/A"), ("2", "y"), ("3", "N/A"), ("4", "N")]):
+        write_staging_csv(spark.createDataFrame([(k, p)], "k string, p string").coalesce(1), f"{root}/stg/d={i}")
+    ingest_partitions(spark, f"{root}/stg/*", f"{root}/stg/d=0", f"{root}/ods", [[":pp", 1]],
+                      checkpoint=f"{root}/ckpt", max_files_per_trigger=cap)
+    got = rows(spark.read.parquet(f"{root}/ods"), "k", "pp")
+    assert got == [("1", "N/A"), ("2", "y"), ("3", "N/A"), ("4", "N")]
+
+
+@pytest.mark.parametrize("cap", [None, 1])
+def test_unpartitioned_runs_add_up(spark, scratch, cap):
+    root = scratch("sflat")
+    args = (f"{root}/stg/*", f"{root}/stg/d=0", f"{root}/ods")
+    for run in range(2):
+        for i in (2 * run, 2 * run + 1):
+            write_staging_csv(spark.createDataFrame([(str(i), "x")], "k string, p string").coalesce(1), f"{root}/stg/d={i}")
+        ingest_partitions(spark, *args, checkpoint=f"{root}/ckpt", max_files_per_trigger=cap)
+    assert rows(spark.read.parquet(f"{root}/ods"), "k") == [("0",), ("1",), ("2",), ("3",)]
+    with pytest.raises(ValueError, match="filled by stream"):
+        ingest_partitions(spark, *args, checkpoint=f"{root}/other")
+
+
+def test_run_that_died_before_publishing_is_finished(spark, scratch, monkeypatch):
+    from wareflow.streaming import ingest
+    root = scratch("sdied")
+    args = (f"{root}/stg/*", f"{root}/stg/d=0", f"{root}/ods", [[":pp", 1]])
+    write_staging_csv(spark.createDataFrame([("1", "x")], "k string, p string"), f"{root}/stg/d=0")
+
+    def dies(*_a, **_k):
+        raise RuntimeError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "publish_partitions", dies)
+        with pytest.raises(RuntimeError):
+            ingest_partitions(spark, *args, checkpoint=f"{root}/ckpt")
+    ingest_partitions(spark, *args, checkpoint=f"{root}/ckpt")
+    assert rows(spark.read.parquet(f"{root}/ods"), "k", "pp") == [("1", "x")]
+
+
+def test_drop_with_another_header_order_fails(spark, scratch):
+    root = scratch("shead")
+    write_staging_csv(spark.createDataFrame([("1", "x")], "k string, p string"), f"{root}/stg/d=0")
+    write_staging_csv(spark.createDataFrame([("y", "2")], "p string, k string"), f"{root}/stg/d=1")
+    with pytest.raises(Exception, match="CSV header"):
+        ingest_partitions(spark, f"{root}/stg/*", f"{root}/stg/d=0", f"{root}/ods", [[":pp", 1]],
+                          checkpoint=f"{root}/ckpt")
+
+
+def test_merge_batch_refuses_another_streams_table(spark, scratch):
+    target = scratch("sforeign")
+    b0 = spark.createDataFrame([("1", "a")], "k string, v string")
+    assert merge_batch(spark, b0, 5, target, ["k"], stream_id="one")
+    with pytest.raises(ValueError, match="filled by stream"):
+        merge_batch(spark, b0, 0, target, ["k"], stream_id="two")

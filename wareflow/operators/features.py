@@ -123,7 +123,8 @@ def feature_roles(catalog: DataFrame) -> DataFrame:
     Declared items (column items, plus driven/target items with an expr) that
     also appear as a driven or target (item, type) pair; a missing type counts
     as ``string``. Role is TargetCol when the item is a target, else InputCol.
-    ``item_order`` is the first position of the pair among the declared items.
+    ``item_order`` is the first position of the pair among the declared items:
+    column items, then driven, then target items, however the JSON orders its lists.
 
     One grouping per (config, item): the entries of one item within one
     document are few, so they are decided together in that row.
@@ -132,7 +133,7 @@ def feature_roles(catalog: DataFrame) -> DataFrame:
     is_model = F.col("list_name").isin(MODEL_LISTS)
     declared = (F.col("list_name") == COLUMN_ITEMS) | (is_model & F.col("expr").isNotNull())
     order = F.struct(F.when(F.col("list_name") == COLUMN_ITEMS, 0).otherwise(1).alias("a"),
-                     F.col("list_pos").alias("b"), F.col("pos").alias("c"))
+                     (F.col("list_name") == TARGET_ITEMS).cast("int").alias("b"), F.col("pos").alias("c"))
     entry = F.struct(F.col("data_type").alias("t"), declared.alias("d"),
                      is_model.alias("m"), order.alias("o"))
     per_item = typed.groupBy("class_id", "source", "data_item").agg(
@@ -162,6 +163,11 @@ def parse_job_id(job_id: Column) -> Column:
         F.regexp_extract(job_id, JOB_ID_PATTERN, 3).alias("end"))
 
 
+def data_path(data_root: str, class_id: str, source: str) -> str:
+    """The exported feature data of one source: a folder of part files under that name."""
+    return f"{data_root.rstrip('/')}/in/{class_id}/{source}/data.csv"
+
+
 def role_rows(roles: DataFrame, jobs: DataFrame, data_root: str) -> DataFrame:
     """Lines of each (class_id, source) role file: (class_id, source, line_no, line).
 
@@ -179,8 +185,8 @@ def role_rows(roles: DataFrame, jobs: DataFrame, data_root: str) -> DataFrame:
         F.concat_ws(",", F.lit(PRED_START), j["start"], F.lit(DATE_TYPE)),
         F.concat_ws(",", F.lit(PRED_END), j["end"], F.lit(DATE_TYPE)),
         F.concat_ws(",", F.lit(INPUT_PATH),
-                    F.concat(F.lit(f"{root}/in/"), F.col("class_id"), F.lit("/"),
-                             F.col("source"), F.lit("/data.csv")), F.lit(PATH_TYPE)),
+                    F.format_string(data_path("%s", "%s", "%s"), F.lit(root), "class_id", "source"),
+                    F.lit(PATH_TYPE)),
         F.concat_ws(",", F.lit(OUTPUT_PATH),
                     F.concat(F.lit(f"{root}/out/"), F.col("class_id"), F.lit("/data.csv")),
                     F.lit(PATH_TYPE)))

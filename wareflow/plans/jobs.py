@@ -16,16 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wareflow.functions.spec import parse_columns, resolve, split_pairs
-from wareflow.operators.derive import apply_spec
-from wareflow.operators.features import (JOB_ID_PATTERN, feature_catalog, feature_roles,
+from wareflow.operators.derive import bind_types, derive, drop_hidden
+from wareflow.operators.features import (JOB_ID_PATTERN, data_path, feature_catalog, feature_roles,
                                          role_rows, spec_lists, write_role_files)
 from wareflow.operators.kpi import ID_COLUMNS, explode_long, period_deltas, read_kpi_sheet_long
-from wareflow.operators.partition import PRT_PATH, parse_prt_path, with_prt_path
+from wareflow.operators.partition import PRT_PATH, level_names, names_of, with_levels, with_prt_path
 from wareflow.operators.report import report_table
 from wareflow.operators.upsert import replace_into, upsert
 from wareflow.session import configure
 from wareflow.sinks.catalog import ensure_external_table, repair
-from wareflow.sinks.files import (delimited_line, export_parts, path_exists,
+from wareflow.sinks.files import (delimited_line, export_parts, has_levels, path_exists,
                                   publish_partitions, publish_table, recover_table, write_delimited,
                                   write_feature_json)
 from wareflow.sources.text import read_delimited, read_lines, read_staging
@@ -96,13 +96,14 @@ def partition_job(spark: SparkSession, root: str, table: str, prt_spec=None,
     rows = with_prt_path(stg, spec)
     name = catalog_name or f"ods.{table}"
     if names:
-        routed = parse_prt_path(rows, names)
+        routed = with_levels(stg, spec)
         if fmt == "delimited":
             write_delimited(routed, ods_path, parts=names)
         else:
             publish_partitions(routed, ods_path, names, fmt=fmt,
                                files_per_partition=files_per_partition)
-        ensure_external_table(spark, name, rows.columns, names, ods_path, fmt)
+        data = [c for c in routed.columns if c not in names]
+        ensure_external_table(spark, name, data, names, ods_path, fmt)
         repair(spark, name)
     else:
         _publish_whole(rows, ods_path, fmt)
@@ -110,29 +111,44 @@ def partition_job(spark: SparkSession, root: str, table: str, prt_spec=None,
     return ods_path
 
 
-def prt_names_in(df: DataFrame) -> list[str]:
-    """Level names spelled in ``prt_path`` (read from one non-empty row)."""
-    if not df.columns or df.columns[0] != PRT_PATH:
-        return []
-    row = (df.select(PRT_PATH).where(F.col(PRT_PATH).isNotNull() & (F.col(PRT_PATH) != ""))
-           .limit(1).collect())
-    if not row:
-        return []
-    return [part.split("=", 1)[0] for part in row[0][0].split("/") if part]
-
-
 def derive_job(spark: SparkSession, root: str, source: str, target: str,
                columns: Sequence[str], exprs: Sequence = (), sep: str = "\x01",
                on_bad_number: str = "fail", files_per_partition: int | None = None) -> str:
     """``\\x01`` rows of ``source`` -> typed, derived, hidden dropped ->
-    JSON lines in ``target``, replacing only the partitions produced."""
+    JSON lines in ``target``, replacing only the partitions produced.
+
+    A declared first column ``prt_path``, hidden or not, routes each row by the
+    levels its own path names; rows with a blank path take the default
+    partition of the longest list of levels. When every path is blank the
+    table is written whole, unless the stored one has partitions: that fails.
+    An empty source, with or without ``prt_path``, replaces nothing.
+    """
     configure(spark)
     specs = parse_columns(list(columns))
     rows = read_delimited(spark, resolve(root, source), [s.name for s in specs], sep)
-    derived = apply_spec(rows, specs, exprs, on_bad_number=on_bad_number)
-    write_feature_json(derived, resolve(root, target), prt_names_in(rows),
-                       files_per_partition=files_per_partition)
-    return resolve(root, target)
+    path = resolve(root, target)
+    derived = derive(bind_types(rows, specs, on_bad_number=on_bad_number), exprs)
+    if not specs or specs[0].name != PRT_PATH:
+        if rows.isEmpty():
+            return path
+        write_feature_json(drop_hidden(derived, specs), path, [],
+                           files_per_partition=files_per_partition)
+        return path
+    shown = drop_hidden(derived, [s for s in specs if s.name != PRT_PATH])
+    layouts = level_names(shown)
+    if layouts == [[]]:
+        if has_levels(spark, path):
+            raise ValueError(f"{target} has partitions, but no row's {PRT_PATH} names a level")
+        write_feature_json(drop_hidden(derived, specs), path, [],
+                           files_per_partition=files_per_partition)
+        return path
+    for layout in layouts:
+        if layout:
+            mine = names_of() == F.lit(list(layout)) if layout is not layouts[0] else (
+                (names_of() == F.lit(list(layout))) | (F.size(names_of()) == 0))
+            write_feature_json(shown.where(mine), path, layout, hidden=specs[0].hidden,
+                               files_per_partition=files_per_partition)
+    return path
 
 
 def feature_job(spark: SparkSession, root: str, config_json: str,
@@ -168,8 +184,8 @@ def role_job(spark: SparkSession, root: str, job_id: str, config_json: str,
     write_role_files(role_rows(feature_roles(cat), jobs, data_root), conf_path)
     for r in sources.collect():
         data = read_lines(spark, resolve(root, f"{out_db}.{r['class_id']}.{r['source']}"))
-        export_parts(data.select("value"), f"{data_root.rstrip('/')}/in/{r['class_id']}/"
-                     f"{r['source']}", mode=export_mode, sep="\t")
+        export_parts(data.select("value"), data_path(data_root, r["class_id"], r["source"]),
+                     mode=export_mode)
     return conf_path
 
 

@@ -33,10 +33,15 @@ def external_table_ddl(name: str, columns: list[str], partitions: list[str] | No
 def ensure_external_table(spark: SparkSession, name: str, columns: list[str],
                           partitions: list[str] | None, location: str,
                           fmt: str = "parquet") -> None:
-    """Create the table if absent (database too); an existing table is kept."""
+    """Create the table if absent (database too); an existing table is kept.
+
+    File listings that the session cached for the table or its folder are dropped.
+    """
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name.split('.')[0]}`")
     spark.sql(external_table_ddl(name, columns, partitions, location, fmt))
+    spark.catalog.refreshTable(_ident(name))
+    spark.catalog.refreshByPath(location)
 
 
 def repair(spark: SparkSession, name: str) -> None:

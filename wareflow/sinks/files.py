@@ -60,15 +60,18 @@ def publish_partitions(df: DataFrame, path: str, parts: list[str], fmt: str = "p
 
 
 def write_feature_json(df: DataFrame, path: str, prt_names: list[str] | None,
-                       mode: str = "overwrite", files_per_partition: int | None = None) -> str:
-    """JSON lines routed by ``prt_path``; ``prt_path`` stays inside each record.
+                       mode: str = "overwrite", files_per_partition: int | None = None,
+                       hidden: bool = False) -> str:
+    """JSON lines routed by ``prt_path``; ``prt_path`` stays inside each record unless ``hidden``.
 
     ``prt_names`` are the directory levels spelled in ``prt_path``. With no
     ``prt_path`` column (or no names) the table is written unpartitioned.
     NULL fields are omitted from the JSON records.
     """
-    if prt_names and df.columns and df.columns[0] == PRT_PATH:
+    if prt_names and PRT_PATH in df.columns:
         routed = parse_prt_path(df, prt_names)
+        if hidden:
+            routed = routed.drop(PRT_PATH)
         return write_partitioned(routed, path, prt_names, fmt="json", mode=mode,
                                  files_per_partition=files_per_partition,
                                  ignoreNullFields="true")
@@ -97,22 +100,47 @@ def write_delimited(df: DataFrame, path: str, sep: str = CTRL_A,
 
 
 def write_staging_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Comma separated, header line in every file, no quoting."""
-    (df.write.mode(mode).option("header", "true").option("quote", "")
-       .option("escapeQuotes", "false").option("emptyValue", "").csv(path))
+    """Comma separated, header line in every file, no quoting.
+
+    The format cannot hold a comma or a line break inside a value: such a value fails the write.
+    """
+    (_plain(df, ",").write.mode(mode).options(**_UNALTERED).option("header", "true")
+     .option("escapeQuotes", "false").csv(path))
     return path
 
 
+#: CSV options under which values are written as they are.
+_UNALTERED = {"quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
+              "ignoreTrailingWhiteSpace": "false"}
+
+
+def _plain(df: DataFrame, sep: str) -> DataFrame:
+    """``df`` as text; a value that holds ``sep`` or a line break fails."""
+    def checked(c: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        bad = text.contains(sep) | text.contains("\n") | text.contains("\r")
+        return F.when(bad, F.raise_error(F.concat(
+            F.lit(f"column {c!r}: separator or line break in value: "), text))).otherwise(text).alias(c)
+
+    return df.select(*[checked(c) for c in df.columns])
+
+
 def export_parts(df: DataFrame, path: str, mode: str = "overwrite",
                  sep: str = ",", header: bool = False) -> str:
     """Hand-off export as one directory of part files.
 
     The hand-off reader globs the parts (as a ``*/*`` concatenation would);
     the rows are never funnelled through a single task. ``mode="append"``
-    adds new parts next to old ones (reruns then duplicate rows).
+    adds new parts next to old ones (reruns then duplicate rows). Values are
+    written as they are; one that holds ``sep`` or a line break fails. A single
+    column without a header is written as text lines.
     """
-    (df.write.mode(mode).option("header", str(header).lower()).option("sep", sep)
-       .option("quote", "").option("emptyValue", "").csv(path))
+    if len(df.columns) == 1 and not header:
+        df.select(F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit("")).alias("value")
+                  ).write.mode(mode).text(path)
+        return path
+    (_plain(df, sep).write.mode(mode).options(**_UNALTERED)
+     .option("header", str(header).lower()).option("sep", sep).csv(path))
     return path
 
 
@@ -131,6 +159,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; ``to`` must not exist."""
+    fs, source = _fs(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    if fs.exists(target) or not fs.rename(source, target):
+        raise IOError(f"could not move {path} to {to}")
+
+
+def retire_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in two steps, so that a crash never leaves part of it under its name."""
+    gone = f"{path}__retired_{uuid.uuid4().hex[:12]}"
+    move_folder(spark, path, gone)
+    fs, jpath = _fs(spark, gone)
+    fs.delete(jpath, True)
+
+
+def has_levels(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds ``name=value`` directories."""
+    fs, _ = _fs(spark, path)
+    return bool(fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*=*")))
+
+
 def recover_table(spark: SparkSession, path: str) -> None:
     """Finish a swap a dead driver left half done.
 
@@ -154,16 +204,25 @@ def recover_table(spark: SparkSession, path: str) -> None:
 MARKER_PREFIX = "_wareflow_batch_"
 
 
-def applied_batch(spark: SparkSession, path: str) -> int:
-    """Highest batch id recorded in the table at ``path`` (-1 when none)."""
+def applied_batch(spark: SparkSession, path: str, stream_id: str = "") -> int:
+    """Highest batch id recorded in the table at ``path`` (-1 when none).
+
+    Batch ids count within one stream; a table that another stream filled fails.
+    """
     fs, _ = _fs(spark, path)
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MARKER_PREFIX}*"))
-    ids = [int(st.getPath().getName()[len(MARKER_PREFIX):]) for st in (found or [])]
+    ids = []
+    for st in found or []:
+        number, _, stream = st.getPath().getName()[len(MARKER_PREFIX):].partition("_")
+        if stream != stream_id:
+            raise ValueError(f"{path} was filled by stream {stream!r}, not {stream_id!r}: its checkpoint "
+                             "was replaced, so which drops it holds is unknown")
+        ids.append(int(number))
     return max(ids, default=-1)
 
 
 def publish_table(df: DataFrame, path: str, fmt: str = "parquet",
-                  batch_id: int | None = None, **options) -> str:
+                  batch_id: int | None = None, stream_id: str = "", **options) -> str:
     """Write ``df`` beside ``path`` and swap it in.
 
     ``df`` may read ``path`` itself: Spark refuses (or empties the table on)
@@ -184,7 +243,7 @@ def publish_table(df: DataFrame, path: str, fmt: str = "parquet",
     fs, target = _fs(spark, path)
     jvm = spark._jvm
     if batch_id is not None:
-        fs.create(jvm.org.apache.hadoop.fs.Path(f"{staging}/{MARKER_PREFIX}{batch_id}")).close()
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{staging}/{MARKER_PREFIX}{batch_id}" + (f"_{stream_id}" if stream_id else ""))).close()
     had_old = fs.exists(target)
     if had_old and not fs.rename(target, jvm.org.apache.hadoop.fs.Path(retired)):
         raise IOError(f"could not move {path} aside")

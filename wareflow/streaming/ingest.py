@@ -3,9 +3,10 @@
 The partition job is scheduled to run periodically over whatever staging
 drops have arrived. As a stream: a file source over the staging drops, a
 trigger that processes everything new and stops (``availableNow``, one run
-per schedule tick), and a ``foreachBatch`` sink that publishes exactly the
-partitions each micro-batch produced (dynamic overwrite, so rerunning a batch
-after a failure rewrites the same partitions with the same rows).
+per schedule tick). A ``foreachBatch`` sink gathers the run's micro-batches in a
+pending folder beside the checkpoint, each under its own batch level, so that
+a repeated batch replaces itself. When the stream has stopped, the pending rows
+are published as one: how the drops fall into micro-batches does not matter.
 
 Progress (which files were consumed) lives in a checkpoint folder below the
 session's ``spark.checkpoint.dir``, so a restarted run skips consumed drops.
@@ -14,15 +15,17 @@ session's ``spark.checkpoint.dir``, so a restarted run skips consumed drops.
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wareflow.functions.spec import fill_header, split_pairs
-from wareflow.operators.partition import parse_prt_path, with_prt_path
+from wareflow.operators.partition import with_levels, with_prt_path
 from wareflow.session import checkpoint_root, configure
 from wareflow.operators.upsert import upsert
-from wareflow.sinks.files import applied_batch, path_exists, publish_partitions, publish_table, recover_table
+from wareflow.sinks.files import (applied_batch, move_folder, path_exists, publish_partitions,
+                                  publish_table, recover_table, retire_folder)
 from wareflow.sources.text import read_staging
 
 
@@ -36,8 +39,12 @@ def staging_stream(spark: SparkSession, drops_glob: str, sample_drop: str,
     names = fill_header(list(read_staging(spark, sample_drop, check_header=False,
                                           fill_blank=False).columns))
     schema = ", ".join(f"`{n}` string" for n in names)
+    # Without enforceSchema Spark fails on a drop whose header differs. Filled
+    # names stand in no header, so drops with blank names are not checked.
+    filled = names != list(read_staging(spark, sample_drop, check_header=False,
+                                        fill_blank=False).columns)
     reader = (spark.readStream.schema(schema).option("header", "true").option("sep", ",")
-              .option("quote", "").option("enforceSchema", "true"))
+              .option("quote", "").option("enforceSchema", str(filled).lower()))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.csv(drops_glob)
@@ -48,7 +55,12 @@ def ingest_partitions(spark: SparkSession, drops_glob: str, sample_drop: str, ta
                       max_files_per_trigger: int | None = None) -> str:
     """Run the staging -> partitioned table ingest once over all new drops.
 
-    ``prt_spec`` is ``[[":name", index], ...]`` like the partition job's.
+    ``prt_spec`` is ``[[":name", index], ...]`` like the partition job's. A run
+    replaces the partitions that its drops name with the rows of all its drops;
+    without levels it adds its rows to the table. A run that died is finished by
+    the next one: before the stream stopped, its micro-batches join the next
+    run's; after that, they are published first, as they were. Without levels
+    a table belongs to one checkpoint; another one fails.
     Returns the checkpoint folder (reuse it for the next run).
     """
     configure(spark)
@@ -59,37 +71,67 @@ def ingest_partitions(spark: SparkSession, drops_glob: str, sample_drop: str, ta
     names, idx = split_pairs(prt_spec or [])
     cols = stream.columns
 
-    def publish(batch: DataFrame, _batch_id: int) -> None:
+    pending, ready = f"{checkpoint}__pending", f"{checkpoint}__ready"
+
+    def gather(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{pending}/{BATCH}={batch_id}")
+
+    def publish() -> None:
+        if not path_exists(spark, ready):
+            return
+        found = spark.read.schema(", ".join([*(f"`{c}` string" for c in cols), f"`{BATCH}` long"])).parquet(ready)
+        rows = found.drop(BATCH)
         spec = [(n, F.col(f"`{cols[i]}`")) for n, i in zip(names, idx)]
-        rows = with_prt_path(batch, spec)
         if names:
-            publish_partitions(parse_prt_path(rows, names), target, names, fmt=fmt)
+            publish_partitions(with_levels(rows, spec), target, names, fmt=fmt)
         else:
-            publish_table(rows, target, fmt=fmt)
-
-    query = (stream.writeStream.foreachBatch(publish)
+            recover_table(spark, target)
+            last, owner = found.agg(F.max(BATCH)).first()[0], _stream_id(spark, checkpoint)
+            rows = with_prt_path(rows, spec)
+            if last is not None and last > applied_batch(spark, target, owner):
+                if path_exists(spark, target):
+                    rows = spark.read.format(fmt).load(target).unionByName(rows)
+                publish_table(rows, target, fmt=fmt, batch_id=last, stream_id=owner)
+        retire_folder(spark, ready)
+
+    publish()
+    query = (stream.writeStream.foreachBatch(gather)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
+    if path_exists(spark, pending):
+        move_folder(spark, pending, ready)
+        publish()
     return checkpoint
 
 
+#: Directory level of a micro-batch in the pending folder.
+BATCH = "wareflow_batch"
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of this checkpoint when it first started."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, target: str,
-                keys, mode: str = "replace", fmt: str = "parquet") -> bool:
+                keys, mode: str = "replace", fmt: str = "parquet", stream_id: str = "") -> bool:
     """Upsert one micro-batch into the stored table at ``target``, exactly once.
 
-    The batch id is published with the table (see ``publish_table``); a
-    batch whose id the table already records is skipped, so a retried batch
-    is not applied twice. Returns whether the batch was applied.
+    The batch id and the stream it counts in are published with the table (see
+    ``publish_table``); a batch whose id the table already records is skipped,
+    so a retried batch is not applied twice. A table that another stream
+    filled fails. Returns whether the batch was applied.
     """
     recover_table(spark, target)
-    if batch_id <= applied_batch(spark, target):
+    if batch_id <= applied_batch(spark, target, stream_id):
         return False
     if path_exists(spark, target):
         stored = spark.read.format(fmt).load(target)
     else:
         stored = spark.createDataFrame([], batch.schema)
-    publish_table(upsert(batch, stored, keys, mode=mode), target, fmt=fmt, batch_id=batch_id)
+    publish_table(upsert(batch, stored, keys, mode=mode), target, fmt=fmt, batch_id=batch_id,
+                  stream_id=stream_id)
     return True
 
 
@@ -100,7 +142,8 @@ def ingest_merge(spark: SparkSession, drops_glob: str, sample_drop: str, target:
 
     Each micro-batch is upserted on ``keys`` (names) and the table published
     by swap. ``mode="replace"`` is the default because it is idempotent per
-    key; together with the recorded batch id every drop is applied once.
+    key; together with the recorded batch id every drop is applied once. The
+    table belongs to one checkpoint: a run with another one fails.
     Returns the checkpoint folder (reuse it for the next run).
     """
     configure(spark)
@@ -111,7 +154,8 @@ def ingest_merge(spark: SparkSession, drops_glob: str, sample_drop: str, target:
     keys = [k.lstrip(":") if isinstance(k, str) else stream.columns[int(k[1])] for k in keys]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(spark, batch, batch_id, target, keys, mode=mode, fmt=fmt)
+        merge_batch(spark, batch, batch_id, target, keys, mode=mode, fmt=fmt,
+                    stream_id=_stream_id(spark, checkpoint))
 
     query = (stream.writeStream.foreachBatch(apply)
              .option("checkpointLocation", checkpoint)
