@@ -100,3 +100,25 @@ def test_replace_into_keeps_one_row_per_blank_key(spark):
     new = spark.createDataFrame([(None, 2), ("", 3), ("a", 4)], "k string, v int")
     out = replace_into(old, new, ["k"], order_by=["v"])
     assert sorted((r.k or "", r.v) for r in out.collect()) == [("", 3), ("a", 4)]
+
+
+def test_added_columns_fail_or_are_added(spark):
+    import pytest
+    stg = spark.createDataFrame([("1", "A", "n")], "k string, v string, extra string")
+    ods = spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string")
+    with pytest.raises(ValueError, match="extra"):
+        upsert(stg, ods, ["k"])
+    for mode in ("join", "replace"):
+        got = upsert(stg, ods, ["k"], mode=mode, new_columns="add")
+        assert sorted(map(tuple, got.collect())) == [("1", "A", "n"), ("2", "b", None)]
+    with pytest.raises(ValueError, match="lacks the stored columns"):
+        upsert(stg.drop("v", "extra"), ods, ["k"])
+
+
+def test_fan_out_beyond_one_chunk(spark, monkeypatch):
+    from wareflow.operators import upsert as module
+    monkeypatch.setattr(module, "FAN_OUT", 4)
+    for n in (1, 4, 5, 13):
+        ods = spark.range(n).selectExpr("'1' AS k", "CAST(id AS STRING) AS v")
+        got = upsert(spark.createDataFrame([("1", "x"), ("2", "y")], "k string, v string"), ods, ["k"])
+        assert {(r["k"], r["v"]): r["count"] for r in got.groupBy("k", "v").count().collect()} == {("1", "x"): n, ("2", "y"): 1}

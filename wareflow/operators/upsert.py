@@ -109,10 +109,19 @@ def _few_staging_keys(stg: DataFrame, keys: Sequence[str], bound: int | None,
     return row["n"] <= bound and row["bytes"] <= max_bytes
 
 
+#: Copies of a staging row made at a time.
+FAN_OUT = 1 << 16
+
+
 def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
-           mode: str = "join", broadcast_keys_max: int | None = BROADCAST_KEYS_MAX) -> DataFrame:
+           mode: str = "join", broadcast_keys_max: int | None = BROADCAST_KEYS_MAX,
+           new_columns: str = "fail") -> DataFrame:
     """Upsert ``stg`` into ``ods`` on ``keys``; output has ``ods``'s columns.
 
+    Staging columns that the stored side lacks fail, or, with
+    ``new_columns="add"``, follow its columns (NULL in stored rows). Staging
+    must have every stored column.
+
     Two plans, chosen by measuring the distinct staging keys:
 
     * at most ``broadcast_keys_max`` keys taking at most
@@ -130,6 +139,16 @@ def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
     if mode not in ("join", "replace"):
         raise ValueError("mode must be 'join' or 'replace'")
     keys = list(keys)
+    have, bring = {c.lower() for c in ods.columns}, {c.lower() for c in stg.columns}
+    lost = [c for c in ods.columns if c.lower() not in bring]
+    if lost:
+        raise ValueError(f"staging lacks the stored columns {lost}")
+    added = [f for f in stg.schema.fields if f.name.lower() not in have]
+    if added and new_columns != "add":
+        raise ValueError(f"staging has columns that the stored table lacks: {[f.name for f in added]}; "
+                         "new_columns='add' adds them")
+    ods = ods.select(*[F.col(f"`{c}`") for c in ods.columns],
+                     *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
     stg = stg.select(*[F.col(f"`{c}`") for c in ods.columns])
     small = _few_staging_keys(stg, keys, broadcast_keys_max)
     kept = keep_unmatched(ods, stg, keys, broadcast_keys=small)
@@ -146,9 +165,13 @@ def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
     skeyed, snames = _keyed(stg, keys, "__sk")
     joined = skeyed.join(counts, _cond(skeyed, snames, counts, onames), "left")
     times = F.greatest(F.coalesce(F.col("__n"), F.lit(0)), F.lit(1))
-    repeated = joined.select(
-        *[F.col(f"`{c}`") for c in ods.columns],
-        F.explode(F.sequence(F.lit(1), times.cast("int"))).alias("__copy"))
+    # Two levels, so that no row builds a longer array than FAN_OUT or n / FAN_OUT.
+    cols = [F.col(f"`{c}`") for c in ods.columns]
+    fan = F.lit(FAN_OUT).cast("long")
+    chunks = joined.select(*cols, times.alias("__times"), F.explode(
+        F.sequence(F.lit(0).cast("long"), F.floor((times - 1) / fan))).alias("__chunk"))
+    here = F.least(fan, F.col("__times") - F.col("__chunk") * fan)
+    repeated = chunks.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), here)).alias("__copy"))
     return kept.unionByName(repeated.drop("__copy"))
 
 

@@ -61,20 +61,22 @@ def _publish_whole(df: DataFrame, path: str, fmt: str) -> None:
 
 
 def merge_job(spark: SparkSession, root: str, table: str, keys, mode: str = "join",
-              fmt: str = "parquet", catalog_name: str | None = None) -> str:
+              fmt: str = "parquet", catalog_name: str | None = None,
+              new_columns: str = "fail") -> str:
     """Upsert ``stg.<table>`` (header-checked CSV) into ``ods.<table>``.
 
     The stored table is both input and output, so it is published by swap.
     ``fmt`` is a Spark file format, or ``"delimited"`` for headerless
-    ``\x01`` text with the staging header's columns.
+    ``\x01`` text with the staging header's columns. ``new_columns="add"`` lets
+    staging bring columns that a stored file-format table lacks.
     """
     configure(spark)
     stg = read_staging(spark, resolve(root, f"stg.{table}"))
     ods_path = resolve(root, f"ods.{table}")
     ods = _stored_or_empty(spark, ods_path, stg, fmt)
-    merged = upsert(stg, ods, _key_names(stg, keys), mode=mode)
+    merged = upsert(stg, ods, _key_names(stg, keys), mode=mode, new_columns=new_columns)
     _publish_whole(merged, ods_path, fmt)
-    ensure_external_table(spark, catalog_name or f"ods.{table}", stg.columns, [], ods_path, fmt)
+    ensure_external_table(spark, catalog_name or f"ods.{table}", merged.columns, [], ods_path, fmt)
     return ods_path
 
 
