@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
 from wareflow.llm import decontaminate, language_model, licenses, toxicity
@@ -180,6 +181,39 @@ def test_leaks_found_and_clean_left(llm, odd, empty):
     assert decontaminate.decontaminate(odd, bench).columns == odd.columns
 
 
+def test_edited_copies_beside_verbatim_ones(llm):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    common = [word() for _ in range(4)]                       # stands in every document and in the last item
+    around = lambda ws: " ".join([*(word() for _ in range(30)), *common, *ws, *(word() for _ in range(30))])
+    edits = [lambda w: [word() if j % 6 == 5 else x for j, x in enumerate(w)], lambda w: [word() if j % 6 == 2 else x for j, x in enumerate(w)],
+             lambda w: [word() if j % 5 == 4 else x for j, x in enumerate(w)], lambda w: w[:21],
+             lambda w: [*w[:10], word(), word(), *w[12:20], *w[23:33], word()]]
+    items = [[word() for _ in range(40)] for _ in edits]
+    bench = llm.createDataFrame([*((i, " ".join(w)) for i, w in enumerate(items)), (99, " ".join([*common, *(word() for _ in range(30))]))], "item_id long, text string")
+    for many in (1, 60):                                      # each edited copy also repeated many times
+        copies = [(i, c) for i, (w, edit) in enumerate(zip(items, edits)) for c in [w, *[edit(w)] * many]]
+        texts = [around(c) for _, c in copies]
+        frame = llm.createDataFrame([*enumerate(texts), *((1000 + i, around([])) for i in range(20))], "doc_id long, text string")
+        got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(frame, bench).collect()}
+        assert set(got) == {(d, i) for d, (i, _) in enumerate(copies)}
+        for d, (i, _) in enumerate(copies):
+            assert math.isclose(got[d, i], direct_score(items[i], texts[d].split()) / 80)
+        assert {r.doc_id for r in decontaminate.decontaminate(frame, bench).collect()} == set(range(1000, 1020))
+
+
+def test_places_left_out_could_not_reach(llm, monkeypatch):
+    rnd = random.Random(13)
+    texts = [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 90))) for _ in range(40)]
+    items = decontaminate.Items.of(list(range(12)), [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 25))) for _ in range(12)], 4)
+    got = items.leaks(pa.array(texts), 0.5)
+    monkeypatch.setattr(decontaminate, "_USES", 7)
+    few = items.leaks(pa.array(texts), 0.5)
+    monkeypatch.setattr(decontaminate.Items, "reachable", lambda self, item, *_: np.ones(len(item), bool))
+    every = items.leaks(pa.array(texts), 0.5)
+    assert len(got[0]) and all(np.array_equal(x, y) and np.array_equal(x, z) for x, y, z in zip(got, few, every))
+
+
 def test_pipeline_stages(llm):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "exact_dedup", "near_duplicates", "decontamination", "packing"]

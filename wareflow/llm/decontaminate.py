@@ -1,14 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
 Test items are read in blocks of bounded size; each block's items are one
-broadcast query set against every document. For a block, a first pass counts in
-how many documents each of its word ``k``-grams stands; of its k-grams that stand in
-any, every item keeps the rarest half as seeds, ``least_seeds`` at least (an
-item shorter than k words is one seed). A second pass finds the seeds in the documents and
-aligns the item with the words around each hit by Smith-Waterman over words
-(match 2, mismatch -1, gap -1). The score is the best alignment over that of an
-unchanged copy, so edited and paraphrased copies score below 1. An item leaks
-into a document where the score reaches ``threshold``.
+broadcast query set against every document. Every word ``k``-gram of an item is a
+seed, however many documents hold it (an item shorter than k words is one seed):
+copies raise the counts of just the k-grams they share, so counts choose none. One
+pass finds the seeds in the documents and aligns the item with the words around
+each hit by Smith-Waterman over words (match 2, mismatch -1, gap -1). Places whose
+words could not reach the threshold in any order are left out before aligning;
+this loses nothing. The score is the best alignment over that of an unchanged
+copy, so edited and paraphrased copies score below 1. An item leaks into a
+document where the score reaches ``threshold``. Copies without k unchanged words
+in a row have no seed and are not found.
 
 Words are lower-cased and parted by white space and ASCII punctuation. Null and
 empty texts and items have no words and match nothing. Null or repeated ids and
@@ -31,10 +33,10 @@ from wareflow.llm.textblock import MARKS, _STEP, distinct, lookup, mix, spread,
 
 K = 4
 THRESHOLD = 0.5
-LEAST_SEEDS = 8
 BLOCK_CHARS = 8 << 20
 MATCH, MISS, GAP = 2, -1, -1
 _CELLS = 1 << 19
+_USES = 1 << 20
 
 
 def grams_at(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
@@ -56,6 +58,8 @@ class Items:
     use_item: np.ndarray
     use_pos: np.ndarray
     vocab: np.ndarray     # bit table of the items' words, by the upper 20 bits
+    pair: np.ndarray      # distinct hashes of (item, word), sorted
+    pair_n: np.ndarray    # times the word stands in the item
 
     @staticmethod
     def of(ids: list, texts: list, k: int) -> Items:
@@ -74,7 +78,12 @@ class Items:
         seed, size, item, pos = cat(seed, np.uint64), cat(size, np.int64), cat(item, np.int64), cat(pos, np.int64)
         vocab = np.zeros(1 << 20, bool)
         vocab[(h >> np.uint64(44)).astype(np.int64)] = True
-        return Items(ids, h, offs, *Items._sorted(seed, size, item, pos), vocab)
+        pair, pair_n = distinct(Items._pair(np.repeat(np.arange(len(ids)), np.diff(offs)), h))
+        return Items(ids, h, offs, *Items._sorted(seed, size, item, pos), vocab, pair, pair_n)
+
+    @staticmethod
+    def _pair(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return mix(word + mix(item.astype(np.uint64)))
 
     @staticmethod
     def _sorted(seed, size, item, pos):
@@ -84,18 +93,20 @@ class Items:
         first = np.concatenate(([0], np.cumsum(n))).astype(np.int64)
         return u, size[first[:-1]], first, item, pos
 
-    def rarest(self, df: np.ndarray, least: int) -> Items:
-        """Keep of each item the rarest half, by (documents, hash), of its seeds that stand in any document."""
-        s = np.repeat(np.arange(len(self.seed)), np.diff(self.first))
-        found = np.flatnonzero(df[s] > 0)
-        order = found[np.lexsort((self.seed[s[found]], df[s[found]], self.use_item[found]))]
-        keep = np.zeros(len(s), bool)
-        _, n = distinct(self.use_item[found].astype(np.uint64))
-        at = 0
-        for c in n.tolist():
-            keep[order[at:at + min(c, max(least, -(-c // 2)))]] = True
-            at += c
-        return Items(self.ids, self.word, self.offs, *Items._sorted(self.seed[s][keep], self.size[s][keep], self.use_item[keep], self.use_pos[keep]), self.vocab)
+    def reachable(self, item, size, text, t0, m, threshold: float) -> np.ndarray:
+        """False for pairs (item, text slice) whose common words, in whatever order, score below ``threshold``."""
+        ok = np.zeros(len(item), bool)
+        ends = np.cumsum(m)
+        a = 0
+        while a < len(item):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _CELLS, "right")))
+            each = np.repeat(np.arange(b - a), m[a:b])
+            at = lookup(self.pair, Items._pair(item[a:b][each], text[spread(t0[a:b], m[a:b])]))
+            same, n = distinct((each * len(self.pair) + at)[at >= 0])
+            common = np.bincount(same // len(self.pair), np.minimum(n, self.pair_n[same % len(self.pair)]), b - a)
+            ok[a:b] = MATCH * common / np.maximum(1, MATCH * size[a:b]) >= threshold
+            a = b
+        return ok
 
     def hits(self, col):
         """(word hashes, offsets, [(text, word, seed)]) of the seeds found in a batch of texts."""
@@ -121,6 +132,18 @@ class Items:
     def leaks(self, col, threshold: float):
         """(text, item, score, seed hits, end word) of every leak in a batch."""
         h, offs, doc, at, seed = self.hits(col)
+        order = np.argsort(doc, kind="stable")
+        doc, at, seed = doc[order], at[order], seed[order]
+        ends = np.cumsum(self.first[seed + 1] - self.first[seed])
+        out, a = [self._leaks(h, offs, doc[:0], at[:0], seed[:0], threshold)], 0
+        while a < len(doc):                                    # whole texts, some uses of their seeds at a time
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _USES, "right")))
+            b = int(np.searchsorted(doc, doc[b - 1], "right"))
+            out.append(self._leaks(h, offs, doc[a:b], at[a:b], seed[a:b], threshold))
+            a = b
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+    def _leaks(self, h, offs, doc, at, seed, threshold: float):
         n = self.first[seed + 1] - self.first[seed]
         use = spread(self.first[seed], n)
         doc, at, item = np.repeat(doc, n), np.repeat(at, n), self.use_item[use]
@@ -137,6 +160,8 @@ class Items:
         size = self.offs[item + 1] - self.offs[item]
         lo = np.maximum(0, place * size - size // 2 - 1)
         hi = np.minimum(np.diff(offs)[doc], place * size + 2 * size + size // 2 + 2)
+        ok = self.reachable(item, size, h, offs[doc] + lo, hi - lo, threshold)
+        doc, item, count, size, lo, hi = doc[ok], item[ok], count[ok], size[ok], lo[ok], hi[ok]
         best, end = align(self.word, self.offs[item], size, h, offs[doc] + lo, hi - lo)
         score = best / np.maximum(1, MATCH * size)
         ok = score >= threshold
@@ -199,30 +224,8 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int)
         yield got.column(0).to_pylist(), got.column(1).to_pylist()
 
 
-def seed_items(docs: DataFrame, items: Items, text_col: str, least_seeds: int) -> Items:
-    """The items with their rarest seeds, by document counts over all of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-    kind = pa.schema([("seed", pa.int64()), ("n", pa.int64())])
-
-    def count(batches):
-        total = np.zeros(len(shared.value.seed), np.int64)
-        for b in batches:
-            _, _, doc, _, seed = shared.value.hits(b.column(0))
-            pair, _ = distinct(doc.astype(np.uint64) << np.uint64(32) | seed.astype(np.uint64))
-            total += np.bincount((pair & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield batch(kind, at, total[at])
-
-    df = np.zeros(len(items.seed), np.int64)
-    counted = docs.select(F.col(text_col).alias("t")).mapInArrow(count, "seed long, n long")
-    for s, n in counted.groupBy("seed").agg(F.sum("n")).collect():     # a row per seed of the block
-        df[s] = n
-    shared.destroy()
-    return items.rarest(df, least_seeds)
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-          item_text: str = "text", k: int = K, threshold: float = THRESHOLD, least_seeds: int = LEAST_SEEDS,
+          item_text: str = "text", k: int = K, threshold: float = THRESHOLD,
           block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, score, n_seeds (hits around the place), end_word of every leak."""
     spark = docs.sparkSession
@@ -231,7 +234,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     out = spark.createDataFrame([], ddl)
     for ids, texts in _blocks(benchmark, item_id, item_text, block_chars):
-        shared = spark.sparkContext.broadcast(seed_items(docs, Items.of(ids, texts, k), text_col, least_seeds))
+        shared = spark.sparkContext.broadcast(Items.of(ids, texts, k))
 
         def find(batches, shared=shared):
             names = np.array([-1 if i is None else i for i in shared.value.ids], np.int64)
@@ -244,11 +247,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-                  k: int = K, threshold: float = THRESHOLD, least_seeds: int = LEAST_SEEDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+                  k: int = K, threshold: float = THRESHOLD, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` into which no item leaks."""
     spark = docs.sparkSession
     for ids, texts in _blocks(benchmark, item_id, item_text, block_chars):
-        shared = spark.sparkContext.broadcast(seed_items(docs, Items.of(ids, texts, k), text_col, least_seeds))
+        shared = spark.sparkContext.broadcast(Items.of(ids, texts, k))
         rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("t"))
 
         def clean(batches, shared=shared):
