@@ -175,6 +175,38 @@ def test_pairs_and_fingerprints_agree(llm, monkeypatch):
     suffix_dedup.PAIRS = 48
 
 
+def test_hot_passages_are_not_merged_by_one_owner(llm, monkeypatch):
+    rnd = random.Random(15)
+    some = lambda chars, lo, hi: "".join(rnd.choice(chars) for _ in range(rnd.randint(lo, hi)))
+    core = some("abcdefgh", 60, 60)
+    texts = {i: some("xyz", 0, 30) + core[rnd.randint(0, 9):rnd.randint(40, 60)] + some("xyz", 0, 30) for i in range(150)}
+    texts |= {200 + i: core[:rnd.randint(3, 30)] + some("xy", 5, 9) for i in range(40)} | {300: core + core, 301: "", 302: some("mnopq", 99, 99)}
+    want = repeats_brute({d: t.encode() for d, t in texts.items()}, 20)
+    dealt, inner = [], suffix_dedup.hot_spans
+    monkeypatch.setattr(suffix_dedup, "hot_spans", lambda hot, *a: dealt.append([(r.part, sum(np.frombuffer(r.copies, np.int32))) for r in hot.collect()]) or inner(hot, *a))
+    for hot, part, core_places in ((1, 7, 4), (20, 1000, 16)):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        monkeypatch.setattr(suffix_dedup, "PART", part)
+        monkeypatch.setattr(suffix_dedup, "CORE", core_places)
+        got = suffix_dedup.remove_repeats(frame(llm, texts), length=20, k=6).collect()
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+        sizes = [n for _, n in dealt.pop()]
+        assert sum(sizes) > 100 and max(sizes) <= part
+
+
+def test_joined_intervals():
+    rnd = np.random.default_rng(16)
+    row, lo = rnd.integers(0, 5, 40), rnd.integers(0, 300, 40)
+    hi = lo + rnd.integers(1, 20, 40)
+    want = {r: np.zeros(330, bool) for r in range(5)}
+    for r, a, b in zip(row, lo, hi):
+        want[r][a:b] = True
+    got = list(zip(*(c.tolist() for c in suffix_dedup.joined(row, lo, hi))))
+    for r, x in want.items():
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], x, [0]))))
+        assert [(a, b) for q, a, b in got if q == r] == list(zip(edge[::2].tolist(), edge[1::2].tolist()))
+
+
 def test_loser_tree_merges_with_prefixes():
     rnd = random.Random(9)
     runs = []

@@ -19,6 +19,10 @@ windows do, no further.
    open is settled inside the group of one gram: by all pairs in groups of up
    to ``PAIRS`` suffixes, beyond that by the fingerprints of all their windows.
    The union of an anchor's repeated windows is one interval around it.
+   A gram with more than ``HOT`` anchors has no owner: its suffixes stay in parts
+   of bounded size, and fingerprints of their windows are dealt out by value and
+   counted. First those of cores, which all of ``CORE`` neighbouring windows hold,
+   then those of the windows around the cores that stand elsewhere too.
 4. Intervals are joined to the texts, merged and cut out.
 
 Null and empty texts have no windows; so have texts shorter than ``length``.
@@ -32,15 +36,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wareflow.llm.common import batch, kept
-from wareflow.llm.textblock import _powers, _raw, group, mix, spread, text_bytes
+from wareflow.llm.textblock import _powers, _raw, distinct, group, lookup, mix, spread, text_bytes
 
 LENGTH = 400
 GRAM = 96
 PAIRS = 48
+HOT = 2048
+PART = 4096
+CORE = 16
 BLOCK = 1 << 20
 
 
@@ -98,6 +106,7 @@ class Suffixes:
     def __init__(self, length: int, k: int):
         self.right, self.left = length, length - k
         self.width = self.right + self.left
+        self.core = CORE
 
     def keys(self, data, p, left, right):
         out = np.zeros((len(p), self.width), np.uint8)
@@ -261,6 +270,135 @@ def _windows(keys, lcp, left, right, s):
     return far_l, far_r
 
 
+def _print(sums: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Fingerprints of the bytes [a, b) of every row, in reading order, and of the place."""
+    return mix((sums[:, b] - sums[:, a]) * _powers(sums.shape[1])[1][a] + np.uint64((a << 16 | b) * 0x9E3779B97F4A7C55 % (1 << 64)))
+
+
+def cores(sums, left, right, s: Suffixes):
+    """(there, fingerprints) of what the windows of each run of ``core`` places have in common."""
+    first = range(0, s.left + 1, s.core)
+    last = [min(a + s.core - 1, s.left) for a in first]
+    there = np.stack([np.maximum(a, s.right - right) <= np.minimum(b, left) for a, b in zip(first, last)], axis=1)
+    return there, np.stack([_print(sums, s.left - a, s.left + s.right - b) for a, b in zip(first, last)], axis=1)
+
+
+def windows(sums, left, right, s: Suffixes):
+    """(there, fingerprints) of the windows that start 0, 1, ... bytes before each anchor."""
+    there = np.stack([(left >= l) & (right >= s.right - l) for l in range(s.left + 1)], axis=1)
+    return there, np.stack([_print(sums, s.left - l, s.left - l + s.right) for l in range(s.left + 1)], axis=1)
+
+
+def _slices(row: dict, s: Suffixes):
+    """(slice, prefix sums, left, right) of the suffixes of a part, some at a time."""
+    lcp = np.frombuffer(row["lcp"], np.uint16)
+    keys = np.frombuffer(b"".join(front_decode(lcp, row["rest"], s.width)), np.uint8).reshape(-1, s.width)
+    left, right = (np.frombuffer(row[c], np.uint16).astype(np.int64) for c in ("left", "right"))
+    for i in range(0, len(keys), 512):
+        z = slice(i, i + 512)
+        text = np.concatenate((keys[z, s.right:][:, ::-1], keys[z, :s.right]), axis=1)
+        sums = np.zeros((len(text), s.width + 1), np.uint64)
+        np.cumsum(_raw[text] * _powers(s.width + 1)[0][:-1], axis=1, out=sums[:, 1:])
+        yield z, sums, left[z], right[z]
+
+
+def _known(row: dict) -> np.ndarray:
+    return np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in row["again"]]))
+
+
+def joined(row: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """(row, lo, hi) with the intervals of a row that touch made one."""
+    order = np.lexsort((lo, row))
+    row, lo, hi = row[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+    if not len(row):
+        return row, lo, hi
+    base = np.cumsum(np.concatenate(([0], row[1:] != row[:-1]))) << 32
+    top = np.maximum.accumulate(base + hi)
+    first = np.flatnonzero(np.concatenate(([True], (base + lo)[1:] > top[:-1])))
+    last = np.append(first[1:], len(row)) - 1
+    return row[first], lo[first], (top - base)[last]
+
+
+def hot_spans(hot: DataFrame, s: Suffixes, buckets: int) -> DataFrame:
+    """row, lo, hi of the repeated intervals of parts of suffixes, whichever part the other copy is in; those of a part joined."""
+    sent = pa.schema([("part", pa.int64()), ("bucket", pa.int32()), ("prints", pa.binary()), ("n", pa.binary())])
+    back = pa.schema([("part", pa.int64()), ("prints", pa.binary())])
+    span = pa.schema([("row", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+
+    def deal(part, prints, copies):
+        u, _, at = group(prints)
+        n = np.minimum(np.bincount(at, copies, len(u)), 2).astype(np.uint8)
+        which = (u % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(which, kind="stable")
+        full, size = distinct(which.astype(np.uint64))
+        cut = np.concatenate(([0], np.cumsum(size)))
+        rows = [order[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        return batch(sent, np.full(len(rows), part), full.astype(np.int32), [u[r].tobytes() for r in rows], [n[r].tobytes() for r in rows])
+
+    def send(wanted):
+        def run(batches):
+            for b in batches:
+                for i in range(b.num_rows):
+                    row = b.slice(i, 1).to_pylist()[0]
+                    copies, prints, n = np.frombuffer(row["copies"], np.int32), [], []
+                    known = _known(row) if "again" in row else None
+                    for z, sums, left, right in _slices(row, s):
+                        there, h = wanted(sums, left, right, s, known)
+                        prints.append(h[there])
+                        n.append(np.repeat(copies[z], there.sum(axis=1)))
+                    yield deal(row["part"], np.concatenate(prints), np.concatenate(n))
+        return run
+
+    def count(batches):
+        parts, prints, n = [], [], []
+        for b in batches:
+            parts += b.column(0).to_pylist()
+            prints += [np.frombuffer(x, np.uint64) for x in b.column(2).to_pylist()]
+            n += [np.frombuffer(x, np.uint8) for x in b.column(3).to_pylist()]
+        if parts:
+            u, _, at = group(np.concatenate(prints))
+            twice = (np.bincount(at, np.concatenate(n), len(u)) > 1)[at]
+            cut = np.concatenate(([0], np.cumsum([len(x) for x in prints])))
+            for i in range(0, len(parts), 256):
+                j = min(i + 256, len(parts))
+                yield batch(back, parts[i:j], [x[twice[cut[q]:cut[q + 1]]].tobytes() for q, x in enumerate(prints[i:j], i)])
+
+    def again(rows, wanted):
+        got = (rows.mapInArrow(send(wanted), "part long, bucket int, prints binary, n binary").repartitionById(buckets, F.col("bucket"))
+               .mapInArrow(count, "part long, prints binary"))
+        return hot.join(got.where(F.length("prints") > 0).groupBy("part").agg(F.collect_list("prints").alias("again")), "part")
+
+    def every_core(sums, left, right, s, _):
+        return cores(sums, left, right, s)
+
+    def around_cores(sums, left, right, s, known):
+        there, h = cores(sums, left, right, s)
+        alive = there & (lookup(known, h.ravel()).reshape(h.shape) >= 0)
+        there, h = windows(sums, left, right, s)
+        return there & alive[:, np.arange(s.left + 1) // s.core], h
+
+    def cover(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                known, copies = _known(row), np.frombuffer(row["copies"], np.int32)
+                rows, at = np.frombuffer(row["row"], np.int64), np.frombuffer(row["at"], np.int32)
+                ends, out = np.concatenate(([0], np.cumsum(copies))), [[], [], []]
+                for z, sums, left, right in _slices(row, s):
+                    there, h = windows(sums, left, right, s)
+                    hit = there & (lookup(known, h.ravel()).reshape(h.shape) >= 0)
+                    some = np.repeat(hit.any(axis=1), copies[z])
+                    lo = np.repeat(s.left - hit[:, ::-1].argmax(axis=1), copies[z])[some]
+                    hi = np.repeat(s.right - hit.argmax(axis=1), copies[z])[some]
+                    own = slice(ends[z.start], ends[min(z.stop, len(copies))])
+                    for c, v in zip(out, (rows[own][some], at[own][some] - lo, at[own][some] + hi)):
+                        c.append(v)
+                which, lo, hi = joined(*(np.concatenate(c) for c in out))
+                yield batch(span, which, lo.astype(np.int32), hi.astype(np.int32))
+
+    return again(again(hot, every_core), around_cores).mapInArrow(cover, "row long, lo int, hi int")
+
+
 def _digest(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
     """Removed bytes, maximal removed runs, and the checksum of what is left."""
     merged: list[list[int]] = []
@@ -300,16 +438,16 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
         find, "gram long, row long, check long, at int, lefts short, rights short")
     found = kept(found, "anchors")
     # a table of its own: an aggregate right below the join would keep a hot gram's rows in one task
-    live = kept(found.groupBy("gram").count().where("count > 1").select("gram"), "live-grams")
-    mine = (found.join(live, "gram", "left_semi").groupBy("row", "check")
-            .agg(F.collect_list(F.struct("gram", "at", "lefts", "rights")).alias("live")))       # a text's own anchors
+    live = kept(found.groupBy("gram").count().where("count > 1").select("gram", (F.col("count") > HOT).alias("hot")), "live-grams")
+    mine = (found.join(live, "gram").groupBy("row", "check")
+            .agg(F.collect_list(F.struct("gram", "at", "lefts", "rights", "hot")).alias("live")))       # a text's own anchors
     held = rows.join(mine.withColumnRenamed("check", "was"), "row", "left").select(
         "row", "doc_id", F.length("t").cast("long").alias("n_bytes"), F.when(F.col("live").isNull(), F.sha2("t", 256)).alias("sha"),
         F.when(F.col("live").isNotNull(), F.col("t")).alias("t"), "live",
         F.when(F.col("was") != F.col("check"), F.raise_error(F.lit("input rows moved between two reads"))).alias("moved"))
     held = kept(held, "held")
 
-    run = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), ("lcp", pa.binary()), ("rest", pa.binary()), ("left", pa.binary()),
+    run = pa.schema([("bucket", pa.int64()), ("n", pa.int64()), ("lcp", pa.binary()), ("rest", pa.binary()), ("left", pa.binary()),
                      ("right", pa.binary()), ("copies", pa.binary()), ("row", pa.binary()), ("at", pa.binary())])
     buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -319,14 +457,17 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
             for z in range(0, b.num_rows, step):
                 yield from runs_of(b.slice(z, step))
 
-    def runs_of(b):
+    def anchors_of(b):
         data, offs = text_bytes(b.column(1))
         lists = b.column(2)
         flat = lists.flatten()
         n = np.diff(lists.offsets.to_numpy())
         doc = np.repeat(np.arange(b.num_rows), n)
         gram, at, left, right = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-        names = b.column(0).to_numpy()
+        return data, offs, doc, gram, at, left, right, b.column(0).to_numpy()
+
+    def runs_of(b):
+        data, offs, doc, gram, at, left, right, names = anchors_of(b)
         which = (mix(gram.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(which, kind="stable")
         cut = np.searchsorted(which[order], np.arange(buckets + 1))
@@ -334,19 +475,31 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
             part = order[cut[g]:cut[g + 1]]
             if not len(part):
                 continue
-            d, l, r = doc[part], left[part].astype(np.int64), right[part].astype(np.int64)
-            p = offs[d] + at[part]
-            keys = s.keys(data, p, l, r)
-            # equal keys with equal reach travel once
-            tagged = np.concatenate((keys, l.astype(">u2").view(np.uint8).reshape(-1, 2), r.astype(">u2").view(np.uint8).reshape(-1, 2)), axis=1)
-            view = np.ascontiguousarray(tagged).view(f"V{tagged.shape[1]}").ravel()
-            by = np.argsort(view, kind="stable")
-            same = view[by][1:] == view[by][:-1]
-            first = np.flatnonzero(np.concatenate(([True], ~same)))
-            one = by[first]
-            lcp, rest = front_code(keys[one])
-            yield batch(run, [g], [len(one)], [lcp.tobytes()], [rest], [l[one].astype(np.uint16).tobytes()], [r[one].astype(np.uint16).tobytes()],
-                        [np.diff(np.append(first, len(by))).astype(np.int32).tobytes()], [names[d][by].tobytes()], [at[part][by].astype(np.int32).tobytes()])
+            yield coded(g, data, offs, doc[part], at[part], left[part], right[part], names)
+
+    def hot_parts(batches):
+        number = TaskContext.get().partitionId() << 32
+        for b in batches:
+            for z in range(0, b.num_rows, 2000):
+                data, offs, doc, _, at, left, right, names = anchors_of(b.slice(z, 2000))
+                for i in range(0, len(doc), PART):
+                    part = slice(i, i + PART)
+                    yield coded(number, data, offs, doc[part], at[part], left[part], right[part], names)
+                    number += 1
+
+    def coded(g, data, offs, d, at, left, right, names):
+        l, r = left.astype(np.int64), right.astype(np.int64)
+        keys = s.keys(data, offs[d] + at, l, r)
+        # equal keys with equal reach travel once
+        tagged = np.concatenate((keys, l.astype(">u2").view(np.uint8).reshape(-1, 2), r.astype(">u2").view(np.uint8).reshape(-1, 2)), axis=1)
+        view = np.ascontiguousarray(tagged).view(f"V{tagged.shape[1]}").ravel()
+        by = np.argsort(view, kind="stable")
+        same = view[by][1:] == view[by][:-1]
+        first = np.flatnonzero(np.concatenate(([True], ~same)))
+        one = by[first]
+        lcp, rest = front_code(keys[one])
+        return batch(run, [g], [len(one)], [lcp.tobytes()], [rest], [l[one].astype(np.uint16).tobytes()], [r[one].astype(np.uint16).tobytes()],
+                     [np.diff(np.append(first, len(by))).astype(np.int32).tobytes()], [names[d][by].tobytes()], [at[by].astype(np.int32).tobytes()])
 
     span = pa.schema([("row", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
@@ -395,10 +548,17 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
             hit = np.flatnonzero(r[each] > 0)
             yield batch(span, x[3][hit], (x[4][hit] - l[each[hit]]).astype(np.int32), (x[4][hit] + r[each[hit]]).astype(np.int32))
 
-    dealt = (held.where("live IS NOT NULL").select("row", "t", "live").mapInArrow(
-        sort_runs, "bucket int, n long, lcp binary, rest binary, left binary, right binary, copies binary, row binary, at binary")
-        .repartitionById(buckets, F.col("bucket")))
-    return held, dealt.mapInArrow(merge_bucket, "row long, lo int, hi int")
+    coded_ddl = "n long, lcp binary, rest binary, left binary, right binary, copies binary, row binary, at binary"
+
+    def with_anchors(which):
+        return held.select("row", "t", F.expr(f"filter(live, x -> {which})").alias("live")).where("size(live) > 0")
+
+    dealt = with_anchors("not x.hot").mapInArrow(sort_runs, f"bucket long, {coded_ddl}").repartitionById(buckets, F.col("bucket").cast("int"))
+    spans = dealt.mapInArrow(merge_bucket, "row long, lo int, hi int")
+    if not live.where("hot").isEmpty():
+        hot = kept(with_anchors("x.hot").mapInArrow(hot_parts, f"part long, {coded_ddl}"), "hot-suffixes")
+        spans = spans.unionByName(hot_spans(hot, s, buckets))
+    return held, spans
 
 
 def _classes(lcps, left, right, width):
