@@ -134,6 +134,18 @@ def test_license_detections_against_python(llm):
     assert {(r.row, r.label, r.tier, r.lo, r.hi) for r in licenses.detections(rows).collect()} == want
 
 
+def test_license_keywords_lose_nothing(llm):
+    texts = {0: "MIT No Attribution", 1: "Released under MIT No Attribution.", 2: "an End User Licence Agreement", 3: "Open Source Licence", 4: "open-source license",
+             5: "MIT No Attribution License", 6: "end user license agreement", 7: "no such statement"}
+    rows = llm.createDataFrame(list(texts.items()), "doc_id long, text string").select("doc_id", licenses.normalised("text").alias("x")).collect()
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in licenses.scan(llm.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    for r in rows:                                            # patterns without their keywords
+        spans = sorted((m.start(), -m.end(), tier, i, label) for i, (label, _, pattern, tier, _) in enumerate(licenses.rules())
+                       for m in re.finditer(f"(?<= )(?:{pattern})(?= )", r.x))
+        assert got[r.doc_id] == {x[4] for k, x in enumerate(spans) if not any(h <= x[1] and t <= x[2] for _, h, t, _, _ in spans[:k])}
+    assert got[0] == got[1] == got[5] == {"mit-0"} and got[2] == got[6] == {"proprietary"} and got[3] == got[4] == {"open-source"} and not got[7]
+
+
 def test_license_odd_rows(odd, empty):
     got = licenses.scan(odd)
     assert got.count() == odd.count() and licenses.scan(empty).collect() == []

@@ -2,8 +2,8 @@
 
 A text is normalised to its lower-cased words, one space between them. Rules
 are (label, keyword, pattern, tier): a text is a candidate if it holds any
-keyword, and a rule's pattern runs on a candidate only if its keyword stands in
-it. Every match is an interval of characters. Detections of a text are put
+keyword, and a rule's pattern runs on a candidate only if its keyword, which
+every match of the pattern holds, stands in it. Every match is an interval of characters. Detections of a text are put
 in order of start, longest first; one that lies inside an earlier detection of
 the same or a stronger tier is suppressed, so the most specific statement wins
 (tier 1: license statements and identifiers, 2: names, 3: hints). Three base
@@ -130,7 +130,7 @@ HINTS = [
     ("proprietary", "confidential", r"(proprietary and confidential|confidential and proprietary)"),
     ("proprietary", "proprietary", r"proprietary licen[sc]e"),
     ("proprietary", "unauthorized", r"unauthorized (copying|reproduction|use|distribution)"),
-    ("proprietary", "end user license", r"end user licen[sc]e agreement"),
+    ("proprietary", "end user licen", r"end user licen[sc]e agreement"),
     ("no-redistribution", "redistribut", r"(may|must) not( be)? redistribut\w+"),
     ("no-redistribution", "written", r"without( the)?( prior| express)? written (permission|consent)"),
     ("noncommercial", "commercial", r"(for )?non ?commercial (use|purposes)( only)?"),
@@ -140,7 +140,7 @@ HINTS = [
     ("warranty", "warrant", r"as is without( any)?( express or implied)? warranty"),
     ("public-domain", "public domain", r"(in the )?public domain"),
     ("copyleft", "copyleft", r"copyleft( licen[sc]e)?"),
-    ("open-source", "open source license", r"open source licen[sc]e"),
+    ("open-source", "open source licen", r"open source licen[sc]e"),
     ("license", "license file", r"see( the)? license file"),
     ("license", "licen", r"under the terms of( the)? .{1,60}? licen[sc]e"),
     ("license", "licen", r"licen[sc]ed under"),
@@ -177,6 +177,8 @@ def rules() -> list[tuple[str, str, str, int, float]]:
         key = "bsd" if "bsd" in name else "licen" if "licen" in name else spdx.split()[0]
         if label == "perl":
             key = "perl itself"
+        if label == "mit-0":                 # the license word is optional
+            key = "no attribution"
         out.append((label, "spdx", f"spdx licen[sc]e identifier {spdx}", 1, 1.0))
         out.append((label, key, f"(licen[sc]ed|released|distributed|available|provided) under( the)?( terms of( the)?)? {name}", 1, 1.0))
         out.append((label, key, name, 2, 0.8))
