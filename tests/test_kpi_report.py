@@ -1,11 +1,12 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from wareflow.functions.columns import comparison_names, parse_month
 from wareflow.operators.kpi import map_groups, period_deltas, read_kpi_sheet, unpivot_kpi
-from wareflow.operators.report import report, report_rows, report_tree
+from wareflow.operators.report import report, report_rows, report_table, report_tree
 
 from conftest import rows
 
@@ -78,6 +79,45 @@ def test_report_and_tree(spark):
     assert json.loads(t0.data) == {"items": [{"score": 1.0}, {"score": 2.0}]}
 
 
+def test_tree_keys_that_print_alike_share_a_node(spark):
+    df = spark.createDataFrame([("1", None, "k", 2.0), ("1", "null", "k", 1.0), ("1", 'a "b"\n', "k", None)],
+                               "date string, g string, kpi string, score double")
+    tree = report_tree(report_rows(df, [SPEC]), 2).collect()[0]
+    assert json.loads(tree.data) == {"[g, null]": {"[date, 1]": {"items": [{"score": 1.0}, {"score": 2.0}]}},
+                                     '[g, a "b"\n]': {"[date, 1]": {"items": [{"score": None}]}}}
+
+
+def test_specs_with_different_metrics_share_documents(spark):
+    df = spark.createDataFrame([("1", "A", "k", 2.0), ("2", "A", "k", 1.0)], "date string, g string, kpi string, score double")
+    other = {**SPEC, "metrics": [(":kind", "kpi"), (":score", "score")]}
+    data, = [json.loads(r.data) for r in report_table(df, [SPEC, other]).collect()]
+    assert data == {"[g, A]": {f"[date, {d}]": {"items": [{"kind": "k", "score": s}, {"score": s}]} for d, s in (("1", 2.0), ("2", 1.0))}}
+    items, = [r["items"] for r in report(df, [SPEC, other]).collect()]
+    assert sorted(json.loads(x.metrics).keys().__len__() for x in items) == [1, 1, 2, 2]
+    flat = {**SPEC, "dimension": [], "metrics": [(":n", "score")]}      # another depth is another segment
+    assert {r.name for r in report_table(df, [SPEC, other, flat]).collect()} == {"g_date", "overall"}
+
+
+def test_oversized_documents_fail_before_they_are_gathered(spark):
+    df = spark.range(3000).selectExpr("cast(id % 7 as string) date", "'A' g", "if(id < 2900, 'hot', 'k') kpi", "cast(id as double) score")
+    with pytest.raises(ValueError, match="hot"):
+        report_tree(report_rows(df, [SPEC]), 2, max_bytes=20_000)
+    with pytest.raises(ValueError, match="hot"):
+        report(df, [SPEC], max_bytes=20_000)
+    assert report_tree(report_rows(df, [SPEC]), 2, max_bytes=100_000).count() == 2
+
+
+def test_raw_rows_of_one_selector_are_spread(spark):
+    """The only grouping of raw rows is on the whole path; the next ones see one row a node."""
+    df = spark.range(20_000).selectExpr("cast(id % 400 as string) date", "cast(id % 50 as string) g", "'one' kpi", "cast(id as double) score")
+    out = report_tree(report_rows(df, [SPEC]), 2)
+    out.collect()
+    plan = out._jdf.queryExecution().toString()
+    raw = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert raw and not any("REPARTITION" in x for x in raw)
+    assert any("_k0" in x and "_k1" in x for x in raw)
+
+
 def test_long_sheet_reader_equals_wide_then_unpivot(spark, scratch):
     from wareflow.operators.kpi import read_kpi_sheet_long
     p = scratch("sheet2")
@@ -87,8 +127,32 @@ def test_long_sheet_reader_equals_wide_then_unpivot(spark, scratch):
     assert rows(read_kpi_sheet_long(spark, p)) == rows(unpivot_kpi(read_kpi_sheet(spark, p)))
 
 
+def test_sheet_lines_are_not_shuffled(spark, scratch):
+    from wareflow.operators.kpi import read_kpi_sheet_long
+    p = scratch("sheet3")
+    lines = [",,k_Jan16,_", "u,u,u,u", "s,s,s,s", *(f"cn{i},LNS_X,{i}," for i in range(40))]
+    for part in "ab":
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{p}/{part}")
+    out = read_kpi_sheet_long(spark, p)
+    assert out.count() == 80
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("FileScan") == 1
+
+
+def test_group_mapping_over_a_bound_is_shuffled(spark, monkeypatch):
+    from wareflow.operators import kpi
+    df = spark.createDataFrame([("LNS",), ("ZZ",)], "b string")
+    groups = spark.createDataFrame([("LNS", "G" * 100)], "member string, group string")
+    hints = []
+    monkeypatch.setattr(kpi.F, "broadcast", lambda x: hints.append(x) or x)
+    for bytes_max, times in ((256, 1), (100, 0)):
+        monkeypatch.setattr(kpi, "MAX_BROADCAST_GROUP_BYTES", bytes_max)
+        hints.clear()
+        assert rows(map_groups(df, groups, "b")) == [("LNS", "G" * 100), ("ZZ", None)]
+        assert len(hints) == times
+
+
 def test_duplicate_sheet_entities_rejected(spark):
-    import pytest
     d = dt.date(2016, 1, 1)
     df = spark.createDataFrame([("e", "k", d, 1.0), ("e", "k", d, 2.0)],
                                "e string, kpi string, month date, value double")

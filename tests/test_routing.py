@@ -32,7 +32,7 @@ def test_rows_route_by_their_own_levels(spark, scratch):
     root = scratch("route")
     out = _derive(spark, root, [("p=1/q=a", "x"), ("p=2/q=N/A", "y"), ("r=5", "z")], ["'prt_path", "'v"])
     assert rows(spark.read.json(out + "/p=1"), "v") == [("x",)]
-    assert rows(spark.read.json(out + "/r=5"), "v") == [("z",)]
+    assert rows(spark.read.json(out + "/levels.r/r=5"), "v") == [("z",)]      # a list of levels has a folder of its own
     assert rows(spark.read.json(out + "/p=2"), "q", "v") == [("N/A", "y")]
 
 

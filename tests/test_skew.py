@@ -103,3 +103,24 @@ def test_invert_splits_hot_node(spark):
         assert {r.n_parents for r in got if r.node == "hot"} == {20000}
         plan = _final_plan(out)
     assert "SortMergeJoin(skew=true)" in plan  # the hot node's edges are split
+
+
+def test_copies_of_one_row_are_made_by_many_tasks(spark):
+    ods = spark.range(3_000_000).select(F.lit(7).cast("bigint").alias("k"), F.lit("v").alias("v"))
+    stg = spark.createDataFrame([(7, "a"), (8, "b")], "k bigint, v string")
+    for bound in (None, 10):
+        with conf(spark, {**SKEW_CONF, "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            out = upsert(stg, ods, ["k"], broadcast_keys_max=bound).where("v = 'a'")
+            got = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in got) == 3_000_000 and len(got) >= 8
+        assert max(r["count"] for r in got) <= 800_000
+
+
+def test_broadcast_bound_counts_rows_and_table(spark):
+    from wareflow.operators.measure import fits_broadcast, measured
+    df = spark.createDataFrame([("a" * 100, 1), (None, 2)], "k string, v bigint")
+    rows_, size = measured(df)
+    assert rows_ == 2 and 2 * 48 + 100 < size < 400
+    assert fits_broadcast(df, 2, size) and not fits_broadcast(df, 1, size)
+    assert not fits_broadcast(df, 2, size - 1) and not fits_broadcast(df, None)
+    assert fits_broadcast(df.limit(0), 1, 0)

@@ -28,8 +28,8 @@ def test_stream_picks_up_only_new_drops(spark, scratch):
                              checkpoint=f"{root}/ckpt")
     write_staging_csv(spark.createDataFrame([("3", "x")], "k string, p string"), f"{drops}/d=2")
     ingest_partitions(spark, f"{drops}/*", f"{drops}/d=1", target, [[":pp", 1]], checkpoint=ckpt)
-    # the second run replaced partition pp=x only; pp=y is untouched
-    assert rows(spark.read.parquet(target), "k", "p", "pp") == [("2", "y", "y"), ("3", "x", "x")]
+    # the second run took the second drop alone, and added its row to partition pp=x
+    assert rows(spark.read.parquet(target), "k", "p", "pp") == [("1", "x", "x"), ("2", "y", "y"), ("3", "x", "x")]
 
 
 @pytest.mark.parametrize("cap", [None, 1])
@@ -56,20 +56,62 @@ def test_unpartitioned_runs_add_up(spark, scratch, cap):
         ingest_partitions(spark, *args, checkpoint=f"{root}/other")
 
 
-def test_run_that_died_before_publishing_is_finished(spark, scratch, monkeypatch):
+@pytest.mark.parametrize("step", ["write_partitioned", "move_folder", "retire_folder", "add_files"])
+def test_run_that_died_while_publishing_is_finished_once(spark, scratch, monkeypatch, step):
     from wareflow.streaming import ingest
     root = scratch("sdied")
     args = (f"{root}/stg/*", f"{root}/stg/d=0", f"{root}/ods", [[":pp", 1]])
-    write_staging_csv(spark.createDataFrame([("1", "x")], "k string, p string"), f"{root}/stg/d=0")
+    write_staging_csv(spark.createDataFrame([("1", "x"), ("2", "y")], "k string, p string"), f"{root}/stg/d=0")
+    ingest_partitions(spark, *args, checkpoint=f"{root}/ckpt")
+    write_staging_csv(spark.createDataFrame([("3", "x")], "k string, p string"), f"{root}/stg/d=1")
+    real, calls = getattr(ingest, step), []
 
-    def dies(*_a, **_k):
+    def dies(*a, **k):
+        calls.append(a)
+        if step == "move_folder" and len(calls) == 1:         # pending to ready: the stream has stopped by then
+            return real(*a, **k)
         raise RuntimeError("driver lost")
     with monkeypatch.context() as m:
-        m.setattr(ingest, "publish_partitions", dies)
+        m.setattr(ingest, step, dies)
         with pytest.raises(RuntimeError):
             ingest_partitions(spark, *args, checkpoint=f"{root}/ckpt")
+    write_staging_csv(spark.createDataFrame([("4", "x")], "k string, p string"), f"{root}/stg/d=2")
     ingest_partitions(spark, *args, checkpoint=f"{root}/ckpt")
-    assert rows(spark.read.parquet(f"{root}/ods"), "k", "pp") == [("1", "x")]
+    assert rows(spark.read.parquet(f"{root}/ods"), "k", "pp") == [("1", "x"), ("2", "y"), ("3", "x"), ("4", "x")]
+
+
+def test_half_moved_files_are_finished(spark, scratch):
+    from wareflow.sinks.files import _fs, add_files, write_partitioned
+    root = scratch("shalf")
+    df = spark.range(20).selectExpr("id", "id % 5 AS p").repartition(3)
+    write_partitioned(df, f"{root}/t", ["p"])
+    write_partitioned(df.selectExpr("id + 100 AS id", "p"), f"{root}/s", ["p"])
+    fs, at = _fs(spark, f"{root}/s/p=2/part*")
+    moved = fs.globStatus(at)[0].getPath()
+    fs.rename(moved, spark._jvm.org.apache.hadoop.fs.Path(f"{root}/t/p=2/{moved.getName()}"))
+    add_files(spark, f"{root}/s", f"{root}/t", 1)
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/t").collect()) == [*range(20), *range(100, 120)]
+
+
+@pytest.mark.parametrize("cuts", [[4], [1, 3], [1, 1, 1, 1]])
+def test_same_table_for_any_split_into_runs(spark, scratch, cuts):
+    root = scratch("ssplit")
+    data = [("1", "N/A"), ("2", "y"), ("3", "N/A"), ("4", "y")]
+    args = (f"{root}/stg/*", f"{root}/stg/d=0", f"{root}/ods", [[":pp", 1]])
+    at = 0
+    for n in cuts:
+        for i in range(at, at + n):
+            write_staging_csv(spark.createDataFrame([data[i]], "k string, p string").coalesce(1), f"{root}/stg/d={i}")
+        at += n
+        ingest_partitions(spark, *args, checkpoint=f"{root}/ckpt", max_files_per_trigger=1)
+    assert rows(spark.read.parquet(f"{root}/ods"), "k", "pp") == data[:1] + [("2", "y"), ("3", "N/A"), ("4", "y")]
+
+
+def test_blank_names_of_a_sample_drop(spark, scratch):
+    root = scratch("sblank")
+    spark.createDataFrame([("k,, ,p",), ("1,a,b,x",)], "v string").coalesce(1).write.text(f"{root}/stg/d=0")
+    ingest_partitions(spark, f"{root}/stg/*", f"{root}/stg/d=0", f"{root}/ods", [[":pp", 3]], checkpoint=f"{root}/ckpt")
+    assert rows(spark.read.parquet(f"{root}/ods"), "k", "NA_2", "NA_3", "p", "pp") == [("1", "a", "b", "x", "x")]
 
 
 def test_drop_with_another_header_order_fails(spark, scratch):

@@ -5,7 +5,7 @@ Public API (all take and return DataFrames unless noted)::
     from wareflow import upsert, replace_into, apply_spec, merge_job, ...
 """
 
-from wareflow.functions.columns import comparison_names, month_name, parse_month, tree_key
+from wareflow.functions.columns import bind_fields, comparison_names, month_name, parse_month, tree_key
 from wareflow.functions.spec import fill_header, parse_columns, resolve, to_spark_sql
 from wareflow.operators.derive import apply_spec, bind_types, derive, drop_hidden
 from wareflow.operators.edges import invert, links, roots, tagged, with_defaults
@@ -24,20 +24,21 @@ from wareflow.sinks.catalog import ensure_external_table, repair
 from wareflow.sinks.files import (export_parts, publish_partitions, publish_table,
                                   recover_table, write_delimited, write_feature_json,
                                   write_partitioned, write_staging_csv)
-from wareflow.sources.text import (check_headers, read_delimited, read_feature_json,
-                                   read_lines, read_staging, skip_rows, tag_rows)
+from wareflow.sinks.layouts import read_feature_table
+from wareflow.sources.text import (check_headers, first_lines, read_bound, read_delimited,
+                                   read_feature_json, read_lines, read_staging, skip_rows, tag_rows)
 from wareflow.streaming.ingest import ingest_merge, ingest_partitions, merge_batch
 
 __version__ = "0.1.0"
 
 __all__ = [
-    "apply_spec", "bind_types", "build_session", "check_headers", "checkpoint_root",
+    "apply_spec", "bind_fields", "bind_types", "build_session", "check_headers", "checkpoint_root",
     "columns_for", "comparison_names", "configure", "derive", "derive_job", "drop_hidden",
     "ensure_external_table", "export_parts", "exprs_for", "feature_catalog", "feature_job",
-    "feature_roles", "fill_header", "ingest_merge", "ingest_partitions", "merge_batch", "invert", "kpi_job", "links",
+    "feature_roles", "fill_header", "first_lines", "ingest_merge", "ingest_partitions", "merge_batch", "invert", "kpi_job", "links",
     "map_groups", "match_constants", "merge_job", "month_name", "parse_columns", "parse_job_id",
     "parse_month", "parse_prt_path", "partition_job", "period_deltas", "publish_partitions",
-    "publish_table", "read_delimited", "read_feature_json", "read_kpi_sheet",
+    "publish_table", "read_bound", "read_delimited", "read_feature_json", "read_feature_table", "read_kpi_sheet",
     "read_kpi_sheet_long", "read_lines", "read_staging", "recover_table", "repair",
     "replace_into", "report", "report_table", "report_tree", "resolve", "role_job",
     "role_rows", "roots", "scratch_path", "skip_rows", "tag_rows", "tagged", "to_spark_sql", "tree_key",

@@ -1,7 +1,8 @@
 """Scalar column functions shared by the operators.
 
 ``MMMyy`` month names (parse with a fixed century window, format, month
-index), the names of a KPI column's comparison periods, and report tree keys.
+index), the names of a KPI column's comparison periods, report tree keys, and header
+names bound to fields by position.
 All are built-in Spark expressions (no Python per row).
 """
 
@@ -52,3 +53,19 @@ def comparison_names(kpi_month: Column) -> Column:
 def tree_key(name: Column, value: Column) -> Column:
     """A tree level key as printed by the report: ``[name, value]``."""
     return F.concat(F.lit("["), name, F.lit(", "), F.coalesce(value, F.lit("null")), F.lit("]"))
+
+
+def bind_fields(names: Column, fields: Column) -> Column:
+    """An array of names and an array of fields, paired by position: array<(name, value)>.
+
+    A name without a field has the value NULL; fields beyond the names are left out.
+    """
+    pairs = F.zip_with(names, fields, lambda n, v: F.struct(n.alias("name"), v.alias("value")))
+    return F.slice(pairs, F.lit(1), F.size(names))
+
+
+def filled_names(names: Column) -> Column:
+    """Header cells with the blank ones as ``NA_<1-based position>``."""
+    return F.transform(names, lambda n, i: F.when(
+        (n.isNull()) | (F.trim(F.regexp_replace(n, "\\s", "")) == ""),
+        F.concat(F.lit("NA_"), (i + 1).cast("string"))).otherwise(n))

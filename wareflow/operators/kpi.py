@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from wareflow.functions.columns import month_index, parse_month
 from wareflow.operators.keys import per_key
-from wareflow.sources.text import first_line, read_lines, skip_rows, split_fields, tag_rows
+from wareflow.operators.measure import fits_broadcast
+from wareflow.sources.text import first_lines, read_data_lines, split_fields
 
 # Fixed values (must equal the reference's): the two id columns of a sheet,
 # the header cell that ends the KPI columns, the number of leading rows before data.
@@ -35,11 +36,10 @@ def sheet_header(spark: SparkSession, path: str) -> list[str]:
 
     Reads only the first line of each file; all files must agree.
     """
-    lines = tag_rows(read_lines(spark, path))
-    heads = [r["value"] for r in first_line(lines).select("value").distinct().collect()]
+    heads = first_lines(spark, path).select("line").distinct().limit(2).collect()
     if len(heads) != 1:
-        raise ValueError(f"sheet headers differ across files: {len(heads)}")
-    cells = heads[0].split(",")
+        raise ValueError("sheet headers differ across files" if heads else f"no sheet lines below {path}")
+    cells = heads[0]["line"].split(",")
     names = []
     for cell in cells[len(ID_COLUMNS):]:
         if cell.strip() == SENTINEL:
@@ -55,7 +55,7 @@ def read_kpi_sheet(spark: SparkSession, path: str, skip: int = SKIP_ROWS) -> Dat
     columns after the ``_`` header cell are ignored; empty cells are NULL.
     """
     names = sheet_header(spark, path)
-    data = skip_rows(tag_rows(read_lines(spark, path)), skip).where(F.col("value") != "")
+    data = read_data_lines(spark, path, skip).where(F.col("value") != "")
     fields = split_fields(F.col("value"), names, sep=",")
     return data.select(*[F.nullif(f, F.lit("")).alias(n) for f, n in zip(fields, names)])
 
@@ -69,7 +69,7 @@ def read_kpi_sheet_long(spark: SparkSession, path: str, skip: int = SKIP_ROWS) -
     """
     names = sheet_header(spark, path)
     kpis = names[len(ID_COLUMNS):]
-    data = skip_rows(tag_rows(read_lines(spark, path)), skip).where(F.col("value") != "")
+    data = read_data_lines(spark, path, skip).where(F.col("value") != "")
     parts = F.split(F.col("value"), ",", -1)
     ids = [F.get(parts, i).alias(n) for i, n in enumerate(ID_COLUMNS)]
     cells = F.slice(parts, len(ID_COLUMNS) + 1, len(kpis))
@@ -151,6 +151,7 @@ def group_table(spark: SparkSession, groups: Mapping[str, Sequence[str]]) -> Dat
 
 
 MAX_BROADCAST_GROUP_ROWS = 1_000_000
+MAX_BROADCAST_GROUP_BYTES = 256 * 1024 * 1024
 
 
 def map_groups(df: DataFrame, groups, member_col: str, group_col: str = "group") -> DataFrame:
@@ -158,22 +159,18 @@ def map_groups(df: DataFrame, groups, member_col: str, group_col: str = "group")
 
     ``groups`` is a dict or a (member, group[, seq]) DataFrame (deduplicated
     per member: highest seq wins, else the greatest group). Either way the
-    mapping is broadcast only when its size is known to be within
-    :data:`MAX_BROADCAST_GROUP_ROWS` (a dict's length, or a count of the
-    deduplicated frame); otherwise it is an ordinary shuffled join.
+    mapping is broadcast only when it is measured to be within
+    :data:`MAX_BROADCAST_GROUP_ROWS` and :data:`MAX_BROADCAST_GROUP_BYTES`;
+    otherwise it is an ordinary shuffled join.
     """
-    spark = df.sparkSession
     if isinstance(groups, Mapping):
-        n = sum(len(v) for v in groups.values())
-        mapping = group_table(spark, groups)
-        if n <= MAX_BROADCAST_GROUP_ROWS:
-            mapping = F.broadcast(mapping)
+        mapping = group_table(df.sparkSession, groups)
     else:
         order = F.struct("seq", "group") if "seq" in groups.columns else F.struct("group")
         mapping = (per_key(groups, ["member"], F.max(order).alias("_o"))
                    .select("member", F.col("_o.group").alias("group")))
-        if mapping.count() <= MAX_BROADCAST_GROUP_ROWS:
-            mapping = F.broadcast(mapping)
+    if fits_broadcast(mapping, MAX_BROADCAST_GROUP_ROWS, MAX_BROADCAST_GROUP_BYTES):
+        mapping = F.broadcast(mapping)
     mapping = mapping.withColumnRenamed("group", group_col)
     return df.join(mapping, df[member_col] == mapping["member"], "left").drop(mapping["member"])
 

@@ -68,12 +68,10 @@ def names_of(column: str = PRT_PATH) -> Column:
     return F.transform(steps, lambda s: F.split(s, "=", 2)[0])
 
 
-def level_names(df: DataFrame, column: str = PRT_PATH, limit: int = 100) -> list[list[str]]:
+def level_names(df: DataFrame, column: str = PRT_PATH) -> list[list[str]]:
     """The distinct lists of level names that ``column`` spells, longest first ([] for blank paths).
 
-    They are part of the table's layout, so more than ``limit`` of them fail.
+    They are the folders of the table's layouts: the driver gets their names alone.
     """
-    found = df.select(names_of(column).alias("names")).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} spells more than {limit} lists of level names")
+    found = df.select(names_of(column).alias("names")).distinct().collect()
     return sorted((list(r["names"]) for r in found), key=lambda x: (-len(x), x))

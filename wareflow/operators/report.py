@@ -11,8 +11,10 @@ is a constant the field must equal for the row to count. Fields may also be
 given by position (an int) in the row's columns. The segment is the named
 dimensions; its label is their names joined by ``_``, or ``overall``.
 
-Items are collected per (segment, selector): one report document each (the
-stored document is a bounded text value), never a whole table.
+Specs may name different metrics: their rows then carry the metrics as JSON text,
+otherwise as one struct. A report document is one row, so its items are gathered
+once they are known to fit: a document whose items take more than ``max_bytes``
+of JSON text fails before anything is gathered.
 """
 
 from __future__ import annotations
@@ -58,12 +60,25 @@ def _pairs(df: DataFrame, entries) -> Column:
                      for n, f in entries])
 
 
+def _metrics(rows: DataFrame, spec) -> list[tuple[str, str]]:
+    """(name, type) of a spec's metrics."""
+    types = dict(rows.dtypes)
+    return [(n, types[_field(rows, f)]) for n, f in _named(spec.get("metrics", []))]
+
+
+def _json(metrics: Column) -> Column:
+    """JSON text of a metrics struct; a NULL metric is printed as null."""
+    return F.to_json(metrics, {"ignoreNullFields": "false"})
+
+
 def report_rows(df: DataFrame, specs: Sequence[dict]) -> DataFrame:
     """One row per (spec, matching row): segment, selector (JSON text),
-    dims (array<name,value>), metrics (struct of the named metric fields).
+    dims (array<name,value>), metrics.
 
-    All specs must name the same metrics so their rows share one schema.
+    ``metrics`` is a struct of the named fields when all specs name the same
+    ones, and JSON text (an object) when their shapes differ.
     """
+    alike = len({tuple(_metrics(df, spec)) for spec in specs}) == 1
     out = None
     for spec in specs:
         rows = match_constants(df, spec)
@@ -74,66 +89,91 @@ def report_rows(df: DataFrame, specs: Sequence[dict]) -> DataFrame:
                                          lambda p: F.array(p["name"], p["value"])))
         metrics = F.struct(*[F.col(f"`{_field(rows, f)}`").alias(n) for n, f in mets])
         part = rows.select(F.lit(segment_label(spec)).alias("segment"),
-                           selector.alias("selector"),
-                           _pairs(rows, dims).alias("dims"), metrics.alias("metrics"))
+                           selector.alias("selector"), _pairs(rows, dims).alias("dims"),
+                           (metrics if alike else _json(metrics)).alias("metrics"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def report(df: DataFrame, specs: Sequence[dict]) -> DataFrame:
+#: Greatest JSON text of one report document's items.
+DOCUMENT_BYTES = 64 << 20
+
+
+def _text(rows: DataFrame) -> Column:
+    """The metrics of each row as JSON text."""
+    return F.col("metrics") if dict(rows.dtypes)["metrics"] == "string" else _json(F.col("metrics"))
+
+
+def require_documents_fit(rows: DataFrame, max_bytes: int) -> None:
+    """Fail if the items of one (segment, selector) take more than ``max_bytes``.
+
+    One aggregation, combined map-side: a document of any size costs one row per task.
+    """
+    size = F.octet_length(_text(rows)) + 1
+    sums = rows.groupBy("segment", "selector").agg(F.sum(size).alias("bytes"))
+    worst = sums.agg(F.max(F.struct("bytes", "segment", "selector")).alias("w")).first()["w"]
+    if worst is not None and worst["bytes"] > max_bytes:
+        raise ValueError(f"report document {worst['segment']} {worst['selector']} has {worst['bytes']} bytes "
+                         f"of items, more than {max_bytes}")
+
+
+def report(df: DataFrame, specs: Sequence[dict], max_bytes: int = DOCUMENT_BYTES) -> DataFrame:
     """(segment, selector, items): every spec's rows accumulate per key; items
     are {dims, metrics} structs sorted for a deterministic order."""
     rows = report_rows(df, specs)
+    require_documents_fit(rows, max_bytes)
     return (rows.groupBy("segment", "selector")
             .agg(F.array_sort(F.collect_list(F.struct("dims", "metrics"))).alias("items")))
 
 
-def _sorted_entries(entries: Column) -> Column:
-    """Sort (key, value) entries by key only (maps are not orderable)."""
-    return F.array_sort(entries, lambda a, b: F.when(a["key"] < b["key"], -1)
-                        .when(a["key"] > b["key"], 1).otherwise(0))
+def _quoted(text: Column) -> Column:
+    """``text`` as a JSON string: the single element of a printed array."""
+    one = F.to_json(F.array(text))
+    return F.substring(one, F.lit(2), F.length(one) - 2)
 
 
-def report_tree(rows: DataFrame, n_dims: int) -> DataFrame:
+def report_tree(rows: DataFrame, n_dims: int, max_bytes: int = DOCUMENT_BYTES) -> DataFrame:
     """(segment, selector, data): the nested JSON tree of each report.
 
     One level per dimension, keyed ``[name, value]``; the innermost level
-    holds ``items``, the sorted list of metric objects. Built innermost first:
-    every level is one grouping of the previous level's (smaller) rows. The
-    rows are hash-partitioned by selector once; every level's keys contain it,
-    so no level shuffles again. (Not by segment too: a constant segment is
-    folded into each aggregate under a new name and would not match.)
+    holds ``items``, the list of metric objects, sorted by their values (by
+    their text when specs name different metrics). Values that print alike,
+    such as NULL and the text ``null``, share a key.
+
+    The tree grows from its leaves. Raw rows are grouped once, on the whole
+    path (segment, selector and every key), so a large document is spread over
+    as many tasks as it has leaves; each node is then turned into JSON text
+    and only that text goes to the next, shorter grouping.
     """
-    flat = rows.select("segment", "selector", "metrics",
-                       *[F.get(F.col("dims"), i).alias(f"_d{i}") for i in range(n_dims)])
-    flat = flat.repartition("selector")
-    keys = ["segment", "selector"] + [f"_d{i}" for i in range(n_dims)]
-    level = (flat.groupBy(*keys)
-             .agg(F.struct(F.array_sort(F.collect_list("metrics")).alias("items"))
-                  .alias("node")))
+    require_documents_fit(rows, max_bytes)
+    printed = [F.get(F.col("dims"), i) for i in range(n_dims)]
+    keys = ["segment", "selector"] + [f"_k{i}" for i in range(n_dims)]
+    level = (rows.select("segment", "selector", F.col("metrics").alias("_order"), _text(rows).alias("_text"),
+                         *[tree_key(d["name"], d["value"]).alias(f"_k{i}") for i, d in enumerate(printed)])
+             .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_order", "_text"))).alias("_items")))
+    node = F.concat(F.lit('{"items":['), F.array_join(F.transform("_items", lambda x: x["_text"]), ","), F.lit("]}"))
     for i in reversed(range(n_dims)):
-        d = F.col(f"_d{i}")
-        entry = F.struct(tree_key(d["name"], d["value"]).alias("key"),
-                         F.col("node").alias("value"))
-        parent = keys[:2 + i]
-        level = (level.groupBy(*parent)
-                 .agg(F.map_from_entries(_sorted_entries(F.collect_list(entry)))
-                      .alias("node")))
-    return level.select("segment", "selector", F.to_json("node").alias("data"))
+        entry = F.struct(F.col(f"_k{i}").alias("key"), F.col("_node").alias("node"))
+        level = (level.select(*keys[:3 + i], node.alias("_node"))
+                 .groupBy(*keys[:2 + i]).agg(F.array_sort(F.collect_list(entry)).alias("_children")))
+        node = F.concat(F.lit("{"), F.array_join(F.transform(
+            "_children", lambda x: F.concat(_quoted(x["key"]), F.lit(":"), x["node"])), ","), F.lit("}"))
+    return level.select("segment", "selector", node.alias("data"))
 
 
-def report_table(df: DataFrame, specs: Sequence[dict], category: str = "score") -> DataFrame:
+def report_table(df: DataFrame, specs: Sequence[dict], category: str = "score",
+                 max_bytes: int = DOCUMENT_BYTES) -> DataFrame:
     """Rows of the keyed report table: (category, name, selector, data).
 
     Specs are grouped by their number of named dimensions (one tree shape
-    each) and the trees unioned.
+    each, whatever their metrics) and the trees unioned.
     """
     by_depth: dict[int, list[dict]] = {}
     for spec in specs:
         by_depth.setdefault(len(_named(spec.get("dimension", []))), []).append(spec)
     out = None
     for depth, group in sorted(by_depth.items()):
-        t = report_tree(report_rows(df, group), depth)
+        t = report_tree(report_rows(df, group), depth, max_bytes)
         out = t if out is None else out.unionByName(t)
     return out.select(F.lit(category).alias("category"), F.col("segment").alias("name"),
                       "selector", "data")

@@ -9,8 +9,9 @@ key where the staging row wins whole):
 
 The plan never pairs rows: stored rows are counted per key (map-side partial
 aggregation, so a hot key costs one row per task), staging rows are joined to
-that count (one row per key on the build side) and repeated; stored rows
-without a staging key are kept with an anti join. With few staging keys
+that count (one row per key on the build side) and repeated, the copies of one
+row by many tasks when they are many; stored rows without a staging key are
+kept with an anti join. With few staging keys
 (measured) everything on the stored side is map-side; otherwise AQE splits a
 skewed staging or stored partition in both joins.
 
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wareflow.operators.keys import per_key
+from wareflow.operators.measure import BROADCAST_BYTES_MAX, BROADCAST_ROWS_MAX, fits_broadcast
 
 
 def _key_exprs(df: DataFrame, keys: Sequence[str]) -> list[Column]:
@@ -67,9 +69,9 @@ def _cond(left: DataFrame, lnames, right: DataFrame, rnames) -> Column:
 
 
 # Staging keys are broadcast when their measured size is within both bounds:
-# a key count and the exact bytes of the normalised key values.
-BROADCAST_KEYS_MAX = 10_000_000
-BROADCAST_KEYS_MAX_BYTES = 128 * 1024 * 1024
+# a key count and the bytes of the hash table they would fill.
+BROADCAST_KEYS_MAX = BROADCAST_ROWS_MAX
+BROADCAST_KEYS_MAX_BYTES = BROADCAST_BYTES_MAX
 
 
 def staging_keys(stg: DataFrame, keys: Sequence[str], prefix: str = "__sk") -> tuple[DataFrame, list[str]]:
@@ -90,29 +92,36 @@ def keep_unmatched(ods: DataFrame, stg: DataFrame, keys: Sequence[str],
 
 
 def _few_staging_keys(stg: DataFrame, keys: Sequence[str], bound: int | None,
-                      max_bytes: int = BROADCAST_KEYS_MAX_BYTES) -> bool:
+                      max_bytes: int | None = None) -> bool:
     """True when the distinct staging keys number at most ``bound`` and their
-    values take at most ``max_bytes`` (both measured in one aggregation over
-    the staging side, the small side of a merge)."""
+    hash table takes at most ``max_bytes`` (both measured in one aggregation
+    over the staging side, the small side of a merge)."""
     if not bound:
         return False
-    skeys, names = staging_keys(stg, keys)
-    types = {f.name: f.dataType for f in skeys.schema.fields}
-    # exact bytes for strings; an upper bound for fixed-width values
-    width = [F.octet_length(F.col(n)) if isinstance(types[n], T.StringType)
-             else F.lit(16 if isinstance(types[n], T.DecimalType) else 8) for n in names]
-    size = F.lit(0)
-    for w in width:
-        size = size + w
-    row = skeys.agg(F.count(F.lit(1)).alias("n"),
-                    F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
-    return row["n"] <= bound and row["bytes"] <= max_bytes
-
-
-#: Copies of a staging row made at a time.
+    skeys, _ = staging_keys(stg, keys)
+    return fits_broadcast(skeys, bound, BROADCAST_KEYS_MAX_BYTES if max_bytes is None else max_bytes)
+
+
+#: Copies of a staging row made by one task at a time.
 FAN_OUT = 1 << 16
 
 
+def _copies(rows: DataFrame, cols: Sequence[Column]) -> DataFrame:
+    """Rows with at most FAN_OUT copies (``__times``), repeated where they stand."""
+    return rows.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))).alias("__copy")).drop("__copy")
+
+
+def _spread_copies(rows: DataFrame, cols: Sequence[Column]) -> DataFrame:
+    """Rows with more copies than FAN_OUT: a row becomes its chunk numbers, the chunks
+    are dealt over all tasks, and each task makes the copies of its chunks."""
+    fan = F.lit(FAN_OUT).cast("long")
+    numbers = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__times") - 1) / fan))
+    chunks = rows.select(*cols, "__times", F.explode(numbers).alias("__chunk"))
+    dealt = chunks.repartition(F.xxhash64(*cols, "__chunk"))
+    here = F.least(fan, F.col("__times") - F.col("__chunk") * fan)
+    return _copies(dealt.select(*cols, here.alias("__times")), cols)
+
+
 def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
            mode: str = "join", broadcast_keys_max: int | None = BROADCAST_KEYS_MAX,
            new_columns: str = "fail") -> DataFrame:
@@ -164,15 +173,13 @@ def upsert(stg: DataFrame, ods: DataFrame, keys: Sequence[str],
         counts = F.broadcast(counts)
     skeyed, snames = _keyed(stg, keys, "__sk")
     joined = skeyed.join(counts, _cond(skeyed, snames, counts, onames), "left")
-    times = F.greatest(F.coalesce(F.col("__n"), F.lit(0)), F.lit(1))
-    # Two levels, so that no row builds a longer array than FAN_OUT or n / FAN_OUT.
     cols = [F.col(f"`{c}`") for c in ods.columns]
-    fan = F.lit(FAN_OUT).cast("long")
-    chunks = joined.select(*cols, times.alias("__times"), F.explode(
-        F.sequence(F.lit(0).cast("long"), F.floor((times - 1) / fan))).alias("__chunk"))
-    here = F.least(fan, F.col("__times") - F.col("__chunk") * fan)
-    repeated = chunks.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), here)).alias("__copy"))
-    return kept.unionByName(repeated.drop("__copy"))
+    times = F.greatest(F.coalesce(F.col("__n"), F.lit(0)), F.lit(1))
+    few = joined.select(*cols, times.alias("__times")).where(F.col("__times") <= FAN_OUT)
+    # Keys with more stored rows than FAN_OUT are few; their staging rows' copies are dealt over the tasks.
+    often = counts.where(F.col("__n") > FAN_OUT)
+    many = skeyed.join(often, _cond(skeyed, snames, often, onames)).select(*cols, F.col("__n").alias("__times"))
+    return kept.unionByName(_copies(few, cols)).unionByName(_spread_copies(many, cols))
 
 
 def replace_into(existing: DataFrame, incoming: DataFrame, pk: Sequence[str],

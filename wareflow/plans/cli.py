@@ -46,11 +46,13 @@ def build_parser() -> argparse.ArgumentParser:
     m.add_argument("table")
     m.add_argument("keys", help='[[":name", index], ...]')
     m.add_argument("--mode", default="join", choices=["join", "replace"])
+    m.add_argument("--strict-single-file", action="store_true", help="fail unless the drop is one file")
 
     p = sub.add_parser("partition", help="stg.<table> -> partitioned ods.<table>")
     p.add_argument("table")
     p.add_argument("spec", nargs="?", default="[]", help='[[":name", index], ...]')
     p.add_argument("--files-per-partition", type=int, default=None)
+    p.add_argument("--strict-single-file", action="store_true", help="fail unless the drop is one file")
 
     d = sub.add_parser("derive", help="typed, derived feature JSON")
     d.add_argument("source")
@@ -80,11 +82,13 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str:
     configure(spark)
     if args.job == "merge":
         return jobs.merge_job(spark, args.root, args.table, _pairs(args.keys),
-                              mode=args.mode, fmt=args.format)
+                              mode=args.mode, fmt=args.format,
+                              strict_single_file=args.strict_single_file)
     if args.job == "partition":
         return jobs.partition_job(spark, args.root, args.table, _pairs(args.spec) or None,
                                   fmt=args.format,
-                                  files_per_partition=args.files_per_partition)
+                                  files_per_partition=args.files_per_partition,
+                                  strict_single_file=args.strict_single_file)
     if args.job == "derive":
         return jobs.derive_job(spark, args.root, args.source, args.target,
                                json.loads(args.columns), _pairs(args.exprs))

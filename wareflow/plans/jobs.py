@@ -20,14 +20,14 @@ from wareflow.operators.derive import bind_types, derive, drop_hidden
 from wareflow.operators.features import (JOB_ID_PATTERN, data_path, feature_catalog, feature_roles,
                                          role_rows, spec_lists, write_role_files)
 from wareflow.operators.kpi import ID_COLUMNS, explode_long, period_deltas, read_kpi_sheet_long
-from wareflow.operators.partition import PRT_PATH, level_names, names_of, with_levels, with_prt_path
+from wareflow.operators.partition import PRT_PATH, level_names, with_levels, with_prt_path
 from wareflow.operators.report import report_table
 from wareflow.operators.upsert import replace_into, upsert
 from wareflow.session import configure
 from wareflow.sinks.catalog import ensure_external_table, repair
-from wareflow.sinks.files import (delimited_line, export_parts, has_levels, path_exists,
-                                  publish_partitions, publish_table, recover_table, write_delimited,
-                                  write_feature_json)
+from wareflow.sinks.files import (delimited_line, export_parts, path_exists, publish_partitions,
+                                  publish_table, recover_table, write_delimited, write_feature_json)
+from wareflow.sinks.layouts import finish_layouts, stored_layouts, write_layouts
 from wareflow.sources.text import read_delimited, read_lines, read_staging
 
 
@@ -62,16 +62,17 @@ def _publish_whole(df: DataFrame, path: str, fmt: str) -> None:
 
 def merge_job(spark: SparkSession, root: str, table: str, keys, mode: str = "join",
               fmt: str = "parquet", catalog_name: str | None = None,
-              new_columns: str = "fail") -> str:
+              new_columns: str = "fail", strict_single_file: bool = False) -> str:
     """Upsert ``stg.<table>`` (header-checked CSV) into ``ods.<table>``.
 
     The stored table is both input and output, so it is published by swap.
     ``fmt`` is a Spark file format, or ``"delimited"`` for headerless
     ``\x01`` text with the staging header's columns. ``new_columns="add"`` lets
     staging bring columns that a stored file-format table lacks.
+    ``strict_single_file`` fails unless the drop is one file.
     """
     configure(spark)
-    stg = read_staging(spark, resolve(root, f"stg.{table}"))
+    stg = read_staging(spark, resolve(root, f"stg.{table}"), strict_single_file=strict_single_file)
     ods_path = resolve(root, f"ods.{table}")
     ods = _stored_or_empty(spark, ods_path, stg, fmt)
     merged = upsert(stg, ods, _key_names(stg, keys), mode=mode, new_columns=new_columns)
@@ -82,16 +83,17 @@ def merge_job(spark: SparkSession, root: str, table: str, keys, mode: str = "joi
 
 def partition_job(spark: SparkSession, root: str, table: str, prt_spec=None,
                   fmt: str = "parquet", catalog_name: str | None = None,
-                  files_per_partition: int | None = None) -> str:
+                  files_per_partition: int | None = None, strict_single_file: bool = False) -> str:
     """Staging CSV -> ``prt_path`` first -> partitions replaced -> table repaired.
 
     ``prt_spec`` is ``[[":name", index], ...]`` (the partition value is the
     staging field at ``index``); empty or None writes the table unpartitioned.
     ``files_per_partition`` bounds the files per directory (see
-    :func:`wareflow.sinks.files.write_partitioned`).
+    :func:`wareflow.sinks.files.write_partitioned`). ``strict_single_file``
+    fails unless the drop is one file.
     """
     configure(spark)
-    stg = read_staging(spark, resolve(root, f"stg.{table}"))
+    stg = read_staging(spark, resolve(root, f"stg.{table}"), strict_single_file=strict_single_file)
     ods_path = resolve(root, f"ods.{table}")
     names, idx = split_pairs(prt_spec or [])
     spec = [(n, F.col(f"`{stg.columns[i]}`")) for n, i in zip(names, idx)]
@@ -121,11 +123,14 @@ def derive_job(spark: SparkSession, root: str, source: str, target: str,
 
     A declared first column ``prt_path``, hidden or not, routes each row by the
     levels its own path names; rows with a blank path take the default
-    partition of the longest list of levels. When every path is blank the
+    partition of the longest list of levels. Rows may name different lists of
+    levels, within a run or over runs (see :mod:`wareflow.sinks.layouts`;
+    ``read_feature_table`` reads such a table). When every path is blank the
     table is written whole, unless the stored one has partitions: that fails.
     An empty source, with or without ``prt_path``, replaces nothing.
     """
     configure(spark)
+    finish_layouts(spark, resolve(root, target))
     specs = parse_columns(list(columns))
     rows = read_delimited(spark, resolve(root, source), [s.name for s in specs], sep)
     path = resolve(root, target)
@@ -138,18 +143,19 @@ def derive_job(spark: SparkSession, root: str, source: str, target: str,
         return path
     shown = drop_hidden(derived, [s for s in specs if s.name != PRT_PATH])
     layouts = level_names(shown)
+    stored = [names for _, names in stored_layouts(spark, path)]
     if layouts == [[]]:
-        if has_levels(spark, path):
+        if stored:
             raise ValueError(f"{target} has partitions, but no row's {PRT_PATH} names a level")
         write_feature_json(drop_hidden(derived, specs), path, [],
                            files_per_partition=files_per_partition)
         return path
-    for layout in layouts:
-        if layout:
-            mine = names_of() == F.lit(list(layout)) if layout is not layouts[0] else (
-                (names_of() == F.lit(list(layout))) | (F.size(names_of()) == 0))
-            write_feature_json(shown.where(mine), path, layout, hidden=specs[0].hidden,
-                               files_per_partition=files_per_partition)
+    named = [layout for layout in layouts if layout]
+    if len(named) == 1 and stored in ([], named):
+        write_feature_json(shown, path, named[0], hidden=specs[0].hidden,
+                           files_per_partition=files_per_partition)
+    elif named:
+        write_layouts(shown, path, named, hidden=specs[0].hidden, files_per_partition=files_per_partition)
     return path
 
 
@@ -196,17 +202,19 @@ def kpi_job(spark: SparkSession, sheet_path: str, groups, specs: Sequence[dict],
     """KPI sheet -> long rows with deltas and groups -> report trees ->
     keyed REPLACE on (name, category, selector) into the stored report table."""
     configure(spark)
-    deltas = period_deltas(read_kpi_sheet_long(spark, sheet_path), ID_COLUMNS,
-                           check_unique=True)
-    rows = explode_long(deltas, groups)
-    # The report rows are used twice (the key-count check in replace_into and
-    # the write): keep them for the job's duration. They are one row per
-    # report document, and lost blocks are recomputed from lineage.
-    fresh = report_table(rows, specs, category).persist(StorageLevel.MEMORY_AND_DISK)
+    # The sheet's rows are used for the uniqueness check, the documents' sizes and
+    # the documents, which in turn are used for the key count in replace_into and
+    # the write: both are kept for the job's duration. Lost blocks are recomputed.
+    long = read_kpi_sheet_long(spark, sheet_path).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = None
     try:
+        rows = explode_long(period_deltas(long, ID_COLUMNS, check_unique=True), groups)
+        fresh = report_table(rows, specs, category).persist(StorageLevel.MEMORY_AND_DISK)
         stored = _stored_or_empty(spark, target_path, fresh, "parquet")
         merged = replace_into(stored, fresh, ["name", "category", "selector"])
         publish_table(merged, target_path)
     finally:
-        fresh.unpersist()
+        for held in (long, fresh):
+            if held is not None:
+                held.unpersist()
     return target_path

@@ -14,22 +14,21 @@ from wareflow.session import scratch_path
 from wareflow.sinks.files import write_feature_json
 from wareflow.sources.text import read_feature_json
 
-# lineitem stands in for the orders model table: l_discount and l_tax play the
-# two discount amounts, hidden after use.
+# Discount and tax are used by expressions and hidden from the output.
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                     "l_quantity", "l_extendedprice", "_l_discount", "_l_tax",
                     "'l_returnflag", "'l_linestatus", "'l_shipdate"]
-FLAG_EXPRS = [(":no_discount", ":l_discount == 0"),
-              (":no_tax", ":l_tax == 0.0"),
-              (":plain", ":no_discount || :no_tax")]
+FLAG_EXPRS = [(":net", ":l_extendedprice * (1 - :l_discount)"),
+              (":bulky", ":l_quantity >= 40"),
+              (":watch", "(:bulky && :net > 50000) || :l_tax > 0.07")]
 
 DERIVE_FLAGS_SQL = """
 SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(l_partkey AS DOUBLE) AS l_partkey,
        CAST(l_suppkey AS DOUBLE) AS l_suppkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
        CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice,
        l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate,
-       (l_discount = 0) AS no_discount, (l_tax = 0.0) AS no_tax,
-       (l_discount = 0 OR l_tax = 0.0) AS plain
+       l_extendedprice * (1 - l_discount) AS net, l_quantity >= 40 AS bulky,
+       (l_quantity >= 40 AND l_extendedprice * (1 - l_discount) > 50000) OR l_tax > 0.07 AS watch
 FROM lineitem
 """
 
@@ -40,7 +39,7 @@ def derive_flags_df(spark, sf_dir):
 
 @query("derive_flags", DERIVE_FLAGS_SQL)
 def derive_flags(spark, sf_dir):
-    """Typed lineitem, three sequential flags, the two inputs hidden."""
+    """Typed lineitem, three sequential columns, discount and tax hidden."""
     return derive_flags_df(spark, sf_dir)
 
 
@@ -96,15 +95,16 @@ def typed_columns(spark, sf_dir):
 
 
 ROUNDTRIP_COLUMNS = ["'prt_path", "l_orderkey", "l_linenumber", "l_quantity",
-                     "_l_discount", "_l_tax", "'l_returnflag"]
+                     "_l_extendedprice", "_l_discount", "_l_tax", "'l_returnflag"]
 
 
 @query("feature_json_roundtrip", """
 SELECT 'ship_year=' || strftime(l_shipdate, '%Y') AS prt_path,
        CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
        CAST(l_quantity AS DOUBLE) AS l_quantity, l_returnflag,
-       (l_discount = 0) AS no_discount, (l_tax = 0.0) AS no_tax,
-       (l_discount = 0 OR l_tax = 0.0) AS plain, strftime(l_shipdate, '%Y') AS ship_year
+       l_extendedprice * (1 - l_discount) AS net, l_quantity >= 40 AS bulky,
+       (l_quantity >= 40 AND l_extendedprice * (1 - l_discount) > 50000) OR l_tax > 0.07 AS watch,
+       strftime(l_shipdate, '%Y') AS ship_year
 FROM lineitem
 """)
 def feature_json_roundtrip(spark, sf_dir):

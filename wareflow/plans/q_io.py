@@ -15,7 +15,7 @@ from wareflow.sinks.catalog import ensure_external_table, repair
 from wareflow.sinks.files import (export_parts, publish_partitions, write_delimited,
                                   write_partitioned, write_staging_csv)
 from wareflow.sources.text import (check_headers, read_delimited, read_lines,
-                                   read_staging)
+                                   read_bound, read_staging)
 
 CUSTOMER_TEXT_SQL = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
@@ -46,28 +46,59 @@ def staging_csv(spark, sf_dir):
 
 
 @query("header_check", """
-SELECT * FROM (VALUES ('mixed', 2::BIGINT, false), ('same', 1::BIGINT, true))
-  AS t(drop_name, n_headers, header_ok)
-WHERE (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') > 0
+SELECT 'same' AS drop_name, count(DISTINCT c_mktsegment) AS n_files, 1::BIGINT AS n_headers, true AS header_ok FROM customer
+UNION ALL
+SELECT 'mixed' AS drop_name, count(DISTINCT c_mktsegment) AS n_files,
+       count(DISTINCT CASE WHEN c_mktsegment LIKE '%U%' THEN c_mktsegment ELSE '' END) AS n_headers,
+       count(DISTINCT CASE WHEN c_mktsegment LIKE '%U%' THEN c_mktsegment ELSE '' END) = 1 AS header_ok FROM customer
 """)
 def header_check(spark, sf_dir):
-    """Distinct headers per staging drop: one drop agrees, one has a renamed column."""
+    """Files and distinct headers per staging drop: one file a segment; in one drop the
+    segments with a U in their name call the name column after themselves."""
     cust = table(spark, sf_dir, "customer")
-    same = scratch_path(spark, "stg_same")
-    write_staging_csv(cust.repartition(3), same)
-    mixed = scratch_path(spark, "stg_mixed")
-    write_staging_csv(cust.where("c_mktsegment <> 'BUILDING'"), mixed + "/a")
-    write_staging_csv(cust.where("c_mktsegment = 'BUILDING'")
-                      .withColumnRenamed("c_name", "customer_name"), mixed + "/b")
+    segments = [r[0] for r in cust.select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]
     out = None
-    for name, path in (("same", same), ("mixed", mixed)):
+    for name in ("same", "mixed"):
+        path = scratch_path(spark, f"stg_{name}")
+        for i, segment in enumerate(segments):
+            part = cust.where(F.col("c_mktsegment") == segment)
+            if name == "mixed" and "U" in segment:
+                part = part.withColumnRenamed("c_name", f"name_{segment}")
+            write_staging_csv(part.coalesce(1), f"{path}/{i}")
         checked = check_headers(spark, path).select(
-            F.lit(name).alias("drop_name"), "n_headers",
+            F.lit(name).alias("drop_name"), "n_files", "n_headers",
             (F.col("n_headers") == 1).alias("header_ok"))
         out = checked if out is None else out.unionByName(checked)
     return out
 
 
+@query("bind_header", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, unnest(['c_name', 'NA_2', 'c_custkey']) AS name,
+       unnest([c_name, CAST(c_nationkey AS VARCHAR), CAST(c_custkey AS VARCHAR)]) AS value
+FROM customer WHERE c_mktsegment < 'F'
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, unnest(['c_custkey', 'c_acctbal', 'c_mktsegment', 'spare']) AS name,
+       unnest([CAST(c_custkey AS VARCHAR), CAST(c_acctbal AS VARCHAR), c_mktsegment, NULL]) AS value
+FROM customer WHERE c_mktsegment >= 'F'
+""")
+def bind_header(spark, sf_dir):
+    """Drops of unlike columns: each file's header bound to its fields by position, at run time."""
+    cust = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "stg_bound")
+    write_staging_csv(cust.where("c_mktsegment < 'F'").select("c_name", F.col("c_nationkey").alias(" "), "c_custkey"), f"{path}/a")
+    # One file a nation; the last column of its header has no fields.
+    late = cust.where("c_mktsegment >= 'F'")
+    heads = late.select("c_nationkey").distinct().select(
+        "c_nationkey", F.lit(0).alias("at"), F.lit("c_custkey,c_acctbal,c_mktsegment,spare").alias("value"))
+    lines = late.select("c_nationkey", F.lit(1).alias("at"), F.concat_ws(",", "c_custkey", "c_acctbal", "c_mktsegment").alias("value"))
+    (heads.unionByName(lines).repartition("c_nationkey").sortWithinPartitions("c_nationkey", "at")
+     .select("value", "c_nationkey").write.partitionBy("c_nationkey").text(f"{path}/b"))
+    rows = read_bound(spark, path)
+    key = F.element_at(F.filter("fields", lambda f: f["name"] == "c_custkey"), 1)["value"]
+    return (rows.select(key.alias("c_custkey"), F.explode("fields").alias("f"))
+            .select("c_custkey", F.col("f.name").alias("name"), F.col("f.value").alias("value")))
+
+
 @query("header_fill", """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name AS NA_2,
        CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment AS NA_4 FROM customer

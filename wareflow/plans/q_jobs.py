@@ -18,6 +18,7 @@ from wareflow.plans import jobs
 from wareflow.plans.registry import query, table
 from wareflow.session import scratch_path
 from wareflow.sinks.files import write_delimited, write_staging_csv
+from wareflow.sinks.layouts import read_feature_table
 from wareflow.sources.text import read_feature_json, read_lines
 
 ODS_BEFORE, STG_FROM = "2000-01-01", "1999-01-01"
@@ -88,18 +89,20 @@ def partition_job_q(spark, sf_dir):
 
 
 MODEL_COLUMNS = ["'prt_path", "l_orderkey", "l_linenumber", "l_quantity",
-                 "_l_discount", "_l_tax", "'l_returnflag"]
-MODEL_EXPRS = [(":no_discount", ":l_discount == 0"),
-               (":no_tax", ":l_tax == 0.0"),
-               (":plain", ":no_discount || :no_tax")]
+                 "_l_extendedprice", "_l_tax", "'l_returnflag"]
+MODEL_EXPRS = [(":unit_price", ":l_extendedprice / :l_quantity"),
+               (":dear", ":unit_price > 1500 && :l_returnflag != 'R'"),
+               (":taxed", ":l_tax > 0.03 || :dear")]
 
 
 @query("derive_job", """
 SELECT 'ship_year=' || strftime(l_shipdate, '%Y') AS prt_path,
        CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
        CAST(l_quantity AS DOUBLE) AS l_quantity, l_returnflag,
-       (l_discount = 0) AS no_discount, (l_tax = 0.0) AS no_tax,
-       (l_discount = 0 OR l_tax = 0.0) AS plain, strftime(l_shipdate, '%Y') AS ship_year
+       l_extendedprice / l_quantity AS unit_price,
+       (l_extendedprice / l_quantity > 1500 AND l_returnflag <> 'R') AS dear,
+       (l_tax > 0.03 OR (l_extendedprice / l_quantity > 1500 AND l_returnflag <> 'R')) AS taxed,
+       strftime(l_shipdate, '%Y') AS ship_year
 FROM lineitem
 """)
 def derive_job_q(spark, sf_dir):
@@ -107,7 +110,7 @@ def derive_job_q(spark, sf_dir):
     root = scratch_path(spark, "wh_derive")
     li = table(spark, sf_dir, "lineitem")
     model = with_prt_path(li, [("ship_year", F.date_format("l_shipdate", "yyyy"))]).select(
-        "prt_path", "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+        "prt_path", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax",
         "l_returnflag")
     write_delimited(model, resolve(root, "model.d_lineitem"))
     out = jobs.derive_job(spark, root, "model.d_lineitem", "4ml.flags.d_lineitem",
@@ -115,8 +118,8 @@ def derive_job_q(spark, sf_dir):
     schema = T.StructType([
         T.StructField("prt_path", T.StringType()), T.StructField("l_orderkey", T.DoubleType()),
         T.StructField("l_linenumber", T.DoubleType()), T.StructField("l_quantity", T.DoubleType()),
-        T.StructField("l_returnflag", T.StringType()), T.StructField("no_discount", T.BooleanType()),
-        T.StructField("no_tax", T.BooleanType()), T.StructField("plain", T.BooleanType()),
+        T.StructField("l_returnflag", T.StringType()), T.StructField("unit_price", T.DoubleType()),
+        T.StructField("dear", T.BooleanType()), T.StructField("taxed", T.BooleanType()),
         T.StructField("ship_year", T.StringType())])
     return read_feature_json(spark, out, schema)
 
@@ -172,50 +175,114 @@ def feature_job_q(spark, sf_dir):
 
 
 ROLE_JOB_ID = "wh-cls1_19950101_20010801_roleJob"
+ROLE_LINES = ["TargetCol,o_orderstatus,string", "InputCol,o_totalprice,number",
+              "InputCol,o_orderpriority,string", "InputCol,big,boolean", "TargetCol,late,boolean",
+              "PredStartDate,19950101,Date", "PredEndDate,20010801,Date",
+              "InputDataPath,/handoff/in/cls1/d_orders/data.csv,string",
+              "OutDataPath,/handoff/out/cls1/data.csv,string"]
 
 
-@query("role_job", FEATURE_JOB_SQL)
+@query("role_job", f"""
+SELECT f.*, 'class_id=cls1/source=d_orders' AS role_path, {len(ROLE_LINES)}::BIGINT AS role_lines,
+       '{chr(10).join(ROLE_LINES) + chr(10)}' AS role_file
+FROM ({FEATURE_JOB_SQL}) f
+""")
 def role_job_q(spark, sf_dir):
-    """Feature data exported for hand-off (plus the role file), read back."""
+    """Feature data exported for hand-off, read back beside the role file written for its source."""
     root = scratch_path(spark, "wh_role")
     _feature_model(spark, sf_dir, root)
     jobs.feature_job(spark, root, json.dumps(FEATURE_CONFIG))
-    data_root = f"{root}/var/data"
-    jobs.role_job(spark, root, ROLE_JOB_ID, json.dumps(FEATURE_CONFIG), data_root,
-                  f"{root}/var/conf/{ROLE_JOB_ID}")
+    data_root, conf = f"{root}/var/handoff", f"{root}/var/conf/{ROLE_JOB_ID}"
+    jobs.role_job(spark, root, ROLE_JOB_ID, json.dumps(FEATURE_CONFIG), data_root, conf)
     handed = read_lines(spark, f"{data_root}/in/cls1/d_orders")
     parsed = handed.select(F.from_json("value", FEATURE_SCHEMA).alias("r")).select("r.*")
     # The partition level is a folder name, not part of each JSON record.
-    return parsed.withColumn("o_year", F.regexp_extract("prt_path", "o_year=([^/]*)", 1))
+    data = parsed.withColumn("o_year", F.regexp_extract("prt_path", "o_year=([^/]*)", 1))
+    files = spark.read.text(conf, wholetext=True, recursiveFileLookup=True)
+    # The scratch folder's name changes with each run; the rest of the paths is compared.
+    text = F.replace("value", F.lit(data_root), F.lit("/handoff"))
+    roles = files.select(F.regexp_extract("_metadata.file_path", "class_id=[^/]*/source=[^/]*", 0).alias("role_path"),
+                         (F.size(F.split("value", "\n")) - 1).cast("bigint").alias("role_lines"), text.alias("role_file"))
+    return data.join(F.broadcast(roles), F.col("role_path") == F.lit("class_id=cls1/source=d_orders"))   # one file a source
 
 
-@query("stream_ingest", """
+STREAMED = """
 SELECT 'p_type=' || event_type AS prt_path, CAST(event_id AS VARCHAR) AS event_id,
-       CAST(user_id AS VARCHAR) AS user_id, event_type,
-       CASE WHEN event_type = 'click' THEN 'republished' ELSE props END AS props,
-       event_type AS p_type
-FROM events
-""")
-def stream_ingest_q(spark, sf_dir):
-    """Two staging drops, each picked up by one run of the incremental stream."""
-    from wareflow.streaming.ingest import ingest_partitions
-    root = scratch_path(spark, "wh_stream")
-    ev = table(spark, sf_dir, "events").select(
+       CAST(user_id AS VARCHAR) AS user_id, event_type, {props} AS props, event_type AS p_type
+FROM events {where}
+"""
+
+
+def _stream_events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("user_id"), "event_type",
         F.regexp_replace("props", ",", ";").alias("props"))
-    drops = resolve(root, "stg.d_events")
-    target = resolve(root, "ods.d_events")
-    ckpt = f"{root}/_checkpoint"
+
+
+@query("stream_ingest", STREAMED.format(props="props", where="") + "UNION ALL"
+       + STREAMED.format(props="'again'", where="WHERE event_type = 'click'"))
+def stream_ingest_q(spark, sf_dir):
+    """Two staging drops, each picked up by one run of the incremental stream; a later drop adds its rows
+    to the partitions that it names."""
+    from wareflow.streaming.ingest import ingest_partitions
+    root = scratch_path(spark, "wh_stream")
+    ev = _stream_events(spark, sf_dir)
+    drops, target, ckpt = resolve(root, "stg.d_events"), resolve(root, "ods.d_events"), f"{root}/_checkpoint"
     spec = [[":p_type", 2]]
     write_staging_csv(ev, f"{drops}/drop=1")
     ingest_partitions(spark, f"{drops}/*", f"{drops}/drop=1", target, spec, ckpt)
-    clicks = ev.where(F.col("event_type") == "click").withColumn("props", F.lit("republished"))
+    clicks = ev.where(F.col("event_type") == "click").withColumn("props", F.lit("again"))
     write_staging_csv(clicks, f"{drops}/drop=2")
     ingest_partitions(spark, f"{drops}/*", f"{drops}/drop=1", target, spec, ckpt)
     return spark.read.parquet(target)
 
 
+@query("stream_ingest_files", STREAMED.format(props="props", where=""))
+def stream_ingest_files_q(spark, sf_dir):
+    """The same table whatever the split: three drops that share partitions, in two runs, one file a trigger
+    in the second."""
+    from wareflow.streaming.ingest import ingest_partitions
+    root = scratch_path(spark, "wh_files")
+    ev = _stream_events(spark, sf_dir)
+    drops, target, ckpt = resolve(root, "stg.d_events"), resolve(root, "ods.d_events"), f"{root}/_checkpoint"
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for i in range(3):
+        write_staging_csv(ev.where(third == i), f"{drops}/drop={i}")
+        if i != 1:
+            ingest_partitions(spark, f"{drops}/*", f"{drops}/drop=0", target, [[":p_type", 2]], ckpt,
+                              max_files_per_trigger=1 if i else None)
+    return spark.read.parquet(target)
+
+
+@query("derive_layouts", """
+SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey, CAST(o_totalprice AS DOUBLE) * 2 AS doubled,
+       CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y') END AS o_year,
+       CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_priority,
+       CASE WHEN o_orderstatus = 'P' THEN o_orderstatus END AS o_status
+FROM orders
+""")
+def derive_layouts_q(spark, sf_dir):
+    """Rows whose prt_path names different levels, by status, over two runs; read back as one table."""
+    root = scratch_path(spark, "wh_layouts")
+    orders = table(spark, sf_dir, "orders")
+    year = ("o_year", F.date_format("o_orderdate", "yyyy"))
+    spec = {"F": [year], "O": [year, ("o_priority", F.col("o_orderpriority"))], "P": [("o_status", F.col("o_orderstatus"))]}
+    target = "4ml.layouts.d_orders"
+    for run in (["F"], ["O", "P"]):                # the first run's levels are the table's home layout
+        rows = None
+        for status in run:
+            part = with_prt_path(orders.where(F.col("o_orderstatus") == status), spec[status]).select(
+                "prt_path", "o_orderkey", "o_totalprice")
+            rows = part if rows is None else rows.unionByName(part)
+        source = f"model.d_orders_{''.join(run).lower()}"
+        write_delimited(rows, resolve(root, source))
+        jobs.derive_job(spark, root, source, target, ["'_prt_path", "o_orderkey", "_o_totalprice"],
+                        [(":doubled", ":o_totalprice * 2")])
+    schema = T.StructType([T.StructField("o_orderkey", T.DoubleType()), T.StructField("doubled", T.DoubleType())])
+    return read_feature_table(spark, resolve(root, target), schema)
+
+
 PART_COLUMNS = ["p_partkey", "'p_name", "'p_brand", "'p_type", "p_size", "p_retailprice"]
 
 

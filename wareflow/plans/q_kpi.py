@@ -15,23 +15,27 @@ from pyspark.sql import functions as F
 from wareflow.functions.columns import comparison_names
 from wareflow.operators.kpi import (ID_COLUMNS, explode_long, period_deltas,
                                     read_kpi_sheet_long, unpivot_kpi)
-from wareflow.operators.report import match_constants, report, report_rows, report_tree
+from wareflow.operators.report import (match_constants, report, report_rows, report_table,
+                                       report_tree)
 from wareflow.plans.registry import query, table
 from wareflow.session import scratch_path
 
 UNMAPPED_REGION = "MIDDLE EAST"
 
-# The reference's report spec, fields by position in the long row
-# (0 date, 1 group, 2 bottler, 3 channel, 4 kpi, 5 score, 6 pp, 7 ly, 8 tb).
-REFERENCE_SPEC = {"selector": [(":Bottler", 2), (":Channel", 3), (":KPI", 4)],
-                  "dimension": [(":date", 0)],
-                  "metrics": [(":score", 5), (":score_tb", 8)]}
+# Fields by name, or by position in the long row (0 date, 1 group, 2 bottler,
+# 3 channel, 4 kpi, 5 score, 6 pp, 7 ly, 8 tb).
+SERIES_SPEC = {"selector": [(":Measure", "kpi"), (":Market", "channel")],
+               "dimension": [(":date", "date")],
+               "metrics": [(":score", "score"), (":score_tb", "score_tb")]}
 GROUP_SPEC = {"selector": [(":Group", 1)],
               "dimension": [(":date", 0), ("orders", 4)],
               "metrics": [(":score", 5), (":score_tb", 8)]}
-URGENT_SPEC = {"selector": [(":Bottler", 2), (":Channel", 3), (":KPI", 4)],
+URGENT_SPEC = {"selector": [(":Measure", 4), (":Market", 3)],
                "dimension": [(":date", 0), ("urgent", 4)],
                "metrics": [(":score", 5), (":score_tb", 8)]}
+CHANGE_SPEC = {"selector": [(":Measure", "kpi"), (":Market", "channel")],
+               "dimension": [(":date", "date")],
+               "metrics": [(":change", "score_pp"), (":region", "group")]}
 TREE_SPEC = {"selector": [(":KPI", 4)],
              "dimension": [(":Group", 1), (":date", 0)],
              "metrics": [(":score", 5), (":score_tb", 8)]}
@@ -260,51 +264,49 @@ FROM ({select_rows}) GROUP BY segment, selector
 """
 
 
-REF_ROWS_SQL = """
+SERIES_ROWS_SQL = """
 SELECT 'date' AS segment,
-       '[["Bottler","' || bottler || '"],["Channel","' || channel || '"],["KPI","' || kpi || '"]]'
-         AS selector, 'date=' || date AS dims, score, score_tb FROM lr
+       '[["Measure","' || kpi || '"],["Market","' || channel || '"]]' AS selector, 'date=' || date AS dims, score, score_tb FROM lr
 """
 
 
 @query("report_group", f"""
 WITH {LONG_ROWS_SQL}
-{_items_sql(REF_ROWS_SQL)}
+{_items_sql(SERIES_ROWS_SQL)}
 """)
 def report_group(spark, sf_dir):
-    """The reference's spec: per bottler/channel/KPI, items by date."""
-    return _report_text(report(long_rows(spark, sf_dir), [REFERENCE_SPEC]))
+    """One document per measure and market, items by date."""
+    return _report_text(report(long_rows(spark, sf_dir), [SERIES_SPEC]))
 
 
 @query("report_multi", f"""
 WITH {LONG_ROWS_SQL}
-{_items_sql(REF_ROWS_SQL + '''
+{_items_sql(SERIES_ROWS_SQL + '''
 UNION ALL
 SELECT 'date' AS segment, '[["Group",' || coalesce('"' || "group" || '"', 'null') || ']]' AS selector,
        'date=' || date AS dims, score, score_tb FROM lr WHERE kpi = 'orders'
 UNION ALL
 SELECT 'date' AS segment,
-       '[["Bottler","' || bottler || '"],["Channel","' || channel || '"],["KPI","' || kpi || '"]]'
-         AS selector, 'date=' || date AS dims, score, score_tb FROM lr WHERE kpi = 'urgent'
+       '[["Measure","' || kpi || '"],["Market","' || channel || '"]]' AS selector, 'date=' || date AS dims, score, score_tb FROM lr WHERE kpi = 'urgent'
 ''')}
 """)
 def report_multi(spark, sf_dir):
     """Several specs accumulate into the same (segment, selector) lists."""
-    specs = [REFERENCE_SPEC, GROUP_SPEC, URGENT_SPEC]
+    specs = [SERIES_SPEC, GROUP_SPEC, URGENT_SPEC]
     return _report_text(report(long_rows(spark, sf_dir), specs))
 
 
-def _tree_sql(rows_cte: str) -> str:
+def _tree_sql(rows_cte: str, group: str = '"group"') -> str:
     return f"""
 {rows_cte},
-leaf AS (SELECT kpi, "group" AS g, date,
+leaf AS (SELECT kpi, coalesce({group}, 'null') AS g, date,
                 '{{"items":[' || string_agg('{{"score":' || CAST(score AS VARCHAR) || ',"score_tb":'
                 || CAST(score_tb AS VARCHAR) || '}}', ',' ORDER BY score, score_tb) || ']}}' AS node
-         FROM lr GROUP BY kpi, "group", date),
+         FROM lr GROUP BY ALL),
 lvl1 AS (SELECT kpi, g, '{{' || string_agg('"[date, ' || date || ']":' || node, ','
                 ORDER BY '[date, ' || date || ']') || '}}' AS node FROM leaf GROUP BY kpi, g),
-lvl0 AS (SELECT kpi, '{{' || string_agg('"[Group, ' || coalesce(g, 'null') || ']":' || node, ','
-                ORDER BY '[Group, ' || coalesce(g, 'null') || ']') || '}}' AS data
+lvl0 AS (SELECT kpi, '{{' || string_agg('"[Group, ' || g || ']":' || node, ','
+                ORDER BY '[Group, ' || g || ']') || '}}' AS data
          FROM lvl1 GROUP BY kpi)
 """
 
@@ -318,21 +320,45 @@ def report_tree_q(spark, sf_dir):
     return report_tree(report_rows(long_rows(spark, sf_dir), [TREE_SPEC]), 2)
 
 
+@query("report_tree_null", f"""
+WITH {_tree_sql(LONG_ROWS_SQL, """CASE WHEN "group" = 'AFRICA' THEN 'null' ELSE "group" END""")}
+SELECT 'Group_date' AS segment, '[["KPI","' || kpi || '"]]' AS selector, data FROM lvl0
+""")
+def report_tree_null(spark, sf_dir):
+    """Bottlers without a group beside a group called ``null``: both print alike and share a key."""
+    rows = long_rows(spark, sf_dir).withColumn(
+        "group", F.when(F.col("group") == "AFRICA", "null").otherwise(F.col("group")))
+    return report_tree(report_rows(rows, [TREE_SPEC]), 2)
+
+
+@query("report_mixed", f"""
+WITH {LONG_ROWS_SQL},
+item AS (SELECT kpi, channel, date, '{{"score":' || CAST(score AS VARCHAR) || ',"score_tb":' || CAST(score_tb AS VARCHAR) || '}}' AS item FROM lr
+         UNION ALL
+         SELECT kpi, channel, date, '{{"change":' || CAST(score_pp AS VARCHAR) || ',"region":' || coalesce('"' || "group" || '"', 'null') || '}}' AS item FROM lr),
+leaf AS (SELECT kpi, channel, date, '{{"items":[' || string_agg(item, ',' ORDER BY item) || ']}}' AS node FROM item GROUP BY ALL)
+SELECT 'score' AS category, 'date' AS name, '[["Measure","' || kpi || '"],["Market","' || channel || '"]]' AS selector,
+       '{{' || string_agg('"[date, ' || date || ']":' || node, ',' ORDER BY date) || '}}' AS data
+FROM leaf GROUP BY kpi, channel
+""")
+def report_mixed(spark, sf_dir):
+    """Two specs with different metrics in the same documents: items of both shapes, NULL metrics as null."""
+    return report_table(long_rows(spark, sf_dir), [SERIES_SPEC, CHANGE_SPEC])
+
+
 KPI_JOB_SQL = f"""
 WITH {LONG_ROWS_SQL},
-leaf AS (SELECT bottler, channel, kpi, date,
+leaf AS (SELECT channel, kpi, date,
                 '{{"items":[' || string_agg('{{"score":' || CAST(score AS VARCHAR) || ',"score_tb":'
                 || CAST(score_tb AS VARCHAR) || '}}', ',' ORDER BY score, score_tb) || ']}}' AS node
          FROM lr GROUP BY ALL),
-tree AS (SELECT bottler, channel, kpi, '{{' || string_agg('"[date, ' || date || ']":' || node, ','
+tree AS (SELECT channel, kpi, '{{' || string_agg('"[date, ' || date || ']":' || node, ','
                 ORDER BY '[date, ' || date || ']') || '}}' AS data FROM leaf GROUP BY ALL)
 SELECT 'score' AS category, 'date' AS name,
-       '[["Bottler","' || bottler || '"],["Channel","' || channel || '"],["KPI","' || kpi || '"]]'
-         AS selector, data FROM tree
+       '[["Measure","' || kpi || '"],["Market","' || channel || '"]]' AS selector, data FROM tree
 UNION ALL
 SELECT DISTINCT 'score' AS category, 'archive' AS name,
-       '[["Bottler","' || bottler || '"],["Channel","' || channel || '"],["KPI","' || kpi || '"]]'
-         AS selector, '{{}}' AS data FROM lr
+       '[["Measure","' || kpi || '"],["Market","' || channel || '"]]' AS selector, '{{}}' AS data FROM lr
 """
 
 
@@ -347,14 +373,12 @@ def kpi_job(spark, sf_dir):
     from wareflow.plans.jobs import kpi_job as run_kpi_job
     sheet = write_sheet(spark, sf_dir, scratch_path(spark, "kpi_job_sheet"))
     target = scratch_path(spark, "kpi_report")
-    parts = F.split("bottler_en", "_", 2)
-    selector = F.to_json(F.array(F.array(F.lit("Bottler"), F.get(parts, 0)),
-                                 F.array(F.lit("Channel"), F.get(parts, 1)),
-                                 F.array(F.lit("KPI"), F.col("kpi"))))
+    selector = F.to_json(F.array(F.array(F.lit("Measure"), F.col("kpi")),
+                                 F.array(F.lit("Market"), F.get(F.split("bottler_en", "_", 2), 1))))
     keys = kpi_cells(spark, sf_dir).select(selector.alias("selector")).distinct()
     stored = keys.select(F.lit("score").alias("category"),
                          F.explode(F.array(F.lit("date"), F.lit("archive"))).alias("name"),
                          "selector", F.lit("{}").alias("data"))
     stored.write.parquet(target)
-    run_kpi_job(spark, sheet, region_groups(spark, sf_dir), [REFERENCE_SPEC], target)
+    run_kpi_job(spark, sheet, region_groups(spark, sf_dir), [SERIES_SPEC], target)
     return spark.read.parquet(target)

@@ -175,10 +175,25 @@ def retire_folder(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
-def has_levels(spark: SparkSession, path: str) -> bool:
-    """Whether the folder holds ``name=value`` directories."""
-    fs, _ = _fs(spark, path)
-    return bool(fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*=*")))
+def add_files(spark: SparkSession, staged: str, path: str, depth: int) -> None:
+    """Move the files of a staged partitioned folder (``depth`` levels) beside those that ``path`` holds,
+    then delete the folder.
+
+    Spark names every file of a write uniquely, so nothing is replaced; a call that died half-way is
+    finished by another one, which finds only the files that are left.
+    """
+    fs, at = _fs(spark, staged + "/*=*" * depth + "/*")
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    for st in fs.globStatus(at) or []:
+        name = st.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        below = "/".join(st.getPath().toString().split("/")[-1 - depth:-1])
+        folder = as_path(f"{path}/{below}")
+        fs.mkdirs(folder)
+        if not fs.rename(st.getPath(), as_path(folder, name)):
+            raise IOError(f"could not move {st.getPath().toString()} to {path}")
+    fs.delete(as_path(staged), True)
 
 
 def recover_table(spark: SparkSession, path: str) -> None:

@@ -20,12 +20,12 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wareflow.functions.spec import fill_header, split_pairs
+from wareflow.functions.spec import split_pairs
 from wareflow.operators.partition import with_levels, with_prt_path
 from wareflow.session import checkpoint_root, configure
 from wareflow.operators.upsert import upsert
-from wareflow.sinks.files import (applied_batch, move_folder, path_exists, publish_partitions,
-                                  publish_table, recover_table, retire_folder)
+from wareflow.sinks.files import (add_files, applied_batch, move_folder, path_exists, publish_table,
+                                  recover_table, retire_folder, write_partitioned)
 from wareflow.sources.text import read_staging
 
 
@@ -36,13 +36,11 @@ def staging_stream(spark: SparkSession, drops_glob: str, sample_drop: str,
     The column names come from one drop's header (file streams need a fixed
     schema); blank names become ``NA_<position>``.
     """
-    names = fill_header(list(read_staging(spark, sample_drop, check_header=False,
-                                          fill_blank=False).columns))
+    names = read_staging(spark, sample_drop, check_header=False).columns
     schema = ", ".join(f"`{n}` string" for n in names)
     # Without enforceSchema Spark fails on a drop whose header differs. Filled
     # names stand in no header, so drops with blank names are not checked.
-    filled = names != list(read_staging(spark, sample_drop, check_header=False,
-                                        fill_blank=False).columns)
+    filled = names != read_staging(spark, sample_drop, check_header=False, fill_blank=False).columns
     reader = (spark.readStream.schema(schema).option("header", "true").option("sep", ",")
               .option("quote", "").option("enforceSchema", str(filled).lower()))
     if max_files_per_trigger:
@@ -55,12 +53,13 @@ def ingest_partitions(spark: SparkSession, drops_glob: str, sample_drop: str, ta
                       max_files_per_trigger: int | None = None) -> str:
     """Run the staging -> partitioned table ingest once over all new drops.
 
-    ``prt_spec`` is ``[[":name", index], ...]`` like the partition job's. A run
-    replaces the partitions that its drops name with the rows of all its drops;
-    without levels it adds its rows to the table. A run that died is finished by
-    the next one: before the stream stopped, its micro-batches join the next
-    run's; after that, they are published first, as they were. Without levels
-    a table belongs to one checkpoint; another one fails.
+    ``prt_spec`` is ``[[":name", index], ...]`` like the partition job's. Every
+    drop's rows are added once, to the partitions that they name (or to a table
+    without levels), so the table holds the rows of all drops however they
+    fall into triggers and runs. A run that died is finished by the next one:
+    before the stream stopped, its micro-batches join the next run's; after
+    that, they are published first, as they were. Without levels a table
+    belongs to one checkpoint; another one fails.
     Returns the checkpoint folder (reuse it for the next run).
     """
     configure(spark)
@@ -72,26 +71,35 @@ def ingest_partitions(spark: SparkSession, drops_glob: str, sample_drop: str, ta
     cols = stream.columns
 
     pending, ready = f"{checkpoint}__pending", f"{checkpoint}__ready"
+    staged, moving = f"{checkpoint}__staged", f"{checkpoint}__moving"
 
     def gather(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{pending}/{BATCH}={batch_id}")
 
     def publish() -> None:
+        if path_exists(spark, moving):           # holds all ready rows, or what is left of them
+            if path_exists(spark, ready):
+                retire_folder(spark, ready)
+            add_files(spark, moving, target, len(names))
         if not path_exists(spark, ready):
             return
         found = spark.read.schema(", ".join([*(f"`{c}` string" for c in cols), f"`{BATCH}` long"])).parquet(ready)
         rows = found.drop(BATCH)
         spec = [(n, F.col(f"`{cols[i]}`")) for n, i in zip(names, idx)]
         if names:
-            publish_partitions(with_levels(rows, spec), target, names, fmt=fmt)
-        else:
-            recover_table(spark, target)
-            last, owner = found.agg(F.max(BATCH)).first()[0], _stream_id(spark, checkpoint)
-            rows = with_prt_path(rows, spec)
-            if last is not None and last > applied_batch(spark, target, owner):
-                if path_exists(spark, target):
-                    rows = spark.read.format(fmt).load(target).unionByName(rows)
-                publish_table(rows, target, fmt=fmt, batch_id=last, stream_id=owner)
+            # The rows of the run are written aside; the rename commits them, their files then move to the table.
+            write_partitioned(with_levels(rows, spec), staged, names, fmt=fmt, dynamic=False)
+            move_folder(spark, staged, moving)
+            retire_folder(spark, ready)
+            add_files(spark, moving, target, len(names))
+            return
+        recover_table(spark, target)
+        last, owner = found.agg(F.max(BATCH)).first()[0], _stream_id(spark, checkpoint)
+        rows = with_prt_path(rows, spec)
+        if last is not None and last > applied_batch(spark, target, owner):
+            if path_exists(spark, target):
+                rows = spark.read.format(fmt).load(target).unionByName(rows)
+            publish_table(rows, target, fmt=fmt, batch_id=last, stream_id=owner)
         retire_folder(spark, ready)
 
     publish()
