@@ -253,14 +253,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     once = kept(made.groupBy("doc_id").agg(F.min(F.struct("slots", "weight", "label")).alias("r")).select("doc_id", "r.*"), "quality-sample")
     cells = once.select("doc_id", F.explode("slots").alias("slot"))
     often = cells.groupBy("slot").count().where((F.col("count") >= least_df) | (F.col("slot") >= 1 << bits)).select("slot")
-    got = cells.join(often, "slot").select("doc_id", "slot").toArrow()      # at most 2**bits words a row
-    doc, slot = (c.to_numpy() for c in got.columns)
-    rows_of = once.select("doc_id", "label", "weight").orderBy("doc_id").toArrow()
-    ids, label, weight = (c.to_numpy() for c in rows_of.columns)
-    order = np.lexsort((slot, doc))
-    at, slot = np.searchsorted(ids, doc[order]), slot[order].astype(np.int64)
-    value = np.where(slot < 1 << bits, weight[at], 1 / np.sqrt(WIDTH))
-    return fit(np.searchsorted(at, np.arange(len(ids) + 1)), slot, value, label.astype(float), bits, rank)
+    left = cells.join(often, "slot").groupBy("doc_id").agg(F.array_sort(F.collect_list("slot")).alias("slot"))     # 2**bits words a row at most
+    got = once.select("doc_id", "label", "weight").join(left, "doc_id").orderBy("doc_id").toArrow().combine_chunks()
+    if not got.num_rows:
+        return fit(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0), bits, rank)
+    lists = pa.concat_arrays(got.column("slot").chunks)
+    offsets, slot = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy().astype(np.int64)
+    value = np.where(slot < 1 << bits, np.repeat(got.column("weight").to_numpy(), np.diff(offsets)), 1 / np.sqrt(WIDTH))
+    return fit(offsets, slot, value, got.column("label").to_numpy().astype(float), bits, rank)
 
 
 def score(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
