@@ -4,8 +4,8 @@ Features are the distinct lower-cased words of a text, hashed to ``2**bits``
 slots. One weight vector w is shared by all thresholds t_1 < t_2 < ...:
 P(severity >= k) = sigmoid(w.x - t_k). The expected severity is the sum of these
 probabilities. The model is fitted on a bounded sample of labelled rows (the
-``sample`` smallest hashes of the labelled ids); words without evidence weigh
-nothing. Scoring covers every word of every text.
+``sample`` smallest hashes of the labelled ids, one row of each); words without evidence
+weigh nothing. Scoring covers every word of every text.
 
 Labels that hold only 0 and 1 are graded first: toxic rows with more distinct
 evidence words than the median toxic row get grade 2, the others grade 1.
@@ -13,8 +13,8 @@ Labels with more grades are used as they are.
 
 Null and empty texts have no words and score with the thresholds alone; null
 labels are left out; a table without labels of both kinds gives a model that
-rejects nothing. Null or repeated ids keep their rows. Of repeated labels the
-largest counts.
+rejects nothing. Null or repeated ids keep their rows; one row of a repeated id is
+learned from. Of repeated labels the largest counts.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.common import batch
+from wareflow.llm.common import batch, kept
 from wareflow.llm.textblock import MARKS, distinct, text_bytes, words
 
 BITS = 20
@@ -133,31 +133,40 @@ def _gradient(z: np.ndarray, cuts: np.ndarray, y: np.ndarray) -> tuple[np.ndarra
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample: int = SAMPLE, bits: int = BITS) -> Ordinal:
-    """Fit on at most ``sample`` labelled rows; their distinct word slots come to the driver as one array."""
+          sample: int = SAMPLE, bits: int = BITS, least_df: int = 5, least_z: float = 5.0) -> Ordinal:
+    """Fit on at most ``sample`` labelled rows, one an id.
+
+    Slots are counted in Spark; the driver gets the rows' labels and the few slots that are evidence.
+    """
     rated = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("label_id")).agg(F.max(label_col).cast("int").alias("label")))
     some = rated.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).alias("t"))
-    rows = rows.join(F.broadcast(some), "label_id").select("label", "t")
-    kind = pa.schema([("label", pa.int32()), ("slots", pa.binary()), ("values", pa.binary())])
+    rows = rows.join(F.broadcast(some), "label_id").select("label_id", F.greatest("label", F.lit(0)).alias("label"), "t")
+    kind = pa.schema([("label_id", pa.int64()), ("label", pa.int32()), ("slots", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))])
 
     def collect(batches):
         for b in batches:
-            doc, slot, value, n = features(b.column(1), bits)
-            at = np.searchsorted(doc, np.arange(len(n) + 1))
-            cut = list(zip(at, at[1:]))
-            yield batch(kind, b.column(0), [slot[a:z].astype(np.int32).tobytes() for a, z in cut],
-                        [value[a:z].astype(np.float32).tobytes() for a, z in cut])
-
-    once = rows.mapInArrow(collect, "label int, slots binary, values binary").distinct()    # copies are no more evidence
-    got = once.toArrow().sort_by([(c, "ascending") for c in kind.names])
-    parts = [np.frombuffer(x, np.int32) for x in got.column(1).to_pylist()]
-    value = np.frombuffer(b"".join(got.column(2).to_pylist()), np.float32).astype(float)
-    y = np.maximum(0, got.column(0).to_numpy().astype(np.int64))
-    doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    slot = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-    return fit(doc, slot, value, y, bits)
+            doc, slot, value, n = features(b.column(2), bits)
+            at = pa.array(np.searchsorted(doc, np.arange(len(n) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, pa.array(x, t)) for x, t in ((slot, pa.int32()), (value, pa.float32()))]
+            yield batch(kind, b.column(0), b.column(1), *lists)
+
+    made = rows.mapInArrow(collect, "label_id long, label int, slots array<int>, values array<float>")
+    one = made.groupBy("label_id").agg(F.min(F.struct("label", "slots", "values")).alias("r")).select("label_id", "r.*")
+    once = kept(one.groupBy("label", "slots", "values").agg(F.min("label_id").alias("id")), "toxicity-sample")     # copies are no more evidence
+    ids, y = (c.to_numpy() for c in once.select("id", "label").orderBy("label", "id").toArrow().columns)
+    cells = once.select("id", "label", F.explode(F.arrays_zip("slots", "values")).alias("c")).select("id", "label", "c.*")
+    seen = cells.groupBy("slots").agg(F.count(F.lit(1)).alias("df"), F.count(F.when(F.col("label") > 0, 1)).alias("up"))
+    base = float((y > 0).mean()) if len(y) else 0.0
+    chance = F.sqrt(F.col("df") * F.lit(max(base * (1 - base), 1e-9)))
+    used = seen.where((F.col("df") >= least_df) & ((F.col("up") - F.col("df") * base) / chance >= least_z) & (2 * F.col("up") > F.col("df")))
+    got = cells.join(used.select("slots"), "slots").select("id", "slots", "values").toArrow()
+    doc, slot, value = (c.to_numpy() for c in got.columns)
+    by_id = np.argsort(ids)
+    at = by_id[np.searchsorted(ids, doc, sorter=by_id)] if len(doc) else np.zeros(0, np.int64)
+    order = np.lexsort((slot, at))
+    return fit(at[order], slot[order].astype(np.int64), value[order].astype(float), y.astype(np.int64), bits, least_df=least_df, least_z=least_z)
 
 
 def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
