@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from wareflow.llm.textblock import PIECE_BYTES, chunks, group, lookup, pieces, spread, text_bytes
 
@@ -63,39 +64,46 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
 
-    def _encode_chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ids of each). Chunks that start with a space are encoded many in a row: the tokenizer cuts
-        before each, and the byte lengths of the tokens tell where each ends."""
-        joined = [i for i, t in enumerate(texts) if t[0] == " "]
-        size = np.zeros(len(texts), np.int64)
-        got = self.tok.encode_batch_fast(["".join([texts[i] for i in joined[k:k + ROW]]) for k in range(0, len(joined), ROW)], add_special_tokens=False)
+    def _encode_spans(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each) of the chunks [start, end) of ``data``. Chunks that start with a space are encoded many
+        in a row: the tokenizer cuts before each, and the byte lengths of the tokens tell where each ends."""
+        lens = end - start
+        in_row = data[start] == 0x20
+        joined, alone = np.flatnonzero(in_row), np.flatnonzero(~in_row)
+        size = np.zeros(len(start), np.int64)
+        raw = data[spread(start[joined], lens[joined])].tobytes()
+        ends = np.cumsum(lens[joined])
+        cuts = [0, *ends[ROW - 1::ROW].tolist()]
+        if cuts[-1] < len(raw):
+            cuts.append(len(raw))
+        got = self.tok.encode_batch_fast([raw[a:z].decode() for a, z in zip(cuts, cuts[1:])], add_special_tokens=False)
         flat = np.fromiter(chain.from_iterable(e.ids for e in got), np.uint32)
-        ends = np.cumsum([len(texts[i].encode()) for i in joined]).astype(np.int64)
         reached = np.cumsum(self.bytes_of[flat])
         at = np.searchsorted(reached, ends) + 1
         if len(joined) and not np.array_equal(reached[at - 1], ends):
             raise ValueError("the tokenizer does not cut before a space")
         size[joined] = np.diff(np.concatenate(([0], at)))[:len(joined)]
-        rest = np.ones(len(texts), bool)
-        rest[joined] = False
-        rest = np.flatnonzero(rest)
-        alone = self.encode([texts[i] for i in rest.tolist()])
-        size[rest] = [len(x) for x in alone]
-        ids = np.concatenate((flat, *alone))
-        source = np.zeros(len(texts), np.int64)           # where each one's ids begin
-        order = np.concatenate((np.array(joined, np.int64), rest))
+        each = self.encode([data[a:z].tobytes().decode() for a, z in zip(start[alone], end[alone])])
+        size[alone] = [len(x) for x in each]
+        ids = np.concatenate((flat, *each))
+        source = np.zeros(len(start), np.int64)           # where each one's ids begin
+        order = np.concatenate((joined, alone))
         source[order] = np.cumsum(np.concatenate(([0], size[order][:-1])))
         return ids[spread(source, size)], size
 
     def chunk_sizes(self, texts: list[str]) -> np.ndarray:
         """Number of ids of each chunk."""
-        return self._encode_chunks(texts)[1] if texts else np.zeros(0, np.int64)
-
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        """Add chunks by their sorted hashes; few at a time go to a small table, which joins the large one when full."""
+        if not texts:
+            return np.zeros(0, np.int64)
+        data, offsets = text_bytes(pa.array(texts, pa.large_string()))
+        return self._encode_spans(data, offsets[:-1], offsets[1:])[1]
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, at: np.ndarray, to: np.ndarray) -> None:
+        """Add the chunks [at, to) of ``data`` by their sorted hashes; few at a time go to a small table, which joins
+        the large one when full."""
         if len(self.main[0]) + len(self.recent[0]) + len(hashes) > CACHE_ENTRIES:
             self._clear()
-        ids, size = self._encode_chunks(texts)
+        ids, size = self._encode_spans(data, at, to)
         start = self.used + np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
         more = int(size.sum())
         while self.used + more > len(self.pool):
@@ -155,7 +163,7 @@ class Pieces:
             known, start, count = self._find(uniq)
             while not known.all():            # again if the cache was cleared meanwhile
                 new = np.flatnonzero(~known)
-                self._learn(uniq[new], [part[s[k]:e[k]].tobytes().decode() for k in first[new]])
+                self._learn(uniq[new], part, s[first[new]], e[first[new]])
                 known, start, count = self._find(uniq)
             start, count = start[back], count[back]
             doc = np.searchsorted(offs, s, "right") - 1
