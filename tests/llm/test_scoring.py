@@ -214,6 +214,53 @@ def test_edited_copies_beside_verbatim_ones(llm):
         assert {r.doc_id for r in decontaminate.decontaminate(frame, bench).collect()} == set(range(1000, 1020))
 
 
+def test_null_and_repeated_items(llm):
+    item = " ".join(f"w{i}" for i in range(20))
+    bench = llm.createDataFrame([(None, item), (-1, item), (-1, item), (5, "x " + item), (5, "other words that stand in no text")], "item_id long, text string")
+    docs = llm.createDataFrame([(1, "a b " + item + " c"), (None, item), (1, item), (2, "clean")], "doc_id long, text string")
+    for chars in (8 << 20, 40):
+        got = decontaminate.leaks(docs, bench, block_chars=chars).collect()
+        assert Counter((r.doc_id, r.item_id) for r in got) == Counter([(d, i) for d in (1, None, 1) for i in (None, -1, -1, 5)])
+        assert [r.doc_id for r in decontaminate.decontaminate(docs, bench, block_chars=chars).collect()] == [2]
+
+
+def direct_toxicity(model, text):
+    """p_toxic and expected severity from the model's weights, word by word."""
+    words_ = Counter(re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").translate({c: chr(c + 32) for c in range(65, 91)})))
+    weight = dict(zip(model.slots.tolist(), model.weights.tolist()))
+    slots = Counter()
+    for w, n in words_.items():
+        h = toxicity.words(*toxicity.text_bytes(pa.array([w])), between=toxicity.MARKS)[0]
+        slots[int(h[0] >> np.uint64(64 - model.bits))] += n
+    z = sum(weight.get(s, 0) * (1 + math.log2(n)) for s, n in slots.items())
+    p = [1 / (1 + math.exp(-(z - c))) for c in model.cuts]
+    of = [a - b for a, b in zip([1, *p], [*p, 0])]
+    return sum(words_.values()), p[0], sum(p), of.index(max(of)), p[0] >= toxicity.CUT
+
+
+def test_toxicity_scores_word_by_word(llm, odd):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = documents(llm, sf), llm.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    both = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    texts = [(r.doc_id, r.text) for r in both.collect()]
+    got = sorted((tuple(r) for r in toxicity.score(both, model).collect()), key=repr)
+    want = sorted(((d, *direct_toxicity(model, t)) for d, t in texts), key=repr)
+    assert len(model.slots) > 5 and len({g[4] for g in got}) > 1
+    for g, w in zip(sorted(got, key=lambda r: (str(r[0]), r[1])), sorted(want, key=lambda r: (str(r[0]), r[1]))):
+        assert g[:2] == w[:2] and g[4:] == w[4:] and math.isclose(g[2], w[2], rel_tol=1e-9) and math.isclose(g[3], w[3], rel_tol=1e-9)
+
+
+def test_toxicity_learns_one_row_of_a_labelled_id(llm):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = documents(llm, sf).select("doc_id", "text"), llm.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    one = labels.where("toxic = 0").first().doc_id
+    many = docs.unionByName(llm.range(500).selectExpr(f"cast({one} as long) doc_id", "concat('zzz filler ', id) text"))
+    again = toxicity.train(many, labels)
+    assert np.array_equal(again.slots, model.slots) and np.allclose(again.weights, model.weights, rtol=0.2)
+
+
 def test_places_left_out_could_not_reach(llm, monkeypatch):
     rnd = random.Random(13)
     texts = [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 90))) for _ in range(40)]

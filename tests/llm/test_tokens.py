@@ -53,6 +53,19 @@ def check_packed(rows, texts, tok, window, end=1):
     assert all(s == window or s & (s - 1) == 0 for s in sizes) and max(sizes) <= window
 
 
+def test_packed_ids_are_the_sequences(llm, tok, odd):
+    docs = documents(llm, "/root/testdata/sf0.001").select("doc_id", "text").unionByName(odd.select("doc_id", "text")).unionByName(
+        llm.createDataFrame([(4, "another text of an id that is there")], "doc_id long, text string"))
+    want = defaultdict(int)
+    for r in docs.collect():
+        want[r.doc_id, np.append(ids_of(tok, r.text), 1).astype(np.int32).tobytes()] += 1
+    plan = sorted((r.sequence_id, r.offset, str(r.doc_id), r.start, r.length, r.ids_crc32) for r in packing.pack(docs, window=256).collect())
+    rows = sorted(packing.packed_ids(docs, window=256).collect(), key=lambda r: (r.sequence_id, r.offset))
+    assert [(r.sequence_id, r.offset, str(r.doc_id), r.start, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in rows] == plan
+    heads = [r for r in rows if r.start == 0]
+    assert len(heads) == sum(want.values())
+
+
 def test_packing_round_trip(llm, tok):
     docs = documents(llm, "/root/testdata/sf0.001")
     check_packed(packing.pack(docs).collect(), {r.doc_id: r.text for r in docs.collect()}, tok, 2048)

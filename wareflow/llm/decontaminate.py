@@ -14,7 +14,7 @@ in a row have no seed and are not found.
 
 Words are lower-cased and parted by white space and ASCII punctuation. Null and
 empty texts and items have no words and match nothing. Null or repeated ids and
-repeated rows are scored row by row. Empty tables give empty results.
+repeated rows, of documents and of items, are scored row by row; a null id stays null. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wareflow.llm.common import batch
+from wareflow.llm.common import batch, kept
 from wareflow.llm.textblock import MARKS, _STEP, distinct, lookup, mix, spread, text_bytes, words
 
 K = 4
@@ -219,8 +219,12 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int)
     items = benchmark.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-chars // block_chars)
+    if n > 1:                                  # numbered once, so that equal items may go to different blocks
+        items = kept(items.withColumn("row", F.monotonically_increasing_id()), "items")
+    else:
+        items = items.withColumn("row", F.lit(0))
     for b in range(n):
-        got = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).toArrow().sort_by([("i", "ascending"), ("t", "ascending")])
+        got = items.where(F.pmod(F.xxhash64("i", "t", "row"), F.lit(n)) == b).select("i", "t").toArrow().sort_by([("i", "ascending"), ("t", "ascending")])
         yield got.column(0).to_pylist(), got.column(1).to_pylist()
 
 
@@ -237,10 +241,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         shared = spark.sparkContext.broadcast(Items.of(ids, texts, k))
 
         def find(batches, shared=shared):
-            names = np.array([-1 if i is None else i for i in shared.value.ids], np.int64)
+            names = pa.array(shared.value.ids, pa.int64())
             for b in batches:
                 doc, item, score, n, end = shared.value.leaks(b.column(1), threshold)
-                yield batch(kind, b.column(0).take(pa.array(doc)), names[item], score, n, end)
+                yield batch(kind, b.column(0).take(pa.array(doc)), names.take(pa.array(item, pa.int64())), score, n, end)
 
         out = out.unionByName(rows.mapInArrow(find, ddl))
     return out

@@ -18,7 +18,9 @@ broadcast join with the pattern segments (bounded by the plan) turns ranks into
 sequence and offset.
 
 Null and empty texts are one piece holding the end id. Null ids are kept.
-Repeated rows are packed once each. An empty table gives an empty result.
+Repeated rows are packed once each; rows that share an id but not the text are
+packed by themselves, and their pieces differ in ``doc_tokens`` or checksum. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -160,8 +162,33 @@ def token_lengths(docs: DataFrame, id_col: str, text_col: str, window: int, end_
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID,
          tokenizer: str | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """The plan, one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    return _plan(docs, id_col, text_col, window, end_id, tokenizer or default_tokenizer(), buckets).drop("text_key")
+
+
+def packed_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID,
+               tokenizer: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """The packed sequences: sequence_id, offset, doc_id, start, ids (array of int) of every piece, its ids cut by the plan.
+
+    The texts are tokenised again, where their pieces are; sort by sequence_id and offset to write the sequences.
+    """
     path = tokenizer or default_tokenizer()
+    pieces = kept(_plan(docs, id_col, text_col, window, end_id, path, buckets), "pieces")
+    out = pa.schema([("sequence_id", pa.int64()), ("offset", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int32()))])
+
+    def cut(batches):
+        model = Pieces.of(path)
+        for b in batches:
+            parts, ids = b.column(2).to_pylist(), b.column(0).to_pylist()
+            rows = [(p["sequence_id"], p["offset"], ids[i], p["start"], x[p["start"]:p["start"] + p["length"]].astype(np.int32))
+                    for i, x in _with_end(model, b.column(1), end_id) for p in parts[i]]
+            yield batch(out, *([r[c] for r in rows] for c in range(5)))
+
+    return _with_parts(docs, pieces, id_col, text_col).mapInArrow(cut, "sequence_id long, offset long, doc_id long, start long, ids array<int>")
+
+
+def _plan(docs: DataFrame, id_col: str, text_col: str, window: int, end_id: int, path: str, buckets: int) -> DataFrame:
+    """The pieces with the key of their text; rows that share an id but not the text are told apart by it."""
     spark = docs.sparkSession
     key = ("doc_id", "text_key")
     lens = kept(token_lengths(docs, id_col, text_col, window, end_id, path), "lengths")
@@ -194,37 +221,42 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     running = Window.partitionBy("bucket").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     fulls = (lens.withColumn("before", F.coalesce(F.sum("full").over(running), F.lit(0))).where("full > 0")
              .join(F.broadcast(starts), "bucket")
-             .select("doc_id", "n", "base", "before", F.posexplode(F.slice("crcs", F.lit(1), F.col("full").cast("int"))).alias("i", "crc")))
-    fulls = fulls.select("doc_id", (F.col("i") * F.lit(window)).cast("long").alias("start"), F.lit(window).cast("long").alias("length"), "crc",
+             .select(*key, "n", "base", "before", F.posexplode(F.slice("crcs", F.lit(1), F.col("full").cast("int"))).alias("i", "crc")))
+    fulls = fulls.select(*key, (F.col("i") * F.lit(window)).cast("long").alias("start"), F.lit(window).cast("long").alias("length"), "crc",
                          F.col("n").alias("doc_tokens"), (F.col("base") + F.col("before") + F.col("i")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
-    names = ["doc_id", "start", "length", "crc", "doc_tokens", "sequence_id", "offset"]
+    names = [*key, "start", "length", "crc", "doc_tokens", "sequence_id", "offset"]
     n_cut = sum(s[7] != s[0] for s in segments)
     if n_cut:                                  # few: one a part-filled window
         placed = kept(placed, "placed")
         cut = _cut_crcs(docs, placed.where("NOT entire"), id_col, text_col, end_id, path)
         placed = placed.where("entire").select(*names).unionByName(cut.select(*names))
     return (placed.select(*names).unionByName(fulls).withColumnRenamed("crc", "ids_crc32")
-            .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))
+            .select(*key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))
 
 
-def _cut_crcs(docs: DataFrame, cut: DataFrame, id_col: str, text_col: str, end_id: int, path: str) -> DataFrame:
-    """Checksums of pieces shorter than their rest; their number is bounded by the plan, so they are broadcast."""
-    out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("doc_tokens", pa.int64()),
-                     ("sequence_id", pa.int64()), ("offset", pa.int64())])
-    parts = (cut.groupBy("doc_id", "text_key")
+def _with_parts(docs: DataFrame, pieces: DataFrame, id_col: str, text_col: str, few: bool = False) -> DataFrame:
+    """doc_id, t, parts, text_key: every text that has pieces, with all of them (those of its repeated rows too)."""
+    parts = (pieces.groupBy("doc_id", "text_key")
              .agg(F.collect_list(F.struct("start", "length", "doc_tokens", "sequence_id", "offset")).alias("parts")))
     texts = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("k"), F.col(text_col).alias("t"))
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("text_key"))
-    texts = texts.join(F.broadcast(parts), same).dropDuplicates(["doc_id", "text_key"]).select("doc_id", "t", "parts")
+    joined = texts.join(F.broadcast(parts) if few else parts, same)
+    return joined.dropDuplicates(["doc_id", "text_key"]).select("doc_id", "t", "parts", "text_key")
+
+
+def _cut_crcs(docs: DataFrame, cut: DataFrame, id_col: str, text_col: str, end_id: int, path: str) -> DataFrame:
+    """Checksums of pieces shorter than their rest; their number is bounded by the plan, so they are broadcast."""
+    out = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()),
+                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
+    texts = _with_parts(docs, cut, id_col, text_col, few=True)
 
     def crcs(batches):
         model = Pieces.of(path)
         for b in batches:
-            parts = b.column(2).to_pylist()
-            ids = b.column(0).to_pylist()
-            rows = [(ids[i], p["start"], p["length"], _crc(x[p["start"]:p["start"] + p["length"]]), p["doc_tokens"], p["sequence_id"], p["offset"])
+            ids, parts, keys = (b.column(c).to_pylist() for c in (0, 2, 3))
+            rows = [(ids[i], keys[i], p["start"], p["length"], _crc(x[p["start"]:p["start"] + p["length"]]), p["doc_tokens"], p["sequence_id"], p["offset"])
                     for i, x in _with_end(model, b.column(1), end_id) for p in parts[i]]
-            yield batch(out, *(list(c) for c in zip(*rows))) if rows else batch(out, *[[]] * 7)
+            yield batch(out, *([r[c] for r in rows] for c in range(8)))
 
-    return texts.mapInArrow(crcs, "doc_id long, start long, length long, crc long, doc_tokens long, sequence_id long, offset long")
+    return texts.mapInArrow(crcs, "doc_id long, text_key long, start long, length long, crc long, doc_tokens long, sequence_id long, offset long")

@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wareflow.llm.common import batch, kept
 from wareflow.llm.textblock import _powers, _raw, distinct, group, lookup, mix, spread, text_bytes
@@ -399,20 +400,27 @@ def hot_spans(hot: DataFrame, s: Suffixes, buckets: int) -> DataFrame:
     return again(again(hot, every_core), around_cores).mapInArrow(cover, "row long, lo int, hi int")
 
 
-def _digest(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
-    """Removed bytes, maximal removed runs, and the checksum of what is left."""
+def _runs(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Overlapping and touching intervals as maximal runs."""
     merged: list[list[int]] = []
     for a, b in sorted(spans):
         if merged and a <= merged[-1][1]:
             merged[-1][1] = max(merged[-1][1], b)
         else:
             merged.append([a, b])
-    sha, at = hashlib.sha256(), 0
-    for a, b in merged:
-        sha.update(data[at:a])
-        at = b
-    sha.update(data[at:])
-    return sum(b - a for a, b in merged), len(merged), sha.hexdigest()
+    return merged
+
+
+def _left(data: bytes, runs: list[list[int]]) -> bytes:
+    """The bytes outside the runs."""
+    ends = [0, *(b for _, b in runs)]
+    return b"".join(data[a:b] for a, b in zip(ends, [*(a for a, _ in runs), len(data)]))
+
+
+def _digest(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
+    """Removed bytes, maximal removed runs, and the checksum of what is left."""
+    runs = _runs(spans)
+    return sum(b - a for a, b in runs), len(runs), hashlib.sha256(_left(data, runs)).hexdigest()
 
 
 def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = LENGTH, k: int = GRAM) -> tuple[DataFrame, DataFrame]:
@@ -584,3 +592,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = held.where("live IS NULL").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
                                               F.col("sha").alias("kept_sha256"))
     return changed.unionByName(whole)
+
+
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, k: int = GRAM) -> DataFrame:
+    """Every row of ``docs`` with its columns, the repeated passages cut out of its text.
+
+    What is left of a character that was cut in two reads as U+FFFD. A null text stays null. Every read of ``docs`` must
+    give the same rows in the same partitions, as file scans do.
+    """
+    _, spans = repeated_spans(docs, text_col, id_col, length, k)
+    each = spans.groupBy(F.col("row").alias("at")).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("t"), whole).join(each, F.col("row") == F.col("at"), "left")
+    cut = rows.where("spans IS NOT NULL").select("whole", "t", "spans")
+    kind = T.StructType([cut.schema["whole"], T.StructField("left", T.StringType())])
+
+    def run(batches):
+        for b in batches:
+            left = [_left(t.encode(), _runs([(x["lo"], x["hi"]) for x in sp])).decode("utf-8", "replace")
+                    for t, sp in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(left, pa.string())], names=["whole", "left"])
+
+    def back(c: str):
+        return F.col("left") if c == text_col else F.col(f"whole.`{c}`")
+
+    done = cut.mapInArrow(run, kind).select(*[back(c).alias(c) for c in docs.columns])
+    return done.unionByName(rows.where("spans IS NULL").select("whole.*"))
