@@ -17,7 +17,7 @@ from wareflow.operators.partition import with_prt_path
 from wareflow.plans import jobs
 from wareflow.plans.registry import query, table
 from wareflow.session import scratch_path
-from wareflow.sinks.files import write_delimited, write_staging_csv
+from wareflow.sinks.files import move_folder, write_delimited, write_staging_csv
 from wareflow.sinks.layouts import read_feature_table
 from wareflow.sources.text import read_feature_json, read_lines
 
@@ -88,6 +88,42 @@ def partition_job_q(spark, sf_dir):
     return spark.table(name)
 
 
+@query("merge_recover", f"""
+SELECT {ORDERS_TEXT_COLS.format(status="'F'")} FROM orders WHERE o_orderdate >= TIMESTAMP '{STG_FROM}'
+UNION ALL
+SELECT {ORDERS_TEXT_COLS.format(status='o_orderstatus')} FROM orders WHERE o_orderdate < TIMESTAMP '{STG_FROM}'
+""")
+def merge_recover_q(spark, sf_dir):
+    """A merge into a table that a dead driver left under its retired name, between the two renames of a swap."""
+    root = scratch_path(spark, "wh_recover")
+    orders = table(spark, sf_dir, "orders")
+    stg_path, ods_path = resolve(root, "stg.d_orders"), resolve(root, "ods.d_orders")
+    name = "ods.d_recover_" + root.rsplit("-", 1)[-1]
+    write_staging_csv(_orders_text(orders), stg_path)
+    jobs.merge_job(spark, root, "d_orders", [[":o_orderkey", 0]], catalog_name=name)
+    move_folder(spark, ods_path, f"{ods_path}__retired_dead")
+    later = orders.where(F.col("o_orderdate") >= F.lit(STG_FROM).cast("timestamp_ntz"))
+    write_staging_csv(_orders_text(later).withColumn("o_orderstatus", F.lit("F")), stg_path)
+    jobs.merge_job(spark, root, "d_orders", [[":o_orderkey", 0]], catalog_name=name)
+    return spark.table(name)
+
+
+@query("partition_slash", """
+SELECT 'p_mix=' || o_orderstatus || '/' || o_orderpriority || '=?' AS prt_path, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       o_orderstatus || '/' || o_orderpriority || '=?' AS mix, o_orderstatus || '/' || o_orderpriority || '=?' AS p_mix
+FROM orders
+""")
+def partition_slash_q(spark, sf_dir):
+    """Partition values that hold the path's own marks: a slash and an equals sign."""
+    root = scratch_path(spark, "wh_slash")
+    mix = F.concat("o_orderstatus", F.lit("/"), "o_orderpriority", F.lit("=?"))
+    write_staging_csv(table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), mix.alias("mix")),
+                      resolve(root, "stg.d_orders"))
+    name = "ods.d_slash_" + root.rsplit("-", 1)[-1]
+    jobs.partition_job(spark, root, "d_orders", [[":p_mix", 1]], catalog_name=name)
+    return spark.table(name)
+
+
 MODEL_COLUMNS = ["'prt_path", "l_orderkey", "l_linenumber", "l_quantity",
                  "_l_extendedprice", "_l_tax", "'l_returnflag"]
 MODEL_EXPRS = [(":unit_price", ":l_extendedprice / :l_quantity"),
@@ -124,6 +160,22 @@ def derive_job_q(spark, sf_dir):
     return read_feature_json(spark, out, schema)
 
 
+@query("derive_empty", """
+SELECT CAST(p_partkey AS DOUBLE) AS p_partkey, p_size >= 25 AS large, p_brand
+FROM part
+""")
+def derive_empty_q(spark, sf_dir):
+    """An empty source replaces nothing: the partitions of the run before stay."""
+    root = scratch_path(spark, "wh_empty")
+    model = with_prt_path(table(spark, sf_dir, "part"), [("p_brand", F.col("p_brand"))]).select("prt_path", "p_partkey", "p_size")
+    columns, exprs = ["'_prt_path", "p_partkey", "_p_size"], [(":large", ":p_size >= 25")]
+    for rows in (model, model.where("p_partkey < 0")):
+        write_delimited(rows, resolve(root, "model.d_part"))
+        out = jobs.derive_job(spark, root, "model.d_part", "4ml.empty.d_part", columns, exprs)
+    schema = T.StructType([T.StructField("p_partkey", T.DoubleType()), T.StructField("large", T.BooleanType())])
+    return read_feature_table(spark, out, schema)
+
+
 FEATURE_CONFIG = {
     "classId": "cls1",
     "data_sources": {
