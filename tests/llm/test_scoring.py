@@ -214,6 +214,32 @@ def test_edited_copies_beside_verbatim_ones(llm):
         assert {r.doc_id for r in decontaminate.decontaminate(frame, bench).collect()} == set(range(1000, 1020))
 
 
+def test_common_seeds_are_thinned_but_every_stretch_keeps_one(llm, monkeypatch):
+    rnd = random.Random(21)
+    texts = [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 40))) for _ in range(20)]
+    items = decontaminate.Items.of(list(range(20)), texts, 4)
+    n = np.array([rnd.choice([0, 0, 5, 9, 30]) for _ in items.seed])
+    rare = items.rare(items.seed[n > 0], n[n > 0])
+    count = dict(zip(items.seed.tolist(), n.tolist()))
+    stays = set(rare.seed.tolist())
+    assert {s for s, c in count.items() if not c} <= stays and len(stays) < len(count)
+    for i, t in enumerate(texts):
+        size = len(t.split())
+        seeds = decontaminate.grams_at(items.word, np.arange(items.offs[i], items.offs[i + 1] - 3), 4).tolist() if size >= 4 else []
+        for a in range(max(0, len(seeds) - 3)):
+            assert min(seeds[a:a + 4], key=lambda x: (count[x], x)) in stays
+        assert not seeds or stays & set(seeds)
+    # a corpus in which the seeds of one item are common: its copies are found all the same, by fewer seeds
+    monkeypatch.setattr(decontaminate, "COMMON_LEAST", 30)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    hot, cold = " ".join(word() for _ in range(30)), " ".join(word() for _ in range(30))
+    rows = [(i, " ".join(word() for _ in range(10)) + (f" {hot} x" if i < 50 else f" {cold} x" if i < 60 else "")) for i in range(100)]
+    bench = llm.createDataFrame([(1, hot), (2, cold)], "item_id long, text string")
+    got = decontaminate.leaks(llm.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, 1 if i < 50 else 2) for i in range(60)}
+    assert {r.n_seeds for r in got if r.item_id == 2} == {27} and max(r.n_seeds for r in got if r.item_id == 1) < 27
+
+
 def test_null_and_repeated_items(llm):
     item = " ".join(f"w{i}" for i in range(20))
     bench = llm.createDataFrame([(None, item), (-1, item), (-1, item), (5, "x " + item), (5, "other words that stand in no text")], "item_id long, text string")

@@ -1,16 +1,23 @@
-"""Benchmark decontamination: n-gram seeds, then local alignment.
+"""Benchmark decontamination: rare n-gram seeds, then local alignment.
 
 Test items are read in blocks of bounded size; each block's items are one
-broadcast query set against every document. Every word ``k``-gram of an item is a
-seed, however many documents hold it (an item shorter than k words is one seed):
-copies raise the counts of just the k-grams they share, so counts choose none. One
-pass finds the seeds in the documents and aligns the item with the words around
-each hit by Smith-Waterman over words (match 2, mismatch -1, gap -1). Places whose
-words could not reach the threshold in any order are left out before aligning;
-this loses nothing. The score is the best alignment over that of an unchanged
-copy, so edited and paraphrased copies score below 1. An item leaks into a
-document where the score reaches ``threshold``. Copies without k unchanged words
-in a row have no seed and are not found.
+broadcast query set against every document. The word ``k``-grams of an item are
+its seeds (an item shorter than k words is one seed). A first pass counts the
+documents that hold each. A seed that more than one document in
+``1 / COMMON_SHARE`` holds, and more than ``COMMON_LEAST``, is common language, a
+rule that does not look at the items; it is left out unless it is the rarest of
+``COVER`` seeds in a row, so that every stretch of an item keeps a seed. All
+rarer seeds stay: copies raise the counts of just the k-grams they share, so
+that counts among them say nothing.
+
+A second pass joins the documents to the items by these seeds and aligns the item
+with the words around each hit by Smith-Waterman over words (match 2, mismatch
+-1, gap -1). Places whose words could not reach the threshold in any order are
+left out before aligning; this loses nothing. The score is the best alignment
+over that of an unchanged copy, so edited and paraphrased copies score below 1.
+An item leaks into a document where the score reaches ``threshold``. Copies
+without k unchanged words in a row, or k + ``COVER`` - 1 where the words are common
+language, may have no seed and are then not found.
 
 Words are lower-cased and parted by white space and ASCII punctuation. Null and
 empty texts and items have no words and match nothing. Null or repeated ids and
@@ -28,11 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wareflow.llm.common import batch, kept
+from wareflow.llm.common import batch, discard, kept
 from wareflow.llm.textblock import MARKS, _STEP, distinct, lookup, mix, spread, text_bytes, words
 
 K = 4
 THRESHOLD = 0.5
+#: Share of the documents, and least number of them, that hold a seed of common language.
+COMMON_SHARE, COMMON_LEAST = 1 / 1000, 1000
+COVER = 4
 BLOCK_CHARS = 8 << 20
 MATCH, MISS, GAP = 2, -1, -1
 _CELLS = 1 << 19
@@ -81,6 +91,33 @@ class Items:
         pair, pair_n = distinct(Items._pair(np.repeat(np.arange(len(ids)), np.diff(offs)), h))
         return Items(ids, h, offs, *Items._sorted(seed, size, item, pos), vocab, pair, pair_n)
 
+    def rare(self, common: np.ndarray, counts: np.ndarray, cover: int = COVER) -> Items:
+        """Without the seeds of common language (sorted hashes and their documents) that are not the rarest of ``cover`` in a row."""
+        at = lookup(common, self.seed)
+        held = np.where(at >= 0, counts[at] if len(counts) else 0, 0)
+        if not held.any():
+            return self
+        of = np.repeat(np.arange(len(self.seed)), np.diff(self.first))       # the seed of each place
+        order = np.lexsort((self.use_pos, self.use_item))
+        item, pos, seed = self.use_item[order], self.use_pos[order], of[order]
+        n = held[seed]
+        keep = n == 0
+        for back in range(cover):                             # windows of places; each keeps its rarest
+            lo = np.arange(len(seed)) - back
+            window = lo[:, None] + np.arange(cover)
+            inside = (window >= 0) & (window < len(seed))
+            window = np.clip(window, 0, max(0, len(seed) - 1))
+            inside &= item[window] == item[:, None]
+            full = inside.all(axis=1) | (back == 0)            # a window that an item's end cuts counts once
+            value = np.where(inside, n[window] * len(self.seed) + seed[window], np.iinfo(np.int64).max)     # of equals the lesser hash
+            best = window[np.arange(len(seed)), value.argmin(axis=1)]
+            keep[best[full]] = True
+        stays = np.zeros(len(self.seed), bool)
+        stays[seed[keep]] = True
+        use = stays[of]
+        return Items(self.ids, self.word, self.offs, *Items._sorted(self.seed[of][use], self.size[of][use], self.use_item[use], self.use_pos[use]),
+                     self.vocab, self.pair, self.pair_n)
+
     @staticmethod
     def _pair(item: np.ndarray, word: np.ndarray) -> np.ndarray:
         return mix(word + mix(item.astype(np.uint64)))
@@ -228,6 +265,39 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int)
         yield got.column(0).to_pylist(), got.column(1).to_pylist()
 
 
+def _block(rows: DataFrame, ids: list, texts: list, k: int):
+    """A broadcast block of items with its rare seeds; rows have the text in their second column."""
+    sc = rows.sparkSession.sparkContext
+    every = Items.of(ids, texts, k)
+    shared = sc.broadcast(every)
+    kind = pa.schema([("seed", pa.int64()), ("docs", pa.int64())])
+
+    def count(batches):
+        held, texts_ = np.zeros(len(shared.value.seed), np.int64), 0
+        for b in batches:
+            _, _, doc, _, seed = shared.value.hits(b.column(1))
+            texts_ += b.num_rows
+            if len(seed):
+                both, _ = distinct(doc.astype(np.uint64) << np.uint64(32) | seed.astype(np.uint64))
+                held += np.bincount((both & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(held))
+        some = np.flatnonzero(held)
+        yield batch(kind, shared.value.seed[some].view(np.int64), held[some])
+        yield batch(kind, pa.nulls(1, pa.int64()), [texts_])
+
+    seen = kept(rows.mapInArrow(count, "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs")), "seeds")
+    total = seen.where("seed IS NULL").first()
+    bound = max(COMMON_LEAST, int((total["docs"] if total else 0) * COMMON_SHARE))
+    often = seen.where(F.col("seed").isNotNull() & (F.col("docs") > bound)).toArrow()       # some of the block's own seeds
+    h, n = often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy()
+    discard(seen)
+    by = np.argsort(h)
+    rare = every.rare(h[by], n[by])
+    if rare is every:
+        return shared
+    shared.unpersist()
+    return sc.broadcast(rare)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
           item_text: str = "text", k: int = K, threshold: float = THRESHOLD,
           block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -238,7 +308,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     out = spark.createDataFrame([], ddl)
     for ids, texts in _blocks(benchmark, item_id, item_text, block_chars):
-        shared = spark.sparkContext.broadcast(Items.of(ids, texts, k))
+        shared = _block(rows, ids, texts, k)
 
         def find(batches, shared=shared):
             names = pa.array(shared.value.ids, pa.int64())
@@ -253,9 +323,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                   k: int = K, threshold: float = THRESHOLD, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` into which no item leaks."""
-    spark = docs.sparkSession
     for ids, texts in _blocks(benchmark, item_id, item_text, block_chars):
-        shared = spark.sparkContext.broadcast(Items.of(ids, texts, k))
+        shared = _block(docs.select(F.lit(0), F.col(text_col).alias("t")), ids, texts, k)
         rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("t"))
 
         def clean(batches, shared=shared):
