@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 from wareflow.llm import exact_dedup, jaccard_join, suffix_dedup
+from wareflow.llm.common import kept
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -96,11 +97,14 @@ def test_near_against_all_pairs(llm, monkeypatch):
         texts[i] = " ".join(w)
     texts |= {500: None, 501: "", 502: "A b", 503: "a  B"}
     want = near_brute(texts)
-    for turns in (16, 0):
+    # Hub turns or none; lists that one task may hold, lists dealt in blocks; joins that broadcast, joins that shuffle.
+    for turns, long, sent in ((8, 4096, 2_000_000), (0, 3, 2_000_000), (3, 4, 0)):
         monkeypatch.setattr(jaccard_join, "TURNS", turns)
+        monkeypatch.setattr(jaccard_join, "LONG", long)
+        monkeypatch.setattr(jaccard_join, "SENT_ROWS", sent)
         got = jaccard_join.near_duplicates(frame(llm, texts), head=0 if turns else 1 << 18).collect()
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
-    stay = jaccard_join.one_of_each(frame(llm, texts)).collect()
+    stay = jaccard_join.one_of_each(kept(frame(llm, texts), "frame")).collect()
     assert sorted(r.doc_id for r in stay) == sorted(d for d, w in want.items() if w[1] == d)
 
 
@@ -109,8 +113,16 @@ def test_near_odd_rows(odd, empty):
     assert len(got) == odd.count()
     assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 2), (3, 3), (4, 4), (None, None), (5, 5), (6, 5), (7, 7)}
     stay = jaccard_join.one_of_each(odd)
-    assert stay.columns == odd.columns and stay.count() == odd.count() - 1
-    assert jaccard_join.near_duplicates(empty).collect() == []
+    assert stay.columns == odd.columns and sorted(str(r.doc_id) for r in stay.collect()) == ["1", "2", "3", "4", "5", "7", "None"]
+    assert jaccard_join.near_duplicates(empty).collect() == [] and jaccard_join.one_of_each(empty).collect() == []
+
+
+def test_one_of_each_goes_by_rows_not_ids(llm):
+    t, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "tu")
+    rows = [(1, t, "a"), (7, u, "b"), (7, t + " x", "c"), (9, u + " y", "d"), (3, "w " + t, "e"), (3, "v " + t, "f"), (None, u + " z", "g")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, row string").selectExpr("*", "1 AS __gone", "2 AS gone", "3 AS whole", "4 AS component").coalesce(1)
+    stay = jaccard_join.one_of_each(docs)
+    assert stay.columns == docs.columns and sorted((r.doc_id, r["row"]) for r in stay.collect()) == [(1, "a"), (7, "b")]
 
 
 def test_bitmaps_never_drop_a_link():
@@ -227,3 +239,20 @@ def test_repeats_odd_rows(odd, empty):
     size = {r.doc_id: len((r.text or "").encode()) for r in odd.collect()}
     assert got == {(d, n, n if d in (5, 6) else 0, 1 if d in (5, 6) else 0) for d, n in size.items()}
     assert suffix_dedup.remove_repeats(empty).collect() == []
+
+
+def test_cleaned_rows_keep_their_columns(llm, odd, empty):
+    rnd = random.Random(9)
+    passage = "".join(rnd.choice("abc é") for _ in range(300))
+    rows = [(i, f"{i} start {passage} end {i}" if i % 2 else f"{i} alone", None if i == 3 else f"r{i}") for i in range(6)] + [(9, None, "n"), (None, "", "e")]
+    docs = kept(llm.createDataFrame(rows, "doc_id long, text string, whole string"), "clean-rows")
+    got = suffix_dedup.clean(docs, length=200, k=48).collect()
+    want = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs, length=200, k=48).collect()}
+    assert suffix_dedup.clean(docs, length=200, k=48).columns == docs.columns
+    assert sorted(((r.doc_id, r.whole) for r in got), key=repr) == sorted(((d, w) for d, _, w in rows), key=repr)
+    for r in got:
+        raw = (r.text or "").encode()
+        assert "\ufffd" in (r.text or "") or hashlib.sha256(raw).hexdigest() == want[r.doc_id].kept_sha256
+        assert (r.text is None) == (r.doc_id == 9)
+    assert {len(r.text.encode()) for r in got if r.doc_id and r.doc_id % 2 and r.doc_id < 9} != {len(rows[1][1].encode())}
+    assert suffix_dedup.clean(odd).count() == odd.count() and suffix_dedup.clean(empty).collect() == []

@@ -310,3 +310,38 @@ def test_pipeline_stages(llm):
     assert sizes == sorted(sizes, reverse=True) and 0 < sizes[-1] < 200
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
     assert {r.doc_id for r in corpus_pipeline.run(llm, SF).collect()} == ids
+
+
+def _near_words(text):
+    return re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").translate({c: chr(c + 32) for c in range(65, 91)}))
+
+
+def test_pipeline_against_brute_force(llm):
+    """Every stage recomputed on the whole of a small table: what is packed is what brute force leaves, and is packed whole."""
+    from tokenizers import Tokenizer
+
+    from wareflow.llm.pieces import default_tokenizer
+    from .test_duplicates import near_brute
+    from .test_tokens import check_packed
+    docs, labels = documents(llm, SF), llm.read.parquet(f"{SF}/labels.parquet")
+    left = {r.doc_id: r.text for r in docs.collect()}
+    model = toxicity.train(docs, labels)
+    left = {d: t for d, t in left.items() if not direct_toxicity(model, t)[4]}
+    equal = {}
+    for d, t in left.items():
+        equal.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), d))
+    left = {min(g)[1]: left[min(g)[1]] for g in equal.values()}
+    left = {d: left[d] for d, (_, root) in near_brute(left).items() if root == d}
+    items = [_near_words(r.text) for r in llm.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    grams = lambda w, k: {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+    leaked = set()
+    for d, t in left.items():
+        w = _near_words(t)
+        for item in items:
+            k = min(4, len(item))
+            if k and grams(item, k) & grams(w, k) and direct_score(item, w) >= 0.5 * 2 * len(item):
+                leaked.add(d)
+                break
+    left = {d: t for d, t in left.items() if d not in leaked}
+    assert 0 < len(left) < docs.count() and leaked
+    check_packed(corpus_pipeline.run(llm, SF).collect(), left, Tokenizer.from_file(default_tokenizer()), 2048)

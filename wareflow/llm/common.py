@@ -19,7 +19,17 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below the shared folder and read back (a lineage cut)."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of :func:`kept` tables that nothing reads any more: whatever was made of them is written."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._kept_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def filesystem(uri: str):

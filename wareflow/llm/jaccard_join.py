@@ -14,10 +14,12 @@ order changes the work alone: any order gives the same links.
 3. Every group is verified against the hub it shares most lists with, and the
    units of one group against one of them; the links found give components. A
    group of copies thus costs one pair for each member, not all pairs.
-4. Lists that still hold several components get another hub, turn by turn, and
-   every unit one more pair with a hub of another component, as long as a fair
+4. Lists that still hold several components get a hub, the unit that stands in
+   most of them, then others turn by turn, and
+   every unit one pair with a hub of another component, as long as a fair
    share of these pairs links. A group whose members link with some of each other
-   only thus grows together at a few pairs a member.
+   only thus grows together at a few pairs a member. The components found so
+   far are contracted: a turn joins roots, and only members of joined roots change.
 5. What is left is expanded to all pairs of units from different components whose
    sizes and places in the list allow it to hold their first common shingle.
    Parity bitmaps of the sets (the bits in which two differ never outnumber the
@@ -25,25 +27,32 @@ order changes the work alone: any order gives the same links.
    verified. No pair that could join two components is left out, so the
    components are exact.
 
-Verification moves the texts of candidate units to their hub, dealt over
+Lists of up to ``LONG`` entries are written together and sorted once; a turn reads
+them where they are. Longer ones stay dealt over all tasks: their hubs are found by
+an aggregation and sent to the entries, and their pairs (step 5) are made by
+pairs of blocks, each a group of its own, so that no task holds a whole long list.
+
+Verification moves the texts of the units in question to their hub, dealt over
 several tasks when a hub has many, and compares the whole sets.
 
 Null and empty texts have no shingles, link with nothing and are components of
 their own. Texts of fewer words than a shingle have one, the whole sequence.
 Null ids take part in linking; a component's id is its smallest id that is not
-null (null if there is none). Repeated rows are equal sets. An empty table
-gives an empty result.
+null (null if there is none). Repeated rows are equal sets; rows that share an id
+are linked row by row. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.common import batch, kept
+from wareflow.llm.common import batch, discard, kept
 from wareflow.llm.textblock import distinct, lookup, mix, ngrams, text_bytes, words
+from wareflow.operators.keys import per_key
+from wareflow.operators.measure import fits_broadcast
 
 K = 5
 NUM, DEN = 75, 100
@@ -52,6 +61,10 @@ SLICE = 1000
 HUB_PART = 512
 #: Turns of one pair a unit before the pairs that are left are all made.
 TURNS = 8
+#: Entries of a list that one task may hold.
+LONG = 4096
+#: Bounds of what is broadcast (rows, bytes); beyond them the same joins shuffle.
+SENT_ROWS, SENT_BYTES = 2_000_000, 128 << 20
 _U = np.uint64
 
 
@@ -121,13 +134,27 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
                  .where("a <> b").distinct())
-        now = kept(small, "edges")
+        old, now = now, kept(small, "edges")
+        discard(old)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            out = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            out._kept_at = now._kept_at
+            return out
         before = mark
 
 
+def _sent(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it is measured to be small; else a join shuffles it."""
+    return F.broadcast(df) if fits_broadcast(df, SENT_ROWS, SENT_BYTES) else df
+
+
+def _only(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows (sig, ...) of units that stand in ``pairs``, so that no others are shuffled for them."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    return rows.join(_sent(named), "sig", "left_semi")
+
+
 def _order(seen: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted hashes, counts) of the most frequent shingles, ``head`` at most."""
     level = F.floor(F.log2("count") * 4)
@@ -274,7 +301,8 @@ def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) ->
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The linked ones of the pairs (a, b) of units; texts (sig, t). A hub of many pairs is dealt over several tasks."""
+    """The linked ones of the pairs (a, b) of units, a written table; texts (sig, t). A hub of many pairs is dealt over several tasks."""
+    texts = _only(texts.select("sig", "t"), pairs)
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
     sizes = sizes.select("a", F.ceil(F.col("pairs") / HUB_PART).cast("int").alias("parts"))
     member = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
@@ -305,79 +333,148 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
     return dealt.mapInArrow(check, "a long, b long")
 
 
+def _first_common(nx, i, ny, j, num: int, den: int):
+    """Whether sets of these sizes may link if their first common shingle stands at places i and j."""
+    return (num + den) * np.minimum(nx - i, ny - j) >= num * (nx + ny)
+
+
+def _some_first_common(nx, i, ny, j, num: int, den: int) -> Column:
+    """The same of columns."""
+    return (num + den) * F.least(nx - i, ny - j) >= num * (nx + ny)
+
+
+def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return batch(_PAIR, a[new], b[new])
+
+
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
 def _by_list(entries: DataFrame, pairs_of) -> DataFrame:
-    """Pairs (a, b) that ``pairs_of`` makes of each list's arrays; entries (list, sig, n, pos, comp)."""
-    kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Pairs (a, b) that ``pairs_of`` makes of whole lists; entries (list, sig, n, pos, deg, comp) stand together and sorted by list.
 
+    ``pairs_of`` gets the starts and sizes of some lists and their entries' columns. A list that the scan cuts in two is two lists.
+    """
     def run(batches):
-        held = [np.zeros(0, np.int64)] * 5
+        held = [np.zeros(0, np.int64)] * 6
         for b in batches:
             arr = [np.concatenate((h, b.column(i).to_numpy().astype(np.int64))) for i, h in enumerate(held)]
             if not len(arr[0]):
                 continue
-            last = int(np.searchsorted(arr[0], arr[0][-1]))     # the last list may go on
+            other = np.flatnonzero(arr[0] != arr[0][-1])
+            last = int(other[-1]) + 1 if len(other) else 0      # the last list may go on
             yield from some([c[:last] for c in arr])
             held = [c[last:] for c in arr]
         yield from some(held)
 
     def some(arr):
         name = arr[0]
-        if not len(name):
-            return
-        start = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
-        size = np.diff(np.append(start, len(name)))
-        mixed = np.minimum.reduceat(arr[4], start) < np.maximum.reduceat(arr[4], start)
+        if len(name):
+            start = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+            for x, y in pairs_of(start, np.diff(np.append(start, len(name))), *arr[1:]):
+                yield _distinct_pairs(x, y)
+
+    return entries.select("list", "sig", "n", "pos", "deg", "comp").mapInArrow(run, "a long, b long")
+
+
+def _together(entries: DataFrame, *keys: str) -> DataFrame:
+    return entries.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def _all_pairs(num: int, den: int):
+    """For :func:`_by_list`: all pairs of units from different components that may have their first common shingle in one list."""
+    def every(start, size, sig, n, pos, deg, comp):
+        mixed = np.minimum.reduceat(comp, start) < np.maximum.reduceat(comp, start)
         out_a, out_b, count = [], [], 0
         for at, m in zip(start[mixed].tolist(), size[mixed].tolist()):
-            for x, y in pairs_of(*(c[at:at + m] for c in arr[1:])):
-                out_a.append(x)
-                out_b.append(y)
-                count += len(x)
+            for i in range(at, at + m - 1):
+                z = slice(i + 1, at + m)
+                far = np.flatnonzero((comp[z] != comp[i]) & _first_common(n[i], pos[i], n[z], pos[z], num, den)) + i + 1
+                out_a.append(np.minimum(sig[i], sig[far]))
+                out_b.append(np.maximum(sig[i], sig[far]))
+                count += len(far)
             if count > 1 << 18:
-                yield unique(out_a, out_b)
+                yield np.concatenate(out_a), np.concatenate(out_b)
                 out_a, out_b, count = [], [], 0
         if count:
-            yield unique(out_a, out_b)
+            yield np.concatenate(out_a), np.concatenate(out_b)
 
-    def unique(a, b):
-        a, b = np.concatenate(a), np.concatenate(b)
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        return batch(kind, a[new], b[new])
+    return every
 
-    return entries.select("list", "sig", "n", "pos", "comp").repartition("list").sortWithinPartitions("list").mapInArrow(run, "a long, b long")
 
+def _across_blocks(entries: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
+    """All such pairs of long lists (``sizes``: list, entries). A list is dealt into blocks of about ``LONG`` entries, and each two
+    blocks (or a block by itself) meet in a group of their own: left entries first, then the right ones."""
+    dealt = (entries.join(_sent(sizes.select("list", F.ceil(F.col("entries") / LONG).cast("int").alias("parts"))), "list")
+             .withColumn("mine", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    dealt = dealt.select("list", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), (F.col("mine") > F.col("other")).alias("right"),
+                         "sig", "n", "pos", "comp")
+    def run(batches):
+        held = [np.zeros(0, np.int64)] * 8
+        for b in batches:
+            arr = [np.concatenate((h, b.column(i).cast(pa.int64()).to_numpy())) for i, h in enumerate(held)]
+            new = np.flatnonzero((arr[0][1:] != arr[0][:-1]) | (arr[1][1:] != arr[1][:-1]) | (arr[2][1:] != arr[2][:-1])) + 1
+            for z, y in zip(np.concatenate(([0], new)).tolist(), new.tolist()):
+                yield from meet(*(c[z:y] for c in arr[1:]))
+            held = [c[new[-1]:] if len(new) else c for c in arr]
+        yield from meet(*held[1:])
+
+    def meet(lo, hi, right, sig, n, pos, comp):
+        if not len(lo):
+            return
+        side = len(lo) if lo[0] == hi[0] else int(np.searchsorted(right, 1))
+        out_a, out_b, count = [], [], 0
+        for i in range(side):
+            z = slice(i + 1 if lo[0] == hi[0] else side, None)
+            far = np.flatnonzero((comp[z] != comp[i]) & _first_common(n[i], pos[i], n[z], pos[z], num, den)) + z.start
+            out_a.append(np.minimum(sig[i], sig[far]))
+            out_b.append(np.maximum(sig[i], sig[far]))
+            count += len(far)
+            if count > 1 << 18 or i == side - 1:
+                yield _distinct_pairs(np.concatenate(out_a), np.concatenate(out_b))
+                out_a, out_b, count = [], [], 0
 
-def _first_common(nx, i, ny, j, num: int, den: int):
-    """Whether sets of these sizes may link if their first common shingle stands at places i and j."""
-    return (num + den) * np.minimum(nx - i, ny - j) >= num * (nx + ny)
+    return (dealt.repartition("list", "lo", "hi").sortWithinPartitions("list", "lo", "hi", "right")
+            .mapInArrow(run, "a long, b long"))
 
 
-def _across(entries: DataFrame, num: int, den: int) -> DataFrame:
+def _across(short: DataFrame, long: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
     """All pairs of units from different components that may have their first common shingle in one list."""
-    def every(sig, n, pos, comp):
-        for i in range(len(sig) - 1):
-            z = slice(i + 1, None)
-            far = np.flatnonzero((comp[z] != comp[i]) & _first_common(n[i], pos[i], n[z], pos[z], num, den)) + i + 1
-            if len(far):
-                yield np.minimum(sig[i], sig[far]), np.maximum(sig[i], sig[far])
+    mixed = per_key(long, ["list"], F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("list")
+    long = long.join(_sent(mixed), "list", "left_semi")
+    return (_by_list(_together(short, "list"), _all_pairs(num, den)).unionByName(_across_blocks(long, sizes, num, den)).distinct())
 
-    return _by_list(entries, every).distinct()
 
-
-def _to_hub(entries: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+def _to_hub(short: DataFrame, long: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     """At most one pair (hub, unit) for each unit: the hub of another component that it shares most lists with.
 
-    Each turn has another hub in each list, the same one in lists that share it.
+    A list's hub is the unit that stands in most open lists: edits make shingles of their own, which stand first and in
+    no list, so that the text that many others were made from stands in more lists than they. From the second turn
+    on, noise of up to the degree itself gives other hubs their turn, the same ones in lists that share them.
     """
-    def one(sig, n, pos, comp):
-        h = int(np.argmin(mix(sig.view(np.uint64) ^ _U(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))))
+    salt = turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+    width = 1 if turn > 1 else 0
+
+    def one(start, size, sig, n, pos, deg, comp):
+        luck = (mix(sig.view(np.uint64) ^ _U(salt)) >> _U(11)).astype(float) / (1 << 53)
+        order = deg * (1 + width * luck) + luck / 2
+        first = np.flatnonzero(order == np.repeat(np.maximum.reduceat(order, start), size))
+        h = np.repeat(first[np.searchsorted(first, start)], size)
         far = np.flatnonzero((comp != comp[h]) & _first_common(n[h], pos[h], n, pos, num, den))
         if len(far):
-            yield np.full(len(far), sig[h]), sig[far]
-
-    shared = _by_list(entries, one).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+            yield sig[h[far]], sig[far]
+
+    luck = F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
+    order = F.col("deg") * (1 + width * luck) + luck / 2
+    hubs = per_key(long, ["list"], F.max(F.struct(order.alias("order"), "sig", "n", "pos", "comp")).alias("hub"))
+    far = (F.col("comp") != F.col("hub.comp")) & _some_first_common(F.col("hub.n"), F.col("hub.pos"), F.col("n"), F.col("pos"), num, den)
+    of_long = long.join(_sent(hubs), "list").where(far).select(F.col("hub.sig").alias("a"), F.col("sig").alias("b"))
+    shared = _by_list(short, one).unionByName(of_long).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
     return shared.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
 
 
@@ -393,7 +490,8 @@ def _bitmaps(texts: DataFrame, k: int) -> DataFrame:
 
 
 def _filtered(pairs: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that the parity bitmaps do not rule out."""
+    """Pairs, a written table, that the parity bitmaps do not rule out."""
+    maps = _only(maps, pairs)
     one = maps.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("bits").alias("pa"))
     two = maps.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("pb"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -409,20 +507,27 @@ def _filtered(pairs: DataFrame, maps: DataFrame, num: int, den: int) -> DataFram
 
 
 def _labelled(entries: DataFrame, label: DataFrame) -> DataFrame:
-    """Entries with their component so far (a unit without links is its own)."""
+    """Entries (list, sig, n, pos, ...) with their component so far (a unit without links is its own)."""
     return entries.join(label, F.col("sig") == F.col("node"), "left").select(*entries.columns, F.coalesce("root", "sig").alias("comp"))
 
 
 def _joined(label: DataFrame, links_: DataFrame) -> DataFrame:
-    """The components after more links between units."""
-    of_a, of_b = (label.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    """The components (node, root; roots themselves stand in none) after more links between units: roots that links join
+    are contracted, and the members of the others stay as they are. ``label`` is a kept table and is discarded."""
+    sent = _sent(label)
+    of_a, of_b = (sent.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
     new = links_.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    return components(label.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
+    roots = components(new)
+    moved = _sent(roots.select(F.col("node").alias("old"), F.col("root").alias("new")))
+    out = (label.join(moved, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+           .unionByName(roots.select("node", "root")))
+    out = kept(out, "components")
+    discard(label, roots)
+    return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, num: int = NUM, den: int = DEN,
-                    head: int = HEAD) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def _links(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, head: int) -> DataFrame:
+    """row, doc_id, n_shingles, component (a number that linked rows share; null without shingles) of every row."""
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     survey = kept(_survey(rows, k), "survey")
@@ -444,37 +549,74 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     active = lists.select("grp").distinct().join(units, "grp").select("sig").unionByName(inner.select(F.col("a").alias("sig"))).unionByName(
         inner.select(F.col("b").alias("sig"))).distinct()
     chosen = all_docs.where("n > 0").groupBy("sig").agg(F.min("row").alias("at")).join(active, "sig", "left_semi")
-    texts = kept(rows.join(chosen, F.col("row") == F.col("at")).select("sig", "t", "doc_id"), "candidates").select("sig", "t")
+    # The same columns are read again, so that a source which deals rows by their content deals them alike.
+    texts = kept(rows.join(chosen, F.col("row") == F.col("at")).select("sig", "t", "doc_id"), "candidates")
 
-    maps = kept(_bitmaps(texts, k), "bitmaps")
     label = components(_verify(first, texts, k, num, den))
     inside = units.join(lead.where("units > 1"), "grp").select(F.col("grp").alias("list"), "sig", "n", F.lit(0).alias("pos"))
-    spread = lists.join(units, "grp").select("list", "sig", "n", "pos").unionByName(inside)
-    several = (_labelled(spread, label).groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("list"))
-    still = kept(spread.join(several, "list", "left_semi"), "open-lists")
-    turn = 0
-    while turn < TURNS:
-        turn += 1
-        tried = kept(_filtered(_to_hub(_labelled(still, label), turn, num, den), maps, num, den), "hub-pairs")
+    spread = _labelled(lists.join(units, "grp").select("list", "sig", "n", "pos").unionByName(inside), _sent(label))
+    several = kept(spread.groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("entries"))
+                   .where("lo < hi").select("list", "entries"), "open-lists")
+    still = kept(spread.join(several, "list").select("list", "sig", "n", "pos", "entries"), "open-entries")
+    degree = per_key(still, ["sig"], F.count(F.lit(1)).cast("int").alias("deg"))
+    still_of = still.join(_sent(degree), "sig").select("list", "sig", "n", "pos", "deg", "entries")
+    short = kept(_together(still_of.where(F.col("entries") <= LONG).drop("entries"), "list"), "short-lists")
+    long = kept(still_of.where(F.col("entries") > LONG).drop("entries"), "long-lists")
+    discard(still)
+    sizes = several.where(F.col("entries") > LONG)
+    units_left = short.select("sig").unionByName(long.select("sig")).distinct()
+    maps = kept(_bitmaps(texts.select("sig", "t").join(units_left, "sig", "left_semi"), k), "bitmaps")
+    discard(posted, first)
+    for turn in range(1, TURNS + 1):
+        small = fits_broadcast(label, SENT_ROWS, SENT_BYTES)
+        now = F.broadcast(label) if small else label
+        here = _labelled(short, now)
+        if not small:                   # a broadcast leaves the short lists as they were written; a join that shuffles parts them
+            here = _together(here, "list")
+        asked = kept(_to_hub(here, _labelled(long, now), turn, num, den), "hub-candidates")
+        tried = kept(_filtered(asked, maps, num, den), "hub-pairs")
         found = kept(_verify(tried, texts, k, num, den), "links")
-        asked, linked = tried.count(), found.count()
-        if linked:
+        n_tried, n_linked = tried.count(), found.count()
+        if n_linked:
             label = _joined(label, found)
-        if linked * 20 < asked or not asked:
+        discard(asked, tried, found)
+        if n_linked * 20 < n_tried or not n_tried:
             break
-    far = kept(_filtered(_across(_labelled(still, label), num, den), maps, num, den), "far-pairs")
-    label = _joined(label, _verify(far, texts, k, num, den))
-
-    least = all_docs.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
-    named = least.join(label, F.col("sig") == F.col("node"), "left").select("sig", F.coalesce("root", "sig").alias("root"), "least")
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "root").select("sig", "component_id")
-    some = all_docs.where("n > 0").join(named, "sig").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return some.unionByName(all_docs.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; rows without an id stay."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
+    now = _sent(label)
+    far = kept(_across(_labelled(short, now), _labelled(long, now), sizes, num, den), "far-candidates")
+    left = kept(_filtered(far, maps, num, den), "far-pairs")
+    found = kept(_verify(left, texts, k, num, den), "links")
+    label = _joined(label, found)
+    discard(far, left, found, short, long, several, maps, texts)
+    out = all_docs.join(label, F.col("sig") == F.col("node"), "left").select(
+        "row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sig")).alias("component"))
+    out._made_of = (survey, label)
+    return out
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, num: int = NUM, den: int = DEN,
+                    head: int = HEAD) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    linked = _links(docs, id_col, text_col, k, num, den, head)
+    smallest = per_key(linked.where("component IS NOT NULL"), ["component"], F.min("doc_id").alias("component_id"))
+    some = linked.where("component IS NOT NULL").join(smallest, "component").select("doc_id", "n_shingles", "component_id")
+    return some.unionByName(linked.where("component IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, num: int = NUM, den: int = DEN,
+                head: int = HEAD) -> DataFrame:
+    """The rows of ``docs`` less near duplicates: of each component the row with the smallest id stays (nulls last), of equal
+    ids the first row. Rows without words stay. Every read of ``docs`` must give the same rows in the same partitions, as
+    file scans do; else this fails."""
+    found = _links(docs, id_col, text_col, k, num, den, head)
+    linked = kept(found.where("component IS NOT NULL").select("row", "doc_id", "component"), "linked")
+    discard(*found._made_of)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    stays = linked.groupBy("component").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select(
+        "component", F.col("m.row").alias("stays"))
+    gone = linked.join(stays, "component").where("row <> stays").select(F.col("row").alias("gone"), F.col("doc_id").alias("gone_id"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    moved = F.raise_error(F.lit("input rows moved between two reads")).cast("boolean")
+    same = F.when(F.col("doc_id").eqNullSafe(F.col("gone_id")), False).otherwise(moved)
+    return rows.join(gone, F.col("row") == F.col("gone"), "left").where(F.when(F.col("gone").isNull(), True).otherwise(same)).select("whole.*")
