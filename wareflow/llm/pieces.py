@@ -17,8 +17,9 @@ import pyarrow as pa
 
 from wareflow.llm.textblock import PIECE_BYTES, chunks, group, lookup, pieces, spread, text_bytes
 
-CACHE_ENTRIES = 1 << 20
-RECENT_ENTRIES = 1 << 16
+#: More than the distinct chunks of a piece, so that a cleared cache holds all of the next one.
+CACHE_ENTRIES = 1 << 19
+RECENT_ENTRIES = 1 << 15
 ROW = 500
 #: UTF-8 of the white space beyond ASCII.
 _WIDE_SPACE = re.compile(rb"\xc2\x85|\xc2\xa0|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")

@@ -31,6 +31,7 @@ from wareflow.llm.textblock import MARKS, distinct, text_bytes, words
 
 BITS = 20
 SAMPLE = 20_000
+SLICE = 1000
 #: P(severity >= 1) from which a text is toxic.
 CUT = 0.25
 
@@ -146,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = pa.schema([("label_id", pa.int64()), ("label", pa.int32()), ("slots", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))])
 
     def collect(batches):
-        for b in batches:
+        for b in _slices(batches):
             doc, slot, value, n = features(b.column(2), bits)
             at = pa.array(np.searchsorted(doc, np.arange(len(n) + 1)), pa.int32())
             lists = [pa.ListArray.from_arrays(at, pa.array(x, t)) for x, t in ((slot, pa.int32()), (value, pa.float32()))]
@@ -156,12 +157,34 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     one = made.groupBy("label_id").agg(F.min(F.struct("label", "slots", "values")).alias("r")).select("label_id", "r.*")
     once = kept(one.groupBy("label", "slots", "values").agg(F.min("label_id").alias("id")), "toxicity-sample")     # copies are no more evidence
     ids, y = (c.to_numpy() for c in once.select("id", "label").orderBy("label", "id").toArrow().columns)
-    cells = once.select("id", "label", F.explode(F.arrays_zip("slots", "values")).alias("c")).select("id", "label", "c.*")
-    seen = cells.groupBy("slots").agg(F.count(F.lit(1)).alias("df"), F.count(F.when(F.col("label") > 0, 1)).alias("up"))
+    counts = pa.schema([("slot", pa.int32()), ("df", pa.int64()), ("up", pa.int64())])
+
+    def count(batches):
+        for b in _slices(batches):
+            slots, size = _flat(b.column(2))
+            toxic = np.repeat(b.column(1).to_numpy() > 0, size)
+            u, df = distinct(slots)
+            v, up = distinct(slots[toxic])
+            both = np.zeros(len(u), np.int64)
+            both[np.searchsorted(u, v)] = up
+            yield batch(counts, u, df, both)
+
+    seen = (once.select("id", "label", "slots").mapInArrow(count, "slot int, df long, up long")
+            .groupBy("slot").agg(F.sum("df").alias("df"), F.sum("up").alias("up")))
     base = float((y > 0).mean()) if len(y) else 0.0
     chance = F.sqrt(F.col("df") * F.lit(max(base * (1 - base), 1e-9)))
     used = seen.where((F.col("df") >= least_df) & ((F.col("up") - F.col("df") * base) / chance >= least_z) & (2 * F.col("up") > F.col("df")))
-    got = cells.join(used.select("slots"), "slots").select("id", "slots", "values").toArrow()
+    known = docs.sparkSession.sparkContext.broadcast(np.sort(used.select("slot").toArrow().column(0).to_numpy()))     # 2**bits slots at most
+    cells = pa.schema([("id", pa.int64()), ("slot", pa.int32()), ("value", pa.float32())])
+
+    def held(batches):
+        for b in _slices(batches):
+            slots, size = _flat(b.column(1))
+            hit = np.flatnonzero(np.isin(slots, known.value))
+            yield batch(cells, np.repeat(b.column(0).to_numpy(), size)[hit], slots[hit], _flat(b.column(2))[0][hit])
+
+    got = once.select("id", "slots", "values").mapInArrow(held, "id long, slot int, value float").toArrow()
+    known.unpersist()
     doc, slot, value = (c.to_numpy() for c in got.columns)
     by_id = np.argsort(ids)
     at = by_id[np.searchsorted(ids, doc, sorter=by_id)] if len(doc) else np.zeros(0, np.int64)
@@ -169,6 +192,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(at[order], slot[order].astype(np.int64), value[order].astype(float), y.astype(np.int64), bits, least_df=least_df, least_z=least_z)
 
 
+def _slices(batches):
+    """Some rows at a time: the arrays of a slice are many times its text."""
+    for b in batches:
+        for z in range(0, b.num_rows, SLICE):
+            yield b.slice(z, SLICE)
+
+
+def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
+    """(all values one after another, how many each row has) of a list column without nulls."""
+    at = lists.offsets.to_numpy()
+    return lists.values.to_numpy(zero_copy_only=False)[at[0]:at[-1]], np.diff(at)
+
+
 def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
     """doc_id, n_words, p_toxic = P(severity >= 1), expected_severity, grade (most likely), toxic of every row."""
     return _scored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")), model, cut).drop("row")
@@ -186,7 +222,7 @@ def _scored(rows: DataFrame, model: Ordinal, cut: float) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)     # at most a weight for each of 2**bits slots
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             n, p = shared.value.score(b.column(1))
             of = np.hstack((np.ones((len(n), 1)), p)) - np.hstack((p, np.zeros((len(n), 1))))
             yield pa.RecordBatch.from_arrays(
