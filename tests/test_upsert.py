@@ -122,3 +122,15 @@ def test_fan_out_beyond_one_chunk(spark, monkeypatch):
         ods = spark.range(n).selectExpr("'1' AS k", "CAST(id AS STRING) AS v")
         got = upsert(spark.createDataFrame([("1", "x"), ("2", "y")], "k string, v string"), ods, ["k"])
         assert {(r["k"], r["v"]): r["count"] for r in got.groupBy("k", "v").count().collect()} == {("1", "x"): n, ("2", "y"): 1}
+
+
+def test_staging_keys_beyond_a_small_table_are_shuffled(spark):
+    """A broadcast table is held by every task, so its size must not follow the staging drop."""
+    from pyspark.sql import functions as F
+    stg = spark.range(1_100_000).select(F.col("id").alias("k"), F.lit("s").alias("v"))
+    ods = spark.range(1_000_000, 1_300_000).select(F.col("id").alias("k"), F.lit("o").alias("v"))
+    out = upsert(stg, ods, ["k"])
+    assert "strategy=broadcast" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.v: r["count"] for r in out.groupBy("v").count().collect()} == {"s": 1_100_000, "o": 200_000}
+    few = upsert(stg.limit(10), ods, ["k"])
+    assert "strategy=broadcast" in few._jdf.queryExecution().optimizedPlan().toString()

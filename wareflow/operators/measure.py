@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bounds of a broadcast side: its rows, and the memory of its hash table.
-BROADCAST_ROWS_MAX = 10_000_000
-BROADCAST_BYTES_MAX = 512 * 1024 * 1024
+#: Bounds of a broadcast side: its rows, and the memory of its hash table. Every task that reads the side holds
+#: the table, which Spark grows in powers of two to a few times this size, and a plan may hold several.
+BROADCAST_ROWS_MAX = 1_000_000
+BROADCAST_BYTES_MAX = 64 * 1024 * 1024
 #: What a row costs besides its values: the row's own words and its slot in the table.
 ROW_BYTES = 48
 
