@@ -119,3 +119,13 @@ def test_shards_round_trip(llm, scratch, tok, empty, odd):
     assert all((a == b).all() for a, b in zip(again, read[77:107]))
     assert token_shards.write_shards(empty, scratch("none")).collect() == []
     assert sum(r.n_tokens for r in token_shards.write_shards(odd, scratch("odd")).collect()) == sum(len(ids_of(tok, r.text)) + 1 for r in odd.collect())
+
+
+def test_shards_encode_each_text_once(llm, scratch, monkeypatch):
+    docs, calls = llm.createDataFrame([(i, f"a text {i}, with words of its own") for i in range(300)], "doc_id long, text string"), []
+    read = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **b: calls.append(f.__name__) or read(self, f, *a, **b))
+    folder = scratch("once")
+    rows = sorted(token_shards.write_shards(docs, folder, seq_len=64, per_shard=7).collect())
+    assert calls == ["sequences", "slots", "write"]             # one of them has a tokenizer: no count before
+    assert [r[0] for r in rows] == list(range(len(rows))) and len(list(token_shards.read_slots(folder, 0, len(rows), 64, 7))) == len(rows)

@@ -1,17 +1,17 @@
 """Training-order materialisation of token sequences.
 
 The ids of every document plus an end id form one stream per input partition,
-cut into sequences of ``seq_len`` ids. A first pass counts the tokens of each
-partition; from those counts every sequence has a global index. A keyed Feistel
+cut into sequences of ``seq_len`` ids. The texts are encoded once: a first pass
+writes the sequences, compressed, and their number in each partition gives every
+sequence a global index. A keyed Feistel
 network over the next even power of two, walked until it lands below the number
 of sequences, maps the index to its slot in training order. Slots are dealt by
 range, ``per_shard`` to a shard; each shard is one task, which writes its slots
 in order at a fixed stride, so a reader can seek to any slot and resume there.
 A shard is written under a name of the attempt and moved into place.
 
-The second pass checks each partition's count against the first and fails if an
-input that changes between the two gave another stream. Null and empty texts
-add their end id alone; null ids and repeated rows are kept; an empty table
+The input is read once, and the sequences of the first pass are dropped when the
+shards are written. Null and empty texts add their end id alone; null ids and repeated rows are kept; an empty table
 writes no shard and gives an empty manifest. Only the last sequence of a
 partition can be short; it is padded with the end id and its count recorded.
 """
@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.common import batch, filesystem, put_file
+from wareflow.llm.common import batch, discard, filesystem, kept, put_file
 from wareflow.llm.packing import _with_end
 from wareflow.llm.pieces import Pieces, default_tokenizer
 from wareflow.llm.textblock import mix
@@ -65,43 +65,26 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     path = tokenizer or default_tokenizer()
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
-    size_schema = pa.schema([("pid", pa.int64()), ("tokens", pa.int64())])
-
-    def sizes(batches):
-        model, total = Pieces.of(path), 0
-        for b in batches:
-            for _, each, _ in model.ids(b.column(1), counts_only=True):
-                total += int(each.sum()) + len(each)
-        yield batch(size_schema, [TaskContext.get().partitionId()], [total])
-
-    tokens = {r[0]: r[1] for r in texts.mapInArrow(sizes, "pid long, tokens long").collect()}   # a row per input partition
-    first, total = {}, 0
-    for pid in sorted(tokens):
-        first[pid] = total
-        total += -(-tokens[pid] // seq_len)
-    where = spark.sparkContext.broadcast((first, tokens))
-    row = pa.schema([("shard", pa.int32()), ("slot", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
-                     ("n_tokens", pa.int32()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
+    cut_schema = pa.schema([("pid", pa.int64()), ("seq", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
+                            ("n_tokens", pa.int32()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
     kind = np.dtype("<u2" if Pieces.of(path).tok.get_vocab_size() <= 65536 else "<u4")
 
     def sequences(batches):
         model, pid = Pieces.of(path), TaskContext.get().partitionId()
-        at, end = where.value[0].get(pid, 0), where.value[1].get(pid, 0)
-        rest, rest_doc, seen = np.zeros(0, np.uint32), (None, 0), 0
+        at, rest, rest_doc = 0, np.zeros(0, np.uint32), (None, 0)
 
         def cut(ids, starts, last):
             nonlocal at
             n = -(-len(ids) // seq_len) if last else len(ids) // seq_len
-            slots = permute(np.arange(at, at + n), total, key)
-            at += n
             cols = [[], [], [], [], [], [], []]
             pos = np.array([s[0] for s in starts])
-            for k, slot in enumerate(slots.tolist()):
+            for k in range(n):
                 part = ids[k * seq_len:(k + 1) * seq_len]
                 s = starts[np.searchsorted(pos, k * seq_len, "right") - 1]
                 data = np.concatenate((part, np.full(seq_len - len(part), end_id, np.uint32))).astype(kind).tobytes()
-                for c, v in zip(cols, (slot // per_shard, slot, s[1], s[2] + k * seq_len - s[0], len(part), zlib.crc32(data), data)):
+                for c, v in zip(cols, (pid, at + k, s[1], s[2] + k * seq_len - s[0], len(part), zlib.crc32(data), data)):
                     c.append(v)
+            at += n
             return cols, n * seq_len
 
         for b in batches:
@@ -111,17 +94,14 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                 starts.append((held, names[i], 0))
                 parts.append(ids)
                 held += len(ids)
-                seen += len(ids)
                 if held >= 512 * seq_len:
                     rest, rest_doc, done = yield_rest(parts, starts, cut)
-                    yield batch(row, *done)
+                    yield batch(cut_schema, *done)
                     parts, starts, held = [rest], [(0, *rest_doc)], len(rest)
             rest, rest_doc, done = yield_rest(parts, starts, cut)
-            yield batch(row, *done)
+            yield batch(cut_schema, *done)
         if len(rest):
-            yield batch(row, *cut(rest, [(0, *rest_doc)], True)[0])
-        if seen != end:
-            raise RuntimeError(f"input partition {pid} gave {end} tokens in the first pass and {seen} in the second")
+            yield batch(cut_schema, *cut(rest, [(0, *rest_doc)], True)[0])
 
     def yield_rest(parts, starts, cut):
         ids = np.concatenate(parts)
@@ -129,7 +109,23 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         s = starts[int(np.searchsorted(np.array([x[0] for x in starts]), used, "right")) - 1]
         return ids[used:], (s[1], s[2] + used - s[0]), cols
 
-    dealt = texts.mapInArrow(sequences, "shard int, slot long, doc_id long, start long, n_tokens int, ids_crc32 long, ids binary")
+    cuts = kept(texts.mapInArrow(sequences, "pid long, seq long, doc_id long, start long, n_tokens int, ids_crc32 long, ids binary"), "sequences", "zstd")
+    first, total = {}, 0
+    for pid, n in sorted(tuple(r) for r in cuts.groupBy("pid").count().collect()):      # a row per input partition
+        first[pid] = total
+        total += n
+    base = spark.sparkContext.broadcast(first)
+    row = pa.schema([("shard", pa.int32()), ("slot", pa.int64()), *list(cut_schema)[2:]])
+
+    def slots(batches):
+        codec = pa.Codec("zstd", 3)         # the exchange moves ids alone; a sequence is packed by itself
+        for b in batches:
+            pid, seq = b.column(0).to_numpy(), b.column(1).to_numpy()
+            slot = permute(np.array([base.value[p] for p in pid.tolist()], np.int64) + seq, total, key)
+            packed = pa.array([codec.compress(x.as_buffer(), asbytes=True) for x in b.column(6)], pa.binary())
+            yield batch(row, (slot // per_shard).astype(np.int32), slot, *(b.column(i) for i in range(2, 6)), packed)
+
+    dealt = cuts.mapInArrow(slots, "shard int, slot long, doc_id long, start long, n_tokens int, ids_crc32 long, ids binary")
     shards = max(1, -(-total // per_shard))
     dealt = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
     stride = seq_len * kind.itemsize
@@ -137,19 +133,20 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                       ("n_tokens", pa.int32()), ("ids_crc32", pa.int64())])
 
     def write(batches):
-        held, rows, shard = [], [], None
+        held, rows, shard, codec = [], [], None, pa.Codec("zstd", 3)
         for b in batches:
             if b.num_rows:
                 shard = b.column(0)[0].as_py()
                 slot = b.column(1).to_numpy()
                 rows.append(batch(done, b.column(1), b.column(0), slot % per_shard * stride, b.column(2), b.column(3), b.column(4), b.column(5)))
-                held.append(b"".join(b.column(6).to_pylist()))
+                held.append(b"".join(codec.decompress(x.as_buffer(), stride, asbytes=True) for x in b.column(6)))
         if shard is not None:
             put_file(folder, f"shard-{shard:07d}.bin", *held)
         yield from rows
 
     manifest = dealt.mapInArrow(write, "slot long, shard int, byte_offset long, doc_id long, start long, n_tokens int, ids_crc32 long")
     manifest.write.parquet(f"{folder}/manifest")
+    discard(cuts)
     return spark.read.schema(manifest.schema).parquet(f"{folder}/manifest")
 
 
