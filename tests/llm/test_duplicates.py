@@ -134,6 +134,23 @@ def test_bitmaps_never_drop_a_link():
             assert jaccard_join.may_link(len(x), jaccard_join.parity(x), len(y), jaccard_join.parity(y), 75, 100)
 
 
+def test_bitmaps_are_small_and_rule_out_unlike_sets():
+    rnd = np.random.default_rng(6)
+    for n in (40, 300, 511, 2000):
+        x, y = (np.unique(rnd.integers(0, 2**63, n, dtype=np.uint64)) for _ in range(2))
+        assert len(jaccard_join.parity(x)) * 8 <= max(64, 2 * n)          # they are moved with every pair
+        assert not jaccard_join.may_link(n, jaccard_join.parity(x), n, jaccard_join.parity(y), 75, 100)
+
+
+def test_signatures_do_not_depend_on_the_slices(monkeypatch):
+    rnd = np.random.default_rng(7)
+    size = rnd.integers(0, 9, 50)
+    offs, flat = np.concatenate(([0], np.cumsum(size))), rnd.integers(0, 2**63, int(size.sum()), dtype=np.uint64)
+    whole = jaccard_join.signature(offs, flat)
+    monkeypatch.setattr(jaccard_join, "SLICE", 7)
+    assert jaccard_join.signature(offs, flat).tolist() == whole.tolist()
+
+
 def repeats_brute(texts, n):
     seen = Counter(t[i:i + n] for t in texts.values() for i in range(len(t) - n + 1))
     out = {}

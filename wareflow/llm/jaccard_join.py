@@ -86,8 +86,13 @@ def sets(col, k: int):
 
 def signature(offs: np.ndarray, flat: np.ndarray) -> np.ndarray:
     """64 bits of each set, whatever the order of its members."""
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(flat ^ _U(0x5851F42D4C957F2D)))))
-    return mix(sums[offs[1:]] - sums[offs[:-1]] + np.diff(offs).astype(np.uint64)).view(np.int64)
+    out = np.zeros(len(offs) - 1, np.int64)
+    for z in range(0, len(out), SLICE):
+        at = offs[z:z + SLICE + 1]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(flat[at[0]:at[-1]] ^ _U(0x5851F42D4C957F2D)))))
+        at = at - at[0]
+        out[z:z + SLICE] = mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64)
+    return out
 
 
 def links(x: np.ndarray, y: np.ndarray, num: int = NUM, den: int = DEN) -> bool:
@@ -102,8 +107,8 @@ def prefix_size(n, num: int, den: int):
 
 
 def parity(s: np.ndarray) -> bytes:
-    """Parities of the shingles in each of 2**b buckets, twice the shingles or more."""
-    bits = 1 << max(6, int(2 * len(s) - 1).bit_length())
+    """Parities of the shingles in each of 2**b buckets, as many as the shingles or more."""
+    bits = 1 << max(6, int(len(s) - 1).bit_length())
     odd = np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -182,10 +187,10 @@ def _survey(rows: DataFrame, k: int) -> DataFrame:
             n, sig = np.diff(offs), signature(offs, flat)
             none = pa.nulls(b.num_rows, pa.int64())
             yield batch(kind, b.column(0), b.column(1), n, sig, none, none)
-            u, c = distinct(flat)
-            u, c = u[c > 1], c[c > 1]
+            flat.sort()
+            u, c = distinct(flat[1:][flat[1:] == flat[:-1]])     # each occurrence but the first
             none = pa.nulls(len(u), pa.int64())
-            yield batch(kind, none, none, none, none, u.view(np.int64), c)
+            yield batch(kind, none, none, none, none, u.view(np.int64), c + 1)
 
     return rows.mapInArrow(run, "row long, doc_id long, n long, sig long, hash long, count long")
 
@@ -313,7 +318,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
 
     def check(batches):
         mine, now = None, None
-        for x in batches:
+        for x in (whole.slice(z, SLICE) for whole in batches for z in range(0, whole.num_rows, SLICE)):
             offs, flat = sets(x.column(3), k)
             a, part, b = (x.column(i).to_pylist() for i in range(3))
             names = signature(offs, flat).tolist()
@@ -482,7 +487,7 @@ def _bitmaps(texts: DataFrame, k: int) -> DataFrame:
     kind = pa.schema([("sig", pa.int64()), ("n", pa.int32()), ("bits", pa.binary())])
 
     def bitmaps(batches):
-        for b in batches:
+        for b in (whole.slice(z, SLICE) for whole in batches for z in range(0, whole.num_rows, SLICE)):
             offs, flat = sets(b.column(1), k)
             yield batch(kind, b.column(0), np.diff(offs).astype(np.int32), [parity(flat[x:y]) for x, y in zip(offs, offs[1:])])
 
@@ -550,7 +555,7 @@ def _links(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: i
         inner.select(F.col("b").alias("sig"))).distinct()
     chosen = all_docs.where("n > 0").groupBy("sig").agg(F.min("row").alias("at")).join(active, "sig", "left_semi")
     # The same columns are read again, so that a source which deals rows by their content deals them alike.
-    texts = kept(rows.join(chosen, F.col("row") == F.col("at")).select("sig", "t", "doc_id"), "candidates")
+    texts = kept(rows.join(chosen, F.col("row") == F.col("at")).select("sig", "t", "doc_id"), "candidates", "zstd")
 
     label = components(_verify(first, texts, k, num, den))
     inside = units.join(lead.where("units > 1"), "grp").select(F.col("grp").alias("list"), "sig", "n", F.lit(0).alias("pos"))
