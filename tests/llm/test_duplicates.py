@@ -125,6 +125,62 @@ def test_one_of_each_goes_by_rows_not_ids(llm):
     assert stay.columns == docs.columns and sorted((r.doc_id, r["row"]) for r in stay.collect()) == [(1, "a"), (7, "b")]
 
 
+def test_pairs_grow_with_a_group_not_with_its_square(llm, monkeypatch):
+    rnd = random.Random(21)
+    base, made = [f"b{i}" for i in range(150)], []
+    inner = jaccard_join.kept
+
+    def counted(df, name, *a):
+        out = inner(df, name, *a)
+        if name.endswith(("-pairs", "-candidates")):
+            made.append(out.count())
+        return out
+
+    def near_copy(edits):
+        w = list(base)
+        for i in rnd.sample(range(150), edits):
+            w[i] = f"e{rnd.random()}"
+        return " ".join(w)
+
+    texts = {i: near_copy(rnd.choice((3, 4))) for i in range(160)}       # some of them link with a few of the others only
+    want = near_brute(texts)
+    assert 90 < len({c for _, c in want.values()}) < 120
+    monkeypatch.setattr(jaccard_join, "kept", counted)
+    got = jaccard_join.near_duplicates(frame(llm, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert sum(made) < 12 * len(texts), made
+
+
+def test_entries_without_a_partner_leave_their_list():
+    rnd = np.random.default_rng(22)
+    size = rnd.integers(1, 7, 400)
+    start, total = np.cumsum(size) - size, int(size.sum())
+    n = rnd.integers(1, 60, total)
+    pos = (rnd.random(total) * jaccard_join.prefix_size(n, 75, 100)).astype(np.int64)
+    keep = jaccard_join._partnered(start, size, n, pos, 75, 100)
+    for at, m in zip(start.tolist(), size.tolist()):
+        for i in range(at, at + m):
+            others = [j for j in range(at, at + m) if j != i]
+            has = any(jaccard_join._first_common(n[i], pos[i], n[j], pos[j], 75, 100) for j in others)
+            assert keep[i] >= has and (m > 2 or keep[i] == has)
+    assert 0 < keep.sum() < total and not len(jaccard_join._partnered(start[:0], size[:0], n[:0], pos[:0], 75, 100))
+
+
+def test_bitmaps_of_a_list_give_the_bound_of_each_pair():
+    rnd = np.random.default_rng(23)
+    sets_ = [np.unique(rnd.integers(0, 2**63, int(rnd.integers(1, 300)), dtype=np.uint64)) for _ in range(40)]
+    sets_ += [np.unique(np.concatenate((s[rnd.random(len(s)) < 0.95], rnd.integers(0, 2**63, 3, dtype=np.uint64)))) for s in sets_]
+    bits = [jaccard_join.parity(s, 2) for s in sets_]
+    maps, every = jaccard_join.Bitmaps(bits), np.arange(len(bits))
+    for i, x in enumerate(sets_):
+        differ = maps.differ(i, every)
+        for j, y in enumerate(sets_):
+            assert differ[j] <= len(np.setxor1d(x, y))
+            both = (len(x) + len(y) - int(differ[j])) // 2
+            bound = 100 * both >= 75 * (len(x) + len(y) - both)
+            assert jaccard_join.may_link(len(x), bits[i], len(y), bits[j], 75, 100) == (bound and min(len(x), len(y)) * 100 >= 75 * max(len(x), len(y)))
+
+
 def test_bitmaps_never_drop_a_link():
     rnd = np.random.default_rng(5)
     for _ in range(300):

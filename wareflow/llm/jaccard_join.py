@@ -9,28 +9,33 @@ most, are broadcast with their counts; all others come first, by hash. The
 order changes the work alone: any order gives the same links.
 
 1. Equal sets are one unit. Units with the same prefix and size are one group.
-2. Groups are posted under their prefix shingles, and lists of two groups or
-   more are kept. In each list one group is the hub.
+2. Groups are posted under their prefix shingles. An entry stays in a list if the
+   sizes and places of the others allow it to hold its first common shingle with one of
+   them; lists of two groups or more are kept. In each list one group is the hub.
 3. Every group is verified against the hub it shares most lists with, and the
    units of one group against one of them; the links found give components. A
    group of copies thus costs one pair for each member, not all pairs.
-4. Lists that still hold several components get a hub, the unit that stands in
+4. Of the lists that still hold several components, those with the same units (texts share
+   shingles in runs) are one. Each gets a hub, the unit that stands in
    most of them, then others turn by turn, and
-   every unit one pair with a hub of another component, as long as a fair
-   share of these pairs links. A group whose members link with some of each other
+   every unit one pair with a hub of another component, as long as half
+   of the pairs that bitmaps (step 5) leave link. A group whose members link with some of each other
    only thus grows together at a few pairs a member. The components found so
    far are contracted: a turn joins roots, and only members of joined roots change.
-5. What is left is expanded to all pairs of units from different components whose
-   sizes and places in the list allow it to hold their first common shingle.
-   Parity bitmaps of the sets (the bits in which two differ never outnumber the
-   shingles in which they do) drop pairs that cannot link, and the rest are
-   verified. No pair that could join two components is left out, so the
-   components are exact.
-
-Lists of up to ``LONG`` entries are written together and sorted once; a turn reads
+5. Entries of lists that are still open carry parity bitmaps of the sets (the bits in which
+   two differ never outnumber the shingles in which they do). A task that holds a list thus rules
+   out pairs before it makes them: those whose sizes and places in the list do not allow it to hold
+   their first common shingle, and those whose bitmaps differ too much.
+6. Turn by turn, every unit outside a list's largest component gets one pair with the unit of another
+   component that its bitmap is nearest to, as long as a fifth of these pairs links. A component
+   thus joins another at a pair a member, however many of their members link.
+7. All pairs of units from different components that are still not ruled out are verified. No pair
+   that could join two components is left out, so the components are exact.
+
+Lists of up to ``LONG`` entries are written together and sorted once; a turn of step 4 reads
 them where they are. Longer ones stay dealt over all tasks: their hubs are found by
-an aggregation and sent to the entries, and their pairs (step 5) are made by
-pairs of blocks, each a group of its own, so that no task holds a whole long list.
+an aggregation and sent to the entries. In steps 5 to 7 they are met by pairs of
+blocks, each a group of its own, so that no task holds a whole long list.
 
 Verification moves the texts of the units in question to their hub, dealt over
 several tasks when a hub has many, and compares the whole sets.
@@ -59,7 +64,7 @@ NUM, DEN = 75, 100
 HEAD = 1 << 18
 SLICE = 1000
 HUB_PART = 512
-#: Turns of one pair a unit before the pairs that are left are all made.
+#: Turns of one pair a unit, with hubs and then with the nearest units, before the pairs that are left are all made.
 TURNS = 8
 #: Entries of a list that one task may hold.
 LONG = 4096
@@ -106,9 +111,10 @@ def prefix_size(n, num: int, den: int):
     return n - -(-num * n // den) + 1
 
 
-def parity(s: np.ndarray) -> bytes:
-    """Parities of the shingles in each of 2**b buckets, as many as the shingles or more."""
-    bits = 1 << max(6, int(len(s) - 1).bit_length())
+def parity(s: np.ndarray, more: int = 0) -> bytes:
+    """Parities of the shingles in each of 2**b buckets, as many as the shingles or more; 2**``more`` times as many, up to 2**16."""
+    least = max(6, int(len(s) - 1).bit_length())
+    bits = 1 << max(least, min(least + more, 16))
     odd = np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -195,6 +201,32 @@ def _survey(rows: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(run, "row long, doc_id long, n long, sig long, hash long, count long")
 
 
+def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs of equal names."""
+    start = np.flatnonzero(np.concatenate((names[:1] == names[:1], names[1:] != names[:-1])))
+    return start, np.diff(np.append(start, len(names)))
+
+
+def _partnered(start, size, n, pos, num: int, den: int) -> np.ndarray:
+    """False for entries whose list has no other that may link with them and has its first common shingle there.
+
+    Such an entry is of at most ``most`` shingles and may itself have a partner of this entry's size (:func:`_first_common`).
+    """
+    if not len(n):
+        return np.zeros(0, bool)
+    most = (num + den) * (n - pos) // num - n
+    name = np.repeat(np.arange(len(start)), size)
+
+    def least(v):
+        """The smallest value of the other entries in the list."""
+        order = np.lexsort((v, name))
+        out = np.repeat(v[order[start]], size)
+        out[order[start]] = np.where(size > 1, v[order[np.minimum(start + 1, len(v) - 1)]], 1 << 40)
+        return out
+
+    return (least(n) <= most) & (n <= -least(-most))
+
+
 def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) -> DataFrame:
     """Kept lists (list, grp, n, hub) and the units of each group (grp, sig, n)."""
     shared = rows.sparkSession.sparkContext.broadcast(heavy)
@@ -291,15 +323,20 @@ def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) ->
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
         token, owner, place = token[new], owner[new], place[new]
-        start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        size = np.diff(np.append(start, len(token)))
+        n = n[first]
+        start, size = _runs(token)
+        keep = np.repeat(size > 1, size)
+        token, owner, place = token[keep], owner[keep], place[keep]
+        keep = _partnered(*_runs(token), n[owner].astype(np.int64), place.astype(np.int64), num, den)
+        token, owner, place = token[keep], owner[keep], place[keep]
+        start, size = _runs(token)
         keep = np.repeat(size > 1, size)
         hub = np.repeat(owner[start], size)[keep]               # the smallest group name of the list
         token, owner, place = token[keep], owner[keep], place[keep]
         name = (token.astype(np.int64) << 20) | bucket
         for i in range(0, len(token), 1 << 18):
             z = slice(i, i + (1 << 18))
-            yield batch(kind, name[z], names[owner[z]], n[first][owner[z]], names[hub[z]], pa.nulls(len(owner[z]), pa.int64()), place[z])
+            yield batch(kind, name[z], names[owner[z]], n[owner[z]], names[hub[z]], pa.nulls(len(owner[z]), pa.int64()), place[z])
 
     packed = rows.mapInArrow(post, "bucket int, grp binary, n binary, sig binary, count binary, high binary, low binary, pos binary")
     return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(gather, "list long, grp long, n int, hub long, sig long, pos int")
@@ -390,69 +427,99 @@ def _together(entries: DataFrame, *keys: str) -> DataFrame:
     return entries.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def _all_pairs(num: int, den: int):
-    """For :func:`_by_list`: all pairs of units from different components that may have their first common shingle in one list."""
-    def every(start, size, sig, n, pos, deg, comp):
-        mixed = np.minimum.reduceat(comp, start) < np.maximum.reduceat(comp, start)
-        out_a, out_b, count = [], [], 0
-        for at, m in zip(start[mixed].tolist(), size[mixed].tolist()):
-            for i in range(at, at + m - 1):
-                z = slice(i + 1, at + m)
-                far = np.flatnonzero((comp[z] != comp[i]) & _first_common(n[i], pos[i], n[z], pos[z], num, den)) + i + 1
-                out_a.append(np.minimum(sig[i], sig[far]))
-                out_b.append(np.maximum(sig[i], sig[far]))
-                count += len(far)
-            if count > 1 << 18:
-                yield np.concatenate(out_a), np.concatenate(out_b)
-                out_a, out_b, count = [], [], 0
-        if count:
-            yield np.concatenate(out_a), np.concatenate(out_b)
-
-    return every
-
-
-def _across_blocks(entries: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
-    """All such pairs of long lists (``sizes``: list, entries). A list is dealt into blocks of about ``LONG`` entries, and each two
-    blocks (or a block by itself) meet in a group of their own: left entries first, then the right ones."""
-    dealt = (entries.join(_sent(sizes.select("list", F.ceil(F.col("entries") / LONG).cast("int").alias("parts"))), "list")
-             .withColumn("mine", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-    dealt = dealt.select("list", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), (F.col("mine") > F.col("other")).alias("right"),
-                         "sig", "n", "pos", "comp")
+def _folded(m: np.ndarray, words_: int) -> np.ndarray:
+    """Bitmaps (rows of words) of the same sets with fewer bits."""
+    while m.shape[1] > words_:
+        m = m[:, :m.shape[1] // 2] ^ m[:, m.shape[1] // 2:]
+    return m
+
+
+class Bitmaps:
+    """The parity bitmaps of some units, by their widths."""
+
+    def __init__(self, bits: list[bytes]):
+        width = np.array([len(b) // 8 for b in bits])
+        self.width, self.at, self.rows = width, np.zeros(len(bits), np.int64), {}
+        for w in np.unique(width).tolist():
+            mine = np.flatnonzero(width == w)
+            self.at[mine] = np.arange(len(mine))
+            self.rows[w, w] = np.frombuffer(b"".join(bits[i] for i in mine.tolist()), np.uint64).reshape(-1, w)
+
+    def differ(self, i: int, others: np.ndarray) -> np.ndarray:
+        """At how many bits, at the least, unit i differs from each of the others."""
+        out = np.zeros(len(others), np.int64)
+        wide = self.width[others]
+        for w in np.unique(wide).tolist():
+            use = min(w, int(self.width[i]))
+            if (w, use) not in self.rows:
+                self.rows[w, use] = _folded(self.rows[w, w], use)
+            mine = _folded(self.rows[self.width[i], self.width[i]][self.at[i]][None], use)
+            here = np.flatnonzero(wide == w)
+            out[here] = np.bitwise_count(self.rows[w, use][self.at[others[here]]] ^ mine).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _met(left: np.ndarray, sig, n, pos, comp, bits: list[bytes], num: int, den: int, nearest: bool):
+    """Pairs of units of one list, each of another component than the other, that neither places nor bitmaps rule out.
+    Units of two blocks (``left``: of the first) meet those of the other block. ``nearest``: of each unit's pairs the one with
+    the highest bound of its Jaccard index. Units of the most frequent component stand in pairs of the others only."""
+    maps = Bitmaps(bits)
+    names, of = np.unique(comp, return_inverse=True)
+    side = (np.flatnonzero(left), np.flatnonzero(~left)) if not left.all() else (np.arange(len(sig)),) * 2
+    out_a, out_b, count = [], [], 0
+    for i in np.flatnonzero(of != np.argmax(np.bincount(of))).tolist():
+        far = side[int(left[i])]
+        far = far[(comp[far] != comp[i]) & _first_common(n[i], pos[i], n[far], pos[far], num, den)]
+        if not len(far):
+            continue
+        both = (n[i] + n[far] - maps.differ(i, far)) // 2            # the most shingles that they may share
+        either = n[i] + n[far] - both
+        can = np.flatnonzero(den * both >= num * either)
+        if nearest and len(can):
+            can = can[[np.argmax(both[can] / either[can])]]
+        out_a.append(np.minimum(sig[i], sig[far[can]]))
+        out_b.append(np.maximum(sig[i], sig[far[can]]))
+        count += len(can)
+        if count > 1 << 18:
+            yield _distinct_pairs(np.concatenate(out_a), np.concatenate(out_b))
+            out_a, out_b, count = [], [], 0
+    if count:
+        yield _distinct_pairs(np.concatenate(out_a), np.concatenate(out_b))
+
+
+def _across(short: DataFrame, long: DataFrame, sizes: DataFrame, maps: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
+    """The pairs (a, b) of :func:`_met` over all lists that hold several components. Lists beyond ``LONG`` entries (``sizes``: list,
+    entries) are dealt into blocks of about ``LONG``, and each two blocks (or a block by itself) meet in a group of their own:
+    left entries first, then the right ones."""
+    cols = ["list", "sig", "n", "pos", "comp"]
+    parts = sizes.select("list", F.ceil(F.col("entries") / LONG).cast("int").alias("parts"))
+    entries = short.select(*cols, F.lit(1).alias("parts")).unionByName(long.join(_sent(parts), "list").select(*cols, "parts"))
+    mixed = per_key(entries, ["list"], F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("list")
+    entries = entries.join(_sent(mixed), "list", "left_semi")
+    entries = entries.withColumn("mine", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
+    entries = entries.join(maps.select("sig", "bits"), "sig").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = entries.select("list", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), (F.col("mine") > F.col("other")).alias("right"),
+                           "sig", "n", "pos", "comp", "bits")
+
     def run(batches):
-        held = [np.zeros(0, np.int64)] * 8
-        for b in batches:
-            arr = [np.concatenate((h, b.column(i).cast(pa.int64()).to_numpy())) for i, h in enumerate(held)]
-            new = np.flatnonzero((arr[0][1:] != arr[0][:-1]) | (arr[1][1:] != arr[1][:-1]) | (arr[2][1:] != arr[2][:-1])) + 1
-            for z, y in zip(np.concatenate(([0], new)).tolist(), new.tolist()):
-                yield from meet(*(c[z:y] for c in arr[1:]))
-            held = [c[new[-1]:] if len(new) else c for c in arr]
-        yield from meet(*held[1:])
-
-    def meet(lo, hi, right, sig, n, pos, comp):
-        if not len(lo):
-            return
-        side = len(lo) if lo[0] == hi[0] else int(np.searchsorted(right, 1))
-        out_a, out_b, count = [], [], 0
-        for i in range(side):
-            z = slice(i + 1 if lo[0] == hi[0] else side, None)
-            far = np.flatnonzero((comp[z] != comp[i]) & _first_common(n[i], pos[i], n[z], pos[z], num, den)) + z.start
-            out_a.append(np.minimum(sig[i], sig[far]))
-            out_b.append(np.maximum(sig[i], sig[far]))
-            count += len(far)
-            if count > 1 << 18 or i == side - 1:
-                yield _distinct_pairs(np.concatenate(out_a), np.concatenate(out_b))
-                out_a, out_b, count = [], [], 0
+        held = None
+        for b in (pa.Table.from_batches([b]) for b in batches if b.num_rows):
+            held = b if held is None else pa.concat_tables([held, b])
+            key = [held.column(i).to_numpy() for i in range(3)]
+            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            for x, y in zip([0, *new.tolist()], new.tolist()):
+                yield from meet(held.slice(x, y - x))
+            held = held.slice(int(new[-1])).combine_chunks() if len(new) else held
+        if held is not None:
+            yield from meet(held)
+
+    def meet(t):
+        right = t.column(3).to_numpy()
+        sig, n, pos, comp = (t.column(i).to_numpy().astype(np.int64) for i in range(4, 8))
+        yield from _met(~right, sig, n, pos, comp, t.column(8).to_pylist(), num, den, nearest)
 
     return (dealt.repartition("list", "lo", "hi").sortWithinPartitions("list", "lo", "hi", "right")
-            .mapInArrow(run, "a long, b long"))
-
-
-def _across(short: DataFrame, long: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
-    """All pairs of units from different components that may have their first common shingle in one list."""
-    mixed = per_key(long, ["list"], F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("list")
-    long = long.join(_sent(mixed), "list", "left_semi")
-    return (_by_list(_together(short, "list"), _all_pairs(num, den)).unionByName(_across_blocks(long, sizes, num, den)).distinct())
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def _to_hub(short: DataFrame, long: DataFrame, turn: int, num: int, den: int) -> DataFrame:
@@ -489,7 +556,7 @@ def _bitmaps(texts: DataFrame, k: int) -> DataFrame:
     def bitmaps(batches):
         for b in (whole.slice(z, SLICE) for whole in batches for z in range(0, whole.num_rows, SLICE)):
             offs, flat = sets(b.column(1), k)
-            yield batch(kind, b.column(0), np.diff(offs).astype(np.int32), [parity(flat[x:y]) for x, y in zip(offs, offs[1:])])
+            yield batch(kind, b.column(0), np.diff(offs).astype(np.int32), [parity(flat[x:y], 2) for x, y in zip(offs, offs[1:])])
 
     return texts.mapInArrow(bitmaps, "sig long, n int, bits binary")
 
@@ -560,10 +627,13 @@ def _links(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: i
     label = components(_verify(first, texts, k, num, den))
     inside = units.join(lead.where("units > 1"), "grp").select(F.col("grp").alias("list"), "sig", "n", F.lit(0).alias("pos"))
     spread = _labelled(lists.join(units, "grp").select("list", "sig", "n", "pos").unionByName(inside), _sent(label))
-    several = kept(spread.groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("entries"))
-                   .where("lo < hi").select("list", "entries"), "open-lists")
-    still = kept(spread.join(several, "list").select("list", "sig", "n", "pos", "entries"), "open-entries")
-    degree = per_key(still, ["sig"], F.count(F.lit(1)).cast("int").alias("deg"))
+    # Of lists with the same units the one that stands first in the order holds the first common shingle of all their pairs.
+    several = (spread.groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("entries"), F.sum("pos").alias("at"),
+                                          F.bit_xor(F.xxhash64("sig")).alias("x"), F.bit_xor(F.xxhash64("sig", F.lit(1))).alias("y")).where("lo < hi"))
+    several = kept(several.groupBy("x", "y", "entries").agg(F.min(F.struct("at", "list")).alias("m"), F.count(F.lit(1)).alias("lists"))
+                   .select(F.col("m.list").alias("list"), "entries", "lists"), "open-lists")
+    still = kept(spread.join(several, "list").select("list", "sig", "n", "pos", "entries", "lists"), "open-entries")
+    degree = per_key(still, ["sig"], F.sum("lists").cast("int").alias("deg"))
     still_of = still.join(_sent(degree), "sig").select("list", "sig", "n", "pos", "deg", "entries")
     short = kept(_together(still_of.where(F.col("entries") <= LONG).drop("entries"), "list"), "short-lists")
     long = kept(still_of.where(F.col("entries") > LONG).drop("entries"), "long-lists")
@@ -585,14 +655,20 @@ def _links(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: i
         if n_linked:
             label = _joined(label, found)
         discard(asked, tried, found)
-        if n_linked * 20 < n_tried or not n_tried:
+        if n_linked * 2 < n_tried or not n_tried:
+            break
+    for turn in range(TURNS + 1):       # the last one makes all pairs
+        now = _sent(label)
+        all_left = turn == TURNS or (turn > 0 and n_linked * 5 < n_tried)
+        near = kept(_across(_labelled(short, now), _labelled(long, now), sizes, maps, num, den, not all_left), "far-pairs" if all_left else "near-pairs")
+        found = kept(_verify(near, texts, k, num, den), "links")
+        n_tried, n_linked = near.count(), found.count()
+        if n_linked:
+            label = _joined(label, found)
+        discard(near, found)
+        if all_left or not n_tried:     # a unit without a nearest one has no pair at all
             break
-    now = _sent(label)
-    far = kept(_across(_labelled(short, now), _labelled(long, now), sizes, num, den), "far-candidates")
-    left = kept(_filtered(far, maps, num, den), "far-pairs")
-    found = kept(_verify(left, texts, k, num, den), "links")
-    label = _joined(label, found)
-    discard(far, left, found, short, long, several, maps, texts)
+    discard(short, long, several, maps, texts)
     out = all_docs.join(label, F.col("sig") == F.col("node"), "left").select(
         "row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sig")).alias("component"))
     out._made_of = (survey, label)
