@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from wareflow.llm import exact_dedup, jaccard_join, suffix_dedup
 from wareflow.llm.common import kept
@@ -151,6 +152,49 @@ def test_pairs_grow_with_a_group_not_with_its_square(llm, monkeypatch):
     assert sum(made) < 12 * len(texts), made
 
 
+def test_candidates_stay_where_they_are_read(llm, monkeypatch):
+    """Texts are not shuffled to pick the candidates, and bitmaps rule out pairs with hubs before texts move for them."""
+    rng = np.random.default_rng(11)
+    passages = [" ".join(f"p{i}w{j}" for j in range(40)) for i in range(6)]
+    texts = [passages[i % 6] + " " + " ".join(f"u{i}x{w}" for w in rng.integers(0, 1 << 30, 80)) for i in range(60)]
+    texts += [t + " end" for t in texts[:4]]
+    plans, verified = {}, []
+    inner, check = jaccard_join.kept, jaccard_join._verify
+
+    def seen(df, name, *a):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return inner(df, name, *a)
+
+    def counted(pairs, *a):
+        verified.append(pairs.count())
+        return check(pairs, *a)
+
+    monkeypatch.setattr(jaccard_join, "kept", seen)
+    monkeypatch.setattr(jaccard_join, "_verify", counted)
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(llm, dict(enumerate(texts))), head=0).collect()}
+    finally:
+        llm.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {i: i - 60 if i >= 60 else i for i in range(64)}
+    assert "SortMergeJoin" not in plans["candidates"] and "Exchange hashpartitioning" not in plans["candidates"]
+    assert 4 <= verified[0] <= 8                # 50 pairs or more share a passage
+
+
+def test_candidates_are_those_that_were_chosen(llm):
+    rows = kept(llm.createDataFrame([(0, 7, "one two three four five six"), ((1 << 33) + 40_000, 8, "a b c d e f g")], "row long, doc_id long, t string"), "rows")
+    texts = [r.t for r in rows.collect()]
+    offs, flat = jaccard_join.sets(pa.array(texts), 5)
+    sig = dict(zip(texts, jaccard_join.signature(offs, flat).tolist()))
+    chosen = llm.createDataFrame([(sig["a b c d e f g"], (1 << 33) + 40_000)], "sig long, at long")
+    got = jaccard_join._candidates(rows, chosen, 5).collect()
+    assert [(r.sig, r.n, r.t) for r in got] == [(sig["a b c d e f g"], 3, "a b c d e f g")]
+    assert bytes(got[0].few) == jaccard_join.parity(flat[offs[texts.index(got[0].t)]:offs[texts.index(got[0].t) + 1]])
+    moved = llm.createDataFrame([(sig["a b c d e f g"], 0)], "sig long, at long")
+    with pytest.raises(RuntimeError, match="moved"):
+        jaccard_join._candidates(rows, moved, 5)
+
+
 def test_entries_without_a_partner_leave_their_list():
     rnd = np.random.default_rng(22)
     size = rnd.integers(1, 7, 400)

@@ -13,8 +13,8 @@ order changes the work alone: any order gives the same links.
    sizes and places of the others allow it to hold its first common shingle with one of
    them; lists of two groups or more are kept. In each list one group is the hub.
 3. Every group is verified against the hub it shares most lists with, and the
-   units of one group against one of them; the links found give components. A
-   group of copies thus costs one pair for each member, not all pairs.
+   units of one group against one of them, unless small bitmaps (step 5) rule the pair out; the
+   links found give components. A group of copies thus costs one pair for each member, not all pairs.
 4. Of the lists that still hold several components, those with the same units (texts share
    shingles in runs) are one. Each gets a hub, the unit that stands in
    most of them, then others turn by turn, and
@@ -37,6 +37,8 @@ them where they are. Longer ones stay dealt over all tasks: their hubs are found
 an aggregation and sent to the entries. In steps 5 to 7 they are met by pairs of
 blocks, each a group of its own, so that no task holds a whole long list.
 
+The candidates, one text of each unit that stands in a pair or list, are written with their bitmaps by the
+tasks that read them: a bit for each row says whether it is one, so that no text is moved for that.
 Verification moves the texts of the units in question to their hub, dealt over
 several tasks when a hub has many, and compares the whole sets.
 
@@ -550,15 +552,30 @@ def _to_hub(short: DataFrame, long: DataFrame, turn: int, num: int, den: int) ->
     return shared.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
 
 
-def _bitmaps(texts: DataFrame, k: int) -> DataFrame:
-    kind = pa.schema([("sig", pa.int64()), ("n", pa.int32()), ("bits", pa.binary())])
-
-    def bitmaps(batches):
+def _candidates(rows: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
+    """(sig, n, t, bits, few) of the ``chosen`` (sig, at) rows, a written table: their texts and two parity bitmaps, the
+    smaller one ``few``. The rows are told by one bit each, so that texts stay in the tasks that read them."""
+    bits = chosen.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("rows"))
+    bits = kept(bits, "chosen-bits")
+    place = F.bitmap_bit_position("row")
+    byte = F.conv(F.hex(F.col("rows").substr((F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    mine = (F.bitmap_bucket_number("row") == F.col("part")) & (F.getbit(byte, (place % 8).cast("int")) == 1)
+    def run(batches):
         for b in (whole.slice(z, SLICE) for whole in batches for z in range(0, whole.num_rows, SLICE)):
-            offs, flat = sets(b.column(1), k)
-            yield batch(kind, b.column(0), np.diff(offs).astype(np.int32), [parity(flat[x:y], 2) for x, y in zip(offs, offs[1:])])
+            kind = pa.schema([("sig", pa.int64()), ("n", pa.int32()), ("t", b.column(2).type), ("bits", pa.binary()), ("few", pa.binary())])
+            offs, flat = sets(b.column(2), k)
+            each = [flat[x:y] for x, y in zip(offs, offs[1:])]
+            yield batch(kind, signature(offs, flat), np.diff(offs).astype(np.int32), b.column(2),
+                        [parity(s, 2) for s in each], [parity(s) for s in each])
 
-    return texts.mapInArrow(bitmaps, "sig long, n int, bits binary")
+    # The same columns are read again, so that a source which deals rows by their content deals them alike.
+    shape = f"sig long, n int, t {rows.schema['t'].dataType.simpleString()}, bits binary, few binary"
+    out = kept(rows.join(_sent(bits), mine, "left_semi").mapInArrow(run, shape), "candidates", "zstd")
+    mark = F.count(F.lit(1)), F.sum(F.xxhash64("sig").cast("decimal(38,0)"))
+    if out.agg(*mark).first() != chosen.agg(*mark).first():
+        raise RuntimeError("input rows moved between two reads")
+    discard(bits)
+    return out
 
 
 def _filtered(pairs: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
@@ -620,11 +637,12 @@ def _links(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: i
 
     active = lists.select("grp").distinct().join(units, "grp").select("sig").unionByName(inner.select(F.col("a").alias("sig"))).unionByName(
         inner.select(F.col("b").alias("sig"))).distinct()
-    chosen = all_docs.where("n > 0").groupBy("sig").agg(F.min("row").alias("at")).join(active, "sig", "left_semi")
-    # The same columns are read again, so that a source which deals rows by their content deals them alike.
-    texts = kept(rows.join(chosen, F.col("row") == F.col("at")).select("sig", "t", "doc_id"), "candidates", "zstd")
-
-    label = components(_verify(first, texts, k, num, den))
+    chosen = kept(all_docs.where("n > 0").groupBy("sig").agg(F.min("row").alias("at")).join(active, "sig", "left_semi"), "chosen")
+    texts = _candidates(rows, chosen, k)
+    maps = texts.select("sig", "n", "bits")
+    tried = kept(_filtered(first, texts.select("sig", "n", F.col("few").alias("bits")), num, den), "tried-stars")
+    label = components(_verify(tried, texts, k, num, den))
+    discard(chosen, first, tried)
     inside = units.join(lead.where("units > 1"), "grp").select(F.col("grp").alias("list"), "sig", "n", F.lit(0).alias("pos"))
     spread = _labelled(lists.join(units, "grp").select("list", "sig", "n", "pos").unionByName(inside), _sent(label))
     # Of lists with the same units the one that stands first in the order holds the first common shingle of all their pairs.
@@ -639,9 +657,7 @@ def _links(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: i
     long = kept(still_of.where(F.col("entries") > LONG).drop("entries"), "long-lists")
     discard(still)
     sizes = several.where(F.col("entries") > LONG)
-    units_left = short.select("sig").unionByName(long.select("sig")).distinct()
-    maps = kept(_bitmaps(texts.select("sig", "t").join(units_left, "sig", "left_semi"), k), "bitmaps")
-    discard(posted, first)
+    discard(posted)
     for turn in range(1, TURNS + 1):
         small = fits_broadcast(label, SENT_ROWS, SENT_BYTES)
         now = F.broadcast(label) if small else label
@@ -668,7 +684,7 @@ def _links(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: i
         discard(near, found)
         if all_left or not n_tried:     # a unit without a nearest one has no pair at all
             break
-    discard(short, long, several, maps, texts)
+    discard(short, long, several, texts)
     out = all_docs.join(label, F.col("sig") == F.col("node"), "left").select(
         "row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sig")).alias("component"))
     out._made_of = (survey, label)
