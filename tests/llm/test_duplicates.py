@@ -46,6 +46,18 @@ def test_exact_odd_rows(odd, empty):
     assert exact_dedup.exact_dedup(empty).collect() == [] and exact_dedup.survivors(empty).collect() == []
 
 
+def test_survivors_send_a_text_once(llm):
+    """The text without white space is made again from the row where it arrives; names that clash change nothing."""
+    rows = [(1, "a b", "x", 1), (2, "ab ", "y", 2), (3, "a  b", "z", 3), (4, None, "n", 4), (None, "  ", "m", 5)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, hash string, bytes long")
+    stay = exact_dedup.survivors(docs)
+    assert sorted(tuple(r) for r in stay.collect() if r.doc_id) == [(3, "a  b", "z", 3)]
+    assert [tuple(r) for r in stay.collect() if not r.doc_id] == [(None, "  ", "m", 5)]
+    plan = exact_dedup.owners(docs)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    sent = plan[next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line) + 1]
+    assert "Project" in sent and " text#" not in sent and "[text#" not in sent
+
+
 def test_tries_spill_by_subtree():
     rnd = random.Random(8)
     texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
