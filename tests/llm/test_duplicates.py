@@ -138,6 +138,17 @@ def test_one_of_each_goes_by_rows_not_ids(llm):
     assert stay.columns == docs.columns and sorted((r.doc_id, r["row"]) for r in stay.collect()) == [(1, "a"), (7, "b")]
 
 
+def test_rows_that_stay_are_not_shuffled(llm):
+    docs = kept(frame(llm, {1: "a b c d e f", 2: "a b c d e f", 3: "g h i j k l", 4: None}), "staying-rows")
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stay = jaccard_join.one_of_each(docs)
+        assert sorted(r.doc_id for r in stay.collect()) == [1, 3, 4]
+        assert "Exchange hashpartitioning" not in stay._jdf.queryExecution().executedPlan().toString()
+    finally:
+        llm.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_pairs_grow_with_a_group_not_with_its_square(llm, monkeypatch):
     rnd = random.Random(21)
     base, made = [f"b{i}" for i in range(150)], []

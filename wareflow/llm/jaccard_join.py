@@ -711,9 +711,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     stays = linked.groupBy("component").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select(
         "component", F.col("m.row").alias("stays"))
-    gone = linked.join(stays, "component").where("row <> stays").select(F.col("row").alias("gone"), F.col("doc_id").alias("gone_id"))
+    gone = kept(linked.join(stays, "component").where("row <> stays").select(F.col("row").alias("gone"), F.col("doc_id").alias("gone_id")), "gone")
+    discard(linked)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
     moved = F.raise_error(F.lit("input rows moved between two reads")).cast("boolean")
     same = F.when(F.col("doc_id").eqNullSafe(F.col("gone_id")), False).otherwise(moved)
-    return rows.join(gone, F.col("row") == F.col("gone"), "left").where(F.when(F.col("gone").isNull(), True).otherwise(same)).select("whole.*")
+    return rows.join(_sent(gone), F.col("row") == F.col("gone"), "left").where(F.when(F.col("gone").isNull(), True).otherwise(same)).select("whole.*")
