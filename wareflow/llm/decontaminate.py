@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wareflow.llm.common import batch, discard, kept
+from wareflow.llm.common import batch, discard, kept, tidy
 from wareflow.llm.textblock import MARKS, _STEP, distinct, lookup, mix, spread, text_bytes, words
 
 K = 4
@@ -284,7 +284,7 @@ def _block(rows: DataFrame, ids: list, texts: list, k: int):
         yield batch(kind, shared.value.seed[some].view(np.int64), held[some])
         yield batch(kind, pa.nulls(1, pa.int64()), [texts_])
 
-    seen = kept(rows.mapInArrow(count, "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs")), "seeds")
+    seen = kept(rows.mapInArrow(tidy(count), "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs")), "seeds")
     total = seen.where("seed IS NULL").first()
     bound = max(COMMON_LEAST, int((total["docs"] if total else 0) * COMMON_SHARE))
     often = seen.where(F.col("seed").isNotNull() & (F.col("docs") > bound)).toArrow()       # some of the block's own seeds
@@ -316,7 +316,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 doc, item, score, n, end = shared.value.leaks(b.column(1), threshold)
                 yield batch(kind, b.column(0).take(pa.array(doc)), names.take(pa.array(item, pa.int64())), score, n, end)
 
-        out = out.unionByName(rows.mapInArrow(find, ddl))
+        out = out.unionByName(rows.mapInArrow(tidy(find), ddl))
     return out
 
 
@@ -333,5 +333,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 ok[shared.value.leaks(b.column(1), threshold)[0]] = False
                 yield b.select([0]).filter(pa.array(ok))
 
-        docs = rows.mapInArrow(clean, T.StructType([rows.schema[0]])).select("row.*")
+        docs = rows.mapInArrow(tidy(clean), T.StructType([rows.schema[0]])).select("row.*")
     return docs

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wareflow.llm.common import tidy
+
 TRIE_BYTES = 48 << 20
 DROPPED = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -202,14 +204,14 @@ def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trie
         if tries:
             yield from tries.finish()
 
-    few = rows.mapInArrow(combine, kind)
+    few = rows.mapInArrow(tidy(combine), kind)
     if carry and text_col in docs.columns:      # the row holds its text: without white space it is made again where the row arrives
         few = few.select(F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("hash"), "sha", "chars", "id", "n", "row")
         text = F.coalesce(F.col("row").getField(text_col), F.lit(""))
         dealt = few.repartition("bytes", "hash").select(F.encode(F.translate(text, DROPPED, ""), "UTF-8").alias("text"), *kind.names[1:])
     else:
         dealt = few.repartition(F.octet_length("text"), F.xxhash64("text"))
-    return dealt.mapInArrow(own, kind).select(
+    return dealt.mapInArrow(tidy(own), kind).select(
         F.lower(F.hex("sha")).alias("text_sha256"), F.col("chars").alias("keep_chars"), F.col("id").alias("keep_id"),
         F.col("n").alias("group_size"), "row")
 

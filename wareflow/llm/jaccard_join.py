@@ -56,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.common import batch, discard, kept
+from wareflow.llm.common import batch, discard, kept, tidy
 from wareflow.llm.textblock import distinct, lookup, mix, ngrams, text_bytes, words
 from wareflow.operators.keys import per_key
 from wareflow.operators.measure import fits_broadcast
@@ -200,7 +200,7 @@ def _survey(rows: DataFrame, k: int) -> DataFrame:
             none = pa.nulls(len(u), pa.int64())
             yield batch(kind, none, none, none, none, u.view(np.int64), c + 1)
 
-    return rows.mapInArrow(run, "row long, doc_id long, n long, sig long, hash long, count long")
+    return rows.mapInArrow(tidy(run), "row long, doc_id long, n long, sig long, hash long, count long")
 
 
 def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -340,8 +340,8 @@ def _posted(rows: DataFrame, k: int, num: int, den: int, heavy, buckets: int) ->
             z = slice(i, i + (1 << 18))
             yield batch(kind, name[z], names[owner[z]], n[owner[z]], names[hub[z]], pa.nulls(len(owner[z]), pa.int64()), place[z])
 
-    packed = rows.mapInArrow(post, "bucket int, grp binary, n binary, sig binary, count binary, high binary, low binary, pos binary")
-    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(gather, "list long, grp long, n int, hub long, sig long, pos int")
+    packed = rows.mapInArrow(tidy(post), "bucket int, grp binary, n binary, sig binary, count binary, high binary, low binary, pos binary")
+    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(tidy(gather), "list long, grp long, n int, hub long, sig long, pos int")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -374,7 +374,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
                     out.append((a[i], b[i]))
             yield batch(kind, [o[0] for o in out], [o[1] for o in out])
 
-    return dealt.mapInArrow(check, "a long, b long")
+    return dealt.mapInArrow(tidy(check), "a long, b long")
 
 
 def _first_common(nx, i, ny, j, num: int, den: int):
@@ -422,7 +422,7 @@ def _by_list(entries: DataFrame, pairs_of) -> DataFrame:
             for x, y in pairs_of(start, np.diff(np.append(start, len(name))), *arr[1:]):
                 yield _distinct_pairs(x, y)
 
-    return entries.select("list", "sig", "n", "pos", "deg", "comp").mapInArrow(run, "a long, b long")
+    return entries.select("list", "sig", "n", "pos", "deg", "comp").mapInArrow(tidy(run), "a long, b long")
 
 
 def _together(entries: DataFrame, *keys: str) -> DataFrame:
@@ -521,7 +521,7 @@ def _across(short: DataFrame, long: DataFrame, sizes: DataFrame, maps: DataFrame
         yield from _met(~right, sig, n, pos, comp, t.column(8).to_pylist(), num, den, nearest)
 
     return (dealt.repartition("list", "lo", "hi").sortWithinPartitions("list", "lo", "hi", "right")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(tidy(run), "a long, b long").distinct())
 
 
 def _to_hub(short: DataFrame, long: DataFrame, turn: int, num: int, den: int) -> DataFrame:
@@ -570,7 +570,7 @@ def _candidates(rows: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
 
     # The same columns are read again, so that a source which deals rows by their content deals them alike.
     shape = f"sig long, n int, t {rows.schema['t'].dataType.simpleString()}, bits binary, few binary"
-    out = kept(rows.join(_sent(bits), mine, "left_semi").mapInArrow(run, shape), "candidates", "zstd")
+    out = kept(rows.join(_sent(bits), mine, "left_semi").mapInArrow(tidy(run), shape), "candidates", "zstd")
     mark = F.count(F.lit(1)), F.sum(F.xxhash64("sig").cast("decimal(38,0)"))
     if out.agg(*mark).first() != chosen.agg(*mark).first():
         raise RuntimeError("input rows moved between two reads")
@@ -592,7 +592,7 @@ def _filtered(pairs: DataFrame, maps: DataFrame, num: int, den: int) -> DataFram
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], schema=out).filter(pa.array(ok, pa.bool_()))
 
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "pa", "nb", "pb")
-    return both.mapInArrow(possible, "a long, b long")
+    return both.mapInArrow(tidy(possible), "a long, b long")
 
 
 def _labelled(entries: DataFrame, label: DataFrame) -> DataFrame:

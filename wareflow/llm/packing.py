@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wareflow.llm.common import batch, kept
+from wareflow.llm.common import batch, kept, local_rows, tidy
 from wareflow.llm.pieces import Pieces, default_tokenizer
 
 WINDOW = 2048
@@ -157,7 +157,7 @@ def token_lengths(docs: DataFrame, id_col: str, text_col: str, window: int, end_
             yield batch(out, b.column(0), b.column(1), n, crcs)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("t"))
-    return rows.mapInArrow(tokenise, "doc_id long, text_key long, n long, crcs array<long>")
+    return rows.mapInArrow(tidy(tokenise), "doc_id long, text_key long, n long, crcs array<long>")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID,
@@ -184,7 +184,7 @@ def packed_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     for i, x in _with_end(model, b.column(1), end_id) for p in parts[i]]
             yield batch(out, *([r[c] for r in rows] for c in range(5)))
 
-    return _with_parts(docs, pieces, id_col, text_col).mapInArrow(cut, "sequence_id long, offset long, doc_id long, start long, ids array<int>")
+    return _with_parts(docs, pieces, id_col, text_col).mapInArrow(tidy(cut), "sequence_id long, offset long, doc_id long, start long, ids array<int>")
 
 
 def _plan(docs: DataFrame, id_col: str, text_col: str, window: int, end_id: int, path: str, buckets: int) -> DataFrame:
@@ -204,7 +204,7 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, window: int, end_id: int,
     inside = Window.partitionBy("rest", "bucket").orderBy(*key)
     ranked = (lens.where("rest > 0").withColumn("rank", F.row_number().over(inside) - 1)
               .join(cells, ["rest", "bucket"]).withColumn("rank", F.col("rank") + F.col("first")))
-    seg = spark.createDataFrame(segments, "x long, lo long, hi long, seq long, copies long, at long, inner long, length long")
+    seg = local_rows(spark, segments, "x", "lo", "hi", "seq", "copies", "at", "inner", "length")
     hit = (F.col("rest") == F.col("x")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
     k = F.col("rank") - F.col("lo")
     placed = ranked.join(F.broadcast(seg), hit).select(
@@ -217,7 +217,7 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, window: int, end_id: int,
     for b in sorted(sums):
         first.append((b, total))
         total += sums[b]
-    starts = spark.createDataFrame(first, "bucket long, base long")
+    starts = local_rows(spark, first, "bucket", "base")
     running = Window.partitionBy("bucket").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     fulls = (lens.withColumn("before", F.coalesce(F.sum("full").over(running), F.lit(0))).where("full > 0")
              .join(F.broadcast(starts), "bucket")
@@ -259,4 +259,4 @@ def _cut_crcs(docs: DataFrame, cut: DataFrame, id_col: str, text_col: str, end_i
                     for i, x in _with_end(model, b.column(1), end_id) for p in parts[i]]
             yield batch(out, *([r[c] for r in rows] for c in range(8)))
 
-    return texts.mapInArrow(crcs, "doc_id long, text_key long, start long, length long, crc long, doc_tokens long, sequence_id long, offset long")
+    return texts.mapInArrow(tidy(crcs), "doc_id long, text_key long, start long, length long, crc long, doc_tokens long, sequence_id long, offset long")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.common import batch, kept
+from wareflow.llm.common import batch, kept, tidy
 from wareflow.llm.textblock import MARKS, distinct, text_bytes, words
 
 BITS = 20
@@ -153,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             lists = [pa.ListArray.from_arrays(at, pa.array(x, t)) for x, t in ((slot, pa.int32()), (value, pa.float32()))]
             yield batch(kind, b.column(0), b.column(1), *lists)
 
-    made = rows.mapInArrow(collect, "label_id long, label int, slots array<int>, values array<float>")
+    made = rows.mapInArrow(tidy(collect), "label_id long, label int, slots array<int>, values array<float>")
     one = made.groupBy("label_id").agg(F.min(F.struct("label", "slots", "values")).alias("r")).select("label_id", "r.*")
     once = kept(one.groupBy("label", "slots", "values").agg(F.min("label_id").alias("id")), "toxicity-sample")     # copies are no more evidence
     ids, y = (c.to_numpy() for c in once.select("id", "label").orderBy("label", "id").toArrow().columns)
@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             both[np.searchsorted(u, v)] = up
             yield batch(counts, u, df, both)
 
-    seen = (once.select("id", "label", "slots").mapInArrow(count, "slot int, df long, up long")
+    seen = (once.select("id", "label", "slots").mapInArrow(tidy(count), "slot int, df long, up long")
             .groupBy("slot").agg(F.sum("df").alias("df"), F.sum("up").alias("up")))
     base = float((y > 0).mean()) if len(y) else 0.0
     chance = F.sqrt(F.col("df") * F.lit(max(base * (1 - base), 1e-9)))
@@ -183,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             hit = np.flatnonzero(np.isin(slots, known.value))
             yield batch(cells, np.repeat(b.column(0).to_numpy(), size)[hit], slots[hit], _flat(b.column(2))[0][hit])
 
-    got = once.select("id", "slots", "values").mapInArrow(held, "id long, slot int, value float").toArrow()
+    got = once.select("id", "slots", "values").mapInArrow(tidy(held), "id long, slot int, value float").toArrow()
     known.unpersist()
     doc, slot, value = (c.to_numpy() for c in got.columns)
     by_id = np.argsort(ids)
@@ -232,4 +232,4 @@ def _scored(rows: DataFrame, model: Ordinal, cut: float) -> DataFrame:
     from pyspark.sql import types as T
     schema = T.StructType([rows.schema[0], *T._parse_datatype_string(
         "n_words long, p_toxic double, expected_severity double, grade int, toxic boolean").fields])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
